@@ -35,11 +35,14 @@ class Check:
     dimension: str
     severity: str
     rule: str
-    kind: str  # required_columns | row_count | violations | tracked | duplicates
+    kind: str  # required_columns | metadata | row_count | violations | tracked | duplicates
     predicates: tuple = ()  # Columns; their count_if values are summed
     keys: tuple = ()
     columns: tuple = ()
     ignore_blank_keys: bool = False
+    target: int | None = None  # row_count: exact expected count (None: at least one row)
+    observed: str | None = None  # metadata: observed text
+    passed: bool | None = None  # metadata: outcome decided from schema / file metadata
 
 
 # --- check constructors ---------------------------------------------------------------------------------------
@@ -55,6 +58,16 @@ def row_count_positive(name="row_count_positive", severity=CRITICAL,
     return Check(name, "completeness", severity, rule, "row_count")
 
 
+def row_count_equals(expected: int, name="expected_row_count", severity=CRITICAL, rule=None) -> Check:
+    return Check(name, "completeness", severity, rule or f"Dataset must hold exactly {expected} rows.", "row_count",
+                 target=expected)
+
+
+def metadata(name, passed: bool, observed: str, dimension="validity", severity=CRITICAL, rule="") -> Check:
+    """A check decided from schema or file metadata (no job)."""
+    return Check(name, dimension, severity, rule, "metadata", observed=observed, passed=passed)
+
+
 def not_missing(column, name=None, severity=CRITICAL, rule=None, trim=True) -> Check:
     return Check(
         name or f"{column}_not_null", "completeness", severity, rule or f"{column} must not be missing.",
@@ -133,8 +146,11 @@ def evaluate(df: DataFrame, checks: list[Check]) -> DataFrame:
         if check.kind == "required_columns":
             miss = [col for col in check.columns if col not in present]
             structs_global.append((order, check, None, ", ".join(miss) if miss else "None", F.lit(not miss)))
+        elif check.kind == "metadata":
+            structs_global.append((order, check, None, check.observed, F.lit(bool(check.passed))))
         elif check.kind == "row_count":
-            structs_global.append((order, check, F.col("_rows"), None, F.col("_rows") > 0))
+            ok = F.col("_rows") > 0 if check.target is None else F.col("_rows") == check.target
+            structs_global.append((order, check, F.col("_rows"), None, ok))
         elif short_circuit:
             continue
         elif check.kind in ("violations", "tracked"):
@@ -193,7 +209,7 @@ def run_checks(df: DataFrame, checks: list[Check], dataset: str) -> QualityResul
     kinds = {i: c.kind for i, c in enumerate(checks, start=1)}
     for r in rows:
         observed = r["observed_count"] if r["observed_count"] is not None else r["observed_value"]
-        if kinds[r["check_order"]] == "row_count":
+        if kinds[r["check_order"]] == "row_count" and row_count is None:
             row_count = r["observed_count"]
         result_checks.append(
             {

@@ -1,0 +1,102 @@
+"""Synthetic subscriber source (S4), distributed and deterministic.
+
+One synthetic subscriber per key of an input frame (e.g. every order key): each random draw is
+``xxhash64(key, seed, draw_id)`` mapped to [0, 1), so a row does not depend on partitioning or on any other row
+and the frame regenerates identically after an executor loss. The distributions follow the reference generator:
+
+tenure uniform 0..72; phone service 90 %; internet DSL / Fiber optic / No with weights .35 / .45 / .20; contract
+Month-to-month / One year / Two year with weights .55 / .25 / .20; four payment methods uniform; six internet
+options Yes / No uniform (``No internet service`` without internet); monthly charge 18 + 15 phone + 25 DSL or
+45 fibre + 6 per Yes option +- U(2.5); churn probability .05 + .30 month-to-month (else -.03) + .10 electronic
+check + .08 fibre + .12 if tenure < 12 (-.08 if >= 49), clamped to [.01, .80]; total charges blank when
+tenure = 0, else monthly * tenure * U(.96, 1.04); senior citizen 1 in 4.
+
+The contract is the distribution and the determinism, not equality with any other random generator.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from strata.sources.feed import PAYMENT_METHODS
+
+# Generator weights and charges.
+INTERNET_WEIGHTS = (("DSL", 0.35), ("Fiber optic", 0.45), ("No", 0.20))
+CONTRACT_WEIGHTS = (("Month-to-month", 0.55), ("One year", 0.25), ("Two year", 0.20))
+OPTIONS = ("OnlineSecurity", "OnlineBackup", "DeviceProtection", "TechSupport", "StreamingTV", "StreamingMovies")
+BASE_CHARGE, PHONE_CHARGE, DSL_CHARGE, FIBRE_CHARGE, OPTION_CHARGE, CHARGE_JITTER = 18.0, 15.0, 25.0, 45.0, 6.0, 2.5
+
+
+def _u(key: Column, seed: int, draw: int) -> Column:
+    """Uniform [0, 1) from a 64-bit hash (53 significant bits)."""
+    h = F.xxhash64(key, F.lit(seed), F.lit(draw))
+    return F.shiftrightunsigned(h, 11).cast("double") / F.lit(float(1 << 53))
+
+
+def _weighted(u: Column, weights) -> Column:
+    expr = None
+    acc = 0.0
+    for label, w in weights[:-1]:
+        acc += w
+        expr = F.when(u < acc, F.lit(label)) if expr is None else expr.when(u < acc, F.lit(label))
+    return expr.otherwise(F.lit(weights[-1][0]))
+
+
+def synthetic_feed(keys: DataFrame, key: str, seed: int = 42, id_prefix: str = "SYNTH-") -> DataFrame:
+    """Raw 21-column string feed with one synthetic subscriber per row of ``keys`` (narrow, no shuffle)."""
+    k = F.col(key)
+    tenure = F.floor(_u(k, seed, 1) * 73).cast("int")
+    phone = _u(k, seed, 2) < 0.90
+    internet = _weighted(_u(k, seed, 3), INTERNET_WEIGHTS)
+    contract = _weighted(_u(k, seed, 4), CONTRACT_WEIGHTS)
+    payment = F.element_at(F.array(*[F.lit(p) for p in PAYMENT_METHODS]),
+                           (F.floor(_u(k, seed, 5) * 4) + 1).cast("int"))
+    options = {
+        name: F.when(internet == "No", F.lit("No internet service"))
+        .when(_u(k, seed, 10 + i) < 0.5, F.lit("Yes"))
+        .otherwise(F.lit("No"))
+        for i, name in enumerate(OPTIONS)
+    }
+    yes_options = sum(F.when(c == "Yes", F.lit(1)).otherwise(F.lit(0)) for c in options.values())
+    monthly = F.round(
+        F.lit(BASE_CHARGE)
+        + F.when(phone, F.lit(PHONE_CHARGE)).otherwise(F.lit(0.0))
+        + F.when(internet == "DSL", F.lit(DSL_CHARGE)).when(internet == "Fiber optic", F.lit(FIBRE_CHARGE))
+        .otherwise(F.lit(0.0))
+        + F.lit(OPTION_CHARGE) * yes_options
+        + (_u(k, seed, 6) * 2 - 1) * CHARGE_JITTER,
+        2,
+    )
+    score = (
+        F.lit(0.05)
+        + F.when(contract == "Month-to-month", F.lit(0.30)).otherwise(F.lit(-0.03))
+        + F.when(payment == "Electronic check", F.lit(0.10)).otherwise(F.lit(0.0))
+        + F.when(internet == "Fiber optic", F.lit(0.08)).otherwise(F.lit(0.0))
+        + F.when(tenure < 12, F.lit(0.12)).when(tenure >= 49, F.lit(-0.08)).otherwise(F.lit(0.0))
+    )
+    churn_p = F.greatest(F.lit(0.01), F.least(F.lit(0.80), score))
+    total = F.when(tenure == 0, F.lit("")).otherwise(
+        F.format_string("%.2f", monthly * tenure * (F.lit(0.96) + _u(k, seed, 8) * 0.08))
+    )
+    cols = {
+        "customerID": F.concat(F.lit(id_prefix), F.lpad(k.cast("string"), 10, "0")),
+        "gender": F.when(_u(k, seed, 20) < 0.5, F.lit("Female")).otherwise(F.lit("Male")),
+        "SeniorCitizen": F.when(_u(k, seed, 21) < 0.25, F.lit("1")).otherwise(F.lit("0")),
+        "Partner": F.when(_u(k, seed, 22) < 0.5, F.lit("Yes")).otherwise(F.lit("No")),
+        "Dependents": F.when(_u(k, seed, 23) < 0.5, F.lit("Yes")).otherwise(F.lit("No")),
+        "tenure": tenure.cast("string"),
+        "PhoneService": F.when(phone, F.lit("Yes")).otherwise(F.lit("No")),
+        "MultipleLines": F.when(~phone, F.lit("No phone service"))
+        .when(_u(k, seed, 24) < 0.5, F.lit("Yes"))
+        .otherwise(F.lit("No")),
+        "InternetService": internet,
+        **options,
+        "Contract": contract,
+        "PaperlessBilling": F.when(_u(k, seed, 25) < 0.5, F.lit("Yes")).otherwise(F.lit("No")),
+        "PaymentMethod": payment,
+        "MonthlyCharges": F.format_string("%.2f", monthly),
+        "TotalCharges": total,
+        "Churn": F.when(_u(k, seed, 7) < churn_p, F.lit("Yes")).otherwise(F.lit("No")),
+    }
+    return keys.select(*[expr.alias(name) for name, expr in cols.items()])
