@@ -100,8 +100,11 @@ def admit(spark: SparkSession, path: str, expected_rows: int | None = None, id_c
         Q.metadata("header_matches_contract", not mismatch, ", ".join(mismatch) or "None",
                    rule="Header must equal the contract columns in order."),
         Q.row_count_positive(name="file_not_empty", rule="File must contain data rows."),
-        Q.violation("malformed_rows", F.col(CORRUPT_COLUMN).isNotNull(), dimension="validity",
-                    rule="Every line must parse with the contract schema."),
+        # a line is malformed when the parser flags it or when no contract field holds a value (e.g. ",,,,");
+        # the predicate reads every contract column, so every line is fully parsed
+        Q.violation("malformed_rows",
+                    F.col(CORRUPT_COLUMN).isNotNull() | F.coalesce(*[F.col(c) for c in contract]).isNull(),
+                    dimension="validity", rule="Every line must parse with the contract schema."),
     ]
     if expected_rows is not None:
         checks.append(Q.row_count_equals(expected_rows))

@@ -42,7 +42,7 @@ def get_session(app_name: str = "strata", master: str | None = None, conf: dict
 def apply_session_contract(spark: SparkSession, conf: dict | None = None) -> None:
     """Pin the runtime SQL settings the layers rely on (UTC, AQE) on an existing session."""
     for key, value in {**DEFAULT_CONF, **(conf or {})}.items():
-        if key.startswith("spark.sql."):
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
             spark.conf.set(key, value)
 
 
