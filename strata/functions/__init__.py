@@ -13,6 +13,7 @@ from strata.functions.expr import (
     round_half_up,
     rule_score,
     safe_ratio,
+    strip_whitespace,
     threshold_band,
     yes_no_to_boolean,
 )
@@ -29,6 +30,7 @@ __all__ = [
     "round_half_up",
     "rule_score",
     "safe_ratio",
+    "strip_whitespace",
     "threshold_band",
     "yes_no_to_boolean",
 ]

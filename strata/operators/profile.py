@@ -18,13 +18,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions import is_blank, is_missing
+from strata.functions import is_blank, is_missing, strip_whitespace
 
 MISSING_LABEL = "<missing>"
 
 
 def _stripped(c: str) -> Column:
-    return F.regexp_replace(F.col(c).cast("string"), r"^\s+|\s+$", "")
+    return strip_whitespace(c)
 
 
 def missing_by_column(df: DataFrame, columns=None) -> DataFrame:

@@ -5,14 +5,21 @@ boundary (a lost executor recomputes at most one layer) and every stage reads pr
 
 Spark actions per run (versus ~50 single-purpose actions in a job-per-check design):
 
-1. bronze validator (V1) on the source: one job (row count + missing keys in one aggregate, key uniqueness);
-2. bronze write (row count observed by the write);
-3. quality gate on the written bronze: one job for every rule;
-4. silver validator (V2) on the planned silver: one job over pruned bronze columns;
-5. silver write (row count observed);
-6. gold aggregates: every segment summary and the KPIs from ONE grouping-sets aggregate, checkpointed to the
-   shared checkpoint folder (a few rows) and split into four tables: one job plus four tiny writes;
-7. customer risk table: one sampled range-partitioned sort and write.
+1. bronze write: the CSV is parsed exactly once (the costliest step at scale); the row count is observed by the
+   write itself;
+2. bronze checks on the written Parquet: the validator rules (V1: rows, key uniqueness, missing keys) and all gate
+   rules (V4) in ONE job over pruned columns. Both reports are written, then a failing validator or critical
+   rule raises, so no downstream layer ever reads an unchecked bronze;
+3. silver validator (V2) on the planned silver: one job over four pruned bronze columns, before the write, so an
+   invalid silver is never written;
+4. silver write (row count observed);
+5. gold aggregates: every segment summary and the KPIs from ONE grouping-sets aggregate, checkpointed to the
+   shared checkpoint folder (a few rows) and split into four tables: one job, one tiny count, four tiny writes;
+6. customer risk table: one sampled range-partitioned sort and write.
+
+Deviation from a validate-then-write bronze job: validating the CSV source before writing would parse it twice.
+Here the bronze folder is written first and validated immediately; when validation fails the run stops before
+silver, and the written bronze carries the failing report next to it.
 
 A rerun overwrites every layer (idempotent, L3).
 """
@@ -50,19 +57,29 @@ class LayerValidationError(ValueError):
 def ingest_bronze(spark: SparkSession, source: str | DataFrame, paths: LayerPaths, fmt: str = "parquet",
                   run_ts=None, blank_mode: str = "default", spec: SubscriberSpec = SUBSCRIBER,
                   source_label: str | None = None) -> int:
+    """Parse the source once and write bronze (K1); returns the row count observed by the write."""
     raw = read_contract_csv(spark, source) if isinstance(source, str) else source
     label = source_label or (source if isinstance(source, str) else "dataframe")
     bronze = to_bronze(raw, label, run_ts=run_ts, spec=spec, blank_mode=blank_mode)
-    quality.enforce(bronze, rulesets.bronze_validator(spec), "bronze")
     return write_layer(bronze, paths.bronze, fmt)
 
 
+# bronze validator (V1) rules, by name, inside the bronze rule set: rows, key uniqueness, missing key
+VALIDATOR_CHECKS = ("row_count_positive", "customer_id_unique", "customer_id_not_null")
+
+
 def quality_gate(spark: SparkSession, paths: LayerPaths, fmt: str = "parquet", json_report: str | None = None,
                  markdown_report: str | None = None, spec: SubscriberSpec = SUBSCRIBER) -> quality.QualityResult:
-    """V4: evaluate every bronze rule in one job, write both reports, then raise on a critical failure."""
+    """V1 + V4 in one job on the written bronze: write both reports, then raise on a validator failure
+    (``LayerValidationError``) or any other critical failure (``QualityGateError``); warnings pass."""
     bronze = read_layer(spark, paths.bronze, fmt)
     result = quality.run_checks(bronze, rulesets.bronze_checks(spec), spec.dataset)
     write_quality_reports(result, json_report, markdown_report)
+    validator = [f"{spec.key}_unique" if n == "customer_id_unique" else
+                 f"{spec.key}_not_null" if n == "customer_id_not_null" else n for n in VALIDATOR_CHECKS]
+    for c in result.checks:
+        if c["name"] in validator and c["status"] == "FAIL":
+            raise LayerValidationError(f"bronze: check {c['name']} failed (observed {c['observed_value']})")
     if not result.passed:
         raise quality.QualityGateError(
             f"{result.failed_critical_count} critical data quality checks failed for {spec.dataset}")

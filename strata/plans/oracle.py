@@ -410,8 +410,12 @@ def _dup_keys(table: str, keys: str, where: str = "") -> str:
 FROM (SELECT count(*) AS n FROM {table} {where} GROUP BY {keys})"""
 
 
+# characters Python's str.strip() removes, as a SQL literal
+_WS = "".join(chr(c) for c in range(0x110000) if chr(c).isspace())
+
+
 def _strip(c: str) -> str:
-    return f"regexp_replace(CAST({c} AS VARCHAR), '^\\s+|\\s+$', '', 'g')"
+    return f"trim(CAST({c} AS VARCHAR), '{_WS}')"
 
 
 def _missing_profile(table: str, columns: list[str], label: str) -> str:

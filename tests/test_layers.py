@@ -73,12 +73,14 @@ def test_gate_writes_reports_then_stops(spark, scratch):
     assert not os.path.exists(LayerPaths(root).silver)
 
 
-def test_bronze_validator_stops_before_write(spark, scratch):
+def test_bronze_validator_stops_before_silver(spark, scratch):
     raw = catalog.feed(spark, SF001).withColumn("customerID", F.lit("same"))
     root = f"{scratch}/data"
-    with pytest.raises(ValueError, match="customer_id_unique"):
-        flow.run_layers(spark, raw, root, source_label="test")
-    assert not os.path.exists(LayerPaths(root).bronze)
+    with pytest.raises(flow.LayerValidationError, match="customer_id_unique"):
+        flow.run_layers(spark, raw, root, json_report=f"{scratch}/q.json", source_label="test")
+    report = json.load(open(f"{scratch}/q.json"))
+    assert {c["name"]: c["observed_value"] for c in report["checks"]}["customer_id_unique"] == 1
+    assert not os.path.exists(LayerPaths(root).silver)
 
 
 def test_admission_and_no_silent_overwrite(spark, landing, scratch):
