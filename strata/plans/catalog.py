@@ -13,10 +13,14 @@ from pyspark.sql import functions as F
 
 from strata import spec as S
 from strata.functions import band, round_half_up, threshold_band
-from strata.operators import gold, profile, quality, rulesets
+from strata.operators import gold, profile, quality, rulesets, verify
 from strata.operators.bronze import to_bronze
 from strata.operators.silver import to_silver
+from strata.plans import flow, publish
+from strata.session import scratch_dir
 from strata.sources.feed import dirty_feed, subscriber_feed
+from strata.sources.files import file_checksums, write_contract_csv
+from strata.sources.synthetic import synthetic_feed
 
 FEED_SOURCE = "derived:orders"
 # a fixed run timestamp for the compared layers, so the lineage checks see a populated value
@@ -235,6 +239,66 @@ def q_kpis_lineitem(spark, sf_dir):
     )
 
 
+# --- verification, round trip, admission, checksums, synthetic source -------------------------------------------
+
+
+def q_layer_summary(spark, sf_dir):
+    """V6-V8: rows, columns and tracked counts of every layer table (counts of sorted frames skip the sort)."""
+    sil = silver(spark, sf_dir)
+    tables = gold.build_gold_tables(sil, run_ts=FIXED_RUN_TS)
+    return (
+        verify.bronze_summary(bronze(spark, sf_dir))
+        .unionByName(verify.silver_summary(sil))
+        .unionByName(verify.gold_summary(tables))
+    )
+
+
+def expected_kpis_from_orders(orders: DataFrame) -> DataFrame:
+    """Independent expectation straight from ``orders`` (the feed's charge is 18.25 + (floor(price) % 10051)/100)."""
+    cents = F.lit(1825) + F.floor(F.col("o_totalprice")) % 10051
+    return orders.agg(
+        F.count(F.lit(1)).alias("total_customers"),
+        F.count_if(F.col("o_orderstatus") == "F").alias("churned_customers"),
+        round_half_up(F.avg(cents) / 100, 2).alias("avg_monthly_charges"),
+        round_half_up(F.sum(cents) / 100, 2).alias("estimated_monthly_revenue"),
+    )
+
+
+def q_kpi_reconciliation(spark, sf_dir):
+    """V5: gold KPIs reconciled with the same numbers computed from the source table (ints equal, floats +-0.01)."""
+    actual = gold.executive_kpis(silver(spark, sf_dir), with_timestamp=False)
+    return verify.kpi_comparison(actual, expected_kpis_from_orders(table(spark, sf_dir, "orders")))
+
+
+def q_layers_roundtrip(spark, sf_dir):
+    """The feed as a contract CSV, every layer written and gated, gold KPIs read back."""
+    base = scratch_dir(spark, "roundtrip")
+    write_contract_csv(feed(spark, sf_dir), f"{base}/landing")
+    flow.run_layers(spark, f"{base}/landing", f"{base}/layers", run_ts=FIXED_RUN_TS)
+    return flow.read_gold(spark, f"{base}/layers", "gold_executive_kpis").drop("gold_created_at_utc")
+
+
+def q_admission(spark, sf_dir):
+    """Admission checks of the feed written as a landing CSV (expected rows = orders)."""
+    base = scratch_dir(spark, "admission")
+    write_contract_csv(feed(spark, sf_dir), f"{base}/landing")
+    expected = table(spark, sf_dir, "orders").count()
+    return publish.admit(spark, f"{base}/landing", expected_rows=expected, id_prefix="C")
+
+
+def q_file_checksums(spark, sf_dir):
+    """SHA-256 of every table file, hashed on the executors (rows-only check: paths differ per run)."""
+    return file_checksums(spark, sf_dir, glob="*.parquet").select(
+        F.element_at(F.split("path", "/"), -1).alias("file_name"), "length", "sha256")
+
+
+def q_synthetic_feed_profile(spark, sf_dir):
+    """One synthetic subscriber per order key, through bronze and silver, profiled by contract and risk."""
+    raw = synthetic_feed(table(spark, sf_dir, "orders"), "o_orderkey", seed=42)
+    sil = to_silver(to_bronze(raw, "synthetic", run_ts=FIXED_RUN_TS), run_ts=FIXED_RUN_TS)
+    return gold.segment_rate_summary(sil, ["contract", "internet_service"], with_timestamp=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_feed_bronze": q_feed_bronze,
     "q_feed_silver": q_feed_silver,
@@ -265,4 +329,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_balance_band": q_balance_band,
     "q_part_size_band": q_part_size_band,
     "q_kpis_lineitem": q_kpis_lineitem,
+    "q_layer_summary": q_layer_summary,
+    "q_kpi_reconciliation": q_kpi_reconciliation,
+    "q_layers_roundtrip": q_layers_roundtrip,
+    "q_admission": q_admission,
+    "q_file_checksums": q_file_checksums,
+    "q_synthetic_feed_profile": q_synthetic_feed_profile,
 }

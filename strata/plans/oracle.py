@@ -458,6 +458,79 @@ def _segment_generic(table, by, flag, measures, count_name, flagged_name, rate_n
 FROM {table} GROUP BY {by}"""
 
 
+def _summary(layer, table, source, extra=()) -> str:
+    """(layer, table_name, metric, value) rows: row_count, column_count and extra count_if metrics."""
+    parts = [f"SELECT '{layer}' AS layer, '{table}' AS table_name, 'row_count' AS metric, count(*) AS value "
+             f"FROM {source}"]
+    for name, pred in extra:
+        parts.append(f"SELECT '{layer}', '{table}', '{name}', CAST(count_if({pred}) AS BIGINT) FROM {source}")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _column_count(layer, table, n) -> str:
+    return f"SELECT '{layer}' AS layer, '{table}' AS table_name, 'column_count' AS metric, CAST({n} AS BIGINT) AS value"
+
+
+_SEG_COUNT = "(SELECT {by} FROM silver GROUP BY {by})"
+
+LAYER_SUMMARY = with_layers(BRONZE, SILVER) + "\nUNION ALL\n".join([
+    _summary("bronze", "customer_churn", "bronze", [("blank_total_charges", "total_charges_was_blank = true")]),
+    _column_count("bronze", "customer_churn", 25),
+    _summary("silver", "customer_churn", "silver", [("null_total_charges", "total_charges IS NULL"),
+                                                    ("blank_total_charges", "total_charges_was_blank = true")]),
+    _column_count("silver", "customer_churn", 38),
+    _summary("gold", "gold_churn_by_contract", _SEG_COUNT.format(by="contract")),
+    _column_count("gold", "gold_churn_by_contract", 7),
+    _summary("gold", "gold_churn_by_tenure_band", _SEG_COUNT.format(by="tenure_band")),
+    _column_count("gold", "gold_churn_by_tenure_band", 7),
+    _summary("gold", "gold_churn_by_payment_method", _SEG_COUNT.format(by="payment_method_group")),
+    _column_count("gold", "gold_churn_by_payment_method", 7),
+    _summary("gold", "gold_customer_risk_summary", "silver"),
+    _column_count("gold", "gold_customer_risk_summary", 17),
+    _summary("gold", "gold_executive_kpis", "(SELECT 1)"),
+    _column_count("gold", "gold_executive_kpis", 8),
+])
+
+KPI_RECONCILIATION = with_layers(BRONZE, SILVER) + f"""
+, actual AS (
+  SELECT CAST(count(*) AS DOUBLE) AS total_customers, CAST(sum(churn_flag) AS DOUBLE) AS churned_customers,
+    {r2('avg(monthly_charges)')} AS avg_monthly_charges, {r2('sum(monthly_charges)')} AS estimated_monthly_revenue
+  FROM silver
+), expected AS (
+  SELECT CAST(count(*) AS DOUBLE) AS total_customers,
+    CAST(count_if(o_orderstatus = 'F') AS DOUBLE) AS churned_customers,
+    {r2('avg(1825 + CAST(floor(o_totalprice) AS BIGINT) % 10051) / 100')} AS avg_monthly_charges,
+    {r2('sum(1825 + CAST(floor(o_totalprice) AS BIGINT) % 10051) / 100')} AS estimated_monthly_revenue
+  FROM orders
+), pairs AS (
+  SELECT 'total_customers' AS metric, a.total_customers AS actual, e.total_customers AS expected FROM actual a, expected e
+  UNION ALL SELECT 'churned_customers', a.churned_customers, e.churned_customers FROM actual a, expected e
+  UNION ALL SELECT 'avg_monthly_charges', a.avg_monthly_charges, e.avg_monthly_charges FROM actual a, expected e
+  UNION ALL SELECT 'estimated_monthly_revenue', a.estimated_monthly_revenue, e.estimated_monthly_revenue
+    FROM actual a, expected e
+)
+SELECT metric, actual, expected,
+  coalesce(CASE WHEN expected = floor(expected) AND actual = floor(actual) THEN actual = expected
+                ELSE abs(actual - expected) <= 0.01 END, false) AS passed
+FROM pairs"""
+
+ADMISSION = with_layers() + """
+, a AS (SELECT count(*) AS n, count_if(NOT starts_with(customerID, 'C') OR customerID IS NULL) AS bad_prefix
+        FROM feed),
+o AS (SELECT count(*) AS expected FROM orders)
+SELECT 1 AS check_order, 'header_matches_contract' AS name, 'validity' AS dimension, 'critical' AS severity,
+  'PASS' AS status, 'None' AS observed_value, CAST(NULL AS BIGINT) AS observed_count,
+  'Header must equal the contract columns in order.' AS rule FROM a
+UNION ALL SELECT 2, 'file_not_empty', 'completeness', 'critical', CASE WHEN n > 0 THEN 'PASS' ELSE 'FAIL' END,
+  CAST(n AS VARCHAR), n, 'File must contain data rows.' FROM a
+UNION ALL SELECT 3, 'malformed_rows', 'validity', 'critical', 'PASS', '0', CAST(0 AS BIGINT),
+  'Every line must parse with the contract schema.' FROM a
+UNION ALL SELECT 4, 'expected_row_count', 'completeness', 'critical',
+  CASE WHEN n = expected THEN 'PASS' ELSE 'FAIL' END, CAST(n AS VARCHAR), n,
+  'Dataset must hold exactly ' || CAST(expected AS VARCHAR) || ' rows.' FROM a, o
+UNION ALL SELECT 5, 'id_prefix', 'validity', 'critical', CASE WHEN bad_prefix = 0 THEN 'PASS' ELSE 'FAIL' END,
+  CAST(CAST(bad_prefix AS BIGINT) AS VARCHAR), CAST(bad_prefix AS BIGINT), 'customerID must start with C.' FROM a"""
+
 ORACLE_SQL: dict[str, str] = {
     "q_feed_bronze": with_layers(BRONZE) + f"SELECT {', '.join(BRONZE_COLS)} FROM bronze",
     "q_feed_silver": with_layers(BRONZE, SILVER) + "SELECT * EXCLUDE (ingested_at_utc) FROM silver",
@@ -535,4 +608,8 @@ SELECT count(*) AS line_count,
   {r2('avg(l_extendedprice)')} AS avg_extendedprice,
   {r2('sum(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(18,2))))')} AS net_revenue
 FROM lineitem""",
+    "q_layer_summary": LAYER_SUMMARY,
+    "q_kpi_reconciliation": KPI_RECONCILIATION,
+    "q_admission": ADMISSION,
 }
+ORACLE_SQL["q_layers_roundtrip"] = ORACLE_SQL["q_executive_kpis"]

@@ -80,7 +80,8 @@ def synthetic_feed(keys: DataFrame, key: str, seed: int = 42, id_prefix: str = "
         F.format_string("%.2f", monthly * tenure * (F.lit(0.96) + _u(k, seed, 8) * 0.08))
     )
     cols = {
-        "customerID": F.concat(F.lit(id_prefix), F.lpad(k.cast("string"), 10, "0")),
+        # zero-padded to 5 digits like SYNTH-00001; format_string never truncates longer keys (lpad would)
+        "customerID": F.format_string(f"{id_prefix}%05d", k),
         "gender": F.when(_u(k, seed, 20) < 0.5, F.lit("Female")).otherwise(F.lit("Male")),
         "SeniorCitizen": F.when(_u(k, seed, 21) < 0.25, F.lit("1")).otherwise(F.lit("0")),
         "Partner": F.when(_u(k, seed, 22) < 0.5, F.lit("Yes")).otherwise(F.lit("No")),
