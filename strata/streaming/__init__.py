@@ -1,0 +1,5 @@
+"""Streaming form of the bronze ingest (landing folder -> validated micro-batches -> bronze)."""
+
+from strata.streaming.ingest import BatchValidationError, start_bronze_ingest
+
+__all__ = ["BatchValidationError", "start_bronze_ingest"]
