@@ -122,3 +122,15 @@ def events_checks() -> list[Q.Check]:
         Q.non_negative("value"),
         Q.violation("ts_present", F.col("ts").isNull(), dimension="timeliness", rule="ts must be populated."),
     ]
+
+
+def usage_checks() -> list[Q.Check]:
+    """D1 daily usage feed: valid date, customer present, non-negative amounts, one record per date and customer."""
+    return [
+        Q.row_count_positive(),
+        Q.violation("usage_date_valid", F.col("usage_date").isNull(), dimension="validity",
+                    rule="usage_date must be a valid date."),
+        Q.not_missing("customer_id"),
+        Q.non_negative("revenue"),
+        Q.unique(["usage_date", "customer_id"]),
+    ]

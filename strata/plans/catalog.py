@@ -299,6 +299,29 @@ def q_synthetic_feed_profile(spark, sf_dir):
     return gold.segment_rate_summary(sil, ["contract", "internet_service"], with_timestamp=False)
 
 
+def usage_records(spark, sf_dir) -> DataFrame:
+    """Every event as a usage record (usage_date in UTC, customer, amount)."""
+    return table(spark, sf_dir, "events").select(
+        F.to_date("ts").alias("usage_date"),
+        F.col("user_id").cast("string").alias("customer_id"),
+        F.col("event_type"),
+        F.col("value").alias("revenue"),
+    )
+
+
+def q_usage_quality(spark, sf_dir):
+    return quality.evaluate(usage_records(spark, sf_dir), rulesets.usage_checks())
+
+
+def q_usage_daily(spark, sf_dir):
+    """Daily rollup: records, distinct customers (two-level aggregate, no driver set) and revenue."""
+    return usage_records(spark, sf_dir).groupBy("usage_date").agg(
+        F.count(F.lit(1)).alias("records"),
+        F.count_distinct("customer_id").alias("active_customers"),
+        round_half_up(F.sum("revenue"), 2).alias("revenue"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_feed_bronze": q_feed_bronze,
     "q_feed_silver": q_feed_silver,
@@ -335,4 +358,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_admission": q_admission,
     "q_file_checksums": q_file_checksums,
     "q_synthetic_feed_profile": q_synthetic_feed_profile,
+    "q_usage_quality": q_usage_quality,
+    "q_usage_daily": q_usage_daily,
 }

@@ -531,6 +531,26 @@ UNION ALL SELECT 4, 'expected_row_count', 'completeness', 'critical',
 UNION ALL SELECT 5, 'id_prefix', 'validity', 'critical', CASE WHEN bad_prefix = 0 THEN 'PASS' ELSE 'FAIL' END,
   CAST(CAST(bad_prefix AS BIGINT) AS VARCHAR), CAST(bad_prefix AS BIGINT), 'customerID must start with C.' FROM a"""
 
+USAGE = "(SELECT CAST(ts AS DATE) AS usage_date, CAST(user_id AS VARCHAR) AS customer_id, value AS revenue FROM events)"
+
+USAGE_QUALITY = _quality_generic(USAGE, [
+    (1, "row_count_positive", "completeness", "critical", None, "Dataset must contain at least one row.",
+     "positive"),
+    (2, "usage_date_valid", "validity", "critical", "usage_date IS NULL", "usage_date must be a valid date.",
+     "violations"),
+    (3, "customer_id_not_null", "completeness", "critical", _missing("customer_id"),
+     "customer_id must not be missing.", "violations"),
+    (4, "revenue_non_negative", "accuracy", "critical", "revenue < 0", "revenue must not be negative.",
+     "violations"),
+    (5, "usage_date_customer_id_unique", "uniqueness", "critical", None, "usage_date, customer_id must be unique.",
+     "dups"),
+], ["usage_date", "customer_id"])
+
+USAGE_DAILY = f"""
+SELECT usage_date, count(*) AS records, count(DISTINCT customer_id) AS active_customers,
+  {r2('sum(revenue)')} AS revenue
+FROM {USAGE} GROUP BY usage_date"""
+
 ORACLE_SQL: dict[str, str] = {
     "q_feed_bronze": with_layers(BRONZE) + f"SELECT {', '.join(BRONZE_COLS)} FROM bronze",
     "q_feed_silver": with_layers(BRONZE, SILVER) + "SELECT * EXCLUDE (ingested_at_utc) FROM silver",
@@ -611,5 +631,7 @@ FROM lineitem""",
     "q_layer_summary": LAYER_SUMMARY,
     "q_kpi_reconciliation": KPI_RECONCILIATION,
     "q_admission": ADMISSION,
+    "q_usage_quality": USAGE_QUALITY,
+    "q_usage_daily": USAGE_DAILY,
 }
 ORACLE_SQL["q_layers_roundtrip"] = ORACLE_SQL["q_executive_kpis"]
