@@ -125,3 +125,25 @@ def profile_markdown(profile: dict, input_path: str, numeric_rows: list, categor
     for r in sample:
         lines.append("| " + " | ".join("" if r[c] is None else str(r[c]) for c in sample_columns) + " |")
     return "\n".join(lines) + "\n"
+
+
+def build_profile_report(df: DataFrame, input_path: str, expected_columns, key: str, categorical, numeric,
+                         sample_columns) -> str:
+    """V12 + K7: profile ``df`` on Spark and render the Markdown report. Only aggregated rows reach the driver
+    (one row per column, one row per category, five sample rows)."""
+    from strata.operators import profile as P
+
+    prof = P.profile(df, expected_columns, key, categorical, numeric, sample_columns)
+    totals = prof["row_count"].collect()[0]["row_count"]
+    dups = prof["duplicates"].collect()[0]["duplicate_keys"]
+    return profile_markdown(
+        prof,
+        input_path,
+        numeric_rows=prof["numeric"].collect(),
+        category_rows=P.ordered_categories(prof["categories"]).collect(),
+        missing_rows=prof["missing_by_column"].collect(),
+        duplicate_count=dups,
+        row_count=totals,
+        sample=prof["sample_rows"].collect(),
+        sample_columns=list(sample_columns),
+    )

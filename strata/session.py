@@ -23,8 +23,30 @@ DEFAULT_CONF = {
 }
 
 
-def get_session(app_name: str = "strata", master: str | None = None, conf: dict | None = None) -> SparkSession:
-    """Return the active session (or build one) with the session contract applied."""
+# Starting points for a large cluster: many initial shuffle partitions that AQE coalesces to ~256 MB, and
+# larger scan splits. The values are overridable through ``conf``.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+}
+
+# Delta Lake session settings (effective only when the Delta package is on the classpath).
+DELTA_CONF = {
+    "spark.sql.extensions": "io.delta.sql.DeltaSparkSessionExtension",
+    "spark.sql.catalog.spark_catalog": "org.apache.spark.sql.delta.catalog.DeltaCatalog",
+}
+
+
+def get_session(app_name: str = "strata", master: str | None = None, conf: dict | None = None,
+                profile: str = "local", delta: bool = False) -> SparkSession:
+    """Return the active session (or build one) with the session contract applied.
+
+    ``profile="cluster"`` adds :data:`CLUSTER_CONF`; ``delta=True`` adds the Delta extension and catalog.
+    """
+    extra = {**(CLUSTER_CONF if profile == "cluster" else {}), **(DELTA_CONF if delta else {})}
+    conf = {**extra, **(conf or {})}
     active = SparkSession.getActiveSession()
     if active is not None:
         apply_session_contract(active, conf)
@@ -32,7 +54,7 @@ def get_session(app_name: str = "strata", master: str | None = None, conf: dict
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULT_CONF, **(conf or {})}.items():
+    for key, value in {**DEFAULT_CONF, **conf}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     apply_session_contract(spark, conf)

@@ -138,3 +138,21 @@ def test_kpi_comparison_and_assertion(spark):
     verify.assert_kpis(actual, {"total_customers": 1500, "churned_customers": 493})
     with pytest.raises(AssertionError):
         verify.assert_kpis(actual, {"overall_churn_rate_pct": 99.0})
+
+
+def test_profile_report(spark, landing):
+    from strata.plans.reports import build_profile_report
+    from strata.spec import RAW_COLUMNS
+
+    raw = read_contract_csv(spark, f"{landing}/feed")
+    text = build_profile_report(
+        raw, f"{landing}/feed", RAW_COLUMNS, "customerID",
+        ["gender", "SeniorCitizen", "Contract", "InternetService", "PaymentMethod", "Churn"],
+        ["tenure", "MonthlyCharges", "TotalCharges"],
+        ["customerID", "tenure", "MonthlyCharges", "TotalCharges", "Churn"],
+    )
+    assert "- Row count: `1500`" in text
+    assert "- Missing expected columns: `None`" in text
+    assert "- Duplicate `customerID` values: `0`" in text
+    assert "| TotalCharges | 21 |" in text  # tenure-0 rows: blank or empty totals (NULL after the CSV reader)
+    assert "| Month-to-month |" in text and "## Sample Rows" in text

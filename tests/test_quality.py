@@ -100,3 +100,17 @@ def test_plan_single_scan_per_branch_and_pruned(spark):
     scans = [line for line in plan.splitlines() if line.startswith("(") and "Scan parquet" in line]
     assert len(scans) == 2
     assert "l_shipdate" not in plan.split("ReadSchema")[1]  # column pruning: l_shipdate is never read
+
+
+def test_checks_json_built_on_spark(spark):
+    import json
+
+    from strata.plans.reports import checks_json
+
+    checks = catalog.q_quality_dirty(spark, SF01)
+    text = checks_json(checks, "bronze.customer_churn", 25, "2024-01-01T00:00:00+00:00").collect()[0]["report"]
+    report = json.loads(text)
+    assert report["row_count"] == 15000 and report["failed_critical_count"] == 7
+    assert [c["check_order"] for c in report["checks"]] == list(range(1, 20))
+    summary = Q.summary(checks, "bronze.customer_churn", 25).collect()[0]
+    assert summary["failed_critical_count"] == 7 and summary["check_count"] == 19
