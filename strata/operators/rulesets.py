@@ -134,3 +134,22 @@ def usage_checks() -> list[Q.Check]:
         Q.non_negative("revenue"),
         Q.unique(["usage_date", "customer_id"]),
     ]
+
+
+SHORT_MESSAGE_CHARS = 20
+
+
+def message_checks(labels=("assistant", "system", "user")) -> list[Q.Check]:
+    """D2 message feed (label, message): label present and known, message not blank; duplicate messages and very
+    short messages are measured as warnings. Duplicates are keyed by (SHA-256 of the whole text, length), so the
+    shuffle carries 40 bytes per row whatever the text length."""
+    return [
+        Q.row_count_positive(),
+        Q.not_missing("label"),
+        Q.in_domain("label", list(labels)),
+        Q.not_missing("message"),
+        Q.unique(["message_sha256", "message_length"], name="message_duplicates", severity=Q.WARNING,
+                 rule="Duplicate messages are measured."),
+        Q.tracked("short_messages", F.length("message") < SHORT_MESSAGE_CHARS,
+                  rule=f"Messages under {SHORT_MESSAGE_CHARS} characters are flagged."),
+    ]

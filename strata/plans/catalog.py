@@ -322,6 +322,21 @@ def q_usage_daily(spark, sf_dir):
     )
 
 
+def message_records(spark, sf_dir) -> DataFrame:
+    """Every conversation turn as a (label, message) record with its content hash and length."""
+    conv = table(spark, sf_dir, "conversations")
+    return conv.select(
+        F.col("role").alias("label"),
+        F.col("text").alias("message"),
+        F.sha2(F.col("text"), 256).alias("message_sha256"),
+        F.length("text").alias("message_length"),
+    )
+
+
+def q_message_quality(spark, sf_dir):
+    return quality.evaluate(message_records(spark, sf_dir), rulesets.message_checks())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_feed_bronze": q_feed_bronze,
     "q_feed_silver": q_feed_silver,
@@ -360,4 +375,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_synthetic_feed_profile": q_synthetic_feed_profile,
     "q_usage_quality": q_usage_quality,
     "q_usage_daily": q_usage_daily,
+    "q_message_quality": q_message_quality,
 }

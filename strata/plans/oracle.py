@@ -551,6 +551,28 @@ SELECT usage_date, count(*) AS records, count(DISTINCT customer_id) AS active_cu
   {r2('sum(revenue)')} AS revenue
 FROM {USAGE} GROUP BY usage_date"""
 
+MESSAGES = "(SELECT role AS label, text AS message FROM conversations)"
+
+MESSAGE_QUALITY = f"""WITH a_src AS (
+  SELECT count(*) AS n,
+    count_if({_missing('label')}) AS c_label,
+    count_if(label NOT IN ('assistant', 'system', 'user') OR label IS NULL) AS c_dom,
+    count_if({_missing('message')}) AS c_msg,
+    count_if(length(message) < 20) AS c_short
+  FROM {MESSAGES}
+), d_src AS (SELECT count(*) AS dups FROM (SELECT message FROM {MESSAGES} GROUP BY message HAVING count(*) > 1))
+""" + "\nUNION ALL\n".join(f"{r} FROM a_src a, d_src d" for r in [
+    _check_row(1, "row_count_positive", "completeness", "critical", "a.n", "Dataset must contain at least one row.",
+               kind="positive"),
+    _check_row(2, "label_not_null", "completeness", "critical", "a.c_label", "label must not be missing."),
+    _check_row(3, "label_domain_valid", "validity", "critical", "a.c_dom",
+               "label must be one of: ['assistant', 'system', 'user']."),
+    _check_row(4, "message_not_null", "completeness", "critical", "a.c_msg", "message must not be missing."),
+    _check_row(5, "message_duplicates", "uniqueness", "warning", "d.dups", "Duplicate messages are measured."),
+    _check_row(6, "short_messages", "completeness", "warning", "a.c_short",
+               "Messages under 20 characters are flagged.", kind="tracked"),
+])
+
 ORACLE_SQL: dict[str, str] = {
     "q_feed_bronze": with_layers(BRONZE) + f"SELECT {', '.join(BRONZE_COLS)} FROM bronze",
     "q_feed_silver": with_layers(BRONZE, SILVER) + "SELECT * EXCLUDE (ingested_at_utc) FROM silver",
@@ -633,5 +655,6 @@ FROM lineitem""",
     "q_admission": ADMISSION,
     "q_usage_quality": USAGE_QUALITY,
     "q_usage_daily": USAGE_DAILY,
+    "q_message_quality": MESSAGE_QUALITY,
 }
 ORACLE_SQL["q_layers_roundtrip"] = ORACLE_SQL["q_executive_kpis"]
