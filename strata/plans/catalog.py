@@ -11,7 +11,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata import spec as S
 from strata.functions import band, round_half_up, threshold_band
 from strata.operators import gold, profile, quality, rulesets, verify
 from strata.operators.bronze import to_bronze

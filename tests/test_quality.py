@@ -114,3 +114,21 @@ def test_checks_json_built_on_spark(spark):
     assert [c["check_order"] for c in report["checks"]] == list(range(1, 20))
     summary = Q.summary(checks, "bronze.customer_churn", 25).collect()[0]
     assert summary["failed_critical_count"] == 7 and summary["check_count"] == 19
+
+
+def test_gate_is_one_job_for_nineteen_rules(spark):
+    """All 19 bronze rules: one action, one Spark job (measured with AQE off, which otherwise submits every
+    shuffle stage as its own job)."""
+    sc = spark.sparkContext
+    bronze = catalog.bronze(spark, "/root/testdata/sf0.001")
+    previous = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sc.setJobGroup("gate-jobs", "gate job count")
+        rows = Q.evaluate(bronze, rulesets.bronze_checks()).collect()
+        jobs = sc.statusTracker().getJobIdsForGroup("gate-jobs")
+    finally:
+        sc.setJobGroup("", "")
+        spark.conf.set("spark.sql.adaptive.enabled", previous)
+    assert len(rows) == 19
+    assert len(jobs) == 1
