@@ -30,16 +30,49 @@ def table_name_for(layer: str, folder: str) -> str:
     return f"{layer}_{folder}" if layer in ("bronze", "silver") else folder
 
 
-def discover_tables(root: str, scope: str = "all") -> list[tuple[str, str, str]]:
-    """K8 for local folders: every folder holding a commit marker is a table -> (name, layer, location)."""
+def _layer_of(relative_parts) -> str:
+    return next((p for p in relative_parts if p in ("bronze", "silver", "gold")), "gold")
+
+
+def discover_tables(spark: SparkSession, root: str, scope: str = "all", file_glob: str = "*.parquet") -> list:
+    """K8 on any file system: list the data files under ``root`` with Spark (``binaryFile`` without reading the
+    content), take their folders, strip ``key=value`` partition folders, and name each table by its folder.
+
+    Hidden folders (``_delta_log``, ``_staging``) and marker files are skipped by Spark's file listing. Returns
+    sorted ``(name, layer, location)`` tuples; the list has one entry per table, so collecting it is cheap.
+    """
+    if scope not in SCOPES:
+        raise ValueError(f"scope must be one of {SCOPES}")
+    base = root.rstrip("/") if scope == "all" else f"{root.rstrip('/')}/{scope}"
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", file_glob)
+        .load(base)
+        .select("path")
+    )
+    folder = F.regexp_extract("path", r"^(.*)/[^/]+$", 1)
+    table_folder = F.regexp_replace(folder, r"(/[^/=]+=[^/]*)+$", "")
+    locations = [r["location"] for r in files.select(table_folder.alias("location")).distinct().collect()]
+    root_name = root.rstrip("/").split("/")[-1]
+    found = []
+    for loc in locations:
+        parts = loc.split("/")
+        relative = parts[parts.index(root_name) + 1:] if root_name in parts else parts
+        layer = _layer_of(relative)
+        found.append((table_name_for(layer, parts[-1]), layer, loc))
+    return sorted(found)
+
+
+def discover_local_tables(root: str, scope: str = "all") -> list[tuple[str, str, str]]:
+    """K8 for a local folder tree: every folder holding a commit marker (``_delta_log`` or ``_SUCCESS``)."""
     if scope not in SCOPES:
         raise ValueError(f"scope must be one of {SCOPES}")
     base = root if scope == "all" else os.path.join(root, scope)
     found = []
     for dirpath, dirnames, filenames in os.walk(base):
         if any(m in dirnames or m in filenames for m in COMMIT_MARKERS):
-            rel = os.path.relpath(dirpath, root).split(os.sep)
-            layer = next((p for p in rel if p in ("bronze", "silver", "gold")), "gold")
+            layer = _layer_of(os.path.relpath(dirpath, root).split(os.sep))
             found.append((table_name_for(layer, os.path.basename(dirpath)), layer, dirpath))
             dirnames[:] = []
     return sorted(found)

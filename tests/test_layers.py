@@ -117,8 +117,11 @@ def test_checksum_is_computed_on_executors(spark, landing):
 def test_publish_discover_copy(spark, landing, scratch):
     root = f"{scratch}/data"
     flow.run_layers(spark, f"{landing}/feed", root)
-    found = publish.discover_tables(root)
+    found = publish.discover_local_tables(root)
     assert {n for n, _, _ in found} == {"bronze_customer_churn", "silver_customer_churn", *GOLD_TABLES}
+    listed = publish.discover_tables(spark, root)
+    assert [(n, layer) for n, layer, _ in listed] == [(n, layer) for n, layer, _ in found]
+    assert [n for n, _, _ in publish.discover_tables(spark, root, scope="gold")] == sorted(GOLD_TABLES)
     plan = publish.publish(spark, found, "churn_dry", dry_run=True)
     assert [p["table"] for p in plan[1:]] == sorted(GOLD_TABLES)  # gold only by default
     assert all(p["action"].startswith("would_") for p in plan)
