@@ -170,9 +170,14 @@ def evaluate(df: DataFrame, checks: list[Check]) -> DataFrame:
         else:
             raise ValueError(f"unknown check kind {check.kind!r}")
 
-    agg = df.agg(*global_aggs)
-    out = agg.select(F.inline(F.array(*[_check_struct(*s) for s in structs_global])))
-    for branch in dup_branches:
+    branches = list(dup_branches)
+    if structs_global:
+        agg = df.agg(*global_aggs)
+        branches.insert(0, agg.select(F.inline(F.array(*[_check_struct(*s) for s in structs_global]))))
+    if not branches:
+        raise ValueError("no checks to evaluate")
+    out = branches[0]
+    for branch in branches[1:]:
         out = out.unionByName(branch)
     return out
 
