@@ -177,7 +177,12 @@ def gold_aggregates_one_scan(silver: DataFrame) -> DataFrame:
     return segment_rate_multi(silver, list(SEGMENT_TABLES.values()), extra=extra)
 
 
-def split_gold_aggregates(multi: DataFrame, run_ts=None) -> dict[str, DataFrame]:
+def segment_order(by: str, rate_name: str = "churn_rate_pct", count_name: str = "total_customers") -> list:
+    """O1 ordering of a segment summary, with the group as final tie-break."""
+    return [F.desc(rate_name), F.desc(count_name), F.asc_nulls_first(by)]
+
+
+def split_gold_aggregates(multi: DataFrame, run_ts=None, ordered: bool = True) -> dict[str, DataFrame]:
     """Turn the one-scan aggregate into the four aggregate gold tables (same schemas as the per-table form)."""
     ts = _ts_literal(run_ts)
     out = {}
@@ -191,7 +196,7 @@ def split_gold_aggregates(multi: DataFrame, run_ts=None) -> dict[str, DataFrame]
             "avg_total_charges",
             ts.alias("gold_created_at_utc"),
         )
-        out[name] = part.orderBy(F.desc("churn_rate_pct"), F.desc("total_customers"), F.asc_nulls_first(by))
+        out[name] = part.orderBy(*segment_order(by)) if ordered else part
     out["gold_executive_kpis"] = multi.filter(F.col("segment") == "__total__").select(
         "total_customers",
         "churned_customers",

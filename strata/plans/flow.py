@@ -54,6 +54,11 @@ class LayerValidationError(ValueError):
     pass
 
 
+# aggregate gold tables up to this many rows (known from the checkpointed aggregate) are written as one sorted
+# file instead of a sampled range-partitioned sort
+SINGLE_FILE_MAX_ROWS = 10_000
+
+
 def ingest_bronze(spark: SparkSession, source: str | DataFrame, paths: LayerPaths, fmt: str = "parquet",
                   run_ts=None, blank_mode: str = "default", spec: SubscriberSpec = SUBSCRIBER,
                   source_label: str | None = None) -> int:
@@ -106,7 +111,7 @@ def build_gold(spark: SparkSession, paths: LayerPaths, fmt: str = "parquet", run
     stats = multi.groupBy("segment").agg(F.count(F.lit(1)).alias("n"), F.max("total_customers").alias("t")).collect()
     counts = {r["segment"]: r["n"] for r in stats}
     customers = {r["segment"]: r["t"] for r in stats}
-    tables = gold.split_gold_aggregates(multi, run_ts)
+    tables = gold.split_gold_aggregates(multi, run_ts, ordered=False)
     written = {}
     for name in GOLD_TABLES:
         if name == "gold_customer_risk_summary":
@@ -114,7 +119,15 @@ def build_gold(spark: SparkSession, paths: LayerPaths, fmt: str = "parquet", run
         segment = gold.SEGMENT_TABLES.get(name, "__total__")
         if not counts.get(segment):
             raise LayerValidationError(f"{name} has zero rows.")
-        write_layer(tables[name], paths.gold(name), fmt, count_rows=False)
+        table = tables[name]
+        if segment != "__total__":
+            order = gold.segment_order(segment)
+            # size checked: a small summary is one sorted file; a large one is range-partitioned and sorted
+            if counts[segment] <= SINGLE_FILE_MAX_ROWS:
+                table = table.coalesce(1).sortWithinPartitions(*order)
+            else:
+                table = table.orderBy(*order)
+        write_layer(table, paths.gold(name), fmt, count_rows=False)
         written[name] = counts[segment]
     if not customers.get("__total__"):
         raise LayerValidationError("gold_executive_kpis: no customers (a global aggregate always has one row).")
