@@ -107,6 +107,24 @@ def schema_diff(columns, expected) -> dict:
     }
 
 
+def profile_summary(df: DataFrame, expected_columns, key: str) -> DataFrame:
+    """Profile header in one grouped pass: row count, column count, missing / unexpected contract columns (Q25)
+    and the number of non-blank key values occurring more than once (A4, blanks excluded).
+
+    Rows are counted as the sum of the per-key counts, so the row count and the duplicate count share one
+    shuffle of the key column (with partial aggregation per task).
+    """
+    diff = schema_diff(list(df.columns), list(expected_columns))
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return per_key.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("row_count"),
+        F.lit(len(df.columns)).alias("column_count"),
+        F.lit(", ".join(diff["missing_expected_columns"]) or "None").alias("missing_expected_columns"),
+        F.lit(", ".join(diff["unexpected_columns"]) or "None").alias("unexpected_columns"),
+        F.count_if((F.col("_n") > 1) & ~is_missing(key)).alias("duplicate_key_values"),
+    )
+
+
 def sample_rows(df: DataFrame, n: int = 5, order_by=None) -> DataFrame:
     """The first ``n`` rows; with ``order_by`` the sample is deterministic (top-n, no full sort)."""
     if order_by:
@@ -139,6 +157,7 @@ __all__ = [
     "ordered_categories",
     "parse_decimal",
     "profile",
+    "profile_summary",
     "sample_rows",
     "schema_diff",
 ]

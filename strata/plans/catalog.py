@@ -166,6 +166,16 @@ def q_profile_numeric(spark, sf_dir):
     return raw.withColumn("table_name", F.lit("feed")).unionByName(li.withColumn("table_name", F.lit("lineitem")))
 
 
+def q_profile_summary(spark, sf_dir):
+    """Profile header of the clean and the fault-injected raw feed against the 21-column contract."""
+    from strata.spec import RAW_COLUMNS
+
+    clean = profile.profile_summary(feed(spark, sf_dir), RAW_COLUMNS, "customerID")
+    dirty = profile.profile_summary(feed(spark, sf_dir, dirty=True).drop("Churn").withColumn("extra", F.lit("x")),
+                                    RAW_COLUMNS, "customerID")
+    return clean.withColumn("feed", F.lit("clean")).unionByName(dirty.withColumn("feed", F.lit("dirty")))
+
+
 def q_profile_feed_duplicates(spark, sf_dir):
     return profile.duplicate_keys(feed(spark, sf_dir, dirty=True), "customerID", ignore_blank_keys=True)
 
@@ -360,6 +370,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_profile_categories": q_profile_categories,
     "q_profile_numeric": q_profile_numeric,
     "q_profile_feed_duplicates": q_profile_feed_duplicates,
+    "q_profile_summary": q_profile_summary,
     "q_rate_by_priority": q_rate_by_priority,
     "q_rate_by_event_type": q_rate_by_event_type,
     "q_toxic_rate_by_quality": q_toxic_rate_by_quality,

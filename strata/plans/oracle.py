@@ -573,6 +573,22 @@ MESSAGE_QUALITY = f"""WITH a_src AS (
                "Messages under 20 characters are flagged.", kind="tracked"),
 ])
 
+PROFILE_SUMMARY = with_layers() + """
+, dirty_keys AS (
+  SELECT CASE WHEN k % 1000 = 1 THEN '' WHEN k % 1000 = 12 THEN 'C' || lpad(CAST(k - 1 AS VARCHAR), 10, '0')
+              ELSE customerID END AS customerID
+  FROM feed_clean
+)
+SELECT CAST(sum(n) AS BIGINT) AS row_count, 21 AS column_count, 'None' AS missing_expected_columns,
+  'None' AS unexpected_columns,
+  CAST(count_if(n > 1 AND NOT (customerID IS NULL OR trim(customerID) = '')) AS BIGINT) AS duplicate_key_values,
+  'clean' AS feed
+FROM (SELECT customerID, count(*) AS n FROM feed GROUP BY customerID)
+UNION ALL
+SELECT CAST(sum(n) AS BIGINT), 21, 'Churn', 'extra', CAST(count_if(n > 1 AND NOT (customerID IS NULL OR
+  trim(customerID) = '')) AS BIGINT), 'dirty'
+FROM (SELECT customerID, count(*) AS n FROM dirty_keys GROUP BY customerID)"""
+
 ORACLE_SQL: dict[str, str] = {
     "q_feed_bronze": with_layers(BRONZE) + f"SELECT {', '.join(BRONZE_COLS)} FROM bronze",
     "q_feed_silver": with_layers(BRONZE, SILVER) + "SELECT * EXCLUDE (ingested_at_utc) FROM silver",
@@ -653,6 +669,7 @@ FROM lineitem""",
     "q_layer_summary": LAYER_SUMMARY,
     "q_kpi_reconciliation": KPI_RECONCILIATION,
     "q_admission": ADMISSION,
+    "q_profile_summary": PROFILE_SUMMARY,
     "q_usage_quality": USAGE_QUALITY,
     "q_usage_daily": USAGE_DAILY,
     "q_message_quality": MESSAGE_QUALITY,
