@@ -287,6 +287,17 @@ def q_layers_roundtrip(spark, sf_dir):
     return flow.read_gold(spark, f"{base}/layers", "gold_executive_kpis").drop("gold_created_at_utc")
 
 
+def q_publish_dry_run(spark, sf_dir):
+    """Write every layer, discover the tables through Spark's file listing, and return the catalog
+    registration plan for all scopes without running it (rows-only check: locations differ per run)."""
+    base = scratch_dir(spark, "publish")
+    flow.run_layers(spark, feed(spark, sf_dir), f"{base}/layers", run_ts=FIXED_RUN_TS, source_label=FEED_SOURCE)
+    found = publish.discover_tables(spark, f"{base}/layers")
+    plan = publish.publish(spark, found, "customer_churn", scope="all", dry_run=True)
+    rows = [(p["table"], p["layer"], p["action"], p["statement"]) for p in plan]
+    return spark.createDataFrame(rows, "table_name string, layer string, action string, statement string")
+
+
 def q_admission(spark, sf_dir):
     """Admission checks of the feed written as a landing CSV (expected rows = orders)."""
     base = scratch_dir(spark, "admission")
@@ -381,6 +392,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_kpi_reconciliation": q_kpi_reconciliation,
     "q_layers_roundtrip": q_layers_roundtrip,
     "q_admission": q_admission,
+    "q_publish_dry_run": q_publish_dry_run,
     "q_file_checksums": q_file_checksums,
     "q_synthetic_feed_profile": q_synthetic_feed_profile,
     "q_usage_quality": q_usage_quality,
