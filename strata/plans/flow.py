@@ -69,8 +69,9 @@ def ingest_bronze(spark: SparkSession, source: str | DataFrame, paths: LayerPath
     return write_layer(bronze, paths.bronze, fmt)
 
 
-# bronze validator (V1) rules, by name, inside the bronze rule set: rows, key uniqueness, missing key
-VALIDATOR_CHECKS = ("row_count_positive", "customer_id_unique", "customer_id_not_null")
+def validator_check_names(spec: SubscriberSpec = SUBSCRIBER) -> set[str]:
+    """The bronze validator (V1) inside the bronze rule set: rows, key uniqueness, missing key."""
+    return {"row_count_positive", f"{spec.key}_unique", f"{spec.key}_not_null"}
 
 
 def quality_gate(spark: SparkSession, paths: LayerPaths, fmt: str = "parquet", json_report: str | None = None,
@@ -80,8 +81,7 @@ def quality_gate(spark: SparkSession, paths: LayerPaths, fmt: str = "parquet", j
     bronze = read_layer(spark, paths.bronze, fmt)
     result = quality.run_checks(bronze, rulesets.bronze_checks(spec), spec.dataset)
     write_quality_reports(result, json_report, markdown_report)
-    validator = [f"{spec.key}_unique" if n == "customer_id_unique" else
-                 f"{spec.key}_not_null" if n == "customer_id_not_null" else n for n in VALIDATOR_CHECKS]
+    validator = validator_check_names(spec)
     for c in result.checks:
         if c["name"] in validator and c["status"] == "FAIL":
             raise LayerValidationError(f"bronze: check {c['name']} failed (observed {c['observed_value']})")
