@@ -80,3 +80,27 @@ def test_n26_csv_writer_trims_unless_told_not_to(spark, scratch):
     assert spark.read.option("header", True).csv(f"{scratch}/default").collect()[0]["a"] is None
     write_contract_csv(df, f"{scratch}/kept")
     assert spark.read.option("header", True).csv(f"{scratch}/kept").collect()[0]["a"] == " "
+
+
+def test_dirty_feed_through_csv_in_both_blank_modes(spark, scratch):
+    """FIXTURES.md section 2 through a real CSV (whitespace kept by the writer): strict mode tracks 103 + 15 blanks,
+    default mode 206 + 15; Q17 reports the 15 injected blanks in both; 'abc' charges become 15 NULLs."""
+    write_contract_csv(catalog.feed(spark, SF01, dirty=True), f"{scratch}/dirty")
+    raw = read_contract_csv(spark, f"{scratch}/dirty")
+    for mode, tracked in (("strict", 118), ("default", 221)):
+        bronze = to_bronze(raw, "dirty.csv", run_ts="2024-01-01 00:00:00", blank_mode=mode)
+        rows = {r["name"]: r["observed_count"] for r in Q.evaluate(bronze, rulesets.bronze_checks()).collect()}
+        assert rows["blank_total_charges_tracked"] == tracked, mode
+        assert rows["blank_total_charges_only_for_zero_tenure"] == 15, mode
+    strict = to_bronze(raw, "dirty.csv", blank_mode="strict")
+    assert strict.filter(F.col("total_charges_was_blank").isNull()).count() == 103
+    assert strict.filter(F.col("monthly_charges").isNull()).count() == 15
+
+
+def test_n21_source_file_literal_or_physical(spark, scratch):
+    write_contract_csv(catalog.feed(spark, "/root/testdata/sf0.001").repartition(2), f"{scratch}/feed")
+    raw = read_contract_csv(spark, f"{scratch}/feed")
+    literal = to_bronze(raw, "given/path.csv").select("source_file").distinct().collect()
+    assert [r[0] for r in literal] == ["given/path.csv"]
+    physical = to_bronze(raw, source_from_metadata=True).select("source_file").distinct().collect()
+    assert len(physical) == 2 and all(r[0].endswith(".csv") for r in physical)
