@@ -17,6 +17,7 @@ observed_count (bigint, NULL for text observations), rule``.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -206,9 +207,25 @@ class QualityResult:
         }
 
 
-def run_checks(df: DataFrame, checks: list[Check], dataset: str) -> QualityResult:
-    """Evaluate and materialise (one action). The collected rows are the aggregated checks (tens of rows)."""
-    rows = sorted(evaluate(df, checks).collect(), key=lambda r: r["check_order"])
+def run_checks(df: DataFrame, checks: list[Check], dataset: str, sink_path: str | None = None,
+               sink_format: str = "parquet") -> QualityResult:
+    """Evaluate and materialise (one action). The collected rows are the aggregated checks (tens of rows).
+
+    With ``sink_path`` the check rows are first appended to a check table there (with dataset, run id and check
+    time), and this run's rows are read back from it, so the table and the returned result are the same rows.
+    """
+    checked_at = _dt.datetime.now(_dt.timezone.utc)
+    evaluated = evaluate(df, checks)
+    if sink_path:
+        run_id = uuid.uuid4().hex
+        (
+            evaluated.withColumn("dataset", F.lit(dataset))
+            .withColumn("run_id", F.lit(run_id))
+            .withColumn("checked_at_utc", F.lit(checked_at.replace(tzinfo=None)).cast("timestamp"))
+            .write.format(sink_format).mode("append").save(sink_path)
+        )
+        evaluated = df.sparkSession.read.format(sink_format).load(sink_path).filter(F.col("run_id") == run_id)
+    rows = sorted(evaluated.collect(), key=lambda r: r["check_order"])
     result_checks = []
     row_count = None
     kinds = {i: c.kind for i, c in enumerate(checks, start=1)}
@@ -229,7 +246,7 @@ def run_checks(df: DataFrame, checks: list[Check], dataset: str) -> QualityResul
     failed = sum(1 for c in result_checks if c["severity"] == CRITICAL and c["status"] == "FAIL")
     return QualityResult(
         dataset=dataset,
-        checked_at_utc=_dt.datetime.now(_dt.timezone.utc).isoformat(),
+        checked_at_utc=checked_at.isoformat(),
         row_count=row_count,
         column_count=len(df.columns),
         failed_critical_count=failed,

@@ -113,6 +113,15 @@ def output_completeness(root: str, tables: dict[str, str], marker: str = "_SUCCE
     return [(name, os.path.exists(os.path.join(root, rel, marker))) for name, rel in tables.items()]
 
 
+def layer_completeness(spark, root: str, expected_tables) -> list[tuple[str, bool]]:
+    """V10 on any file system: a table is complete when Spark lists committed data files in its folder (files of
+    unfinished jobs stay in hidden ``_temporary`` folders, which the listing skips)."""
+    from strata.plans.publish import discover_tables
+
+    found = {name for name, _, _ in discover_tables(spark, root)}
+    return [(name, name in found) for name in expected_tables]
+
+
 def report_regression(report_path: str, dataset: str, column_count: int) -> list[str]:
     """Problems found in a written JSON quality report (empty list = fine)."""
     with open(report_path, encoding="utf-8") as fh:

@@ -75,11 +75,13 @@ def validator_check_names(spec: SubscriberSpec = SUBSCRIBER) -> set[str]:
 
 
 def quality_gate(spark: SparkSession, paths: LayerPaths, fmt: str = "parquet", json_report: str | None = None,
-                 markdown_report: str | None = None, spec: SubscriberSpec = SUBSCRIBER) -> quality.QualityResult:
-    """V1 + V4 in one job on the written bronze: write both reports, then raise on a validator failure
-    (``LayerValidationError``) or any other critical failure (``QualityGateError``); warnings pass."""
+                 markdown_report: str | None = None, spec: SubscriberSpec = SUBSCRIBER,
+                 checks_table: str | None = None) -> quality.QualityResult:
+    """V1 + V4 in one job on the written bronze: write both reports (and append the check rows to
+    ``checks_table`` when given), then raise on a validator failure (``LayerValidationError``) or any other
+    critical failure (``QualityGateError``); warnings pass."""
     bronze = read_layer(spark, paths.bronze, fmt)
-    result = quality.run_checks(bronze, rulesets.bronze_checks(spec), spec.dataset)
+    result = quality.run_checks(bronze, rulesets.bronze_checks(spec), spec.dataset, sink_path=checks_table)
     write_quality_reports(result, json_report, markdown_report)
     validator = validator_check_names(spec)
     for c in result.checks:
@@ -149,13 +151,16 @@ def run_layers(
     blank_mode: str = "default",
     spec: SubscriberSpec = SUBSCRIBER,
     source_label: str | None = None,
+    checks_table: str | None = None,
 ) -> RunSummary:
-    """Ingest -> gate -> silver -> gold; a failing stage raises and the later stages do not run."""
+    """Ingest -> gate -> silver -> gold; a failing stage raises and the later stages do not run.
+
+    ``checks_table``: a folder where every run appends its bronze check rows (an audit table of the gate)."""
     run_ts = run_ts or run_timestamp()
     paths = LayerPaths(root, spec.entity)
     summary = RunSummary(paths)
     summary.bronze_rows = ingest_bronze(spark, source, paths, fmt, run_ts, blank_mode, spec, source_label)
-    summary.quality = quality_gate(spark, paths, fmt, json_report, markdown_report, spec)
+    summary.quality = quality_gate(spark, paths, fmt, json_report, markdown_report, spec, checks_table)
     summary.silver_rows = build_silver(spark, paths, fmt, run_ts, spec, keys_verified=True)
     summary.gold_rows = build_gold(spark, paths, fmt, run_ts)
     return summary

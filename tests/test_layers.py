@@ -32,7 +32,7 @@ def test_run_layers_matches_direct_gold_and_is_idempotent(spark, landing, scratc
     root = f"{scratch}/data"
     reports = f"{scratch}/reports"
     summary = flow.run_layers(spark, f"{landing}/feed", root, json_report=f"{reports}/q.json",
-                              markdown_report=f"{reports}/q.md")
+                              markdown_report=f"{reports}/q.md", checks_table=f"{scratch}/checks")
     assert summary.bronze_rows == summary.silver_rows == 1500
     assert summary.quality.passed
     assert set(summary.gold_rows) == set(GOLD_TABLES)
@@ -53,9 +53,13 @@ def test_run_layers_matches_direct_gold_and_is_idempotent(spark, landing, scratc
     paths = LayerPaths(root)
     rel = {name: os.path.relpath(loc, root) for name, _, loc in paths.registry()}
     assert all(ok for _, ok in verify.output_completeness(root, rel))
-    # L3: a second run gives the same tables
+    expected_tables = [n for n, _, _ in paths.registry()]
+    assert all(ok for _, ok in verify.layer_completeness(spark, root, expected_tables))
+    # L3: a second run gives the same tables; the check table keeps one set of 19 rows per run
     before = {t: _gold_values(spark, root, t) for t in GOLD_TABLES}
-    flow.run_layers(spark, f"{landing}/feed", root)
+    flow.run_layers(spark, f"{landing}/feed", root, checks_table=f"{scratch}/checks")
+    checks = spark.read.parquet(f"{scratch}/checks")
+    assert checks.count() == 38 and checks.select("run_id").distinct().count() == 2
     assert {t: _gold_values(spark, root, t) for t in GOLD_TABLES} == before
     assert spark.read.parquet(paths.bronze).columns == list(BRONZE_COLUMNS)
     assert len(spark.read.parquet(paths.silver).columns) == 38
