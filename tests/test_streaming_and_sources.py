@@ -61,3 +61,24 @@ def test_feed_fixture_counts(spark):
     assert raw.select("customerID").distinct().count() == 15000
     assert raw.filter("tenure = '0'").count() == 206
     assert raw.filter("TotalCharges = ' '").count() == 103
+
+
+def test_streamed_bronze_feeds_the_batch_layers(spark, scratch):
+    from strata.plans import flow
+    from strata.plans.layers import LayerPaths
+
+    feed = catalog.feed(spark, SF001)
+    k = F.substring("customerID", 2, 10).cast("long")
+    for part in range(3):
+        write_contract_csv(feed.filter(k % 3 == part).coalesce(1), f"{scratch}/landing/part{part}")
+    paths = LayerPaths(f"{scratch}/lake")
+    q = start_bronze_ingest(spark, f"{scratch}/landing/*", paths.bronze, f"{scratch}/ckpt")
+    q.awaitTermination(180)
+    result = flow.quality_gate(spark, paths)
+    assert result.passed and result.row_count == 1500
+    assert flow.build_silver(spark, paths, keys_verified=True) == 1500
+    assert BATCH_COLUMN not in spark.read.parquet(paths.silver).columns
+    gold_rows = flow.build_gold(spark, paths)
+    kpis = flow.read_gold(spark, f"{scratch}/lake", "gold_executive_kpis").drop("gold_created_at_utc").collect()
+    assert gold_rows["gold_customer_risk_summary"] == 1500
+    assert tuple(kpis[0]) == tuple(catalog.q_executive_kpis(spark, SF001).collect()[0])
