@@ -90,7 +90,8 @@ def segment_rate_multi(
         segment = F.when(cond, F.lit(c)) if segment is None else segment.when(cond, F.lit(c))
         value = F.when(cond, F.col(c).cast("string")) if value is None else value.when(cond, F.col(c).cast("string"))
     segment = segment.otherwise(F.lit("__total__"))
-    metric_cols = [count_name, flagged_name, rate_name, *list((measures or DEFAULT_MEASURES).keys())]
+    measure_names = list((DEFAULT_MEASURES if measures is None else measures).keys())
+    metric_cols = [count_name, flagged_name, rate_name, *measure_names]
     metric_cols += list((extra or {}).keys())
     return g.select(segment.alias("segment"), value.alias("segment_value"), *metric_cols)
 

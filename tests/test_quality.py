@@ -132,3 +132,13 @@ def test_gate_is_one_job_for_nineteen_rules(spark):
         spark.conf.set("spark.sql.adaptive.enabled", previous)
     assert len(rows) == 19
     assert len(jobs) == 1
+
+
+def test_segment_rate_multi_generic_groups(spark):
+    from strata.operators import gold
+
+    labels = catalog.table(spark, "/root/testdata/sf0.01", "labels")
+    multi = gold.segment_rate_multi(labels, ["quality"], flag="toxic", measures={}, count_name="documents",
+                                    flagged_name="toxic_documents", rate_name="toxic_rate_pct")
+    rows = {(r["segment"], r["segment_value"]): (r["documents"], r["toxic_documents"]) for r in multi.collect()}
+    assert rows == {("quality", "0"): (58, 9), ("quality", "1"): (341, 42), ("__total__", None): (399, 51)}
