@@ -10,7 +10,7 @@
     python -m strata profile  --input raw.csv --output profile.md
     python -m strata admit    --source landing.csv --destination raw/customer_churn [--force]
     python -m strata publish  --root lake --schema churn [--scope gold] [--register]
-    python -m strata generate --keys-from orders.parquet --key o_orderkey --output synthetic_csv
+    python -m strata generate --rows 100 --seed 42 --output synthetic_csv   (or --keys-from t.parquet --key k)
     python -m strata run      --input raw.csv --root lake --reports reports/
 
 Every command builds (or reuses) a session with the session contract and leaves it running for the caller when
@@ -125,8 +125,13 @@ def _publish(spark, a):
 
 
 def _generate(spark, a):
-    keys = read_layer(spark, a.keys_from, a.keys_format).select(a.key)
-    write_contract_csv(synthetic_feed(keys, a.key, seed=a.seed), a.output, mode="overwrite" if a.force else
+    if a.keys_from:
+        keys, key = read_layer(spark, a.keys_from, a.keys_format).select(a.key), a.key
+    elif a.rows and a.rows > 0:
+        keys, key = spark.range(1, a.rows + 1), "id"  # SYNTH-00001 ... like a 1-based row index
+    else:
+        raise ValueError("give --keys-from (with --key) or --rows >= 1")
+    write_contract_csv(synthetic_feed(keys, key, seed=a.seed), a.output, mode="overwrite" if a.force else
                        "errorifexists")
     print(f"generated synthetic rows at {a.output}")
 
@@ -197,10 +202,11 @@ def build_parser() -> argparse.ArgumentParser:
     c.add_argument("--catalog")
     c.add_argument("--scope", default="gold", choices=list(publish.SCOPES))
     c.add_argument("--register", action="store_true")
-    c = cmd("generate", _generate, "synthetic raw feed, one subscriber per key of a table")
-    c.add_argument("--keys-from", required=True)
+    c = cmd("generate", _generate, "synthetic raw feed: one subscriber per key of a table, or --rows N")
+    c.add_argument("--keys-from")
     c.add_argument("--keys-format", default="parquet")
-    c.add_argument("--key", required=True)
+    c.add_argument("--key", default="id")
+    c.add_argument("--rows", type=int)
     c.add_argument("--output", required=True)
     c.add_argument("--seed", type=int, default=42)
     c.add_argument("--force", action="store_true")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import quality as Q
-from strata.sources.files import CORRUPT_COLUMN, file_checksums, read_contract_csv
+from strata.sources.files import CORRUPT_COLUMN, file_checksums, read_contract_csv, write_contract_csv
 from strata.spec import RAW_COLUMNS
 
 SCOPES = ("all", "bronze", "silver", "gold")
@@ -173,13 +173,5 @@ def promote(spark: SparkSession, path: str, destination: str, force: bool = Fals
     if failed:
         raise AdmissionError("; ".join(f"{r['name']}={r['observed_value']}" for r in failed))
     raw = read_contract_csv(spark, path)
-    from strata.sources.files import write_contract_csv
-
-    mode = "overwrite" if force else "errorifexists"
-    try:
-        write_contract_csv(raw, destination, mode=mode)
-    except Exception as exc:  # Spark raises an AnalysisException for an existing path
-        if "already exists" in str(exc) and not force:
-            raise FileExistsError(f"Refusing to overwrite {destination}; pass force=True to replace it.") from exc
-        raise
+    write_contract_csv(raw, destination, mode="overwrite" if force else "errorifexists")
     return spark.read.option("header", True).csv(destination).count()

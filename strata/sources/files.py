@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -40,14 +41,22 @@ def read_contract_csv(
 
 
 def write_contract_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Write a raw feed as CSV with a header, keeping whitespace-only values (the writer trims by default)."""
-    (
-        df.write.mode(mode)
-        .option("header", True)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
-    )
+    """Write a raw feed as CSV with a header, keeping whitespace-only values (the writer trims by default).
+
+    With the default mode an existing folder is never replaced: ``FileExistsError`` is raised instead.
+    """
+    try:
+        (
+            df.write.mode(mode)
+            .option("header", True)
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
+            .csv(path)
+        )
+    except AnalysisException as exc:
+        if "PATH_ALREADY_EXISTS" in str(exc) or "already exists" in str(exc):
+            raise FileExistsError(f"Refusing to overwrite {path}; pass force=True to replace it.") from exc
+        raise
 
 
 def read_layer(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

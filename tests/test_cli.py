@@ -53,3 +53,8 @@ def test_run_admit_generate_and_failures(spark, scratch):
     assert main(["generate", "--keys-from", f"{SF001}/orders.parquet", "--key", "o_orderkey", "--output",
                  f"{scratch}/synthetic"], spark) == 0
     assert spark.read.option("header", True).csv(f"{scratch}/synthetic").count() == 1500
+    assert main(["generate", "--rows", "100", "--output", f"{scratch}/sample"], spark) == 0
+    ids = sorted(r[0] for r in spark.read.option("header", True).csv(f"{scratch}/sample").select("customerID")
+                 .collect())
+    assert ids[0] == "SYNTH-00001" and ids[-1] == "SYNTH-00100" and len(ids) == 100
+    assert main(["generate", "--rows", "100", "--output", f"{scratch}/sample"], spark) == 1  # no silent overwrite
