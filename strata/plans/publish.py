@@ -13,7 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import quality as Q
-from strata.sources.files import CORRUPT_COLUMN, file_checksums, read_contract_csv, write_contract_csv
+from strata.sources.files import (
+    CORRUPT_COLUMN,
+    file_checksums,
+    path_exists,
+    read_contract_csv,
+    write_contract_csv,
+)
 from strata.spec import RAW_COLUMNS
 
 SCOPES = ("all", "bronze", "silver", "gold")
@@ -169,6 +175,8 @@ def promote(spark: SparkSession, path: str, destination: str, force: bool = Fals
 
     The raw copy is written as the contract CSV; without ``force`` the write uses ``errorifexists``.
     """
+    if not force and path_exists(spark, destination):
+        raise FileExistsError(f"Refusing to overwrite {destination}; pass force=True to replace it.")
     failed = [r for r in admit(spark, path, **admit_kwargs).collect() if r["status"] == "FAIL"]
     if failed:
         raise AdmissionError("; ".join(f"{r['name']}={r['observed_value']}" for r in failed))

@@ -59,6 +59,17 @@ def write_contract_csv(df: DataFrame, path: str, mode: str = "errorifexists") ->
         raise
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on any Hadoop-compatible file system (a listing, no job)."""
+    try:
+        spark.read.format("binaryFile").load(path)
+        return True
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc):
+            return False
+        raise
+
+
 def read_layer(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """A layer folder in ``fmt`` (``parquet`` by default; ``delta`` when its package is on the classpath)."""
     return spark.read.format(fmt).load(path)
