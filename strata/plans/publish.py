@@ -118,6 +118,20 @@ def publish(
     return plan
 
 
+def register_temp_views(spark: SparkSession, entries: list[tuple[str, str, str]], fmt: str = "parquet",
+                        scope: str = "all") -> list[str]:
+    """Expose layer tables outside the governed (gold) catalog scope as session-scoped temporary views,
+    only on request. Returns the view names."""
+    if scope not in SCOPES:
+        raise ValueError(f"scope must be one of {SCOPES}")
+    names = []
+    for name, layer, location in entries:
+        if scope == "all" or layer == scope:
+            spark.read.format(fmt).load(location).createOrReplaceTempView(name)
+            names.append(name)
+    return names
+
+
 # --- landing admission (K12, Q20-Q24) ------------------------------------------------------------------------
 
 

@@ -136,6 +136,9 @@ def test_publish_discover_copy(spark, landing, scratch):
     publish.publish(spark, found, "churn_pub", scope="gold", dry_run=False)
     kpis = spark.sql("SELECT total_customers FROM churn_pub.gold_executive_kpis").collect()
     assert kpis[0][0] == 1500
+    views = publish.register_temp_views(spark, found, scope="silver")
+    assert views == ["silver_customer_churn"]
+    assert spark.sql("SELECT count(*) FROM silver_customer_churn").collect()[0][0] == 1500
     copied = copy_layers(spark, LayerPaths(root), LayerPaths(f"{scratch}/copy"))
     assert {c["table"]: c["rows"] for c in copied}["silver_customer_churn"] == 1500
 
