@@ -169,3 +169,14 @@ def test_profile_report(spark, landing):
     assert "- Duplicate `customerID` values: `0`" in text
     assert "| TotalCharges | 21 |" in text  # tenure-0 rows: blank or empty totals (NULL after the CSV reader)
     assert "| Month-to-month |" in text and "## Sample Rows" in text
+
+
+def test_partition_ordered_risk_table(spark, landing, scratch):
+    root = f"{scratch}/data"
+    flow.run_layers(spark, f"{landing}/feed", root, risk_order="partition")
+    risk = flow.read_gold(spark, root, "gold_customer_risk_summary")
+    assert risk.count() == 1500
+    expected = sorted(tuple(r) for r in catalog.q_customer_risk(spark, SF001).collect())
+    assert sorted(tuple(r) for r in risk.drop("gold_created_at_utc").collect()) == expected
+    with pytest.raises(ValueError):
+        flow.build_gold(spark, LayerPaths(root), risk_order="random")
