@@ -104,8 +104,9 @@ def risk_level(c: str | Column = "risk_score") -> Column:
     return threshold_band(c, S.RISK_LEVELS, S.RISK_LEVEL_DEFAULT, op=">=")
 
 
-# O2: riskiest first, then the higher charge, then the key (a total order over unique keys)
-RISK_ORDER = (F.desc("risk_score"), F.desc_nulls_last("monthly_charges"), F.asc("customer_id"))
+def risk_order() -> list[Column]:
+    """O2: riskiest first, then the higher charge, then the key (a total order over unique keys)."""
+    return [F.desc("risk_score"), F.desc_nulls_last("monthly_charges"), F.asc("customer_id")]
 
 
 def customer_risk(df: DataFrame, run_ts=None, ordered: bool = True, with_timestamp: bool = True) -> DataFrame:
@@ -117,13 +118,13 @@ def customer_risk(df: DataFrame, run_ts=None, ordered: bool = True, with_timesta
     if with_timestamp:
         out = out.withColumn("gold_created_at_utc", _ts_literal(run_ts))
     if ordered:
-        out = out.orderBy(*RISK_ORDER)
+        out = out.orderBy(*risk_order())
     return out
 
 
 def risk_top(df: DataFrame, k: int = 100) -> DataFrame:
     """Top-k riskiest customers: per-partition top-k then merge (TakeOrderedAndProject), no full sort."""
-    return customer_risk(df, with_timestamp=False, ordered=False).orderBy(*RISK_ORDER).limit(k)
+    return customer_risk(df, with_timestamp=False, ordered=False).orderBy(*risk_order()).limit(k)
 
 
 def risk_level_counts(df: DataFrame) -> DataFrame:

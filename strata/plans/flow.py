@@ -145,7 +145,7 @@ def build_gold(spark: SparkSession, paths: LayerPaths, fmt: str = "parquet", run
     if risk_order == "global":
         risk = gold.customer_risk(silver, run_ts)
     else:
-        risk = gold.customer_risk(silver, run_ts, ordered=False).sortWithinPartitions(*gold.RISK_ORDER)
+        risk = gold.customer_risk(silver, run_ts, ordered=False).sortWithinPartitions(*gold.risk_order())
     risk_rows = write_layer(risk, paths.gold("gold_customer_risk_summary"), fmt)
     if not risk_rows:
         raise LayerValidationError("gold_customer_risk_summary has zero rows.")
