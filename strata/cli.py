@@ -143,6 +143,7 @@ def _run(spark, a):
         json_report=f"{reports}/customer_churn_bronze_quality.json" if reports else None,
         markdown_report=f"{reports}/customer_churn_bronze_quality.md" if reports else None,
         blank_mode=a.blank_mode,
+        risk_order=a.risk_order,
     )
     print(json.dumps({"bronze_rows": summary.bronze_rows, "silver_rows": summary.silver_rows,
                       "gold_rows": summary.gold_rows,
@@ -215,6 +216,7 @@ def build_parser() -> argparse.ArgumentParser:
     c.add_argument("--root", required=True)
     c.add_argument("--reports")
     c.add_argument("--blank-mode", default="default", choices=["default", "strict"])
+    c.add_argument("--risk-order", default="global", choices=list(flow.RISK_ORDERS))
     return p
 
 
