@@ -93,8 +93,11 @@ def _copy(spark, a):
 
 
 def _kpi_test(spark, a):
-    with open(a.expected, encoding="utf-8") as fh:
-        expected = json.load(fh)
+    if a.expected == "public-sample":
+        expected = dict(S.PUBLIC_SAMPLE_KPIS)
+    else:
+        with open(a.expected, encoding="utf-8") as fh:
+            expected = json.load(fh)
     verify.assert_kpis(read_layer(spark, a.input, a.format), expected, a.tolerance)
     print("gold KPI tests passed")
 
@@ -185,7 +188,8 @@ def build_parser() -> argparse.ArgumentParser:
     c.add_argument("--dst-format", default="parquet")
     c = cmd("kpi-test", _kpi_test, "compare the executive KPI table with expected values")
     c.add_argument("--input", required=True)
-    c.add_argument("--expected", required=True, help="JSON object: column -> expected value")
+    c.add_argument("--expected", required=True,
+                   help="JSON file (column -> expected value) or 'public-sample' for the published KPIs")
     c.add_argument("--tolerance", type=float, default=0.01)
     c = cmd("profile", _profile, "profile a raw CSV into a Markdown report")
     c.add_argument("--input", required=True)

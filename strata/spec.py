@@ -116,6 +116,15 @@ GOLD_TABLES = (
 DATASET_NAME = "bronze.customer_churn"
 ENTITY = "customer_churn"
 
+# Published executive KPIs of the full 7,043-row public sample (the expectation of the KPI test).
+PUBLIC_SAMPLE_KPIS = {
+    "total_customers": 7043,
+    "churned_customers": 1869,
+    "overall_churn_rate_pct": 26.54,
+    "avg_monthly_charges": 64.76,
+    "estimated_monthly_revenue": 456116.60,
+}
+
 # ---------------------------------------------------------------------------------------------------------------
 
 

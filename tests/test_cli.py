@@ -32,6 +32,7 @@ def test_stage_by_stage_commands(spark, scratch):
     assert main(["kpi-test", "--input", kpis, "--expected", expected], spark) == 0
     json.dump({"total_customers": 7043}, open(expected, "w"))
     assert main(["kpi-test", "--input", kpis, "--expected", expected], spark) == 1
+    assert main(["kpi-test", "--input", kpis, "--expected", "public-sample"], spark) == 1  # 1500 rows, not 7043
     assert main(["copy", "--src-root", lake, "--dst-root", f"{scratch}/copy"], spark) == 0
     assert main(["publish", "--root", lake, "--schema", "cli_dry"], spark) == 0
     assert main(["profile", "--input", raw, "--output", f"{scratch}/profile.md"], spark) == 0
