@@ -131,17 +131,41 @@ def _sum_count_if(preds) -> Column:
     return reduce(lambda a, b: a + b, [F.count_if(F.coalesce(p, F.lit(False))) for p in preds])
 
 
-def evaluate(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """All checks as one lazy DataFrame (one action to materialise)."""
+def _short_circuit(columns, checks: list[Check]) -> bool:
+    """A missing required column stops every data rule (only metadata and row count are reported)."""
+    present = set(columns)
+    return any(col not in present for c in checks if c.kind == "required_columns" for col in c.columns)
+
+
+def row_rule_metrics(checks: list[Check], columns) -> dict[str, Column]:
+    """The single global aggregate behind every row-level rule, as named aggregate expressions: ``_rows`` plus
+    ``_c<order>`` per violation / tracked rule. ``evaluate`` computes exactly these in one aggregate; a writer can
+    instead collect them while it writes (``DataFrame.observe``) and pass the values back as ``metrics``."""
+    metrics = {"_rows": F.count(F.lit(1))}
+    if _short_circuit(columns, checks):
+        return metrics
+    for order, check in enumerate(checks, start=1):
+        if check.kind in ("violations", "tracked"):
+            metrics[f"_c{order}"] = _sum_count_if(check.predicates)
+    return metrics
+
+
+def evaluate(df: DataFrame, checks: list[Check], metrics: dict | None = None) -> DataFrame:
+    """All checks as one lazy DataFrame (one action to materialise).
+
+    ``metrics``: values of :func:`row_rule_metrics` already collected (e.g. observed during the write of
+    ``df``); then only the key-uniqueness rules read ``df``.
+    """
     present = set(df.columns)
-    missing_required = []
-    for c in checks:
-        if c.kind == "required_columns":
-            missing_required += [col for col in c.columns if col not in present]
-    short_circuit = bool(missing_required)
-
-    global_aggs: list[Column] = [F.count(F.lit(1)).alias("_rows")]
-    structs_global: list = []  # (order, check) evaluated on the global aggregate
+    short_circuit = _short_circuit(present, checks)
+
+    def value(alias: str) -> Column:
+        return F.col(alias) if metrics is None else F.lit(int(metrics[alias])).cast("bigint")
+
+    global_aggs: list[Column] = [
+        expr.alias(alias) for alias, expr in row_rule_metrics(checks, df.columns).items()
+    ]
+    structs_global: list = []  # (order, check, count, text, passed) on the global aggregate
     dup_branches: list[DataFrame] = []
     for order, check in enumerate(checks, start=1):
         if check.kind == "required_columns":
@@ -150,15 +174,15 @@ def evaluate(df: DataFrame, checks: list[Check]) -> DataFrame:
         elif check.kind == "metadata":
             structs_global.append((order, check, None, check.observed, F.lit(bool(check.passed))))
         elif check.kind == "row_count":
-            ok = F.col("_rows") > 0 if check.target is None else F.col("_rows") == check.target
-            structs_global.append((order, check, F.col("_rows"), None, ok))
+            rows = value("_rows")
+            ok = rows > 0 if check.target is None else rows == check.target
+            structs_global.append((order, check, rows, None, ok))
         elif short_circuit:
             continue
         elif check.kind in ("violations", "tracked"):
-            alias = f"_c{order}"
-            global_aggs.append(_sum_count_if(check.predicates).alias(alias))
-            passed = F.lit(True) if check.kind == "tracked" else F.col(alias) == 0
-            structs_global.append((order, check, F.col(alias), None, passed))
+            count = value(f"_c{order}")
+            passed = F.lit(True) if check.kind == "tracked" else count == 0
+            structs_global.append((order, check, count, None, passed))
         elif check.kind == "duplicates":
             keyed = df
             if check.ignore_blank_keys:
@@ -173,8 +197,9 @@ def evaluate(df: DataFrame, checks: list[Check]) -> DataFrame:
 
     branches = list(dup_branches)
     if structs_global:
-        agg = df.agg(*global_aggs)
-        branches.insert(0, agg.select(F.inline(F.array(*[_check_struct(*s) for s in structs_global]))))
+        # with precomputed metrics the global row is literal: no scan of df for the row rules
+        carrier = df.agg(*global_aggs) if metrics is None else df.sparkSession.range(1)
+        branches.insert(0, carrier.select(F.inline(F.array(*[_check_struct(*s) for s in structs_global]))))
     if not branches:
         raise ValueError("no checks to evaluate")
     out = branches[0]
@@ -208,14 +233,14 @@ class QualityResult:
 
 
 def run_checks(df: DataFrame, checks: list[Check], dataset: str, sink_path: str | None = None,
-               sink_format: str = "parquet") -> QualityResult:
+               sink_format: str = "parquet", metrics: dict | None = None) -> QualityResult:
     """Evaluate and materialise (one action). The collected rows are the aggregated checks (tens of rows).
 
     With ``sink_path`` the check rows are first appended to a check table there (with dataset, run id and check
     time), and this run's rows are read back from it, so the table and the returned result are the same rows.
     """
     checked_at = _dt.datetime.now(_dt.timezone.utc)
-    evaluated = evaluate(df, checks)
+    evaluated = evaluate(df, checks, metrics)
     if sink_path:
         run_id = uuid.uuid4().hex
         (

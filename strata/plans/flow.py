@@ -5,11 +5,11 @@ boundary (a lost executor recomputes at most one layer) and every stage reads pr
 
 Spark actions per run (versus ~50 single-purpose actions in a job-per-check design):
 
-1. bronze write: the CSV is parsed exactly once (the costliest step at scale); the row count is observed by the
-   write itself;
-2. bronze checks on the written Parquet: the validator rules (V1: rows, key uniqueness, missing keys) and all gate
-   rules (V4) in ONE job over pruned columns. Both reports are written, then a failing validator or critical
-   rule raises, so no downstream layer ever reads an unchecked bronze;
+1. bronze write: the CSV is parsed exactly once (the costliest step at scale); the row count and every row-level
+   gate rule (``count_if``) are observed by the write itself (``DataFrame.observe``);
+2. bronze checks on the written Parquet: key uniqueness only (one key-column scan and shuffle), combined with the
+   observed metrics into the validator rules (V1) and all gate rules (V4). Both reports are written, then a
+   failing validator or critical rule raises, so no downstream layer ever reads an unchecked bronze;
 3. silver validator (V2) on the planned silver: one scan of a few pruned bronze columns, before the write, so an
    invalid silver is never written (key uniqueness is inherited from the bronze gate: silver keeps the key 1:1);
 4. silver write (row count observed);
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from strata.operators import gold, quality, rulesets
 from strata.operators.bronze import run_timestamp, to_bronze
 from strata.operators.silver import to_silver
-from strata.plans.layers import LayerPaths, write_layer
+from strata.plans.layers import LayerPaths, write_layer, write_observed
 from strata.plans.reports import write_quality_reports
 from strata.session import checkpoint_root
 from strata.sources.files import read_contract_csv, read_layer
@@ -61,12 +61,15 @@ SINGLE_FILE_MAX_ROWS = 10_000
 
 def ingest_bronze(spark: SparkSession, source: str | DataFrame, paths: LayerPaths, fmt: str = "parquet",
                   run_ts=None, blank_mode: str = "default", spec: SubscriberSpec = SUBSCRIBER,
-                  source_label: str | None = None) -> int:
-    """Parse the source once and write bronze (K1); returns the row count observed by the write."""
+                  source_label: str | None = None) -> tuple[int, dict]:
+    """Parse the source once and write bronze (K1). The row-level gate rules are observed by the same write, so
+    the gate afterwards only shuffles the key. Returns (rows written, observed rule metrics)."""
     raw = read_contract_csv(spark, source) if isinstance(source, str) else source
     label = source_label or (source if isinstance(source, str) else "dataframe")
     bronze = to_bronze(raw, label, run_ts=run_ts, spec=spec, blank_mode=blank_mode)
-    return write_layer(bronze, paths.bronze, fmt)
+    metrics = write_observed(bronze, paths.bronze, quality.row_rule_metrics(rulesets.bronze_checks(spec),
+                                                                            bronze.columns), fmt)
+    return int(metrics["_rows"]), metrics
 
 
 def validator_check_names(spec: SubscriberSpec = SUBSCRIBER) -> set[str]:
@@ -76,12 +79,14 @@ def validator_check_names(spec: SubscriberSpec = SUBSCRIBER) -> set[str]:
 
 def quality_gate(spark: SparkSession, paths: LayerPaths, fmt: str = "parquet", json_report: str | None = None,
                  markdown_report: str | None = None, spec: SubscriberSpec = SUBSCRIBER,
-                 checks_table: str | None = None) -> quality.QualityResult:
+                 checks_table: str | None = None, metrics: dict | None = None) -> quality.QualityResult:
     """V1 + V4 in one job on the written bronze: write both reports (and append the check rows to
     ``checks_table`` when given), then raise on a validator failure (``LayerValidationError``) or any other
-    critical failure (``QualityGateError``); warnings pass."""
+    critical failure (``QualityGateError``); warnings pass. With ``metrics`` observed by the bronze write, the
+    job only checks key uniqueness (one key-column scan and shuffle)."""
     bronze = read_layer(spark, paths.bronze, fmt)
-    result = quality.run_checks(bronze, rulesets.bronze_checks(spec), spec.dataset, sink_path=checks_table)
+    result = quality.run_checks(bronze, rulesets.bronze_checks(spec), spec.dataset, sink_path=checks_table,
+                                metrics=metrics)
     write_quality_reports(result, json_report, markdown_report)
     validator = validator_check_names(spec)
     for c in result.checks:
@@ -173,8 +178,8 @@ def run_layers(
     run_ts = run_ts or run_timestamp()
     paths = LayerPaths(root, spec.entity)
     summary = RunSummary(paths)
-    summary.bronze_rows = ingest_bronze(spark, source, paths, fmt, run_ts, blank_mode, spec, source_label)
-    summary.quality = quality_gate(spark, paths, fmt, json_report, markdown_report, spec, checks_table)
+    summary.bronze_rows, metrics = ingest_bronze(spark, source, paths, fmt, run_ts, blank_mode, spec, source_label)
+    summary.quality = quality_gate(spark, paths, fmt, json_report, markdown_report, spec, checks_table, metrics)
     summary.silver_rows = build_silver(spark, paths, fmt, run_ts, spec, keys_verified=True)
     summary.gold_rows = build_gold(spark, paths, fmt, run_ts, risk_order)
     return summary

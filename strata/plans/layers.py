@@ -5,6 +5,7 @@ Row counts of writes come from ``DataFrame.observe`` (collected by the write its
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -42,18 +43,32 @@ class LayerPaths:
         return entries
 
 
+def write_observed(df: DataFrame, path: str, metrics: dict, fmt: str = "parquet",
+                   mode: str = "overwrite") -> dict:
+    """Write ``df`` and collect named aggregate ``metrics`` in the same pass (``DataFrame.observe``).
+
+    The metrics ride on the write's single scan; they are updated once per successful task, so task retries
+    after a lost executor do not double count.
+    """
+    obs = Observation(f"write_{uuid.uuid4().hex[:12]}")
+    observed = df.observe(obs, *[expr.alias(name) for name, expr in metrics.items()])
+    writer = observed.write.format(fmt).mode(mode)
+    if fmt == "delta":
+        writer = writer.option("overwriteSchema", "true")
+    writer.save(path)
+    return dict(obs.get)
+
+
 def write_layer(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 count_rows: bool = True) -> int | None:
     """Full overwrite of a layer (idempotent); returns the written row count when ``count_rows``."""
-    obs = None
     if count_rows:
-        obs = Observation(f"rows_{abs(hash(path))}")
-        df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        return int(write_observed(df, path, {"rows": F.count(F.lit(1))}, fmt, mode)["rows"])
     writer = df.write.format(fmt).mode(mode)
     if fmt == "delta":
         writer = writer.option("overwriteSchema", "true")
     writer.save(path)
-    return int(obs.get["rows"]) if obs is not None else None
+    return None
 
 
 def copy_layers(spark: SparkSession, src: LayerPaths, dst: LayerPaths, src_fmt: str = "parquet",

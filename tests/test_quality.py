@@ -142,3 +142,20 @@ def test_segment_rate_multi_generic_groups(spark):
                                     flagged_name="toxic_documents", rate_name="toxic_rate_pct")
     rows = {(r["segment"], r["segment_value"]): (r["documents"], r["toxic_documents"]) for r in multi.collect()}
     assert rows == {("quality", "0"): (58, 9), ("quality", "1"): (341, 42), ("__total__", None): (399, 51)}
+
+
+def test_gate_from_write_metrics_equals_full_evaluation(spark, scratch):
+    from strata.plans.layers import write_observed
+
+    bronze = catalog.bronze(spark, SF01, dirty=True)
+    checks = rulesets.bronze_checks()
+    metrics = write_observed(bronze, f"{scratch}/bronze", Q.row_rule_metrics(checks, bronze.columns))
+    written = spark.read.parquet(f"{scratch}/bronze")
+    full = Q.run_checks(written, checks, "bronze.customer_churn")
+    observed = Q.run_checks(written, checks, "bronze.customer_churn", metrics=metrics)
+    assert observed.checks == full.checks and observed.row_count == full.row_count == 15000
+    assert observed.failed_critical_count == full.failed_critical_count == 7
+    # with the metrics given, only the key column is read again
+    plan = plan_text(Q.evaluate(written, checks, metrics))
+    schemas = [line for line in plan.splitlines() if line.startswith("ReadSchema")]
+    assert schemas == ["ReadSchema: struct<customer_id:string>"]
