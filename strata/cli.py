@@ -24,13 +24,13 @@ import json
 import sys
 
 from strata import spec as S
-from strata.operators import gold, quality, rulesets, verify
+from strata.operators import quality, rulesets, verify
 from strata.operators.bronze import run_timestamp, to_bronze
 from strata.operators.silver import to_silver
 from strata.plans import flow, publish
 from strata.plans.layers import LayerPaths, copy_layers, write_layer
 from strata.plans.reports import build_profile_report, write_quality_reports
-from strata.session import checkpoint_root, get_session
+from strata.session import get_session
 from strata.sources.files import read_contract_csv, read_layer, write_contract_csv
 from strata.sources.synthetic import synthetic_feed
 
@@ -60,16 +60,10 @@ def _silver(spark, a):
 
 def _gold(spark, a):
     root = a.output_root.rstrip("/")
-    silver = read_layer(spark, a.input, a.format)
-    checkpoint_root(spark)
-    ts = run_timestamp()
-    tables = gold.split_gold_aggregates(gold.gold_aggregates_one_scan(silver).checkpoint(eager=True), ts)
-    tables["gold_customer_risk_summary"] = gold.customer_risk(silver, ts)
-    for name in S.GOLD_TABLES:
-        rows = write_layer(tables[name], f"{root}/{name}", a.format)
-        if not rows:
-            raise flow.LayerValidationError(f"{name} has zero rows.")
-        print(f"{name}: wrote {rows} rows to {root}/{name}")
+    rows = flow.write_gold_tables(spark, read_layer(spark, a.input, a.format), lambda name: f"{root}/{name}",
+                                  a.format, run_timestamp(), a.risk_order)
+    for name, n in rows.items():
+        print(f"{name}: wrote {n} rows to {root}/{name}")
 
 
 def _verify(spark, a):
@@ -177,6 +171,7 @@ def build_parser() -> argparse.ArgumentParser:
     c = cmd("gold", _gold, "silver -> the five gold tables")
     c.add_argument("--input", required=True)
     c.add_argument("--output-root", required=True)
+    c.add_argument("--risk-order", default="global", choices=list(flow.RISK_ORDERS))
     c = cmd("verify", _verify, "summaries, schemas and previews of a layer")
     c.add_argument("--layer", required=True, choices=["bronze", "silver", "gold"])
     c.add_argument("--input", required=True)

@@ -116,12 +116,20 @@ RISK_ORDERS = ("global", "partition")
 
 def build_gold(spark: SparkSession, paths: LayerPaths, fmt: str = "parquet", run_ts=None,
                risk_order: str = "global") -> dict[str, int]:
-    """The five gold tables. ``risk_order="global"`` writes the customer-risk table in one total order (sampled
-    range partitioning: one shuffle of the table); ``"partition"`` sorts each file only (no shuffle), for readers
-    that need per-file order or the top-k, which ``gold.risk_top`` serves without any sort."""
+    """The five gold tables of ``paths`` from its written silver (see :func:`write_gold_tables`)."""
+    return write_gold_tables(spark, read_layer(spark, paths.silver, fmt), paths.gold, fmt, run_ts, risk_order)
+
+
+def write_gold_tables(spark: SparkSession, silver: DataFrame, path_of, fmt: str = "parquet", run_ts=None,
+                      risk_order: str = "global") -> dict[str, int]:
+    """Write the five gold tables to ``path_of(table name)``; returns the row count of each.
+
+    The four aggregate tables come from one grouping-sets aggregate checkpointed to the shared checkpoint folder.
+    ``risk_order="global"`` writes the customer-risk table in one total order (sampled range partitioning: one
+    shuffle of the table); ``"partition"`` sorts each file only (no shuffle), for readers that need per-file order
+    or the top-k, which ``gold.risk_top`` serves without any sort."""
     if risk_order not in RISK_ORDERS:
         raise ValueError(f"risk_order must be one of {RISK_ORDERS}")
-    silver = read_layer(spark, paths.silver, fmt)
     checkpoint_root(spark)
     multi = gold.gold_aggregates_one_scan(silver).checkpoint(eager=True)
     stats = multi.groupBy("segment").agg(F.count(F.lit(1)).alias("n"), F.max("total_customers").alias("t")).collect()
@@ -143,7 +151,7 @@ def build_gold(spark: SparkSession, paths: LayerPaths, fmt: str = "parquet", run
                 table = table.coalesce(1).sortWithinPartitions(*order)
             else:
                 table = table.orderBy(*order)
-        write_layer(table, paths.gold(name), fmt, count_rows=False)
+        write_layer(table, path_of(name), fmt, count_rows=False)
         written[name] = counts[segment]
     if not customers.get("__total__"):
         raise LayerValidationError("gold_executive_kpis: no customers (a global aggregate always has one row).")
@@ -151,7 +159,7 @@ def build_gold(spark: SparkSession, paths: LayerPaths, fmt: str = "parquet", run
         risk = gold.customer_risk(silver, run_ts)
     else:
         risk = gold.customer_risk(silver, run_ts, ordered=False).sortWithinPartitions(*gold.risk_order())
-    risk_rows = write_layer(risk, paths.gold("gold_customer_risk_summary"), fmt)
+    risk_rows = write_layer(risk, path_of("gold_customer_risk_summary"), fmt)
     if not risk_rows:
         raise LayerValidationError("gold_customer_risk_summary has zero rows.")
     written["gold_customer_risk_summary"] = risk_rows
