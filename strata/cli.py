@@ -28,7 +28,7 @@ from strata.operators import quality, rulesets, verify
 from strata.operators.bronze import run_timestamp, to_bronze
 from strata.operators.silver import to_silver
 from strata.plans import flow, publish
-from strata.plans.layers import LayerPaths, copy_layers, write_layer
+from strata.plans.layers import LayerPaths, copy_layers, write_layer, write_observed
 from strata.plans.reports import build_profile_report, write_quality_reports
 from strata.session import get_session
 from strata.sources.files import read_contract_csv, read_layer, write_contract_csv
@@ -37,9 +37,10 @@ from strata.sources.synthetic import synthetic_feed
 
 def _bronze(spark, a):
     bronze = to_bronze(read_contract_csv(spark, a.input), a.input, run_ts=run_timestamp(), blank_mode=a.blank_mode)
-    rows = write_layer(bronze, a.output, a.format)
-    quality.enforce(read_layer(spark, a.output, a.format), rulesets.bronze_validator(), "bronze")
-    print(f"bronze rows written: {rows}\nbronze output path: {a.output}")
+    checks = rulesets.bronze_validator()
+    metrics = write_observed(bronze, a.output, quality.row_rule_metrics(checks, bronze.columns), a.format)
+    quality.enforce(read_layer(spark, a.output, a.format), checks, "bronze", metrics)
+    print(f"bronze rows written: {metrics['_rows']}\nbronze output path: {a.output}")
 
 
 def _quality(spark, a):

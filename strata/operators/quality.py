@@ -296,9 +296,10 @@ class QualityGateError(RuntimeError):
     pass
 
 
-def enforce(df: DataFrame, checks: list[Check], stage: str) -> QualityResult:
-    """Validator (V1/V2): raise on the first failing critical check in declared order, else return the result."""
-    result = run_checks(df, checks, stage)
+def enforce(df: DataFrame, checks: list[Check], stage: str, metrics: dict | None = None) -> QualityResult:
+    """Validator (V1/V2): raise on the first failing critical check in declared order, else return the result.
+    ``metrics``: row-rule values observed earlier (see :func:`row_rule_metrics`)."""
+    result = run_checks(df, checks, stage, metrics=metrics)
     for c in result.checks:
         if c["severity"] == CRITICAL and c["status"] == "FAIL":
             raise ValueError(f"{stage}: check {c['name']} failed (observed {c['observed_value']}): {c['rule']}")
