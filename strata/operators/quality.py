@@ -8,7 +8,9 @@ results:
 * each key-uniqueness rule is ``groupBy(keys).count()`` -> ``count_if(n > 1)``. Partial aggregation collapses a hot
   key (e.g. a blank key held by a third of the rows) to one row per map task before the shuffle;
 * metadata rules (required columns) need no job at all;
-* the branches are unioned, so materialising the result is one action, whatever the number of rules.
+* the branches are unioned, so materialising the result is one action, whatever the number of rules;
+* the row-level aggregate is also available as named expressions (:func:`row_rule_metrics`), so a writer can
+  observe it while it writes the data; ``evaluate(..., metrics=...)`` then only re-reads the key columns.
 
 The result has one row per check: ``check_order, name, dimension, severity, status, observed_value (string),
 observed_count (bigint, NULL for text observations), rule``.
