@@ -26,6 +26,8 @@ def test_stage_by_stage_commands(spark, scratch):
                  f"{lake}/gold/customer_churn"], spark) == 0
     assert sorted(os.listdir(f"{lake}/gold/customer_churn")) == sorted(GOLD_TABLES)
     assert main(["verify", "--layer", "gold", "--input", f"{lake}/gold/customer_churn"], spark) == 0
+    assert main(["verify", "--layer", "bronze", "--input", f"{lake}/bronze/customer_churn"], spark) == 0
+    assert main(["verify", "--layer", "silver", "--input", f"{lake}/silver/customer_churn"], spark) == 0
     expected = f"{scratch}/kpis.json"
     json.dump({"total_customers": 1500, "churned_customers": 493, "overall_churn_rate_pct": 32.87}, open(expected, "w"))
     kpis = f"{lake}/gold/customer_churn/gold_executive_kpis"
