@@ -61,6 +61,31 @@ def gold_summary(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def gold_summary_from_aggregate(multi: DataFrame, tables: dict[str, DataFrame], segment_of: dict[str, str],
+                                row_table: str, total_table: str) -> DataFrame:
+    """V8 for the five gold tables from the one-scan grouping-sets aggregate (``gold.gold_aggregates_one_scan``)
+    instead of one scan per table: a segment table has one row per group of its segment, the row-level table as
+    many rows as the grand total counts, the KPI table exactly one row. Column counts come from the table schemas
+    (no job). One pass over the per-segment counts: each segment row emits the rows of its own tables."""
+    counts = multi.groupBy("segment").agg(
+        F.count(F.lit(1)).alias("groups"), F.max("total_customers").alias("customers"))
+    structs = []
+    for name, df in tables.items():
+        segment = segment_of.get(name, "__total__")
+        mine = F.col("segment") == segment
+        if name == total_table:
+            row_count = F.lit(1)
+        elif name == row_table:
+            row_count = F.col("customers")
+        else:
+            row_count = F.col("groups")
+        for metric, value in (("row_count", row_count), ("column_count", F.lit(len(df.columns)))):
+            structs.append(F.struct(
+                F.lit("gold").alias("layer"), F.lit(name).alias("table_name"), F.lit(metric).alias("metric"),
+                F.when(mine, value.cast("bigint")).alias("value")))
+    return counts.select(F.inline(F.array(*structs))).filter(F.col("value").isNotNull())
+
+
 def preview(df: DataFrame, columns, n: int = 5) -> DataFrame:
     """O3: the first ``n`` rows of selected columns (a limit, not a scan of the whole table)."""
     return df.select(*columns).limit(n)

@@ -22,3 +22,23 @@ def test_plan_guard_rails(spark, name):
     if any(line.lstrip(" :+-").startswith("Sort ") for line in tree.splitlines()):
         # a total order is range-partitioned (sampled bounds), never gathered into one task
         assert "rangepartitioning" in plan, name
+
+
+# table scans per query: every rule, summary or aggregate family shares its scan
+SCAN_BUDGET = {
+    "q_quality_bronze": 2,      # all row rules + the key-uniqueness rule
+    "q_quality_lineitem": 2,
+    "q_churn_by_segments": 1,   # three summaries and the KPIs in one grouping-sets aggregate
+    "q_executive_kpis": 1,
+    "q_layer_summary": 3,       # bronze, silver, and all five gold tables from one aggregate
+    "q_profile_summary": 2,     # clean and dirty feed, row count and duplicates in one grouped pass each
+    "q_kpi_reconciliation": 2,  # the layers and the source table
+    "q_profile_missing": 3,     # one aggregate per profiled table
+}
+
+
+@pytest.mark.parametrize("name", sorted(SCAN_BUDGET))
+def test_scan_budget(spark, name):
+    plan = plan_text(catalog.QUERIES[name](spark, SF01))
+    scans = [line for line in plan.splitlines() if line.startswith("(") and " Scan " in line]
+    assert len(scans) <= SCAN_BUDGET[name], (name, len(scans))
