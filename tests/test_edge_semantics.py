@@ -104,3 +104,31 @@ def test_n21_source_file_literal_or_physical(spark, scratch):
     assert [r[0] for r in literal] == ["given/path.csv"]
     physical = to_bronze(raw, source_from_metadata=True).select("source_file").distinct().collect()
     assert len(physical) == 2 and all(r[0].endswith(".csv") for r in physical)
+
+
+def test_n24_one_run_timestamp_for_every_layer(spark, scratch):
+    from strata.plans import flow
+
+    raw = catalog.feed(spark, "/root/testdata/sf0.001")
+    flow.run_layers(spark, raw, f"{scratch}/lake", run_ts="2030-05-06 07:08:09", source_label="t")
+    stamps = set()
+    for layer, column in (("bronze", "ingested_at_utc"), ("silver", "silver_transformed_at_utc")):
+        stamps |= {r[0] for r in spark.read.parquet(f"{scratch}/lake/{layer}/customer_churn")
+                   .select(column).distinct().collect()}
+    stamps |= {r[0] for r in flow.read_gold(spark, f"{scratch}/lake", "gold_executive_kpis")
+               .select("gold_created_at_utc").collect()}
+    assert len(stamps) == 1 and str(next(iter(stamps))) == "2030-05-06 07:08:09"
+
+
+def test_n9_churn_flag_is_zero_for_anything_but_yes(spark):
+    from strata.operators.silver import to_silver
+
+    rows = []
+    for value in ("Yes", "No", None, "yes", " Yes", "Y"):
+        row = list(GOOD)
+        row[20] = value
+        rows.append(tuple(row))
+    silver = to_silver(to_bronze(spark.createDataFrame(rows, RAW_SCHEMA), "x"))
+    assert [r[0] for r in silver.select("churn_flag").collect()] == [1, 0, 0, 0, 1, 0]  # " Yes" is trimmed in bronze
+    checks = {r["name"]: r["status"] for r in Q.evaluate(silver, rulesets.silver_validator()).collect()}
+    assert checks["churn_flag_domain_valid"] == "PASS"  # the flag is never outside {0, 1}
