@@ -23,6 +23,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # remove reliable-checkpoint files from the shared folder once the checkpointed data is unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
