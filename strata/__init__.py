@@ -13,4 +13,22 @@ Every operator is built from DataFrame operations and built-in functions; there
 
 from strata.session import get_session, scratch_dir
 
-__all__ = ["get_session", "scratch_dir"]
+
+def __getattr__(name):
+    # convenience re-exports, imported on first use so that ``import strata`` needs no active Spark context
+    if name == "run_layers":
+        from strata.plans.flow import run_layers
+
+        return run_layers
+    if name in ("evaluate", "run_checks"):
+        from strata.operators import quality
+
+        return getattr(quality, name)
+    if name == "rulesets":
+        from strata.operators import rulesets
+
+        return rulesets
+    raise AttributeError(name)
+
+
+__all__ = ["evaluate", "get_session", "rulesets", "run_checks", "run_layers", "scratch_dir"]
