@@ -180,3 +180,19 @@ def test_partition_ordered_risk_table(spark, landing, scratch):
     assert sorted(tuple(r) for r in risk.drop("gold_created_at_utc").collect()) == expected
     with pytest.raises(ValueError):
         flow.build_gold(spark, LayerPaths(root), risk_order="random")
+
+
+def test_layered_run_job_budget(spark, landing, scratch):
+    """BASELINE target: the whole run within 15 Spark actions. Measured as jobs with AQE off (with AQE on, every
+    shuffle stage is submitted as its own job)."""
+    sc = spark.sparkContext
+    previous = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sc.setJobGroup("layered-run-budget", "layered run job budget")
+        flow.run_layers(spark, f"{landing}/feed", f"{scratch}/data")
+        jobs = sc.statusTracker().getJobIdsForGroup("layered-run-budget")
+    finally:
+        sc.setJobGroup("", "")
+        spark.conf.set("spark.sql.adaptive.enabled", previous)
+    assert len(jobs) <= 15, len(jobs)
