@@ -8,7 +8,8 @@ memory:
   partial aggregation, so one scan and one small shuffle serve every column;
 * ``numeric_profile``: ONE aggregate of invalid / negative counts and min / max per column, parsing text as
   ``decimal(38,10)`` (blank or unparsable -> invalid);
-* ``duplicate_keys``: ``groupBy(keys).count()`` with partial aggregation (hot keys collapse per task).
+* ``duplicate_keys``: ``groupBy(keys).count()`` with partial aggregation (hot keys collapse per task);
+* ``profile_summary``: row count, schema diff and non-blank duplicate ids from ONE grouped pass over the key.
 """
 
 from __future__ import annotations
@@ -139,9 +140,8 @@ def profile(df: DataFrame, expected_columns, key: str, categorical, numeric, sam
         "columns": columns,
         "column_count": len(columns),
         **schema_diff(columns, list(expected_columns)),
-        "row_count": df.agg(F.count(F.lit(1)).alias("row_count")),
+        "summary": profile_summary(df, expected_columns, key),
         "missing_by_column": missing_by_column(df),
-        "duplicates": duplicate_keys(df, key, ignore_blank_keys=True),
         "categories": category_counts(df, [c for c in categorical if c in columns]),
         "numeric": numeric_profile(df, [c for c in numeric if c in columns]),
         "sample_rows": df.select(*(sample_columns or columns)).limit(5),

@@ -134,8 +134,8 @@ def build_profile_report(df: DataFrame, input_path: str, expected_columns, key:
     from strata.operators import profile as P
 
     prof = P.profile(df, expected_columns, key, categorical, numeric, sample_columns)
-    totals = prof["row_count"].collect()[0]["row_count"]
-    dups = prof["duplicates"].collect()[0]["duplicate_keys"]
+    head = prof["summary"].collect()[0]
+    totals, dups = head["row_count"], head["duplicate_key_values"]
     return profile_markdown(
         prof,
         input_path,
