@@ -156,6 +156,8 @@ def build_parser() -> argparse.ArgumentParser:
         c = sub.add_parser(name, help=help_text)
         c.set_defaults(fn=fn)
         c.add_argument("--format", default="parquet", help="layer format (parquet, or delta with its package)")
+        c.add_argument("--profile", default="local", choices=["local", "cluster"],
+                       help="session settings: 'cluster' starts from many shuffle partitions and larger splits")
         return c
 
     c = cmd("bronze", _bronze, "raw CSV -> bronze layer")
@@ -226,7 +228,8 @@ FAILURES = (quality.QualityGateError, flow.LayerValidationError, publish.Admissi
 
 def main(argv=None, spark=None) -> int:
     args = build_parser().parse_args(argv)
-    spark = spark or get_session(app_name=f"strata-{args.command}")
+    spark = spark or get_session(app_name=f"strata-{args.command}", profile=args.profile,
+                                 delta=args.format == "delta")
     try:
         args.fn(spark, args)
     except FAILURES as exc:
