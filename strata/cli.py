@@ -142,6 +142,7 @@ def _run(spark, a):
         markdown_report=f"{reports}/customer_churn_bronze_quality.md" if reports else None,
         blank_mode=a.blank_mode,
         risk_order=a.risk_order,
+        staged=a.staged,
     )
     print(json.dumps({"bronze_rows": summary.bronze_rows, "silver_rows": summary.silver_rows,
                       "gold_rows": summary.gold_rows,
@@ -219,6 +220,7 @@ def build_parser() -> argparse.ArgumentParser:
     c.add_argument("--reports")
     c.add_argument("--blank-mode", default="default", choices=["default", "strict"])
     c.add_argument("--risk-order", default="global", choices=list(flow.RISK_ORDERS))
+    c.add_argument("--staged", action="store_true", help="gate bronze in a staging folder before promoting it")
     return p
 
 

@@ -26,6 +26,7 @@ A rerun overwrites every layer (idempotent, L3).
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -179,15 +180,23 @@ def run_layers(
     source_label: str | None = None,
     checks_table: str | None = None,
     risk_order: str = "global",
+    staged: bool = False,
 ) -> RunSummary:
     """Ingest -> gate -> silver -> gold; a failing stage raises and the later stages do not run.
 
-    ``checks_table``: a folder where every run appends its bronze check rows (an audit table of the gate)."""
+    ``checks_table``: a folder where every run appends its bronze check rows (an audit table of the gate).
+    ``staged``: write bronze to ``<root>/_staging/<run id>`` first, gate that copy, and promote it to the bronze
+    folder only when the gate passes (a Parquet copy, no re-parse), so a failing run leaves the previous bronze in
+    place. Staging folders are hidden from table discovery and kept as an audit trail."""
     run_ts = run_ts or run_timestamp()
     paths = LayerPaths(root, spec.entity)
     summary = RunSummary(paths)
-    summary.bronze_rows, metrics = ingest_bronze(spark, source, paths, fmt, run_ts, blank_mode, spec, source_label)
-    summary.quality = quality_gate(spark, paths, fmt, json_report, markdown_report, spec, checks_table, metrics)
+    landing = LayerPaths(f"{root.rstrip('/')}/_staging/{uuid.uuid4().hex[:12]}", spec.entity) if staged else paths
+    summary.bronze_rows, metrics = ingest_bronze(spark, source, landing, fmt, run_ts, blank_mode, spec,
+                                                 source_label)
+    summary.quality = quality_gate(spark, landing, fmt, json_report, markdown_report, spec, checks_table, metrics)
+    if staged:
+        write_layer(read_layer(spark, landing.bronze, fmt), paths.bronze, fmt, count_rows=False)
     summary.silver_rows = build_silver(spark, paths, fmt, run_ts, spec, keys_verified=True)
     summary.gold_rows = build_gold(spark, paths, fmt, run_ts, risk_order)
     return summary

@@ -196,3 +196,16 @@ def test_layered_run_job_budget(spark, landing, scratch):
         sc.setJobGroup("", "")
         spark.conf.set("spark.sql.adaptive.enabled", previous)
     assert len(jobs) <= 15, len(jobs)
+
+
+def test_staged_run_keeps_previous_bronze_on_failure(spark, landing, scratch):
+    root = f"{scratch}/data"
+    flow.run_layers(spark, f"{landing}/feed", root, staged=True)
+    bronze_path = LayerPaths(root).bronze
+    assert spark.read.parquet(bronze_path).count() == 1500
+    bad = catalog.feed(spark, SF001).withColumn("Contract", F.lit("Weekly"))
+    with pytest.raises(Q.QualityGateError):
+        flow.run_layers(spark, bad, root, staged=True, source_label="bad")
+    kept = spark.read.parquet(bronze_path)
+    assert kept.count() == 1500 and kept.filter(F.col("contract") == "Weekly").count() == 0
+    assert all(not name.startswith("_") for name, _, _ in publish.discover_tables(spark, root))
