@@ -9,6 +9,7 @@ from strata.functions.expr import (
     is_missing,
     is_negative,
     lookup,
+    money_sum,
     outside_domain,
     round_half_up,
     rule_score,
@@ -26,6 +27,7 @@ __all__ = [
     "is_missing",
     "is_negative",
     "lookup",
+    "money_sum",
     "outside_domain",
     "round_half_up",
     "rule_score",

@@ -145,6 +145,15 @@ def is_negative(c: str | Column) -> Column:
     return col_of(c) < F.lit(0)
 
 
+def money_sum(c: str | Column, scale: int = 2) -> Column:
+    """Exact sum of an amount with ``scale`` decimals (``decimal(18, scale)`` in, ``decimal(28, scale)`` out).
+
+    A double sum over billions of rows drifts by cents or more; a decimal sum does not. ``try_cast`` turns NaN
+    into NULL (skipped) instead of failing under ANSI mode.
+    """
+    return F.sum(col_of(c).try_cast(f"decimal(18,{scale})"))
+
+
 def round_half_up(c: str | Column, scale: int = 2) -> Column:
     """Round HALF_UP to ``scale`` places through ``decimal(38,10)`` and return a double.
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata import spec as S
-from strata.functions import round_half_up, rule_score, threshold_band
+from strata.functions import money_sum, round_half_up, rule_score, threshold_band
 from strata.operators.bronze import _ts_literal
 
 DEFAULT_MEASURES = {"avg_monthly_charges": "monthly_charges", "avg_total_charges": "total_charges"}
@@ -143,7 +143,7 @@ def kpi_aggregates() -> dict[str, Column]:
         "churned_customers": F.sum("churn_flag").cast("bigint"),
         "overall_churn_rate_pct": round_half_up(F.avg("churn_flag") * 100, 2),
         "avg_monthly_charges": round_half_up(F.avg("monthly_charges"), 2),
-        "estimated_monthly_revenue": round_half_up(F.sum("monthly_charges"), 2),
+        "estimated_monthly_revenue": round_half_up(money_sum("monthly_charges"), 2),  # exact at any row count
         "avg_total_charges": round_half_up(F.avg("total_charges"), 2),
         "avg_active_service_count": round_half_up(F.avg("active_service_count"), 2),
     }

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions import band, round_half_up, threshold_band
+from strata.functions import band, money_sum, round_half_up, threshold_band
 from strata.operators import gold, profile, quality, rulesets, verify
 from strata.operators.bronze import to_bronze
 from strata.operators.silver import to_silver
@@ -341,7 +341,7 @@ def q_usage_daily(spark, sf_dir):
     return usage_records(spark, sf_dir).groupBy("usage_date").agg(
         F.count(F.lit(1)).alias("records"),
         F.count_distinct("customer_id").alias("active_customers"),
-        round_half_up(F.sum("revenue"), 2).alias("revenue"),
+        round_half_up(money_sum("revenue"), 2).alias("revenue"),
     )
 
 

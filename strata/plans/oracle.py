@@ -204,14 +204,14 @@ def _segments_one_scan() -> str:
 SELECT '{by}' AS segment, CAST({by} AS VARCHAR) AS segment_value,
   count(*) AS total_customers, CAST(sum(churn_flag) AS BIGINT) AS churned_customers,
   {r2('avg(churn_flag) * 100')} AS churn_rate_pct, {r2('avg(monthly_charges)')} AS avg_monthly_charges,
-  {r2('avg(total_charges)')} AS avg_total_charges, {r2('sum(monthly_charges)')} AS estimated_monthly_revenue,
+  {r2('avg(total_charges)')} AS avg_total_charges, {r2('sum(TRY_CAST(monthly_charges AS DECIMAL(18,2)))')} AS estimated_monthly_revenue,
   {r2('avg(active_service_count)')} AS avg_active_service_count
 FROM silver GROUP BY {by}""")
     body.append(f"""
 SELECT '__total__' AS segment, CAST(NULL AS VARCHAR) AS segment_value,
   count(*) AS total_customers, CAST(sum(churn_flag) AS BIGINT) AS churned_customers,
   {r2('avg(churn_flag) * 100')} AS churn_rate_pct, {r2('avg(monthly_charges)')} AS avg_monthly_charges,
-  {r2('avg(total_charges)')} AS avg_total_charges, {r2('sum(monthly_charges)')} AS estimated_monthly_revenue,
+  {r2('avg(total_charges)')} AS avg_total_charges, {r2('sum(TRY_CAST(monthly_charges AS DECIMAL(18,2)))')} AS estimated_monthly_revenue,
   {r2('avg(active_service_count)')} AS avg_active_service_count
 FROM silver""")
     return with_layers(BRONZE, SILVER) + "\nUNION ALL\n".join(body)
@@ -494,7 +494,7 @@ LAYER_SUMMARY = with_layers(BRONZE, SILVER) + "\nUNION ALL\n".join([
 KPI_RECONCILIATION = with_layers(BRONZE, SILVER) + f"""
 , actual AS (
   SELECT CAST(count(*) AS DOUBLE) AS total_customers, CAST(sum(churn_flag) AS DOUBLE) AS churned_customers,
-    {r2('avg(monthly_charges)')} AS avg_monthly_charges, {r2('sum(monthly_charges)')} AS estimated_monthly_revenue
+    {r2('avg(monthly_charges)')} AS avg_monthly_charges, {r2('sum(TRY_CAST(monthly_charges AS DECIMAL(18,2)))')} AS estimated_monthly_revenue
   FROM silver
 ), expected AS (
   SELECT CAST(count(*) AS DOUBLE) AS total_customers,
@@ -548,7 +548,7 @@ USAGE_QUALITY = _quality_generic(USAGE, [
 
 USAGE_DAILY = f"""
 SELECT usage_date, count(*) AS records, count(DISTINCT customer_id) AS active_customers,
-  {r2('sum(revenue)')} AS revenue
+  {r2('sum(TRY_CAST(revenue AS DECIMAL(18,2)))')} AS revenue
 FROM {USAGE} GROUP BY usage_date"""
 
 MESSAGES = "(SELECT role AS label, text AS message FROM conversations)"
@@ -608,7 +608,7 @@ SELECT count(*) AS total_customers,
   CAST(sum(churn_flag) AS BIGINT) AS churned_customers,
   {r2('avg(churn_flag) * 100')} AS overall_churn_rate_pct,
   {r2('avg(monthly_charges)')} AS avg_monthly_charges,
-  {r2('sum(monthly_charges)')} AS estimated_monthly_revenue,
+  {r2('sum(TRY_CAST(monthly_charges AS DECIMAL(18,2)))')} AS estimated_monthly_revenue,
   {r2('avg(total_charges)')} AS avg_total_charges,
   {r2('avg(active_service_count)')} AS avg_active_service_count
 FROM silver""",
