@@ -17,7 +17,7 @@ from strata.operators.bronze import to_bronze
 from strata.operators.silver import to_silver
 from strata.plans import flow, publish
 from strata.session import scratch_dir
-from strata.sources.feed import dirty_feed, subscriber_feed
+from strata.sources.feed import dirty_feed, feed_columns, subscriber_feed
 from strata.sources.files import file_checksums, write_contract_csv
 from strata.sources.synthetic import synthetic_feed
 from strata.spec import RAW_COLUMNS
@@ -146,18 +146,21 @@ def q_profile_missing(spark, sf_dir):
     return docs.unionByName(cust).unionByName(raw)
 
 
+FEED_CATEGORICAL = ["gender", "SeniorCitizen", "Contract", "InternetService", "PaymentMethod", "Churn"]
+
+
 def q_profile_categories(spark, sf_dir):
-    parts = [
-        ("orders", table(spark, sf_dir, "orders"), ["o_orderstatus", "o_orderpriority"]),
-        ("part", table(spark, sf_dir, "part"), ["p_type", "p_brand"]),
-        ("events", table(spark, sf_dir, "events"), ["event_type"]),
-        ("feed", feed(spark, sf_dir), ["gender", "SeniorCitizen", "Contract", "InternetService", "PaymentMethod",
-                                       "Churn"]),
-    ]
-    out = None
-    for name, df, cols in parts:
-        counts = profile.category_counts(df, cols).withColumn("table_name", F.lit(name))
-        out = counts if out is None else out.unionByName(counts)
+    """Category distributions of orders, the feed derived from orders, part and events. Orders and its feed share
+    one projection of one scan (their column names do not collide)."""
+    orders = table(spark, sf_dir, "orders")
+    derived = feed_columns(orders)
+    order_cols = ["o_orderstatus", "o_orderpriority"]
+    both = orders.select(*order_cols, *[derived[c].alias(c) for c in FEED_CATEGORICAL])
+    out = profile.category_counts(both, order_cols + FEED_CATEGORICAL).withColumn(
+        "table_name", F.when(F.col("column_name").isin(order_cols), F.lit("orders")).otherwise(F.lit("feed")))
+    for name, cols in (("part", ["p_type", "p_brand"]), ("events", ["event_type"])):
+        counts = profile.category_counts(table(spark, sf_dir, name), cols).withColumn("table_name", F.lit(name))
+        out = out.unionByName(counts)
     return out
 
 

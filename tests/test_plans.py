@@ -34,6 +34,7 @@ SCAN_BUDGET = {
     "q_profile_summary": 2,     # clean and dirty feed, row count and duplicates in one grouped pass each
     "q_kpi_reconciliation": 2,  # the layers and the source table
     "q_profile_missing": 3,     # one aggregate per profiled table
+    "q_profile_categories": 3,  # orders and its derived feed share one scan; part; events
 }
 
 
