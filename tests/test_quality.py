@@ -67,7 +67,8 @@ rows_strategy = st.lists(
 )
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, derandomize=True,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=rows_strategy)
 def test_single_pass_equals_one_job_per_rule(spark, rows):
     df = spark.createDataFrame(rows, "k string, v int, s string")
