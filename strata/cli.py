@@ -79,7 +79,7 @@ def _verify(spark, a):
     for name, df in frames.items():
         print(name)
         df.printSchema()
-        df.limit(a.rows).show(truncate=False)
+        verify.preview(df, verify.PREVIEW_COLUMNS.get(name), a.rows).show(truncate=False)
 
 
 def _copy(spark, a):

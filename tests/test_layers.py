@@ -143,6 +143,13 @@ def test_publish_discover_copy(spark, landing, scratch):
     assert {c["table"]: c["rows"] for c in copied}["silver_customer_churn"] == 1500
 
 
+def test_preview_is_a_limit(spark):
+    bronze = catalog.bronze(spark, SF001)
+    rows = verify.preview(bronze, verify.PREVIEW_COLUMNS["bronze"]).collect()
+    assert len(rows) == 5 and list(rows[0].asDict()) == verify.PREVIEW_COLUMNS["bronze"]
+    assert len(verify.preview(bronze, n=3).collect()[0]) == 25
+
+
 def test_kpi_comparison_and_assertion(spark):
     actual = catalog.q_executive_kpis(spark, SF001)
     expected = spark.range(1).select(F.lit(1500).alias("total_customers"), F.lit(68.885).alias("avg_monthly_charges"))
