@@ -27,6 +27,9 @@ def _option(mult: int) -> str:
             f"ELSE 'No' END")
 
 
+# --- raw feed (clean and fault-injected), bronze, silver, risk as CTEs --------------------------------------
+
+
 FEED_BASE = f"""
 feed_src AS (
   SELECT o_orderkey AS k, o_orderstatus, o_orderpriority,
@@ -186,6 +189,9 @@ BRONZE_COLS = ["customer_id", "gender", "senior_citizen", "partner", "dependents
                "total_charges_was_blank", "source_file"]
 
 
+# --- gold segment rates and KPIs ----------------------------------------------------------------------------
+
+
 def _segment(by: str) -> str:
     return with_layers(BRONZE, SILVER) + f"""
 SELECT {by},
@@ -217,6 +223,9 @@ FROM silver""")
     return with_layers(BRONZE, SILVER) + "\nUNION ALL\n".join(body)
 
 
+# --- quality checks -----------------------------------------------------------------------------------------
+
+
 def _check_row(order, name, dimension, severity, count_sql, rule, kind="violations", text=None) -> str:
     rule_sql = rule.replace("'", "''")
     if kind == "text":
@@ -403,6 +412,9 @@ EVENTS_QUALITY = _quality_generic("events", [
 ], ["event_id"])
 
 
+# --- duplicate keys and profiling ---------------------------------------------------------------------------
+
+
 def _dup_keys(table: str, keys: str, where: str = "") -> str:
     return f"""SELECT CAST(count_if(n > 1) AS BIGINT) AS duplicate_keys,
   CAST(coalesce(sum(CASE WHEN n > 1 THEN n END), 0) AS BIGINT) AS duplicated_rows,
@@ -450,6 +462,9 @@ DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 CUSTOMER_COLUMNS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 
 
+# --- segment rates on native tables -------------------------------------------------------------------------
+
+
 def _segment_generic(table, by, flag, measures, count_name, flagged_name, rate_name) -> str:
     ms = "".join(f",\n  {r2(f'avg({src})')} AS {name}" for name, src in measures.items())
     return f"""SELECT {by}, count(*) AS {count_name},
@@ -458,6 +473,9 @@ def _segment_generic(table, by, flag, measures, count_name, flagged_name, rate_n
 FROM {table} GROUP BY {by}"""
 
 
+# --- verification, admission, daily usage, messages, profile summary ----------------------------------------
+
+
 def _summary(layer, table, source, extra=()) -> str:
     """(layer, table_name, metric, value) rows: row_count, column_count and extra count_if metrics."""
     parts = [f"SELECT '{layer}' AS layer, '{table}' AS table_name, 'row_count' AS metric, count(*) AS value "
@@ -589,6 +607,9 @@ SELECT CAST(sum(n) AS BIGINT), 21, 'Churn', 'extra', CAST(count_if(n > 1 AND NOT
   trim(customerID) = '')) AS BIGINT), 'dirty'
 FROM (SELECT customerID, count(*) AS n FROM dirty_keys GROUP BY customerID)"""
 
+# --- the registry -------------------------------------------------------------------------------------------
+
+
 ORACLE_SQL: dict[str, str] = {
     "q_feed_bronze": with_layers(BRONZE) + f"SELECT {', '.join(BRONZE_COLS)} FROM bronze",
     "q_feed_silver": with_layers(BRONZE, SILVER) + "SELECT * EXCLUDE (ingested_at_utc) FROM silver",
