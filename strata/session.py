@@ -75,12 +75,20 @@ def apply_session_contract(spark: SparkSession, conf: dict | None = None) -> Non
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the cluster; set a local one only when none is configured."""
-    sc = spark.sparkContext
+    """The shared checkpoint folder of the cluster; set a local one only when none is configured.
+
+    Under Spark Connect (no SparkContext on the client) the folder must come from ``spark.checkpoint.dir``.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the context and its checkpoint folder
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder for reliable checkpoints")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="strata-ckpt-")
     sc.setCheckpointDir(configured)
