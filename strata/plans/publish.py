@@ -139,8 +139,10 @@ def admit(spark: SparkSession, path: str, expected_rows: int | None = None, id_c
           id_prefix: str | None = None, checksum: str | None = None, contract=RAW_COLUMNS) -> DataFrame:
     """Admission checks (Q20-Q24) of a landing CSV as a check DataFrame.
 
-    The header is read from the first line only and compared with the contract (names and order). The rows are
-    read PERMISSIVE with a corrupt-record column, so malformed lines are counted instead of failing the job.
+    The header is read from the first line only and compared with the contract (names and order); for a landing
+    folder of several files that is the first file's header, and the bronze ingest's contract reader
+    (``enforceSchema=false``) still rejects any file whose header differs. The rows are read PERMISSIVE with a
+    corrupt-record column, so malformed lines are counted instead of failing the job.
     Row count, malformed lines and id prefix are one aggregate; the checksum is hashed on the executors.
     """
     header = spark.read.option("header", True).csv(path).columns
