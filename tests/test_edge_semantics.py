@@ -42,6 +42,12 @@ def test_n23_reordered_header_is_rejected(spark, scratch):
         read_contract_csv(spark, f"{scratch}/h").collect()
     # positional reading (the reader's default) would silently accept it
     assert read_contract_csv(spark, f"{scratch}/h", enforce_header=False).count() == 1
+    # in a folder of several files, every file's header is checked, not only the first one
+    _write(f"{scratch}/multi", [",".join(RAW_COLUMNS), ",".join(GOOD)])
+    with open(f"{scratch}/multi/second.csv", "w") as fh:
+        fh.write(",".join(swapped) + "\n" + ",".join(["B1"] + GOOD[1:]) + "\n")
+    with pytest.raises(Exception, match="header|Header|CSV_HEADER"):
+        read_contract_csv(spark, f"{scratch}/multi").collect()
 
 
 def test_n15_duplicate_count_includes_null_and_blank_groups(spark):
