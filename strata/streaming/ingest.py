@@ -3,9 +3,10 @@ receiving files (one folder per source, files never overwritten), as a Structure
 
 * source: ``readStream`` CSV with the explicit contract schema (never inferred), header row, FAILFAST;
 * transform: :func:`strata.operators.bronze.to_bronze` with ``source_file`` taken from each row's file;
-* sink: ``foreachBatch``. Each micro-batch is validated with the bronze validator rules (one job) and written to
-  ``<bronze>/ingest_batch=<id>`` with dynamic partition overwrite, so replaying a batch after a failure replaces
-  that batch instead of appending it twice (exactly-once output on top of the checkpointed offsets);
+* sink: ``foreachBatch``. Each micro-batch is persisted for its two actions, validated with the bronze validator
+  rules (one job) and written to ``<bronze>/ingest_batch=<id>`` with dynamic partition overwrite, so replaying a
+  batch after a failure replaces that batch instead of appending it twice (exactly-once output on top of the
+  checkpointed offsets);
 * a failing validator raises inside the batch: the query stops and the offsets of that batch are not committed.
 
 Key uniqueness across batches is a property of the whole table; the batch gate (``plans.flow.quality_gate``)
@@ -14,6 +15,7 @@ checks it on the accumulated bronze.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -39,21 +41,27 @@ def landing_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger:
 
 def _batch_writer(bronze_path: str, fmt: str, spec: SubscriberSpec):
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        result = Q.run_checks(batch, rulesets.bronze_validator(spec), f"bronze batch {batch_id}")
-        failed = [c for c in result.checks if c["status"] == "FAIL" and result.row_count]
-        if failed:
-            raise BatchValidationError(f"batch {batch_id}: " + ", ".join(
-                f"{c['name']}={c['observed_value']}" for c in failed))
-        if not result.row_count:
-            return
-        (
-            batch.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("bigint"))
-            .write.format(fmt)
-            .mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BATCH_COLUMN)
-            .save(bronze_path)
-        )
+        # two actions (validate, write) on one micro-batch: keep it instead of parsing its files twice; the batch
+        # is bounded by the trigger, and lost blocks are recomputed from the source files
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            result = Q.run_checks(batch, rulesets.bronze_validator(spec), f"bronze batch {batch_id}")
+            failed = [c for c in result.checks if c["status"] == "FAIL" and result.row_count]
+            if failed:
+                raise BatchValidationError(f"batch {batch_id}: " + ", ".join(
+                    f"{c['name']}={c['observed_value']}" for c in failed))
+            if not result.row_count:
+                return
+            (
+                batch.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("bigint"))
+                .write.format(fmt)
+                .mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(BATCH_COLUMN)
+                .save(bronze_path)
+            )
+        finally:
+            batch.unpersist()
 
     return write_batch
 
