@@ -27,8 +27,10 @@ A rerun overwrites every layer (idempotent, L3).
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -137,7 +139,8 @@ def write_gold_tables(spark: SparkSession, silver: DataFrame, path_of, fmt: str
     counts = {r["segment"]: r["n"] for r in stats}
     customers = {r["segment"]: r["t"] for r in stats}
     tables = gold.split_gold_aggregates(multi, run_ts, ordered=False)
-    written = {}
+    # validate every table before any write (V3), then build the write plans
+    plans = {}
     for name in GOLD_TABLES:
         if name == "gold_customer_risk_summary":
             continue
@@ -152,17 +155,27 @@ def write_gold_tables(spark: SparkSession, silver: DataFrame, path_of, fmt: str
                 table = table.coalesce(1).sortWithinPartitions(*order)
             else:
                 table = table.orderBy(*order)
-        write_layer(table, path_of(name), fmt, count_rows=False)
-        written[name] = counts[segment]
+        plans[name] = table
     if not customers.get("__total__"):
         raise LayerValidationError("gold_executive_kpis: no customers (a global aggregate always has one row).")
     if risk_order == "global":
         risk = gold.customer_risk(silver, run_ts)
     else:
         risk = gold.customer_risk(silver, run_ts, ordered=False).sortWithinPartitions(*gold.risk_order())
-    risk_rows = write_layer(risk, path_of("gold_customer_risk_summary"), fmt)
+
+    # the five writes are independent actions: submit them together (the tiny ones overlap the large one); the
+    # threads inherit the caller's Spark local properties (job group, description, scheduler pool)
+    write = inheritable_thread_target(write_layer)
+    with ThreadPoolExecutor(max_workers=len(GOLD_TABLES)) as pool:
+        small = {name: pool.submit(write, table, path_of(name), fmt, "overwrite", False)
+                 for name, table in plans.items()}
+        risk_future = pool.submit(write, risk, path_of("gold_customer_risk_summary"), fmt)
+        for future in small.values():
+            future.result()
+        risk_rows = risk_future.result()
     if not risk_rows:
         raise LayerValidationError("gold_customer_risk_summary has zero rows.")
+    written = {name: counts[gold.SEGMENT_TABLES.get(name, "__total__")] for name in plans}
     written["gold_customer_risk_summary"] = risk_rows
     return {name: written[name] for name in GOLD_TABLES}
 
