@@ -165,7 +165,7 @@ def write_gold_tables(spark: SparkSession, silver: DataFrame, path_of, fmt: str
 
     # the five writes are independent actions: submit them together (the tiny ones overlap the large one); the
     # threads inherit the caller's Spark local properties (job group, description, scheduler pool)
-    write = inheritable_thread_target(write_layer)
+    write = inheritable_thread_target(spark)(write_layer)
     with ThreadPoolExecutor(max_workers=len(GOLD_TABLES)) as pool:
         small = {name: pool.submit(write, table, path_of(name), fmt, "overwrite", False)
                  for name, table in plans.items()}
