@@ -215,9 +215,9 @@ def build_parser() -> argparse.ArgumentParser:
     c.add_argument("--seed", type=int, default=42)
     c.add_argument("--force", action="store_true")
     c = cmd("run", _run, "the whole layered run: ingest -> gate -> silver -> gold")
-    c.add_argument("--input", required=True)
-    c.add_argument("--root", required=True)
-    c.add_argument("--reports")
+    c.add_argument("--input", required=True, help="landing CSV file or folder (contract header, 21 columns)")
+    c.add_argument("--root", required=True, help="lake root; layers go to <root>/<layer>/customer_churn")
+    c.add_argument("--reports", help="folder for the JSON and Markdown quality reports")
     c.add_argument("--blank-mode", default="default", choices=["default", "strict"])
     c.add_argument("--risk-order", default="global", choices=list(flow.RISK_ORDERS))
     c.add_argument("--staged", action="store_true", help="gate bronze in a staging folder before promoting it")
