@@ -607,6 +607,110 @@ SELECT CAST(sum(n) AS BIGINT), 21, 'Churn', 'extra', CAST(count_if(n > 1 AND NOT
   trim(customerID) = '')) AS BIGINT), 'dirty'
 FROM (SELECT customerID, count(*) AS n FROM dirty_keys GROUP BY customerID)"""
 
+# --- synthetic feed (one subscriber per order key, seed 42) -------------------------------------------------
+
+
+def _d(x: float) -> str:
+    return f"CAST({x!r} AS DOUBLE)"
+
+
+def _u_sql(draw: int, seed: int = 42) -> str:
+    """The synthetic draw: multiply / xor-shift mix of (key, seed, draw) to 32 bits, divided by 2^32."""
+    m = 4294967296
+    x0 = f"((((k % {m}) + {m}) % {m}) * 668265263 + {draw * 374761393 + seed * 1640531527}) % {m}"
+
+    def xs(x, bits):
+        return f"xor(({x}), (({x}) >> {bits}))"
+
+    x1 = f"(({xs(x0, 16)}) * 2146121005) % {m}"
+    x2 = f"(({xs(x1, 15)}) * 1540483477) % {m}"
+    return f"(CAST({xs(x2, 16)} AS DOUBLE) / CAST({m} AS DOUBLE))"
+
+
+_SYN_DRAWS = [1, 2, 3, 4, 5, 6, 7, 8, 10, 11, 12, 13, 14, 15, 20, 21, 22, 23, 24, 25]
+_SYN_OPTIONS = ["OnlineSecurity", "OnlineBackup", "DeviceProtection", "TechSupport", "StreamingTV",
+                "StreamingMovies"]
+
+
+def _weighted_sql(u: str, weights) -> str:
+    acc = 0.0
+    parts = []
+    for label, w in weights[:-1]:
+        acc += w
+        parts.append(f"WHEN {u} < {_d(acc)} THEN '{label}'")
+    return f"CASE {' '.join(parts)} ELSE '{weights[-1][0]}' END"
+
+
+def _yn_sql(cond: str) -> str:
+    return f"CASE WHEN {cond} THEN 'Yes' ELSE 'No' END"
+
+
+SYNTHETIC_FEED = f"""
+syn_u AS (
+  SELECT o_orderkey AS k, {', '.join(f'{_u_sql(d)} AS u{d}' for d in _SYN_DRAWS)}
+  FROM orders
+),
+syn_a AS (
+  SELECT *,
+    CAST(floor(u1 * 73) AS INTEGER) AS tenure_i,
+    u2 < {_d(0.90)} AS phone,
+    {_weighted_sql('u3', [('DSL', 0.35), ('Fiber optic', 0.45), ('No', 0.20)])} AS internet,
+    {_weighted_sql('u4', [('Month-to-month', 0.55), ('One year', 0.25), ('Two year', 0.20)])} AS contract_v,
+    CASE CAST(floor(u5 * 4) AS INTEGER) + 1 WHEN 1 THEN 'Electronic check' WHEN 2 THEN 'Mailed check'
+         WHEN 3 THEN 'Bank transfer (automatic)' ELSE 'Credit card (automatic)' END AS payment
+  FROM syn_u
+),
+syn_b AS (
+  SELECT *, {', '.join(
+      f"CASE WHEN internet = 'No' THEN 'No internet service' WHEN u{10 + i} < {_d(0.5)} THEN 'Yes' ELSE 'No' END"
+      f" AS {name}" for i, name in enumerate(_SYN_OPTIONS))}
+  FROM syn_a
+),
+syn_c AS (
+  SELECT *,
+    {r2(f"{_d(18.0)} + CASE WHEN phone THEN {_d(15.0)} ELSE {_d(0.0)} END"
+        f" + CASE WHEN internet = 'DSL' THEN {_d(25.0)} WHEN internet = 'Fiber optic' THEN {_d(45.0)}"
+        f" ELSE {_d(0.0)} END"
+        f" + {_d(6.0)} * (" + " + ".join(f"CASE WHEN {o} = 'Yes' THEN 1 ELSE 0 END" for o in _SYN_OPTIONS) + ")"
+        f" + (u6 * 2 - 1) * {_d(2.5)}")} AS monthly,
+    {_d(0.05)} + CASE WHEN contract_v = 'Month-to-month' THEN {_d(0.30)} ELSE {_d(-0.03)} END
+      + CASE WHEN payment = 'Electronic check' THEN {_d(0.10)} ELSE {_d(0.0)} END
+      + CASE WHEN internet = 'Fiber optic' THEN {_d(0.08)} ELSE {_d(0.0)} END
+      + CASE WHEN tenure_i < 12 THEN {_d(0.12)} WHEN tenure_i >= 49 THEN {_d(-0.08)} ELSE {_d(0.0)} END AS score
+  FROM syn_b
+),
+feed AS (
+  SELECT
+    printf('SYNTH-%05d', k) AS customerID,
+    CASE WHEN u20 < {_d(0.5)} THEN 'Female' ELSE 'Male' END AS gender,
+    CASE WHEN u21 < {_d(0.25)} THEN '1' ELSE '0' END AS SeniorCitizen,
+    {_yn_sql(f"u22 < {_d(0.5)}")} AS Partner,
+    {_yn_sql(f"u23 < {_d(0.5)}")} AS Dependents,
+    CAST(tenure_i AS VARCHAR) AS tenure,
+    {_yn_sql('phone')} AS PhoneService,
+    CASE WHEN NOT phone THEN 'No phone service' WHEN u24 < {_d(0.5)} THEN 'Yes' ELSE 'No' END AS MultipleLines,
+    internet AS InternetService,
+    {', '.join(_SYN_OPTIONS)},
+    contract_v AS Contract,
+    {_yn_sql(f"u25 < {_d(0.5)}")} AS PaperlessBilling,
+    payment AS PaymentMethod,
+    printf('%.2f', monthly) AS MonthlyCharges,
+    CASE WHEN tenure_i = 0 THEN ''
+         ELSE printf('%.2f', {r2(f"monthly * tenure_i * ({_d(0.96)} + u8 * {_d(0.08)})")}) END AS TotalCharges,
+    {_yn_sql(f"u7 < greatest({_d(0.01)}, least({_d(0.80)}, score))")} AS Churn
+  FROM syn_c
+)"""
+
+SYNTHETIC_PROFILE = "WITH " + ",\n".join(p.strip() for p in [SYNTHETIC_FEED, BRONZE, SILVER]) + f"""
+SELECT contract, internet_service,
+  count(*) AS total_customers,
+  CAST(sum(churn_flag) AS BIGINT) AS churned_customers,
+  {r2('avg(churn_flag) * 100')} AS churn_rate_pct,
+  {r2('avg(monthly_charges)')} AS avg_monthly_charges,
+  {r2('avg(total_charges)')} AS avg_total_charges
+FROM silver GROUP BY contract, internet_service"""
+
+
 # --- the registry -------------------------------------------------------------------------------------------
 
 
@@ -694,5 +798,6 @@ FROM lineitem""",
     "q_usage_quality": USAGE_QUALITY,
     "q_usage_daily": USAGE_DAILY,
     "q_message_quality": MESSAGE_QUALITY,
+    "q_synthetic_feed_profile": SYNTHETIC_PROFILE,
 }
 ORACLE_SQL["q_layers_roundtrip"] = ORACLE_SQL["q_executive_kpis"]

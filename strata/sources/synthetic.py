@@ -1,8 +1,10 @@
 """Synthetic subscriber source (S4), distributed and deterministic.
 
-One synthetic subscriber per key of an input frame (e.g. every order key): each random draw is
-``xxhash64(key, seed, draw_id)`` mapped to [0, 1), so a row does not depend on partitioning or on any other row
-and the frame regenerates identically after an executor loss. The distributions follow the reference generator:
+One synthetic subscriber per key of an input frame (e.g. every order key): each random draw is an integer hash of
+(key, seed, draw id) mapped to [0, 1), so a row does not depend on partitioning or on any other row and the frame
+regenerates identically after an executor loss. The hash is a 32-bit multiply / xor-shift mix whose multipliers
+stay below 2^31, so every product fits a signed 64-bit integer: the same draws come out of any SQL engine (the
+oracle recomputes the feed in SQL). The distributions follow the reference generator:
 
 tenure uniform 0..72; phone service 90 %; internet DSL / Fiber optic / No with weights .35 / .45 / .20; contract
 Month-to-month / One year / Two year with weights .55 / .25 / .20; four payment methods uniform; six internet
@@ -19,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions import round_half_up
 from strata.sources.feed import PAYMENT_METHODS
 
 # Generator weights and charges.
@@ -28,10 +31,22 @@ OPTIONS = ("OnlineSecurity", "OnlineBackup", "DeviceProtection", "TechSupport",
 BASE_CHARGE, PHONE_CHARGE, DSL_CHARGE, FIBRE_CHARGE, OPTION_CHARGE, CHARGE_JITTER = 18.0, 15.0, 25.0, 45.0, 6.0, 2.5
 
 
+# Fixed values of the draw hash: odd multipliers below 2^31 (products of a 32-bit value stay below 2^63).
+M32 = 1 << 32
+KEY_MULT, DRAW_MULT, SEED_MULT = 668265263, 374761393, 1640531527
+MIX_1, MIX_2 = 2146121005, 1540483477
+
+
+def _xorshift(x: Column, bits: int) -> Column:
+    return x.bitwiseXOR(F.shiftright(x, bits))
+
+
 def _u(key: Column, seed: int, draw: int) -> Column:
-    """Uniform [0, 1) from a 64-bit hash (53 significant bits)."""
-    h = F.xxhash64(key, F.lit(seed), F.lit(draw))
-    return F.shiftrightunsigned(h, 11).cast("double") / F.lit(float(1 << 53))
+    """Uniform [0, 1) with 32 random bits: a multiply / xor-shift mix of (key, seed, draw)."""
+    x = (F.pmod(key.cast("bigint"), F.lit(M32)) * KEY_MULT + F.lit(draw * DRAW_MULT + seed * SEED_MULT)) % M32
+    x = (_xorshift(x, 16) * MIX_1) % M32
+    x = (_xorshift(x, 15) * MIX_2) % M32
+    return _xorshift(x, 16).cast("double") / F.lit(float(M32))
 
 
 def _weighted(u: Column, weights) -> Column:
@@ -59,7 +74,7 @@ def synthetic_feed(keys: DataFrame, key: str, seed: int = 42, id_prefix: str = "
         for i, name in enumerate(OPTIONS)
     }
     yes_options = sum(F.when(c == "Yes", F.lit(1)).otherwise(F.lit(0)) for c in options.values())
-    monthly = F.round(
+    monthly = round_half_up(
         F.lit(BASE_CHARGE)
         + F.when(phone, F.lit(PHONE_CHARGE)).otherwise(F.lit(0.0))
         + F.when(internet == "DSL", F.lit(DSL_CHARGE)).when(internet == "Fiber optic", F.lit(FIBRE_CHARGE))
@@ -77,7 +92,7 @@ def synthetic_feed(keys: DataFrame, key: str, seed: int = 42, id_prefix: str = "
     )
     churn_p = F.greatest(F.lit(0.01), F.least(F.lit(0.80), score))
     total = F.when(tenure == 0, F.lit("")).otherwise(
-        F.format_string("%.2f", monthly * tenure * (F.lit(0.96) + _u(k, seed, 8) * 0.08))
+        F.format_string("%.2f", round_half_up(monthly * tenure * (F.lit(0.96) + _u(k, seed, 8) * 0.08), 2))
     )
     cols = {
         # zero-padded to 5 digits like SYNTH-00001; format_string never truncates longer keys (lpad would)

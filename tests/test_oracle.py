@@ -18,7 +18,7 @@ def test_every_query_has_sql_or_is_documented(spark):
     import __spark_entry__ as E
 
     missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing <= {"q_synthetic_feed_profile", "q_file_checksums", "q_publish_dry_run"}
+    assert missing <= {"q_file_checksums", "q_publish_dry_run"}
 
 
 @pytest.mark.slow
