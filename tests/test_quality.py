@@ -160,3 +160,25 @@ def test_gate_from_write_metrics_equals_full_evaluation(spark, scratch):
     plan = plan_text(Q.evaluate(written, checks, metrics))
     schemas = [line for line in plan.splitlines() if line.startswith("ReadSchema")]
     assert schemas == ["ReadSchema: struct<customer_id:string>"]
+
+
+def test_report_layouts(spark):
+    import json
+
+    from strata.plans.reports import quality_json, quality_markdown
+
+    result = Q.run_checks(catalog.bronze(spark, "/root/testdata/sf0.001"), rulesets.bronze_checks(),
+                          "bronze.customer_churn")
+    lines = quality_markdown(result).splitlines()
+    assert lines[0] == "# Bronze Customer Churn Data Quality Report"
+    assert lines[2] == "- Dataset: `bronze.customer_churn`"
+    assert lines[4] == "- Row count: `1500`" and lines[5] == "- Column count: `25`"
+    assert lines[6] == "- Failed critical checks: `0`"
+    assert lines[10:12] == ["| Check | Dimension | Severity | Status | Observed | Rule |",
+                            "| --- | --- | --- | --- | ---: | --- |"]
+    assert len(lines) == 12 + 19
+    report = json.loads(quality_json(result))
+    assert list(report) == ["dataset", "checked_at_utc", "row_count", "column_count", "failed_critical_count",
+                            "checks"]
+    assert list(report["checks"][0]) == ["name", "dimension", "severity", "status", "observed_value", "rule"]
+    assert report["checks"][0]["observed_value"] == "None" and report["checks"][1]["observed_value"] == 1500
