@@ -127,6 +127,13 @@ def profile_markdown(profile: dict, input_path: str, numeric_rows: list, categor
     return "\n".join(lines) + "\n"
 
 
+def _in_declared_order(rows: list, columns: list) -> list:
+    """Category rows (already aggregated) in the declared column order, then by count desc and value."""
+    position = {c: i for i, c in enumerate(columns)}
+    return sorted(rows, key=lambda r: (position.get(r["column_name"], len(position)), -r["row_count"],
+                                       r["category_value"]))
+
+
 def build_profile_report(df: DataFrame, input_path: str, expected_columns, key: str, categorical, numeric,
                          sample_columns) -> str:
     """V12 + K7: profile ``df`` on Spark and render the Markdown report. Only aggregated rows reach the driver
@@ -140,7 +147,7 @@ def build_profile_report(df: DataFrame, input_path: str, expected_columns, key:
         prof,
         input_path,
         numeric_rows=prof["numeric"].collect(),
-        category_rows=P.ordered_categories(prof["categories"]).collect(),
+        category_rows=_in_declared_order(prof["categories"].collect(), list(categorical)),
         missing_rows=prof["missing_by_column"].collect(),
         duplicate_count=dups,
         row_count=totals,

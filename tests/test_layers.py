@@ -216,3 +216,23 @@ def test_staged_run_keeps_previous_bronze_on_failure(spark, landing, scratch):
     kept = spark.read.parquet(bronze_path)
     assert kept.count() == 1500 and kept.filter(F.col("contract") == "Weekly").count() == 0
     assert all(not name.startswith("_") for name, _, _ in publish.discover_tables(spark, root))
+
+
+def test_profile_report_layout(spark, landing):
+    from strata.plans.reports import build_profile_report
+    from strata.spec import RAW_COLUMNS
+
+    raw = read_contract_csv(spark, f"{landing}/feed")
+    text = build_profile_report(raw, "feed.csv", RAW_COLUMNS, "customerID", ["Contract", "Churn"],
+                                ["tenure", "MonthlyCharges", "TotalCharges"],
+                                ["customerID", "tenure", "MonthlyCharges", "TotalCharges", "Churn"])
+    lines = text.splitlines()
+    headings = [line for line in lines if line.startswith("#")]
+    assert headings == ["# Customer Churn Raw Data Profile", "## Schema Check", "## Missing Values",
+                        "## Duplicate Customer IDs", "## Numeric Checks", "## Category Distributions",
+                        "### Contract", "### Churn", "## Sample Rows"]
+    assert "| Column | Invalid/blank numeric values | Negative values | Min | Max |" in lines
+    assert "| --- | ---: | ---: | ---: | ---: |" in lines
+    assert sum(1 for line in lines if line.startswith("| C0")) == 5  # five sample rows
+    numeric = [line for line in lines if line.startswith("| tenure |")]
+    assert numeric == ["| tenure | 0 | 0 | 0.0 | 72.0 |"]
