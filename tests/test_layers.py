@@ -236,3 +236,16 @@ def test_profile_report_layout(spark, landing):
     assert sum(1 for line in lines if line.startswith("| C0")) == 5  # five sample rows
     assert "| tenure | 0 | 0 | 0.0 | 72.0 |" in lines  # numeric checks row
     assert "| tenure | 0 |" in lines  # missing-values row
+
+
+def test_discovery_of_a_delta_shaped_layout(spark, scratch):
+    """A Delta table folder holds Parquet data files plus a hidden _delta_log (with checkpoint Parquet files):
+    discovery finds the table by its data files and never treats the log as a table."""
+    root = f"{scratch}/delta_root"
+    table = f"{root}/gold/customer_churn/gold_executive_kpis"
+    catalog.q_executive_kpis(spark, SF001).write.parquet(table)
+    os.makedirs(f"{table}/_delta_log")
+    spark.range(3).write.parquet(f"{table}/_delta_log/00000000000000000010.checkpoint.parquet")
+    found = publish.discover_tables(spark, root)
+    assert [(name, layer) for name, layer, _ in found] == [("gold_executive_kpis", "gold")]
+    assert found[0][2].rstrip("/").endswith("gold/customer_churn/gold_executive_kpis")
