@@ -96,7 +96,9 @@ def publish(
     """Register the tables of ``scope`` in the catalog (or only list the statements when ``dry_run``)."""
     if scope not in SCOPES:
         raise ValueError(f"scope must be one of {SCOPES}")
-    namespace = quote_identifier(schema) if catalog is None else f"{quote_identifier(catalog)}.{quote_identifier(schema)}"
+    namespace = quote_identifier(schema)
+    if catalog is not None:
+        namespace = f"{quote_identifier(catalog)}.{namespace}"
     selected = [e for e in entries if scope == "all" or e[1] == scope]
     plan = [{"table": None, "layer": None, "location": None,
              "statement": f"CREATE SCHEMA IF NOT EXISTS {namespace}", "action": "create_schema"}]

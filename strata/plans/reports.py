@@ -36,7 +36,8 @@ def quality_markdown(result: QualityResult, title: str = "Bronze Customer Churn
     ]
     for c in result.checks:
         lines.append(
-            f"| {c['name']} | {c['dimension']} | {c['severity']} | {c['status']} | {c['observed_value']} | {c['rule']} |"
+            f"| {c['name']} | {c['dimension']} | {c['severity']} | {c['status']} | "
+            f"{c['observed_value']} | {c['rule']} |"
         )
     return "\n".join(lines) + "\n"
 
