@@ -48,10 +48,12 @@ def silver(spark, sf_dir) -> DataFrame:
 
 
 def q_feed_bronze(spark, sf_dir):
+    """The bronze layer of the derived feed (without the run timestamp)."""
     return bronze(spark, sf_dir).drop("ingested_at_utc")
 
 
 def q_feed_silver(spark, sf_dir):
+    """The silver layer of the derived feed (without timestamps)."""
     return silver(spark, sf_dir).drop("ingested_at_utc", "silver_transformed_at_utc")
 
 
@@ -68,22 +70,27 @@ q_churn_by_payment_group = _segment("payment_method_group")
 
 
 def q_churn_by_segments(spark, sf_dir):
+    """A1 as GROUPING SETS: all three segment summaries and the KPIs from one scan."""
     return gold.gold_aggregates_one_scan(silver(spark, sf_dir))
 
 
 def q_customer_risk(spark, sf_dir):
+    """Row-level risk score and level, in the total risk order."""
     return gold.customer_risk(silver(spark, sf_dir), with_timestamp=False)
 
 
 def q_risk_level_counts(spark, sf_dir):
+    """Customers, churned customers and score range per risk level."""
     return gold.risk_level_counts(silver(spark, sf_dir))
 
 
 def q_risk_top100(spark, sf_dir):
+    """O2 top-k: the 100 riskiest customers (per-task top-k and merge, no full sort)."""
     return gold.risk_top(silver(spark, sf_dir), 100)
 
 
 def q_executive_kpis(spark, sf_dir):
+    """A2: the executive KPIs (one global aggregate)."""
     return gold.executive_kpis(silver(spark, sf_dir), with_timestamp=False)
 
 
@@ -91,38 +98,47 @@ def q_executive_kpis(spark, sf_dir):
 
 
 def q_quality_bronze(spark, sf_dir):
+    """Q1-Q19: the bronze gate on the clean feed (one action)."""
     return quality.evaluate(bronze(spark, sf_dir), rulesets.bronze_checks())
 
 
 def q_quality_dirty(spark, sf_dir):
+    """Q1-Q19 on the fault-injected feed: each fault fails exactly its check."""
     return quality.evaluate(bronze(spark, sf_dir, dirty=True), rulesets.bronze_checks())
 
 
 def q_quality_silver(spark, sf_dir):
+    """V2: the silver validator as a check table."""
     return quality.evaluate(silver(spark, sf_dir), rulesets.silver_validator())
 
 
 def q_quality_orders(spark, sf_dir):
+    """Rule engine on orders: keys, domains, non-negative price, timeliness."""
     return quality.evaluate(table(spark, sf_dir, "orders"), rulesets.orders_checks())
 
 
 def q_quality_lineitem(spark, sf_dir):
+    """Rule engine on lineitem: composite-key uniqueness (fails), domains, ranges."""
     return quality.evaluate(table(spark, sf_dir, "lineitem"), rulesets.lineitem_checks())
 
 
 def q_quality_events(spark, sf_dir):
+    """Rule engine on events: key uniqueness, domain, non-negative value, timeliness."""
     return quality.evaluate(table(spark, sf_dir, "events"), rulesets.events_checks())
 
 
 def q_dup_keys_lineitem(spark, sf_dir):
+    """A4: repeated (l_orderkey, l_linenumber) keys (11,785 at sf0.01)."""
     return profile.duplicate_keys(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
 def q_dup_keys_conversations(spark, sf_dir):
+    """A4: repeated (conv_id, turn) keys."""
     return profile.duplicate_keys(table(spark, sf_dir, "conversations"), ["conv_id", "turn"])
 
 
 def q_negative_balance(spark, sf_dir):
+    """Negative balances of customers and suppliers."""
     parts = []
     for name, c in (("customer", "c_acctbal"), ("supplier", "s_acctbal")):
         parts.append(
@@ -140,6 +156,7 @@ def q_negative_balance(spark, sf_dir):
 
 
 def q_profile_missing(spark, sf_dir):
+    """Missing values per column of documents, customer and the raw feed."""
     docs = profile.missing_by_column(table(spark, sf_dir, "documents")).withColumn("table_name", F.lit("documents"))
     cust = profile.missing_by_column(table(spark, sf_dir, "customer")).withColumn("table_name", F.lit("customer"))
     raw = profile.missing_by_column(feed(spark, sf_dir)).withColumn("table_name", F.lit("feed"))
@@ -165,6 +182,7 @@ def q_profile_categories(spark, sf_dir):
 
 
 def q_profile_numeric(spark, sf_dir):
+    """Invalid, negative, min and max of numeric text and numeric columns."""
     raw = profile.numeric_profile(feed(spark, sf_dir), ["tenure", "MonthlyCharges", "TotalCharges"])
     li = profile.numeric_profile(table(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"])
     return raw.withColumn("table_name", F.lit("feed")).unionByName(li.withColumn("table_name", F.lit("lineitem")))
@@ -179,6 +197,7 @@ def q_profile_summary(spark, sf_dir):
 
 
 def q_profile_feed_duplicates(spark, sf_dir):
+    """A4 without blank keys: repeated ids of the fault-injected feed."""
     return profile.duplicate_keys(feed(spark, sf_dir, dirty=True), "customerID", ignore_blank_keys=True)
 
 
@@ -186,6 +205,7 @@ def q_profile_feed_duplicates(spark, sf_dir):
 
 
 def q_rate_by_priority(spark, sf_dir):
+    """A1 on orders: finished-order rate by priority."""
     return gold.segment_rate_summary(
         table(spark, sf_dir, "orders"), "o_orderpriority",
         flag=F.when(F.col("o_orderstatus") == "F", 1).otherwise(0),
@@ -196,6 +216,7 @@ def q_rate_by_priority(spark, sf_dir):
 
 
 def q_rate_by_event_type(spark, sf_dir):
+    """A1 on events: high-value rate by event type."""
     return gold.segment_rate_summary(
         table(spark, sf_dir, "events"), "event_type",
         flag=F.when(F.col("value") >= 100, 1).otherwise(0),
@@ -206,6 +227,7 @@ def q_rate_by_event_type(spark, sf_dir):
 
 
 def q_toxic_rate_by_quality(spark, sf_dir):
+    """A1 on labels: toxic rate by quality label."""
     return gold.segment_rate_summary(
         table(spark, sf_dir, "labels"), "quality", flag="toxic", measures={},
         count_name="documents", flagged_name="toxic_documents", rate_name="toxic_rate_pct",
@@ -219,6 +241,7 @@ PART_SIZE_BANDS = ((1, 10, "small"), (11, 25, "medium"), (26, 40, "large"))
 
 
 def q_balance_band(spark, sf_dir):
+    """P13 threshold bands of customer balances."""
     cust = table(spark, sf_dir, "customer")
     banded = cust.withColumn("balance_band", threshold_band("c_acctbal", BALANCE_BANDS, "high", op="<"))
     return banded.groupBy("balance_band").agg(
@@ -228,6 +251,7 @@ def q_balance_band(spark, sf_dir):
 
 
 def q_part_size_band(spark, sf_dir):
+    """P12 integer bands of part sizes."""
     part = table(spark, sf_dir, "part")
     banded = part.withColumn("size_band", band("p_size", PART_SIZE_BANDS, "extra_large"))
     return banded.groupBy("size_band").agg(
@@ -237,6 +261,7 @@ def q_part_size_band(spark, sf_dir):
 
 
 def q_kpis_lineitem(spark, sf_dir):
+    """A2 on lineitem: line count, returns, quantity, price and exact net revenue."""
     li = table(spark, sf_dir, "lineitem")
     return li.agg(
         F.count(F.lit(1)).alias("line_count"),
@@ -336,6 +361,7 @@ def usage_records(spark, sf_dir) -> DataFrame:
 
 
 def q_usage_quality(spark, sf_dir):
+    """The daily-usage rules on events as usage records."""
     return quality.evaluate(usage_records(spark, sf_dir), rulesets.usage_checks())
 
 
@@ -360,6 +386,7 @@ def message_records(spark, sf_dir) -> DataFrame:
 
 
 def q_message_quality(spark, sf_dir):
+    """The message-feed rules on conversations."""
     return quality.evaluate(message_records(spark, sf_dir), rulesets.message_checks())
 
 
