@@ -3,8 +3,11 @@ that its contract names."""
 
 from __future__ import annotations
 
-from strata.llm import quality
+from pyspark.sql import functions as F
+
+from strata.llm import linededup, quality, simhash, urlfilter
 from strata.llm.common import table
+from strata.llm.oracle import ORACLE_SQL  # noqa: F401
 
 DOCUMENT = ("doc_id", "text", "lang", "source")
 
@@ -16,7 +19,37 @@ def op1_quality_rules(spark, sf_dir):
                          "base_failed", "kept", "failed_metrics")
 
 
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+             ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+#: the list of the query: the urls of hosts with one of these labels
+LISTED_LABELS = ("spam-farm", "cheap-pills", "casino-win", "ads-track", "free-bets", "adult-x")
+
+
+def op4_url_filter(spark, sf_dir):
+    """URL filter: rules by host and path, else exact list membership from a Bloom filter cascade."""
+    pages = table(spark, sf_dir, "pages", "page_id", "url")
+    host, path = urlfilter.host_of(F.col("url")), urlfilter.path_of(F.col("url"))
+    listed = pages.where(host.rlike(rf"(^|\.)({'|'.join(LISTED_LABELS)})(\.|$)")).select(
+        F.concat(host, path).alias("key"))
+    return urlfilter.judge_urls(pages, URL_RULES, listed).select(
+        "row.page_id", "host", "path", "rule", "verdict", "listed")
+
+
+def op5_simhash_near_dedup(spark, sf_dir):
+    """SimHash near-dedup: fingerprints of 4-word shingles, linked within 4 bits by multi-index hashing."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), F.struct("doc_id"))
+    return found.select("row.doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op7_line_dedup(spark, sf_dir):
+    """Line dedup: levelled sorted runs of line hashes over batches of documents."""
+    done = linededup.drop_shared_lines(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return done.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op4_url_filter": op4_url_filter,
+    "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op7_line_dedup": op7_line_dedup,
 }
-ORACLE_SQL: dict[str, str] = {}
