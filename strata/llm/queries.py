@@ -3,11 +3,13 @@ that its contract names."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from strata.llm import linededup, quality, simhash, urlfilter
+from strata.llm import linededup, packing, quality, simhash, tokenfile, urlfilter
 from strata.llm.common import table
 from strata.llm.oracle import ORACLE_SQL  # noqa: F401
+from strata.session import scratch_dir
 
 DOCUMENT = ("doc_id", "text", "lang", "source")
 
@@ -19,6 +21,14 @@ def op1_quality_rules(spark, sf_dir):
                          "base_failed", "kept", "failed_metrics")
 
 
+def op2_packing(spark, sf_dir):
+    """Packing: whole documents into sequences of 1024 tokens by minimum bin slack."""
+    pieces = packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"),
+                          public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                         "offset")
+
+
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
              ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 #: the list of the query: the urls of hosts with one of these labels
@@ -47,9 +57,19 @@ def op7_line_dedup(spark, sf_dir):
     return done.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op9_token_files(spark, sf_dir):
+    """Token files: ids of all documents in doc_id order, Elias-Fano boundaries, read back from the files."""
+    folder = scratch_dir(spark, "token-files")
+    tokenfile.write_token_files(table(spark, sf_dir, "documents", "doc_id", "text"), folder,
+                                public_tokenizers.path("word_bpe_49k.json"), end_id=1, vocabulary=49408)
+    return tokenfile.document_offsets(tokenfile.read_token_files(spark, folder))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_packing": op2_packing,
     "op4_url_filter": op4_url_filter,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op7_line_dedup": op7_line_dedup,
+    "op9_token_files": op9_token_files,
 }
