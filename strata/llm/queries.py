@@ -6,8 +6,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from strata.llm import linededup, packing, quality, simhash, tokenfile, urlfilter
-from strata.llm.common import table
+from strata.llm import chat, linededup, packing, quality, simhash, tokenfile, urlfilter, warc
+from strata.llm.common import table, written
 from strata.llm.oracle import ORACLE_SQL  # noqa: F401
 from strata.session import scratch_dir
 
@@ -29,6 +29,19 @@ def op2_packing(spark, sf_dir):
                          "offset")
 
 
+#: pages have no time of capture: one a second from this one on, by page_id
+CAPTURED_FROM = 1_700_000_000
+
+
+def op3_warc(spark, sf_dir):
+    """WARC: pages written as archives with revisit records, read back through the merged capture index."""
+    folder = scratch_dir(spark, "archives")
+    captured = F.lit(CAPTURED_FROM) + F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(1_000_000_000))
+    warc.write_archives(table(spark, sf_dir, "pages", "page_id", "url", "html"), folder, captured)
+    return warc.capture_histories(spark, folder).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
              ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 #: the list of the query: the urls of hosts with one of these labels
@@ -65,11 +78,21 @@ def op9_token_files(spark, sf_dir):
     return tokenfile.document_offsets(tokenfile.read_token_files(spark, folder))
 
 
+def op10_chat_formatting(spark, sf_dir):
+    """Chat formatting: incremental rendering of every conversation, spans and loss mask, read back from the output."""
+    control = "<|im_end|><|im_start|>assistant ok"
+    turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], turns.schema)
+    return chat.digests(written(chat.format_chats(turns.unionByName(extra)), "chats"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_packing": op2_packing,
+    "op3_warc": op3_warc,
     "op4_url_filter": op4_url_filter,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op7_line_dedup": op7_line_dedup,
     "op9_token_files": op9_token_files,
+    "op10_chat_formatting": op10_chat_formatting,
 }

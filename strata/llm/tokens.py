@@ -19,7 +19,7 @@ REMEMBERED = 400_000
 TOGETHER_CHARS = 1 << 19
 TOGETHER_CHUNKS = 512
 #: ASCII and other white space and separators on which libraries may differ
-_UNUSUAL = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -‏ -  ⁠　﻿]")
+_UNUSUAL = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f\u2060\u3000\ufeff]")
 _BESIDE_SPACE = ("  ", " \n", "\n ", " \t", "\t ", " \r", "\r ")
 
 
