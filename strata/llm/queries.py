@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from strata.llm import chat, linededup, packing, quality, simhash, tokenfile, urlfilter, warc
+from strata.llm import chat, decontam, linededup, packing, quality, secret_scan, simhash, tokenfile, urlfilter, warc
 from strata.llm.common import table, written
 from strata.llm.oracle import ORACLE_SQL  # noqa: F401
 from strata.session import scratch_dir
@@ -64,12 +64,28 @@ def op5_simhash_near_dedup(spark, sf_dir):
     return found.select("row.doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_secret_scan(spark, sf_dir):
+    """Secret scan: pattern spans, and tokens that a battery of tests cannot tell from random ones."""
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents", "doc_id", "text"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"),
+        F.sha2(secret_scan.span_text(base), 256).alias("base_sha256"), secret_scan.span_text(F.col("spans")).alias("spans"))
+
+
 def op7_line_dedup(spark, sf_dir):
     """Line dedup: levelled sorted runs of line hashes over batches of documents."""
     done = linededup.drop_shared_lines(table(spark, sf_dir, "documents", "doc_id", "text"))
     return done.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op8_benchmark_decontamination(spark, sf_dir):
+    """Benchmark decontamination: template windows of documents and items, joined and checked for consistent values."""
+    return decontam.leaks(table(spark, sf_dir, "documents", "doc_id", "text"),
+                          table(spark, sf_dir, "benchmark", "item_id", "text")).drop("text_hash")
+
+
 def op9_token_files(spark, sf_dir):
     """Token files: ids of all documents in doc_id order, Elias-Fano boundaries, read back from the files."""
     folder = scratch_dir(spark, "token-files")
@@ -92,7 +108,9 @@ QUERIES = {
     "op3_warc": op3_warc,
     "op4_url_filter": op4_url_filter,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_secret_scan": op6_secret_scan,
     "op7_line_dedup": op7_line_dedup,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_token_files": op9_token_files,
     "op10_chat_formatting": op10_chat_formatting,
 }
