@@ -141,15 +141,11 @@ def thresholds(sketch: DataFrame, min_docs: int = MIN_DOCS, fence: int = FENCE)
 
 
 def judge(docs: DataFrame, keep_row: bool = True, min_docs: int = MIN_DOCS) -> DataFrame:
-    """Every row of ``docs`` with its base counts, ``base_failed``, ``kept`` and ``failed_metrics``.
-
-    ``keep_row=False`` carries ``doc_id`` alone inside ``row`` and computes the counts once, through a small written
-    table; with whole rows the counts are computed again beside them instead of writing the texts a second time.
-    """
-    based = with_base(docs, keep_row)
-    if not keep_row:
-        based = written(based, "quality-base")
-    limits = written(thresholds(sketches(based if not keep_row else with_base(docs, False)), min_docs), "quality-limits")
+    """Every row of ``docs`` with its base counts, ``base_failed``, ``kept`` and ``failed_metrics``; ``row`` holds the
+    whole row, or with ``keep_row=False`` its doc_id alone. The counts are written once and read for the sketches and
+    for the verdict: a filter on them would otherwise be pushed below their expressions and evaluate these again."""
+    based = written(with_base(docs, keep_row), "quality-base")
+    limits = written(thresholds(sketches(based), min_docs), "quality-limits")
     limits = limits.withColumnsRenamed({"lang": "t_lang", "source": "t_source"}).withColumn(
         "t_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salted = based.withColumn("_salt", F.pmod(F.xxhash64("row.doc_id", "word_chars", "n_words"), F.lit(SALTS)))
