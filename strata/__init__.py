@@ -2,11 +2,10 @@
 
 Sub-packages:
 
-* ``sources``   -- contract-checked readers (CSV, Parquet/Delta layers, derived and synthetic feeds, checksums)
+* ``sources``   -- contract-checked readers (CSV, Parquet/Delta layers, the derived feed), checksums, file operations
 * ``functions`` -- Column-expression builders (flags, bands, lookups, rule scores, blank predicates, rounding)
 * ``operators`` -- DataFrame -> DataFrame transforms (bronze, silver, gold, quality rules, profiler, verification)
 * ``plans``     -- layer IO, reports, publication, the end-to-end layered run and the query catalogue
-* ``streaming`` -- the incremental (file-stream) form of the bronze ingest
 
 Every operator is built from DataFrame operations and built-in functions; there are no Python UDFs.
 """

@@ -10,7 +10,6 @@
     python -m strata profile  --input raw.csv --output profile.md
     python -m strata admit    --source landing.csv --destination raw/customer_churn [--force]
     python -m strata publish  --root lake --schema churn [--scope gold] [--register]
-    python -m strata generate --rows 100 --seed 42 --output synthetic_csv   (or --keys-from t.parquet --key k)
     python -m strata run      --input raw.csv --root lake --reports reports/
 
 Every command builds (or reuses) a session with the session contract and leaves it running for the caller when
@@ -22,6 +21,7 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+import uuid
 
 from strata import spec as S
 from strata.operators import quality, rulesets, verify
@@ -31,21 +31,25 @@ from strata.plans import flow, publish
 from strata.plans.layers import LayerPaths, copy_layers, write_layer, write_observed
 from strata.plans.reports import build_profile_report, write_quality_reports
 from strata.session import get_session
-from strata.sources.files import read_contract_csv, read_layer, write_contract_csv
-from strata.sources.synthetic import synthetic_feed
+from strata.sources import fs
+from strata.sources.files import read_contract_csv, read_layer
 
 
 def _bronze(spark, a):
     bronze = to_bronze(read_contract_csv(spark, a.input), a.input, run_ts=run_timestamp(), blank_mode=a.blank_mode)
     checks = rulesets.bronze_validator()
-    metrics = write_observed(bronze, a.output, quality.row_rule_metrics(checks, bronze.columns), a.format)
-    quality.enforce(read_layer(spark, a.output, a.format), checks, "bronze", metrics)
+    parent, _, name = a.output.rstrip("/").rpartition("/")
+    staged = f"{parent}/_staging-{uuid.uuid4().hex[:12]}/{name}"
+    metrics = write_observed(bronze, staged, quality.row_rule_metrics(checks, bronze.columns), a.format)
+    quality.enforce(read_layer(spark, staged, a.format), checks, "bronze", metrics)
+    fs.replace(spark, staged, a.output)
+    fs.delete(spark, staged.rpartition("/")[0])
     print(f"bronze rows written: {metrics['_rows']}\nbronze output path: {a.output}")
 
 
 def _quality(spark, a):
     result = quality.run_checks(read_layer(spark, a.input, a.format), rulesets.bronze_checks(), S.DATASET_NAME)
-    write_quality_reports(result, a.json_output, a.markdown_output)
+    write_quality_reports(spark, result, a.json_output, a.markdown_output)
     print(f"quality dataset: {result.dataset}\nrows checked: {result.row_count}\n"
           f"critical failures: {result.failed_critical_count}")
     if not result.passed:
@@ -91,8 +95,7 @@ def _kpi_test(spark, a):
     if a.expected == "public-sample":
         expected = dict(S.PUBLIC_SAMPLE_KPIS)
     else:
-        with open(a.expected, encoding="utf-8") as fh:
-            expected = json.load(fh)
+        expected = json.loads(fs.read_text(spark, a.expected))
     verify.assert_kpis(read_layer(spark, a.input, a.format), expected, a.tolerance)
     print("gold KPI tests passed")
 
@@ -101,13 +104,10 @@ def _profile(spark, a):
     raw = read_contract_csv(spark, a.input, enforce_header=False)
     text = build_profile_report(
         raw, a.input, S.RAW_COLUMNS, "customerID",
-        ["gender", "SeniorCitizen", "Contract", "InternetService", "PaymentMethod", "Churn"],
-        ["tenure", "MonthlyCharges", "TotalCharges"],
-        ["customerID", "tenure", "MonthlyCharges", "TotalCharges", "Churn"],
+        list(S.PROFILE_CATEGORICAL), list(S.PROFILE_NUMERIC), list(S.PROFILE_SAMPLE),
     )
-    with open(a.output, "w", encoding="utf-8") as fh:
-        fh.write(text)
-    print(f"report written to: {a.output}")
+    fs.write_text(spark, a.output, text)
+    print(f"report written to: {a.output}\n\n{text.partition('## Category')[0]}")
 
 
 def _admit(spark, a):
@@ -122,18 +122,6 @@ def _publish(spark, a):
         print(f"{step['action']}: {step['statement']}")
 
 
-def _generate(spark, a):
-    if a.keys_from:
-        keys, key = read_layer(spark, a.keys_from, a.keys_format).select(a.key), a.key
-    elif a.rows and a.rows > 0:
-        keys, key = spark.range(1, a.rows + 1), "id"  # SYNTH-00001 ... like a 1-based row index
-    else:
-        raise ValueError("give --keys-from (with --key) or --rows >= 1")
-    write_contract_csv(synthetic_feed(keys, key, seed=a.seed), a.output, mode="overwrite" if a.force else
-                       "errorifexists")
-    print(f"generated synthetic rows at {a.output}")
-
-
 def _run(spark, a):
     reports = a.reports.rstrip("/") if a.reports else None
     summary = flow.run_layers(
@@ -142,7 +130,6 @@ def _run(spark, a):
         markdown_report=f"{reports}/customer_churn_bronze_quality.md" if reports else None,
         blank_mode=a.blank_mode,
         risk_order=a.risk_order,
-        staged=a.staged,
     )
     print(json.dumps({"bronze_rows": summary.bronze_rows, "silver_rows": summary.silver_rows,
                       "gold_rows": summary.gold_rows,
@@ -206,21 +193,12 @@ def build_parser() -> argparse.ArgumentParser:
     c.add_argument("--catalog")
     c.add_argument("--scope", default="gold", choices=list(publish.SCOPES))
     c.add_argument("--register", action="store_true")
-    c = cmd("generate", _generate, "synthetic raw feed: one subscriber per key of a table, or --rows N")
-    c.add_argument("--keys-from")
-    c.add_argument("--keys-format", default="parquet")
-    c.add_argument("--key", default="id")
-    c.add_argument("--rows", type=int)
-    c.add_argument("--output", required=True)
-    c.add_argument("--seed", type=int, default=42)
-    c.add_argument("--force", action="store_true")
     c = cmd("run", _run, "the whole layered run: ingest -> gate -> silver -> gold")
     c.add_argument("--input", required=True, help="landing CSV file or folder (contract header, 21 columns)")
     c.add_argument("--root", required=True, help="lake root; layers go to <root>/<layer>/customer_churn")
     c.add_argument("--reports", help="folder for the JSON and Markdown quality reports")
     c.add_argument("--blank-mode", default="default", choices=["default", "strict"])
     c.add_argument("--risk-order", default="global", choices=list(flow.RISK_ORDERS))
-    c.add_argument("--staged", action="store_true", help="gate bronze in a staging folder before promoting it")
     return p
 
 

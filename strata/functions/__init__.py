@@ -9,7 +9,8 @@ from strata.functions.expr import (
     is_missing,
     is_negative,
     lookup,
-    money_sum,
+    exact_avg,
+    exact_sum,
     outside_domain,
     round_half_up,
     rule_score,
@@ -27,7 +28,8 @@ __all__ = [
     "is_missing",
     "is_negative",
     "lookup",
-    "money_sum",
+    "exact_avg",
+    "exact_sum",
     "outside_domain",
     "round_half_up",
     "rule_score",

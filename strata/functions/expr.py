@@ -9,8 +9,7 @@ Semantics that matter (see the README for the full list):
 * ``is_missing``: NULL, or blank after trimming spaces of the value cast to string.
 * ``outside_domain``: NULL counts as outside (three-valued logic would otherwise drop it).
 * ``is_negative``: NULL and NaN are *not* negative.
-* ``round_half_up``: HALF_UP through ``decimal(38,10)``; the same expression is used in the SQL oracle so
-  both engines round identically.
+* ``round_half_up``: one rounding, HALF_UP, of the double's shortest decimal form;
 """
 
 from __future__ import annotations
@@ -145,18 +144,36 @@ def is_negative(c: str | Column) -> Column:
     return col_of(c) < F.lit(0)
 
 
-def money_sum(c: str | Column, scale: int = 2) -> Column:
-    """Exact sum of an amount with ``scale`` decimals (``decimal(18, scale)`` in, ``decimal(28, scale)`` out).
+EXACT = "decimal(28,10)"
 
-    A double sum over billions of rows drifts by cents or more; a decimal sum does not. ``try_cast`` turns NaN
-    into NULL (skipped) instead of failing under ANSI mode.
-    """
-    return F.sum(col_of(c).try_cast(f"decimal(18,{scale})"))
 
+def sum_parts(c: str | Column) -> dict[str, Column]:
+    """Partial aggregates from which the sum and the average of a column follow, in one or in several levels:
+    ``exact`` (decimal sum), ``approx`` (double sum), ``odd`` (values that the decimal cannot hold), ``n`` (values)."""
+    value = col_of(c)
+    exact = value.try_cast(EXACT)
+    return {"exact": F.sum(exact), "approx": F.sum(value.cast("double")),
+            "odd": F.count_if(value.isNotNull() & exact.isNull()), "n": F.count(value)}
 
-def round_half_up(c: str | Column, scale: int = 2) -> Column:
-    """Round HALF_UP to ``scale`` places through ``decimal(38,10)`` and return a double.
 
-    ``try_cast`` keeps NaN / infinity from raising under ANSI mode (they become NULL).
-    """
-    return F.round(col_of(c).try_cast("decimal(38,10)"), scale).cast("double")
+def total_of(exact: Column, approx: Column, odd: Column) -> Column:
+    """The exact sum; the double sum where a value does not fit the decimal (never a sum that leaves it out)."""
+    return F.when(odd == 0, exact.cast("double")).otherwise(approx)
+
+
+def exact_sum(c: str | Column) -> Column:
+    """Sum of all values as they are, exact to ten places and independent of the order of the rows."""
+    p = sum_parts(c)
+    return total_of(p["exact"], p["approx"], p["odd"])
+
+
+def exact_avg(c: str | Column) -> Column:
+    """Exact sum over the number of values; NULL without any."""
+    p = sum_parts(c)
+    return total_of(p["exact"], p["approx"], p["odd"]) / F.nullif(p["n"], F.lit(0))
+
+
+def round_half_up(c: str | Column, scale: int = 2) -> Column:
+    """A double rounded HALF_UP to ``scale`` places, once, from its shortest decimal form; NaN becomes NULL."""
+    value = col_of(c).cast("double")
+    return F.when(~F.isnan(value), F.round(value, scale))

@@ -2,7 +2,8 @@
 
 * ``segment_rate_summary``: one grouped aggregate (partial + final hash aggregation: a hot group costs one row per
   map task in the shuffle, never a skewed reducer), ordered by rate and count with the group as the tie-break.
-* ``segment_rate_multi``: several single-column summaries and the global total in ONE scan via GROUPING SETS.
+* ``segment_rate_multi``: several single-column summaries and the global total in ONE scan; the grouping sets only
+  expand the few rows of the combined groups.
 * ``customer_risk``: row-level rule score and level; the full ordering is range-partitioned by Spark and uses the
   key as final tie-break, so range bounds can split even a value held by a third of the rows.
 * ``executive_kpis``: one global aggregate row.
@@ -14,7 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata import spec as S
-from strata.functions import money_sum, round_half_up, rule_score, threshold_band
+from strata.functions import exact_avg, exact_sum, round_half_up, rule_score, threshold_band
+from strata.functions.expr import sum_parts, total_of
 from strata.operators.bronze import _ts_literal
 
 DEFAULT_MEASURES = {"avg_monthly_charges": "monthly_charges", "avg_total_charges": "total_charges"}
@@ -36,7 +38,7 @@ def rate_aggregates(
         round_half_up(F.avg(flag_col) * 100, 2).alias(rate_name),
     ]
     for name, c in measures.items():
-        aggs.append(round_half_up(F.avg(c), 2).alias(name))
+        aggs.append(round_half_up(exact_avg(c), 2).alias(name))
     return aggs
 
 
@@ -72,15 +74,24 @@ def segment_rate_multi(
     flagged_name: str = "churned_customers",
     rate_name: str = "churn_rate_pct",
 ) -> DataFrame:
-    """All single-column segment summaries (and the grand total) in one scan and one shuffle.
+    """All single-column segment summaries (and the grand total) in one scan.
+
+    The rows are aggregated once by all ``groups`` together, into exact sums and counts; only those few rows are
+    expanded into the grouping sets. ``extra`` maps a name to (``"sum"`` or ``"avg"``, column).
 
     Output: ``segment`` (the grouping column name, ``__total__`` for the grand total), ``segment_value`` (as
     string, NULL group kept), the rate aggregates and ``extra`` aggregates.
     """
+    measures = DEFAULT_MEASURES if measures is None else measures
+    wanted = {**{name: ("avg", c) for name, c in measures.items()}, **(extra or {})}
+    flag_col = F.col(flag) if isinstance(flag, str) else flag
+    first = [F.count(F.lit(1)).alias("_rows"), F.sum(flag_col).alias("_flagged"), F.count(flag_col).alias("_flags")]
+    for name, (_, c) in wanted.items():
+        first += [part.alias(f"_{name}_{key}") for key, part in sum_parts(c).items()]
+    combined = df.groupBy(*groups).agg(*first)
     sets = [[c] for c in groups] + ([[]] if include_total else [])
-    aggs = rate_aggregates(flag, measures, count_name, flagged_name, rate_name)
-    aggs += [expr.alias(name) for name, expr in (extra or {}).items()]
-    g = df.groupingSets(sets, *groups).agg(*aggs, F.grouping_id().alias("_gid"))
+    again = [F.sum(c).alias(c) for c in combined.columns if c not in groups]
+    g = combined.groupingSets(sets, *groups).agg(*again, F.grouping_id().alias("_gid"))
     n = len(groups)
     segment = None
     value = None
@@ -90,10 +101,15 @@ def segment_rate_multi(
         segment = F.when(cond, F.lit(c)) if segment is None else segment.when(cond, F.lit(c))
         value = F.when(cond, F.col(c).cast("string")) if value is None else value.when(cond, F.col(c).cast("string"))
     segment = segment.otherwise(F.lit("__total__"))
-    measure_names = list((DEFAULT_MEASURES if measures is None else measures).keys())
-    metric_cols = [count_name, flagged_name, rate_name, *measure_names]
-    metric_cols += list((extra or {}).keys())
-    return g.select(segment.alias("segment"), value.alias("segment_value"), *metric_cols)
+    rate = F.col("_flagged").cast("double") / F.nullif(F.col("_flags"), F.lit(0)) * 100
+    out = [F.coalesce("_rows", F.lit(0)).alias(count_name), F.col("_flagged").cast("bigint").alias(flagged_name),
+           round_half_up(rate, 2).alias(rate_name)]
+    for name, (kind, _) in wanted.items():
+        total = total_of(*[F.col(f"_{name}_{key}") for key in ("exact", "approx", "odd")])
+        if kind == "avg":
+            total = total / F.nullif(F.col(f"_{name}_n"), F.lit(0))
+        out.append(round_half_up(total, 2).alias(name))
+    return g.select(segment.alias("segment"), value.alias("segment_value"), *out)
 
 
 def risk_score() -> Column:
@@ -142,10 +158,10 @@ def kpi_aggregates() -> dict[str, Column]:
         "total_customers": F.count(F.lit(1)),
         "churned_customers": F.sum("churn_flag").cast("bigint"),
         "overall_churn_rate_pct": round_half_up(F.avg("churn_flag") * 100, 2),
-        "avg_monthly_charges": round_half_up(F.avg("monthly_charges"), 2),
-        "estimated_monthly_revenue": round_half_up(money_sum("monthly_charges"), 2),  # exact at any row count
-        "avg_total_charges": round_half_up(F.avg("total_charges"), 2),
-        "avg_active_service_count": round_half_up(F.avg("active_service_count"), 2),
+        "avg_monthly_charges": round_half_up(exact_avg("monthly_charges"), 2),
+        "estimated_monthly_revenue": round_half_up(exact_sum("monthly_charges"), 2),  # exact at any row count
+        "avg_total_charges": round_half_up(exact_avg("total_charges"), 2),
+        "avg_active_service_count": round_half_up(exact_avg("active_service_count"), 2),
     }
 
 
@@ -173,10 +189,9 @@ def build_gold_tables(silver: DataFrame, run_ts=None) -> dict[str, DataFrame]:
 
 def gold_aggregates_one_scan(silver: DataFrame) -> DataFrame:
     """Segment summaries and executive KPIs from ONE scan of silver (grouping sets incl. the grand total)."""
-    kpi = kpi_aggregates()
     extra = {
-        "estimated_monthly_revenue": kpi["estimated_monthly_revenue"],
-        "avg_active_service_count": kpi["avg_active_service_count"],
+        "estimated_monthly_revenue": ("sum", "monthly_charges"),
+        "avg_active_service_count": ("avg", "active_service_count"),
     }
     return segment_rate_multi(silver, list(SEGMENT_TABLES.values()), extra=extra)
 

@@ -6,8 +6,8 @@ memory:
 * ``missing_by_column``: ONE aggregate with a ``count_if`` per column, then a stack to long form;
 * ``category_counts``: unpivot -> ``groupBy(column, value).count()``; the unpivot sits in the same stage as the
   partial aggregation, so one scan and one small shuffle serve every column;
-* ``numeric_profile``: ONE aggregate of invalid / negative counts and min / max per column, parsing text as
-  ``decimal(38,10)`` (blank or unparsable -> invalid);
+* ``numeric_profile``: ONE aggregate of invalid / negative counts and min / max per column; numeric columns are taken
+  as they are, text is parsed as a double (blank, unparsable or not finite -> invalid);
 * ``duplicate_keys``: ``groupBy(keys).count()`` with partial aggregation (hot keys collapse per task);
 * ``profile_summary``: row count, schema diff and non-blank duplicate ids from ONE grouped pass over the key.
 """
@@ -18,6 +18,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType, NumericType, StringType
 
 from strata.functions import is_blank, is_missing, strip_whitespace
 
@@ -29,10 +30,11 @@ def _stripped(c: str) -> Column:
 
 
 def missing_by_column(df: DataFrame, columns=None) -> DataFrame:
-    """(column_name, missing_rows): NULL or blank after stripping all whitespace."""
+    """(column_name, missing_rows): NULL, or for text blank after stripping all whitespace."""
     columns = list(columns or df.columns)
-    agg = df.agg(*[F.count_if(is_missing(c, strip_all_whitespace=True)).alias(f"_m{i}") for i, c in
-                   enumerate(columns)])
+    text = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
+    missing = [is_missing(c, strip_all_whitespace=True) if c in text else F.col(c).isNull() for c in columns]
+    agg = df.agg(*[F.count_if(m).alias(f"_m{i}") for i, m in enumerate(missing)])
     pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"_m{i}").alias("missing_rows"))
                       for i, c in enumerate(columns)])
     return agg.select(F.inline(pairs))
@@ -53,10 +55,16 @@ def ordered_categories(counts: DataFrame) -> DataFrame:
     return counts.orderBy("column_name", F.desc("row_count"), "category_value")
 
 
-def parse_decimal(c: str | Column) -> Column:
-    """Text -> decimal(38,10); blank or unparsable -> NULL."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.nullif(F.trim(c.cast("string")), F.lit("")).try_cast("decimal(38,10)")
+def parse_number(df: DataFrame, c: str) -> Column:
+    """A numeric column itself; text as a double, NULL when blank, unparsable or not finite."""
+    if isinstance(df.schema[c].dataType, NumericType):
+        value = F.col(c)
+        fractional = isinstance(df.schema[c].dataType, (DoubleType, FloatType))
+    else:
+        value, fractional = F.trim(F.col(c).cast("string")).try_cast("double"), True
+    if not fractional:
+        return value
+    return F.when(~F.isnan(value) & (F.abs(value) != F.lit(float("inf"))), value)
 
 
 def numeric_profile(df: DataFrame, columns) -> DataFrame:
@@ -64,7 +72,7 @@ def numeric_profile(df: DataFrame, columns) -> DataFrame:
     columns = list(columns)
     aggs = []
     for i, c in enumerate(columns):
-        v = parse_decimal(c)
+        v = parse_number(df, c)
         aggs += [
             F.count_if(v.isNull()).alias(f"_i{i}"),
             F.count_if(v < 0).alias(f"_n{i}"),
@@ -155,7 +163,7 @@ __all__ = [
     "missing_by_column",
     "numeric_profile",
     "ordered_categories",
-    "parse_decimal",
+    "parse_number",
     "profile",
     "profile_summary",
     "sample_rows",

@@ -7,10 +7,12 @@ tests and the oracle can compare them. Each summary is one aggregate per table.
 from __future__ import annotations
 
 import json
-import os
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
+
+from strata.sources import fs
 
 
 def layer_summary(df: DataFrame, layer: str, table_name: str, counts: dict[str, Column] | None = None) -> DataFrame:
@@ -61,31 +63,6 @@ def gold_summary(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def gold_summary_from_aggregate(multi: DataFrame, tables: dict[str, DataFrame], segment_of: dict[str, str],
-                                row_table: str, total_table: str) -> DataFrame:
-    """V8 for the five gold tables from the one-scan grouping-sets aggregate (``gold.gold_aggregates_one_scan``)
-    instead of one scan per table: a segment table has one row per group of its segment, the row-level table as
-    many rows as the grand total counts, the KPI table exactly one row. Column counts come from the table schemas
-    (no job). One pass over the per-segment counts: each segment row emits the rows of its own tables."""
-    counts = multi.groupBy("segment").agg(
-        F.count(F.lit(1)).alias("groups"), F.max("total_customers").alias("customers"))
-    structs = []
-    for name, df in tables.items():
-        segment = segment_of.get(name, "__total__")
-        mine = F.col("segment") == segment
-        if name == total_table:
-            row_count = F.lit(1)
-        elif name == row_table:
-            row_count = F.col("customers")
-        else:
-            row_count = F.col("groups")
-        for metric, value in (("row_count", row_count), ("column_count", F.lit(len(df.columns)))):
-            structs.append(F.struct(
-                F.lit("gold").alias("layer"), F.lit(name).alias("table_name"), F.lit(metric).alias("metric"),
-                F.when(mine, value.cast("bigint")).alias("value")))
-    return counts.select(F.inline(F.array(*structs))).filter(F.col("value").isNotNull())
-
-
 # The columns each layer's verification previews (gold tables preview every column).
 PREVIEW_COLUMNS = {
     "bronze": ["customer_id", "tenure", "monthly_charges", "total_charges", "total_charges_was_blank", "churn"],
@@ -99,64 +76,61 @@ def preview(df: DataFrame, columns=None, n: int = 5) -> DataFrame:
     return df.select(*(columns or df.columns)).limit(n)
 
 
+#: the metric that says whether a KPI table has exactly one row
+ONE_ROW = "row_count"
+
+
 def kpi_comparison(actual: DataFrame, expected: DataFrame, tolerance: float = 0.01) -> DataFrame:
-    """V5: compare one-row KPI frames column by column -> (metric, actual, expected, passed).
+    """V5: compare KPI frames metric by metric -> (metric, actual, expected, passed).
 
-    Both frames are turned into long form and combined by a grouped aggregate (no join of single rows).
-    Integer metrics must be equal, fractional ones within ``tolerance``.
+    Every metric of either side is listed, and one that a side lacks fails; so does a NULL. ``row_count`` is a metric
+    too: both frames must have exactly one row. Whole-number columns (by type, on both sides) must be equal, others
+    within ``tolerance``. Values are compared as decimals, so large whole numbers keep every digit.
     """
-    metrics = [c for c in actual.columns if c in expected.columns]
+    whole = lambda df, c: isinstance(df.schema[c].dataType, IntegralType)
 
     def long(df: DataFrame, side: str) -> DataFrame:
-        pairs = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias(side)) for m in metrics])
-        return df.select(F.inline(pairs))
-
-    a = long(actual, "actual").withColumn("expected", F.lit(None).cast("double"))
-    e = long(expected, "expected").withColumn("actual", F.lit(None).cast("double"))
-    both = a.unionByName(e).groupBy("metric").agg(F.max("actual").alias("actual"), F.max("expected").alias("expected"))
-    integral = (F.col("expected") == F.floor(F.col("expected"))) & (F.col("actual") == F.floor(F.col("actual")))
-    passed = F.coalesce(
-        F.when(integral, F.col("actual") == F.col("expected")).otherwise(
-            F.abs(F.col("actual") - F.col("expected")) <= F.lit(tolerance)
-        ),
-        F.lit(False),
-    )
-    return both.select("metric", "actual", "expected", passed.alias("passed"))
+        kind = "decimal(38,8)"
+        one = df.agg(F.count(F.lit(1)).alias(ONE_ROW), *[F.first(c).alias(c) for c in df.columns])
+        pairs = [F.struct(F.lit(ONE_ROW).alias("metric"), F.col(ONE_ROW).cast(kind).alias("v"), F.lit(True).alias("w"))]
+        pairs += [F.struct(F.lit(c).alias("metric"), F.col(c).cast(kind).alias("v"), F.lit(whole(df, c)).alias("w"))
+                  for c in df.columns]
+        return one.select(F.inline(F.array(*pairs))).select("metric", F.lit(side).alias("side"), "v", "w")
+
+    of = lambda side, c: F.max(F.when(F.col("side") == side, F.col(c)))
+    both = long(actual, "actual").unionByName(long(expected, "expected")).groupBy("metric").agg(
+        of("actual", "v").alias("actual"), of("expected", "v").alias("expected"), F.bool_and("w").alias("whole"))
+    near = F.abs(F.col("actual") - F.col("expected")) <= F.lit(tolerance).cast("decimal(38,8)")
+    passed = (F.when(F.col("metric") == ONE_ROW, (F.col("actual") == 1) & (F.col("expected") == 1))
+              .when(F.col("whole"), F.col("actual") == F.col("expected")).otherwise(near))
+    return both.select("metric", F.col("actual").cast("double").alias("actual"),
+                       F.col("expected").cast("double").alias("expected"),
+                       F.coalesce(passed, F.lit(False)).alias("passed"))
 
 
 def assert_kpis(actual: DataFrame, expected: dict, tolerance: float = 0.01) -> None:
-    """V5 as an assertion: exactly one row; ints equal, floats within ``tolerance``."""
-    rows = actual.limit(2).collect()
-    if len(rows) != 1:
-        raise AssertionError(f"expected exactly one KPI row, found {len(rows)}")
-    row = rows[0].asDict()
-    for column, want in expected.items():
-        got = row[column]
-        if isinstance(want, float):
-            if got is None or abs(float(got) - want) > tolerance:
-                raise AssertionError(f"{column}: expected {want}, found {got}")
-        elif got != want:
-            raise AssertionError(f"{column}: expected {want}, found {got}")
-
-
-def output_completeness(root: str, tables: dict[str, str], marker: str = "_SUCCESS") -> list[tuple[str, bool]]:
-    """V10 for local folders: (table, complete) where complete means the commit marker exists."""
-    return [(name, os.path.exists(os.path.join(root, rel, marker))) for name, rel in tables.items()]
-
-
-def layer_completeness(spark, root: str, expected_tables) -> list[tuple[str, bool]]:
-    """V10 on any file system: a table is complete when Spark lists committed data files in its folder (files of
-    unfinished jobs stay in hidden ``_temporary`` folders, which the listing skips)."""
+    """V5 as an assertion: the failing metrics of :func:`kpi_comparison` among those expected, raised together."""
+    wanted = actual.sparkSession.createDataFrame([tuple(expected.values())], list(expected))
+    extra = [c for c in actual.columns if c not in expected]
+    result = kpi_comparison(actual.drop(*extra), wanted, tolerance).where(~F.col("passed")).orderBy("metric").collect()
+    if result:
+        raise AssertionError("; ".join(f"{r['metric']}: {r['actual']} instead of {r['expected']}" for r in result))
+
+
+def layer_completeness(spark, root: str, expected_tables) -> list[tuple[str, str]]:
+    """V10 on any file system: (table, state) for every expected or found table, by commit marker: ``complete``,
+    ``missing`` (no committed folder), or ``unexpected`` (committed, not expected)."""
     from strata.plans.publish import discover_tables
 
     found = {name for name, _, _ in discover_tables(spark, root)}
-    return [(name, name in found) for name in expected_tables]
+    wanted = set(expected_tables)
+    state = lambda name: ("complete" if name in found else "missing") if name in wanted else "unexpected"
+    return [(name, state(name)) for name in sorted(wanted | found)]
 
 
-def report_regression(report_path: str, dataset: str, column_count: int) -> list[str]:
+def report_regression(spark, report_path: str, dataset: str, column_count: int) -> list[str]:
     """Problems found in a written JSON quality report (empty list = fine)."""
-    with open(report_path, encoding="utf-8") as fh:
-        report = json.load(fh)
+    report = json.loads(fs.read_text(spark, report_path))
     problems = []
     if report.get("dataset") != dataset:
         problems.append("dataset name differs")

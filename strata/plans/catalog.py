@@ -1,26 +1,28 @@
 """Query catalogue: every registered query reads the driver tables (or frames Spark derives from them).
 
-Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame. Timestamps and paths are left out of the
-compared queries (they differ per run); every computed column carries the alias used by the SQL oracle.
+Each entry takes ``(spark, sf_dir)`` and returns a DataFrame. Most are lazy; those that check written tables run the
+writes when they are called and return the tables read back. Paths are left out of the compared queries (they differ
+per run); every computed column carries the alias used by the SQL oracle.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions import band, money_sum, round_half_up, threshold_band
+from strata.functions import band, exact_avg, exact_sum, round_half_up, threshold_band
 from strata.operators import gold, profile, quality, rulesets, verify
 from strata.operators.bronze import to_bronze
 from strata.operators.silver import to_silver
 from strata.plans import flow, publish
+from strata.plans.layers import LayerPaths, copy_layers
 from strata.session import scratch_dir
-from strata.sources.feed import dirty_feed, feed_columns, subscriber_feed
-from strata.sources.files import file_checksums, write_contract_csv
-from strata.sources.synthetic import synthetic_feed
-from strata.spec import RAW_COLUMNS
+from strata.sources.feed import OPTION_MULTIPLIERS, dirty_feed, feed_columns, subscriber_feed
+from strata.sources.files import write_contract_csv
+from strata.spec import GOLD_TABLES, PROFILE_CATEGORICAL, RAW_COLUMNS
 
 FEED_SOURCE = "derived:orders"
 # a fixed run timestamp for the compared layers, so the lineage checks see a populated value
@@ -163,7 +165,7 @@ def q_profile_missing(spark, sf_dir):
     return docs.unionByName(cust).unionByName(raw)
 
 
-FEED_CATEGORICAL = ["gender", "SeniorCitizen", "Contract", "InternetService", "PaymentMethod", "Churn"]
+FEED_CATEGORICAL = list(PROFILE_CATEGORICAL)
 
 
 def q_profile_categories(spark, sf_dir):
@@ -246,7 +248,7 @@ def q_balance_band(spark, sf_dir):
     banded = cust.withColumn("balance_band", threshold_band("c_acctbal", BALANCE_BANDS, "high", op="<"))
     return banded.groupBy("balance_band").agg(
         F.count(F.lit(1)).alias("customers"),
-        round_half_up(F.avg("c_acctbal"), 2).alias("avg_balance"),
+        round_half_up(exact_avg("c_acctbal"), 2).alias("avg_balance"),
     )
 
 
@@ -256,7 +258,7 @@ def q_part_size_band(spark, sf_dir):
     banded = part.withColumn("size_band", band("p_size", PART_SIZE_BANDS, "extra_large"))
     return banded.groupBy("size_band").agg(
         F.count(F.lit(1)).alias("parts"),
-        round_half_up(F.avg("p_retailprice"), 2).alias("avg_retailprice"),
+        round_half_up(exact_avg("p_retailprice"), 2).alias("avg_retailprice"),
     )
 
 
@@ -267,49 +269,104 @@ def q_kpis_lineitem(spark, sf_dir):
         F.count(F.lit(1)).alias("line_count"),
         F.count_if(F.col("l_returnflag") == "R").alias("returned_lines"),
         round_half_up(F.avg(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)) * 100, 2).alias("return_rate_pct"),
-        round_half_up(F.sum("l_quantity"), 2).alias("total_quantity"),
-        round_half_up(F.avg("l_extendedprice"), 2).alias("avg_extendedprice"),
-        round_half_up(
-            F.sum(F.col("l_extendedprice").cast("decimal(18,2)") * (1 - F.col("l_discount").cast("decimal(18,2)"))), 2
-        ).alias("net_revenue"),
+        round_half_up(exact_sum("l_quantity"), 2).alias("total_quantity"),
+        round_half_up(exact_avg("l_extendedprice"), 2).alias("avg_extendedprice"),
+        round_half_up(exact_sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("net_revenue"),
     )
 
 
-# --- verification, round trip, admission, checksums, synthetic source -------------------------------------------
+OPTIONS = tuple(name for name, _ in OPTION_MULTIPLIERS)
+
+
+# --- verification, round trip, admission, publication, checksums ------------------------------------------------
+
+
+def written_layers(spark, sf_dir, name: str) -> str:
+    """L1 on the derived feed: root of a complete layered run under the shared scratch folder."""
+    root = f"{scratch_dir(spark, name)}/layers"
+    flow.run_layers(spark, feed(spark, sf_dir), root, run_ts=FIXED_RUN_TS, source_label=FEED_SOURCE)
+    return root
+
+
+def run_text(column: str):
+    """The run timestamp of a layer as text, so that it is compared like any other value."""
+    return F.date_format(column, "yyyy-MM-dd HH:mm:ss").alias(column)
 
 
 def q_layer_summary(spark, sf_dir):
-    """V6-V8: rows, columns and tracked counts of every layer table. Bronze and silver are one aggregate each;
-    the five gold tables are summarised from the one-scan gold aggregate (3 scans in all, not 7)."""
-    sil = silver(spark, sf_dir)
-    tables = gold.build_gold_tables(sil, run_ts=FIXED_RUN_TS)
-    gold_rows = verify.gold_summary_from_aggregate(
-        gold.gold_aggregates_one_scan(sil), tables, gold.SEGMENT_TABLES,
-        row_table="gold_customer_risk_summary", total_table="gold_executive_kpis")
+    """V6-V8: rows, columns and tracked counts of every table of a layered run, read back."""
+    root = written_layers(spark, sf_dir, "summary")
+    paths = LayerPaths(root)
+    tables = {name: flow.read_gold(spark, root, name) for name in GOLD_TABLES}
     return (
-        verify.bronze_summary(bronze(spark, sf_dir))
-        .unionByName(verify.silver_summary(sil))
-        .unionByName(gold_rows)
+        verify.bronze_summary(spark.read.parquet(paths.bronze))
+        .unionByName(verify.silver_summary(spark.read.parquet(paths.silver)))
+        .unionByName(verify.gold_summary(tables))
     )
 
 
+def q_written_segments(spark, sf_dir):
+    """K2, A1a-c, P18: the three segment tables of a layered run, read back with their run timestamp."""
+    root = written_layers(spark, sf_dir, "segments")
+    parts = [flow.read_gold(spark, root, name).withColumnRenamed(by, "segment_value").withColumn("segment", F.lit(by))
+             for name, by in gold.SEGMENT_TABLES.items()]
+    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return out.withColumn("gold_created_at_utc", run_text("gold_created_at_utc"))
+
+
+def q_written_risk(spark, sf_dir):
+    """The customer-risk table of a layered run, read back."""
+    risk = flow.read_gold(spark, written_layers(spark, sf_dir, "risk"), "gold_customer_risk_summary")
+    return risk.withColumn("gold_created_at_utc", run_text("gold_created_at_utc"))
+
+
+def q_copied_silver(spark, sf_dir):
+    """Silver of a layered run, copied with every other layer to a second root and read back there."""
+    root = written_layers(spark, sf_dir, "copy")
+    copy_layers(spark, LayerPaths(root), LayerPaths(f"{root}-copied"))
+    copied = spark.read.parquet(LayerPaths(f"{root}-copied").silver)
+    return copied.withColumns({c: run_text(c) for c in ("ingested_at_utc", "silver_transformed_at_utc")})
+
+
 def expected_kpis_from_orders(orders: DataFrame) -> DataFrame:
-    """Independent expectation straight from ``orders`` (the feed's charge is 18.25 + (floor(price) % 10051)/100)."""
+    """All seven KPIs straight from ``orders``: the feed's charge is 18.25 + (floor(price) % 10051)/100 a month, billed
+    for ``key * 31 % 73`` months; an order counts as churned when its status is F."""
+    derived = feed_columns(orders)
     cents = F.lit(1825) + F.floor(F.col("o_totalprice")) % 10051
+    months = (F.col("o_orderkey") * 31) % 73
+    services = sum(F.when(derived[c] == "Yes", 1).otherwise(0) for c in ("PhoneService", *OPTIONS))
+    churned = F.count_if(F.col("o_orderstatus") == "F")
+    rows = F.count(F.lit(1))
     return orders.agg(
-        F.count(F.lit(1)).alias("total_customers"),
-        F.count_if(F.col("o_orderstatus") == "F").alias("churned_customers"),
+        rows.alias("total_customers"),
+        churned.alias("churned_customers"),
+        round_half_up(churned / rows * 100, 2).alias("overall_churn_rate_pct"),
         round_half_up(F.avg(cents) / 100, 2).alias("avg_monthly_charges"),
         round_half_up(F.sum(cents) / 100, 2).alias("estimated_monthly_revenue"),
+        round_half_up(F.avg(cents * months) / 100, 2).alias("avg_total_charges"),
+        round_half_up(F.avg(services), 2).alias("avg_active_service_count"),
     )
 
 
 def q_kpi_reconciliation(spark, sf_dir):
-    """V5: gold KPIs reconciled with the same numbers computed from the source table (ints equal, floats +-0.01)."""
+    """V5: all seven gold KPIs reconciled with the same numbers computed from the source table."""
     actual = gold.executive_kpis(silver(spark, sf_dir), with_timestamp=False)
     return verify.kpi_comparison(actual, expected_kpis_from_orders(table(spark, sf_dir, "orders")))
 
 
+def q_quality_summary(spark, sf_dir):
+    """The failed-critical roll-up of the gate on the fault-injected feed."""
+    dirty = bronze(spark, sf_dir, dirty=True)
+    return quality.summary(quality.evaluate(dirty, rulesets.bronze_checks()), "bronze.customer_churn",
+                           len(dirty.columns))
+
+
+def q_quality_missing_column(spark, sf_dir):
+    """Q1: a bronze without one of its required columns fails the first check; only the row count is
+    checked beside it."""
+    return quality.evaluate(bronze(spark, sf_dir).drop("contract"), rulesets.bronze_checks())
+
+
 def q_layers_roundtrip(spark, sf_dir):
     """The feed as a contract CSV, every layer written and gated, gold KPIs read back."""
     base = scratch_dir(spark, "roundtrip")
@@ -318,36 +375,37 @@ def q_layers_roundtrip(spark, sf_dir):
     return flow.read_gold(spark, f"{base}/layers", "gold_executive_kpis").drop("gold_created_at_utc")
 
 
-def q_publish_dry_run(spark, sf_dir):
-    """Write every layer, discover the tables through Spark's file listing, and return the catalog
-    registration plan for all scopes without running it (rows-only check: locations differ per run)."""
-    base = scratch_dir(spark, "publish")
-    flow.run_layers(spark, feed(spark, sf_dir), f"{base}/layers", run_ts=FIXED_RUN_TS, source_label=FEED_SOURCE)
-    found = publish.discover_tables(spark, f"{base}/layers")
-    plan = publish.publish(spark, found, "customer_churn", scope="all", dry_run=True)
-    rows = [(p["table"], p["layer"], p["action"], p["statement"]) for p in plan]
-    return spark.createDataFrame(rows, "table_name string, layer string, action string, statement string")
+def q_published_kpis(spark, sf_dir):
+    """The gold tables of a layered run are discovered, registered in a catalog schema of their own, and the
+    KPI table is read through the catalog. The schema is dropped again; its tables are external, so the data stays."""
+    found = publish.discover_tables(spark, written_layers(spark, sf_dir, "publish"), scope="gold")
+    schema = f"strata_{uuid.uuid4().hex[:12]}"
+    publish.publish(spark, found, schema, dry_run=False)
+    kpis = spark.table(f"{schema}.gold_executive_kpis").drop("gold_created_at_utc")
+    kpis = spark.createDataFrame(kpis.collect(), kpis.schema)  # one row
+    spark.sql(f"DROP SCHEMA {schema} CASCADE")
+    return kpis
 
 
 def q_admission(spark, sf_dir):
-    """Admission checks of the feed written as a landing CSV (expected rows = orders)."""
+    """Admission checks of a landing of two parts (expected rows = orders); odd keys landed with the
+    first two columns swapped, header included. How many files a part has may differ, so the header check shows 1."""
     base = scratch_dir(spark, "admission")
-    write_contract_csv(feed(spark, sf_dir), f"{base}/landing")
+    odd = F.substring("customerID", -1, 1).isin("1", "3", "5", "7", "9")
+    raw = feed(spark, sf_dir)
+    swapped = [RAW_COLUMNS[1], RAW_COLUMNS[0], *RAW_COLUMNS[2:]]
+    write_contract_csv(raw.where(~odd), f"{base}/landing/part-a")
+    write_contract_csv(raw.where(odd).select(*swapped), f"{base}/landing/part-b")
     expected = table(spark, sf_dir, "orders").count()
-    return publish.admit(spark, f"{base}/landing", expected_rows=expected, id_prefix="C")
-
-
-def q_file_checksums(spark, sf_dir):
-    """SHA-256 of every table file, hashed on the executors (rows-only check: paths differ per run)."""
-    return file_checksums(spark, sf_dir, glob="*.parquet").select(
-        F.element_at(F.split("path", "/"), -1).alias("file_name"), "length", "sha256")
+    checks = publish.admit(spark, f"{base}/landing/part-*", expected_rows=expected, id_prefix="C")
+    shown = F.when(F.col("name") == "header_matches_contract", F.least("observed_count", F.lit(1))).otherwise(
+        F.col("observed_count"))
+    return checks.withColumn("observed_count", shown).withColumn("observed_value", shown.cast("string"))
 
 
-def q_synthetic_feed_profile(spark, sf_dir):
-    """One synthetic subscriber per order key, through bronze and silver, profiled by contract and risk."""
-    raw = synthetic_feed(table(spark, sf_dir, "orders"), "o_orderkey", seed=42)
-    sil = to_silver(to_bronze(raw, "synthetic", run_ts=FIXED_RUN_TS), run_ts=FIXED_RUN_TS)
-    return gold.segment_rate_summary(sil, ["contract", "internet_service"], with_timestamp=False)
+def q_text_checksums(spark, sf_dir):
+    """SHA-256 of every whole document text."""
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("sha256"))
 
 
 def usage_records(spark, sf_dir) -> DataFrame:
@@ -370,7 +428,7 @@ def q_usage_daily(spark, sf_dir):
     return usage_records(spark, sf_dir).groupBy("usage_date").agg(
         F.count(F.lit(1)).alias("records"),
         F.count_distinct("customer_id").alias("active_customers"),
-        round_half_up(money_sum("revenue"), 2).alias("revenue"),
+        round_half_up(exact_sum("revenue"), 2).alias("revenue"),
     )
 
 
@@ -425,9 +483,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_kpi_reconciliation": q_kpi_reconciliation,
     "q_layers_roundtrip": q_layers_roundtrip,
     "q_admission": q_admission,
-    "q_publish_dry_run": q_publish_dry_run,
-    "q_file_checksums": q_file_checksums,
-    "q_synthetic_feed_profile": q_synthetic_feed_profile,
+    "q_published_kpis": q_published_kpis,
+    "q_text_checksums": q_text_checksums,
+    "q_written_segments": q_written_segments,
+    "q_written_risk": q_written_risk,
+    "q_copied_silver": q_copied_silver,
+    "q_quality_summary": q_quality_summary,
+    "q_quality_missing_column": q_quality_missing_column,
     "q_usage_quality": q_usage_quality,
     "q_usage_daily": q_usage_daily,
     "q_message_quality": q_message_quality,

@@ -17,9 +17,9 @@ Spark actions per run (versus ~50 single-purpose actions in a job-per-check desi
    shared checkpoint folder (a few rows) and split into four tables: one job, one tiny count, four tiny writes;
 6. customer risk table: one sampled range-partitioned sort and write.
 
-Deviation from a validate-then-write bronze job: validating the CSV source before writing would parse it twice.
-Here the bronze folder is written first and validated immediately; when validation fails the run stops before
-silver, and the written bronze carries the failing report next to it.
+Validating the CSV source before writing would parse it twice. Here bronze is written to a staging folder, validated
+there, and renamed into its place: no reader ever sees a bronze that has not passed, and the last good one survives a
+failing run.
 
 A rerun overwrites every layer (idempotent, L3).
 """
@@ -31,13 +31,14 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import gold, quality, rulesets
 from strata.operators.bronze import run_timestamp, to_bronze
 from strata.operators.silver import to_silver
 from strata.plans.layers import LayerPaths, write_layer, write_observed
+from strata.sources import fs
 from strata.plans.reports import write_quality_reports
 from strata.session import checkpoint_root
 from strata.sources.files import read_contract_csv, read_layer
@@ -57,11 +58,6 @@ class LayerValidationError(ValueError):
     pass
 
 
-# aggregate gold tables up to this many rows (known from the checkpointed aggregate) are written as one sorted
-# file instead of a sampled range-partitioned sort
-SINGLE_FILE_MAX_ROWS = 10_000
-
-
 def ingest_bronze(spark: SparkSession, source: str | DataFrame, paths: LayerPaths, fmt: str = "parquet",
                   run_ts=None, blank_mode: str = "default", spec: SubscriberSpec = SUBSCRIBER,
                   source_label: str | None = None) -> tuple[int, dict]:
@@ -90,7 +86,7 @@ def quality_gate(spark: SparkSession, paths: LayerPaths, fmt: str = "parquet", j
     bronze = read_layer(spark, paths.bronze, fmt)
     result = quality.run_checks(bronze, rulesets.bronze_checks(spec), spec.dataset, sink_path=checks_table,
                                 metrics=metrics)
-    write_quality_reports(result, json_report, markdown_report)
+    write_quality_reports(spark, result, json_report, markdown_report)
     validator = validator_check_names(spec)
     for c in result.checks:
         if c["name"] in validator and c["status"] == "FAIL":
@@ -134,10 +130,14 @@ def write_gold_tables(spark: SparkSession, silver: DataFrame, path_of, fmt: str
     if risk_order not in RISK_ORDERS:
         raise ValueError(f"risk_order must be one of {RISK_ORDERS}")
     checkpoint_root(spark)
-    multi = gold.gold_aggregates_one_scan(silver).checkpoint(eager=True)
-    stats = multi.groupBy("segment").agg(F.count(F.lit(1)).alias("n"), F.max("total_customers").alias("t")).collect()
-    counts = {r["segment"]: r["n"] for r in stats}
-    customers = {r["segment"]: r["t"] for r in stats}
+    # one range sort for all segment tables (O1 within each); their rows keep that order when they are split
+    order = ("segment", F.desc("churn_rate_pct"), F.desc("total_customers"), F.asc_nulls_first("segment_value"))
+    segments = [*gold.SEGMENT_TABLES.values(), "__total__"]
+    seen = Observation(f"gold_{uuid.uuid4().hex[:12]}")
+    multi = gold.gold_aggregates_one_scan(silver).orderBy(*order).observe(
+        seen, *[F.count_if(F.col("segment") == s).alias(s) for s in segments],
+        F.max("total_customers").alias("customers")).checkpoint(eager=True)
+    counts = dict(seen.get)
     tables = gold.split_gold_aggregates(multi, run_ts, ordered=False)
     # validate every table before any write (V3), then build the write plans
     plans = {}
@@ -147,16 +147,8 @@ def write_gold_tables(spark: SparkSession, silver: DataFrame, path_of, fmt: str
         segment = gold.SEGMENT_TABLES.get(name, "__total__")
         if not counts.get(segment):
             raise LayerValidationError(f"{name} has zero rows.")
-        table = tables[name]
-        if segment != "__total__":
-            order = gold.segment_order(segment)
-            # size checked: a small summary is one sorted file; a large one is range-partitioned and sorted
-            if counts[segment] <= SINGLE_FILE_MAX_ROWS:
-                table = table.coalesce(1).sortWithinPartitions(*order)
-            else:
-                table = table.orderBy(*order)
-        plans[name] = table
-    if not customers.get("__total__"):
+        plans[name] = tables[name]
+    if not counts["customers"]:
         raise LayerValidationError("gold_executive_kpis: no customers (a global aggregate always has one row).")
     if risk_order == "global":
         risk = gold.customer_risk(silver, run_ts)
@@ -193,23 +185,23 @@ def run_layers(
     source_label: str | None = None,
     checks_table: str | None = None,
     risk_order: str = "global",
-    staged: bool = False,
 ) -> RunSummary:
     """Ingest -> gate -> silver -> gold; a failing stage raises and the later stages do not run.
 
     ``checks_table``: a folder where every run appends its bronze check rows (an audit table of the gate).
-    ``staged``: write bronze to ``<root>/_staging/<run id>`` first, gate that copy, and promote it to the bronze
-    folder only when the gate passes (a Parquet copy, no re-parse), so a failing run leaves the previous bronze in
-    place. Staging folders are hidden from table discovery and kept as an audit trail."""
+    Bronze is written to ``<root>/_staging/<run id>``, gated there, and renamed into its place when the gate passes:
+    a failing run leaves the previous bronze as it was, and the data is written once. The staging folder of a failed
+    run stays for inspection, hidden from table discovery."""
     run_ts = run_ts or run_timestamp()
     paths = LayerPaths(root, spec.entity)
     summary = RunSummary(paths)
-    landing = LayerPaths(f"{root.rstrip('/')}/_staging/{uuid.uuid4().hex[:12]}", spec.entity) if staged else paths
+    staging = f"{root.rstrip('/')}/_staging/{uuid.uuid4().hex[:12]}"
+    landing = LayerPaths(staging, spec.entity)
     summary.bronze_rows, metrics = ingest_bronze(spark, source, landing, fmt, run_ts, blank_mode, spec,
                                                  source_label)
     summary.quality = quality_gate(spark, landing, fmt, json_report, markdown_report, spec, checks_table, metrics)
-    if staged:
-        write_layer(read_layer(spark, landing.bronze, fmt), paths.bronze, fmt, count_rows=False)
+    fs.replace(spark, landing.bronze, paths.bronze)
+    fs.delete(spark, staging)
     summary.silver_rows = build_silver(spark, paths, fmt, run_ts, spec, keys_verified=True)
     summary.gold_rows = build_gold(spark, paths, fmt, run_ts, risk_order)
     return summary

@@ -1,4 +1,4 @@
-"""Publication (K8-K12): table naming, discovery, catalog registration, scope selection, dry run, and landing
+"""Publication (K8-K12): table naming, discovery by commit marker, catalog registration, scope selection, dry run, and landing
 admission.
 
 Registration uses the Spark catalog (``CREATE TABLE ... USING <fmt> LOCATION ...``): the data stays where the
@@ -7,19 +7,15 @@ layers wrote it. By default only the gold layer is published (governed exposure)
 
 from __future__ import annotations
 
-import os
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import quality as Q
-from strata.sources.files import (
-    CORRUPT_COLUMN,
-    file_checksums,
-    path_exists,
-    read_contract_csv,
-    write_contract_csv,
-)
+from strata.sources import fs
+from strata.sources.files import CORRUPT_COLUMN, file_checksums, first_lines, read_contract_csv
 from strata.spec import RAW_COLUMNS
 
 SCOPES = ("all", "bronze", "silver", "gold")
@@ -36,51 +32,26 @@ def table_name_for(layer: str, folder: str) -> str:
     return f"{layer}_{folder}" if layer in ("bronze", "silver") else folder
 
 
-def _layer_of(relative_parts) -> str:
-    return next((p for p in relative_parts if p in ("bronze", "silver", "gold")), "gold")
-
-
-def discover_tables(spark: SparkSession, root: str, scope: str = "all", file_glob: str = "*.parquet") -> list:
-    """K8 on any file system: list the data files under ``root`` with Spark (``binaryFile`` without reading the
-    content), take their folders, strip ``key=value`` partition folders, and name each table by its folder.
-
-    Hidden folders (``_delta_log``, ``_staging``) and marker files are skipped by Spark's file listing. Returns
-    sorted ``(name, layer, location)`` tuples; the list has one entry per table, so collecting it is cheap.
-    """
+def discover_tables(spark: SparkSession, root: str, scope: str = "all") -> list[tuple[str, str, str]]:
+    """K8 on any file system: the committed tables ``<root>/<layer>/<entity>[/<table>]``, as sorted (name, layer,
+    location). A table is a folder with a commit marker (``_SUCCESS`` or ``_delta_log``); its data files and
+    partition folders are never listed, so the work follows the number of tables, not of files. Folders without a
+    marker (unfinished writes) and hidden folders (staging) are no tables."""
     if scope not in SCOPES:
         raise ValueError(f"scope must be one of {SCOPES}")
-    base = root.rstrip("/") if scope == "all" else f"{root.rstrip('/')}/{scope}"
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", file_glob)
-        .load(base)
-        .select("path")
-    )
-    folder = F.regexp_extract("path", r"^(.*)/[^/]+$", 1)
-    table_folder = F.regexp_replace(folder, r"(/[^/=]+=[^/]*)+$", "")
-    locations = [r["location"] for r in files.select(table_folder.alias("location")).distinct().collect()]
-    root_name = root.rstrip("/").split("/")[-1]
-    found = []
-    for loc in locations:
-        parts = loc.split("/")
-        relative = parts[parts.index(root_name) + 1:] if root_name in parts else parts
-        layer = _layer_of(relative)
-        found.append((table_name_for(layer, parts[-1]), layer, loc))
-    return sorted(found)
-
-
-def discover_local_tables(root: str, scope: str = "all") -> list[tuple[str, str, str]]:
-    """K8 for a local folder tree: every folder holding a commit marker (``_delta_log`` or ``_SUCCESS``)."""
-    if scope not in SCOPES:
-        raise ValueError(f"scope must be one of {SCOPES}")
-    base = root if scope == "all" else os.path.join(root, scope)
-    found = []
-    for dirpath, dirnames, filenames in os.walk(base):
-        if any(m in dirnames or m in filenames for m in COMMIT_MARKERS):
-            layer = _layer_of(os.path.relpath(dirpath, root).split(os.sep))
-            found.append((table_name_for(layer, os.path.basename(dirpath)), layer, dirpath))
-            dirnames[:] = []
+    base, found = root.rstrip("/"), []
+
+    def look(layer: str, location: str, depth: int) -> None:
+        if any(fs.exists(spark, f"{location}/{m}") for m in COMMIT_MARKERS):
+            found.append((table_name_for(layer, location.rsplit("/", 1)[-1]), layer, location))
+        elif depth:
+            for name in fs.folders(spark, location):
+                if "=" not in name:
+                    look(layer, f"{location}/{name}", depth - 1)
+
+    for layer in SCOPES[1:] if scope == "all" else (scope,):
+        for name in fs.folders(spark, f"{base}/{layer}"):
+            look(layer, f"{base}/{layer}/{name}", 2)
     return sorted(found)
 
 
@@ -115,11 +86,20 @@ def publish(
     if not dry_run:
         for step in plan:
             spark.sql(step["statement"])
+            if step["table"] and fmt != "delta":
+                recover_partitions(spark, f"{namespace}.{quote_identifier(step['table'])}")
     for step in plan:
         step["action"] = ("would_" if dry_run else "") + step["action"]
     return plan
 
 
+def recover_partitions(spark: SparkSession, table: str) -> None:
+    """Register the ``key=value`` folders of a partitioned layer; a table without any needs none."""
+    columns = [r[0] for r in spark.sql(f"DESCRIBE TABLE {table}").collect()]
+    if "# Partition Information" in columns:
+        spark.sql(f"MSCK REPAIR TABLE {table}")
+
+
 def register_temp_views(spark: SparkSession, entries: list[tuple[str, str, str]], fmt: str = "parquet",
                         scope: str = "all") -> list[str]:
     """Expose layer tables outside the governed (gold) catalog scope as session-scoped temporary views,
@@ -137,25 +117,47 @@ def register_temp_views(spark: SparkSession, entries: list[tuple[str, str, str]]
 # --- landing admission (K12, Q20-Q24) ------------------------------------------------------------------------
 
 
+def _check(order: int, name: str, dimension: str, count, rule: str) -> list:
+    """The columns of one critical check row from its number of violations."""
+    return [F.lit(order).alias("check_order"), F.lit(name).alias("name"), F.lit(dimension).alias("dimension"),
+            F.lit("critical").alias("severity"), F.when(count == 0, "PASS").otherwise("FAIL").alias("status"),
+            count.cast("string").alias("observed_value"), count.cast("bigint").alias("observed_count"),
+            F.lit(rule).alias("rule")]
+
+
+def header_violations(spark: SparkSession, path: str, contract=RAW_COLUMNS) -> DataFrame:
+    """One row (n): files of ``path`` whose first line is not the contract header, empty files included."""
+    files = len(spark.read.text(path).inputFiles())
+    matching = F.count_if(F.regexp_replace("line", '^\ufeff|"', "") == F.lit(",".join(contract)))
+    return first_lines(spark, path).agg((F.lit(files) - matching).alias("n"))
+
+
+def checksum_violations(spark: SparkSession, path: str, pins: str | dict[str, str]) -> DataFrame:
+    """One row (n): files whose SHA-256 is not the pinned one, files without a pin, and pins without a file. ``pins``
+    is the digest of a single file, or a manifest (file name -> digest). Exactly the files that are read are hashed."""
+    sums = file_checksums(spark, path, recursive=False).select(
+        F.element_at(F.split("path", "/"), -1).alias("file"), "sha256")
+    if isinstance(pins, str):
+        # one pin is one file: none or several files are violations too
+        return sums.agg((F.count_if(F.col("sha256") != pins) + F.abs(F.count(F.lit(1)) - 1)).alias("n"))
+    manifest = spark.createDataFrame(sorted(pins.items()), "pinned_file string, pin string")
+    both = sums.join(manifest, F.col("file") == F.col("pinned_file"), "full")
+    return both.agg((F.count_if(~F.col("sha256").eqNullSafe(F.col("pin")))
+                     + F.when(F.count("file") == 0, 1).otherwise(0)).alias("n"))
+
+
 def admit(spark: SparkSession, path: str, expected_rows: int | None = None, id_column: str = "customerID",
-          id_prefix: str | None = None, checksum: str | None = None, contract=RAW_COLUMNS) -> DataFrame:
-    """Admission checks (Q20-Q24) of a landing CSV as a check DataFrame.
-
-    The header is read from the first line only and compared with the contract (names and order); for a landing
-    folder of several files that is the first file's header, and the bronze ingest's contract reader
-    (``enforceSchema=false``) still rejects any file whose header differs. The rows are read PERMISSIVE with a
-    corrupt-record column, so malformed lines are counted instead of failing the job.
-    Row count, malformed lines and id prefix are one aggregate; the checksum is hashed on the executors.
+          id_prefix: str | None = None, checksum: str | dict[str, str] | None = None,
+          contract=RAW_COLUMNS) -> DataFrame:
+    """Admission checks (Q20-Q24) of a landing CSV, a file or a folder of files, as a check DataFrame.
+
+    The first line of every file is compared with the contract (names and order). The rows are read PERMISSIVE with a
+    corrupt-record column, so malformed lines are counted instead of failing the job; row count, malformed lines and
+    id prefix are one aggregate. ``checksum``: see :func:`checksum_violations`.
     """
-    header = spark.read.option("header", True).csv(path).columns
     contract = list(contract)
-    mismatch = [f"{i}:{h}!={c}" for i, (h, c) in enumerate(zip(header, contract)) if h != c]
-    if len(header) != len(contract):
-        mismatch.append(f"columns {len(header)}!={len(contract)}")
     raw = read_contract_csv(spark, path, mode="PERMISSIVE", enforce_header=False, keep_corrupt=True)
     checks = [
-        Q.metadata("header_matches_contract", not mismatch, ", ".join(mismatch) or "None",
-                   rule="Header must equal the contract columns in order."),
         Q.row_count_positive(name="file_not_empty", rule="File must contain data rows."),
         # a line is malformed when the parser flags it or when no contract field holds a value (e.g. ",,,,");
         # the predicate reads every contract column, so every line is fully parsed
@@ -170,17 +172,13 @@ def admit(spark: SparkSession, path: str, expected_rows: int | None = None, id_c
             "id_prefix", ~F.coalesce(F.col(id_column).startswith(id_prefix), F.lit(False)), dimension="validity",
             rule=f"{id_column} must start with {id_prefix}.",
         ))
-    out = Q.evaluate(raw, checks)
+    out = header_violations(spark, path, contract).select(*_check(
+        1, "header_matches_contract", "validity", F.col("n"), "Every header must equal the contract columns in order."))
+    rows = Q.evaluate(raw, checks)
+    out = out.unionByName(rows.withColumn("check_order", F.col("check_order") + 1))
     if checksum is not None:
-        sums = file_checksums(spark, path, glob="*.csv", recursive=True)
-        agg = sums.agg(F.count_if(F.col("sha256") != checksum).alias("n"))
-        out = out.unionByName(agg.select(
-            F.lit(len(checks) + 1).alias("check_order"), F.lit("checksum_matches").alias("name"),
-            F.lit("integrity").alias("dimension"), F.lit("critical").alias("severity"),
-            F.when(F.col("n") == 0, "PASS").otherwise("FAIL").alias("status"),
-            F.col("n").cast("string").alias("observed_value"), F.col("n").cast("bigint").alias("observed_count"),
-            F.lit("File must match the pinned SHA-256.").alias("rule"),
-        ))
+        out = out.unionByName(checksum_violations(spark, path, checksum).select(*_check(
+            len(checks) + 2, "checksum_matches", "integrity", F.col("n"), "Files must match the pinned SHA-256.")))
     return out
 
 
@@ -189,15 +187,23 @@ class AdmissionError(RuntimeError):
 
 
 def promote(spark: SparkSession, path: str, destination: str, force: bool = False, **admit_kwargs) -> int:
-    """Admit the landing file, then write it to the raw zone; refuses to overwrite unless ``force``.
-
-    The raw copy is written as the contract CSV; without ``force`` the write uses ``errorifexists``.
-    """
-    if not force and path_exists(spark, destination):
+    """Install the landing files byte for byte. They are copied to a staging name beside ``destination``, the
+    checks run on that copy, and a rename puts it in place; refuses to overwrite unless ``force``, and even then what
+    was there stays until the rename. Returns the number of rows installed."""
+    if not force and fs.exists(spark, destination):
         raise FileExistsError(f"Refusing to overwrite {destination}; pass force=True to replace it.")
-    failed = [r for r in admit(spark, path, **admit_kwargs).collect() if r["status"] == "FAIL"]
-    if failed:
-        raise AdmissionError("; ".join(f"{r['name']}={r['observed_value']}" for r in failed))
-    raw = read_contract_csv(spark, path)
-    write_contract_csv(raw, destination, mode="overwrite" if force else "errorifexists")
-    return spark.read.option("header", True).csv(destination).count()
+    parent, _, name = destination.rstrip("/").rpartition("/")
+    staged = f"{parent}/_installing-{uuid.uuid4().hex[:12]}/{name}"
+    fs.copy(spark, path, staged)
+    try:
+        # rows of the copy: the name of a hidden folder does not matter to a path given in full
+        rows = admit(spark, staged, **admit_kwargs).collect()
+        failed = [r for r in rows if r["status"] == "FAIL"]
+        if failed:
+            raise AdmissionError("; ".join(f"{r['name']}={r['observed_value']}" for r in failed))
+        fs.replace(spark, staged, destination)
+    except AnalysisException as exc:
+        raise AdmissionError(str(exc)) from exc
+    finally:
+        fs.delete(spark, staged.rpartition("/")[0])
+    return next(r["observed_count"] for r in rows if r["name"] == "file_not_empty")

@@ -3,12 +3,13 @@
 * the session time zone is UTC, so run timestamps and report times are unambiguous;
 * AQE is on, so shuffle partition counts coalesce at run time and skewed partitions are split;
 * an existing session is reused and never stopped here (the caller owns it);
-* scratch tables live under the cluster's shared ``spark.checkpoint.dir``; only when that is unset
-  (local tests) a fresh local folder is chosen.
+* scratch tables live under the cluster's shared ``spark.checkpoint.dir``; a fresh local folder is chosen only when
+  that is unset and the master is local, elsewhere an unset folder is an error.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -75,7 +76,7 @@ def apply_session_contract(spark: SparkSession, conf: dict | None = None) -> Non
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the cluster; set a local one only when none is configured.
+    """The shared checkpoint folder of the cluster; a local one only when none is configured and the master is local.
 
     Under Spark Connect (no SparkContext on the client) the folder must come from ``spark.checkpoint.dir``.
     """
@@ -90,6 +91,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if current:
         return current
     if not configured:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="strata-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

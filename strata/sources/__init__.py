@@ -1,2 +1,2 @@
-"""Sources: the contract CSV reader/writer and layer reader (``files``), the raw feed derived from ``orders``
-(``feed``) and the hash-seeded synthetic feed (``synthetic``)."""
+"""Sources: the contract CSV reader/writer and layer reader (``files``), file operations on any file system
+(``fs``) and the raw feed derived from ``orders`` (``feed``)."""

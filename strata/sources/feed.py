@@ -4,7 +4,7 @@ The test data has no subscriber table, so the raw 21-column feed is derived from
 (identical on any SQL engine). With ``k = o_orderkey``, ``t = (k*31) % 73`` and
 ``c = 1825 + floor(o_totalprice) % 10051`` (cents):
 
-customerID ``C`` + k padded to 10; gender Female when k even; SeniorCitizen 1 when k%7=0; Partner / Dependents /
+customerID ``C`` + k padded to at least 10 digits; gender Female when k even; SeniorCitizen 1 when k%7=0; Partner / Dependents /
 PaperlessBilling Yes when k%3 / k%5 / k%4 = 0; tenure t; PhoneService No when k%10=0; MultipleLines
 ``No phone service`` when k%10=0, else Yes when k%4<2; InternetService by k%9 (0-1 No, 2-4 DSL, 5-8 Fiber optic);
 the six internet options ``No internet service`` when k%9<2, else Yes when (k*p)%11<5; Contract from the order
@@ -35,6 +35,12 @@ PRIORITY_CONTRACT = {"3-MEDIUM": "One year", "4-NOT SPECIFIED": "Two year"}
 DEFAULT_CONTRACT = "Month-to-month"
 
 
+def _identifier(key: Column) -> Column:
+    """``C`` and the key with at least ten digits; a longer key keeps all of them."""
+    digits = key.cast("string")
+    return F.concat(F.lit("C"), F.lpad(digits, F.greatest(F.length(digits), F.lit(10)), F.lit("0")))
+
+
 def _money(cents: Column) -> Column:
     return F.format_string("%d.%02d", F.floor(cents / 100), cents % 100)
 
@@ -56,7 +62,7 @@ def feed_columns(orders: DataFrame) -> dict[str, Column]:
     payment = F.element_at(F.array(*[F.lit(p) for p in PAYMENT_METHODS]), (k % 4 + 1).cast("int"))
     yes_if = lambda cond: F.when(cond, F.lit("Yes")).otherwise(F.lit("No"))
     return {
-        "customerID": F.concat(F.lit("C"), F.lpad(k.cast("string"), 10, "0")),
+        "customerID": _identifier(k),
         "gender": F.when(k % 2 == 0, F.lit("Female")).otherwise(F.lit("Male")),
         "SeniorCitizen": F.when(k % 7 == 0, F.lit("1")).otherwise(F.lit("0")),
         "Partner": yes_if(k % 3 == 0),
@@ -89,7 +95,7 @@ def dirty_feed(orders: DataFrame) -> DataFrame:
     cols = feed_columns(orders)
     k = F.col("o_orderkey")
     r = k % 1000
-    prev_id = F.concat(F.lit("C"), F.lpad((k - 1).cast("string"), 10, "0"))
+    prev_id = _identifier(k - 1)
     t = (k * 31) % 73
     faults = {
         "customerID": [(r == 1, F.lit("")), (r == 12, prev_id)],

@@ -59,33 +59,29 @@ def write_contract_csv(df: DataFrame, path: str, mode: str = "errorifexists") ->
         raise
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists on any Hadoop-compatible file system (a listing, no job)."""
-    try:
-        spark.read.format("binaryFile").load(path)
-        return True
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc):
-            return False
-        raise
-
-
 def read_layer(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """A layer folder in ``fmt`` (``parquet`` by default; ``delta`` when its package is on the classpath)."""
     return spark.read.format(fmt).load(path)
 
 
-def file_checksums(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = False) -> DataFrame:
-    """SHA-256 per file, computed on the executors: (path, length, sha256).
+def file_checksums(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True) -> DataFrame:
+    """SHA-256 of every file that Spark lists under ``path``, computed on the executors: (path, length, sha256).
 
     Each file is one row of ``binaryFile``, so a single file must fit a task (2 GB row limit); many files are
     hashed in parallel.
     """
-    reader = spark.read.format("binaryFile")
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    if recursive:
-        reader = reader.option("recursiveFileLookup", True)
     return reader.load(path).select(
         F.col("path"), F.col("length"), F.sha2(F.col("content"), 256).alias("sha256")
     )
+
+
+def first_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line): the first line of every file. Only the first split of a file can hold it, and rows of a split
+    keep their order, so the least row number among those is the first line."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value",
+        F.monotonically_increasing_id().alias("row"))
+    return lines.where("at = 0").groupBy("file").agg(F.min_by("value", "row").alias("line"))

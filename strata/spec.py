@@ -155,3 +155,8 @@ class SubscriberSpec:
 
 
 SUBSCRIBER = SubscriberSpec()
+
+# The columns that the raw profile reports.
+PROFILE_CATEGORICAL = ("gender", "SeniorCitizen", "Contract", "InternetService", "PaymentMethod", "Churn")
+PROFILE_NUMERIC = ("tenure", "MonthlyCharges", "TotalCharges")
+PROFILE_SAMPLE = ("customerID", "tenure", "MonthlyCharges", "TotalCharges", "Churn")

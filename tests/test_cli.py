@@ -41,7 +41,7 @@ def test_stage_by_stage_commands(spark, scratch):
     assert "- Row count: `1500`" in open(f"{scratch}/profile.md").read()
 
 
-def test_run_admit_generate_and_failures(spark, scratch):
+def test_run_admit_and_failures(spark, scratch):
     raw = f"{scratch}/raw"
     write_contract_csv(catalog.feed(spark, SF001).coalesce(1), raw)
     assert main(["admit", "--source", raw, "--destination", f"{scratch}/zone", "--expected-rows", "1500",
@@ -53,22 +53,3 @@ def test_run_admit_generate_and_failures(spark, scratch):
     bad = catalog.feed(spark, SF001).withColumn("gender", F.lit("X"))
     write_contract_csv(bad.coalesce(1), f"{scratch}/bad")
     assert main(["run", "--input", f"{scratch}/bad", "--root", f"{scratch}/lake2"], spark) == 1
-    assert main(["generate", "--keys-from", f"{SF001}/orders.parquet", "--key", "o_orderkey", "--output",
-                 f"{scratch}/synthetic"], spark) == 0
-    assert spark.read.option("header", True).csv(f"{scratch}/synthetic").count() == 1500
-    assert main(["generate", "--rows", "100", "--output", f"{scratch}/sample"], spark) == 0
-    ids = sorted(r[0] for r in spark.read.option("header", True).csv(f"{scratch}/sample").select("customerID")
-                 .collect())
-    assert ids[0] == "SYNTH-00001" and ids[-1] == "SYNTH-00100" and len(ids) == 100
-    assert main(["generate", "--rows", "100", "--output", f"{scratch}/sample"], spark) == 1  # no silent overwrite
-
-
-def test_generator_is_deterministic(spark, scratch):
-    def lines(path):
-        return sorted(tuple(r) for r in spark.read.option("header", True).csv(path).collect())
-
-    for name in ("a", "b"):
-        assert main(["generate", "--rows", "100", "--seed", "42", "--output", f"{scratch}/{name}"], spark) == 0
-    assert main(["generate", "--rows", "100", "--seed", "7", "--output", f"{scratch}/c"], spark) == 0
-    assert lines(f"{scratch}/a") == lines(f"{scratch}/b")
-    assert lines(f"{scratch}/a") != lines(f"{scratch}/c")

@@ -1,68 +1,60 @@
-"""Golden gold values of the 100-row public sample (FIXTURES.md section 3), read as data through the contract
-CSV reader. Point ``STRATA_SAMPLE_CSV`` at the sample CSV to run them; skipped otherwise."""
+"""Gold values of a small feed, computed by hand: four subscribers with chosen contract, months, charge and services."""
 
-import os
-
-import pytest
+from pyspark.sql import functions as F
 
+from conftest import SF001
 from strata.operators import gold
 from strata.operators.bronze import to_bronze
 from strata.operators.silver import to_silver
-from strata.sources.files import read_contract_csv
-
-SAMPLE = os.environ.get("STRATA_SAMPLE_CSV", "")
+from strata.plans import catalog
+from strata.spec import RAW_COLUMNS
 
-pytestmark = pytest.mark.skipif(not (SAMPLE and os.path.exists(SAMPLE)), reason="STRATA_SAMPLE_CSV not set")
+# (id, contract, tenure, monthly, total, payment, internet, churn)
+ROWS = [
+    ("A", "Month-to-month", "1", "100.00", "100.00", "Electronic check", "Fiber optic", "Yes"),
+    ("B", "Month-to-month", "0", "20.05", " ", "Mailed check", "DSL", "No"),
+    ("C", "One year", "30", "50.10", "1503.00", "Bank transfer (automatic)", "DSL", "No"),
+    ("D", "Two year", "72", "90.00", "6480.00", "Credit card (automatic)", "Fiber optic", "Yes"),
+]
 
 
-@pytest.fixture(scope="module")
 def silver(spark):
-    return to_silver(to_bronze(read_contract_csv(spark, SAMPLE), SAMPLE)).cache()
-
-
-def _table(df, key):
-    return {r[key]: tuple(r)[1:6] for r in df.drop("gold_created_at_utc").collect()}
-
-
-def test_by_contract(silver):
-    got = _table(gold.segment_rate_summary(silver, "contract"), "contract")
-    assert got == {
-        "Month-to-month": (47, 23, 48.94, 78.94, 2837.35),
-        "One year": (32, 2, 6.25, 85.87, 2992.15),
-        "Two year": (21, 0, 0.0, 79.97, 3849.58),
-    }
-
-
-def test_by_tenure_band_and_payment_group(silver):
-    got = _table(gold.segment_rate_summary(silver, "tenure_band"), "tenure_band")
-    assert got == {
-        "1_12_months": (16, 7, 43.75, 84.49, 584.96),
-        "49_plus_months": (41, 12, 29.27, 82.71, 5049.05),
-        "25_48_months": (27, 5, 18.52, 75.99, 2695.65),
-        "13_24_months": (14, 1, 7.14, 83.55, 1485.18),
-        "new_customer": (2, 0, 0.0, 86.52, 0.0),
-    }
-    got = _table(gold.segment_rate_summary(silver, "payment_method_group"), "payment_method_group")
-    assert got == {"manual": (49, 15, 30.61, 86.74, 3084.43), "automatic": (51, 10, 19.61, 76.22, 3113.88)}
-
-
-def test_executive_kpis_and_risk(silver):
-    k = gold.executive_kpis(silver, with_timestamp=False).collect()[0]
-    assert tuple(k) == (100, 25, 25.0, 81.37, 8137.48, 3099.45, 3.62)
-    levels = {r["risk_level"]: (r["customers"], r["churned_customers"], r["min_score"], r["max_score"])
-              for r in gold.risk_level_counts(silver).collect()}
-    assert levels == {"high": (17, 12, 70, 95), "medium": (46, 11, 40, 65), "low": (37, 2, 0, 35)}
-    top = [(r["customer_id"], r["risk_score"], r["monthly_charges"])
-           for r in gold.risk_top(silver, 5).collect()]
-    assert top == [("SYNTH-00010", 95, 100.46), ("SYNTH-00093", 95, 98.49), ("SYNTH-00096", 95, 97.28),
-                   ("SYNTH-00009", 95, 96.2), ("SYNTH-00042", 95, 86.81)]
-
-
-def test_blank_totals_strict_mode_is_null(spark):
-    raw = read_contract_csv(spark, SAMPLE)
-    strict = to_bronze(raw, SAMPLE, blank_mode="strict")
-    rows = {r["customer_id"]: r["total_charges_was_blank"] for r in
-            strict.filter("customer_id in ('SYNTH-00009', 'SYNTH-00099')").collect()}
-    assert rows == {"SYNTH-00009": None, "SYNTH-00099": None}
-    default = to_bronze(raw, SAMPLE).filter("total_charges_was_blank").count()
-    assert default == 2
+    names = ["customerID", "Contract", "tenure", "MonthlyCharges", "TotalCharges", "PaymentMethod", "InternetService",
+             "Churn"]
+    chosen = spark.createDataFrame(ROWS, names)
+    rest = {c: F.lit("No") for c in RAW_COLUMNS if c not in names}
+    rest |= {"gender": F.lit("Male"), "SeniorCitizen": F.lit("0"), "PhoneService": F.lit("Yes")}
+    raw = chosen.withColumns(rest).select(*RAW_COLUMNS)
+    return to_silver(to_bronze(raw, "hand", run_ts=catalog.FIXED_RUN_TS), run_ts=catalog.FIXED_RUN_TS)
+
+
+def test_segments(spark):
+    rows = {r["segment_value"]: tuple(r)[2:7] for r in gold.gold_aggregates_one_scan(silver(spark)).collect()}
+    assert rows["Month-to-month"] == (2, 1, 50.0, 60.03, 50.0)  # 60.025 and (100 + 0) / 2
+    assert rows["automatic"] == (2, 1, 50.0, 70.05, 3991.5)
+    assert rows["new_customer"] == (1, 0, 0.0, 20.05, 0.0)
+    assert rows["49_plus_months"] == (1, 1, 100.0, 90.0, 6480.0)
+
+
+def test_kpis(spark):
+    k = gold.executive_kpis(silver(spark), with_timestamp=False).first()
+    # one active service each: the phone
+    assert tuple(k) == (4, 2, 50.0, 65.04, 260.15, 2020.75, 1.0)
+
+
+def test_risk(spark):
+    rows = [(r["customer_id"], r["risk_score"], r["risk_level"])
+            for r in gold.customer_risk(silver(spark), with_timestamp=False).collect()]
+    # A: contract 30, months 25, charge 20, fiber 10, manual 10, services 5; D: charge 20, fiber 10, services 5
+    assert rows == [("A", 100, "high"), ("B", 70, "high"), ("D", 35, "low"), ("C", 5, "low")]
+
+
+def test_one_scan_equals_the_single_summaries(spark):
+    sil = catalog.silver(spark, SF001)
+    multi = gold.gold_aggregates_one_scan(sil)
+    for by in ("contract", "tenure_band", "payment_method_group"):
+        one = sorted(tuple(r) for r in gold.segment_rate_summary(sil, by, with_timestamp=False).collect())
+        many = multi.where(F.col("segment") == by).select(
+            "segment_value", "total_customers", "churned_customers", "churn_rate_pct", "avg_monthly_charges",
+            "avg_total_charges").collect()
+        assert sorted(map(tuple, many)) == one

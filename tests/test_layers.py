@@ -47,14 +47,14 @@ def test_run_layers_matches_direct_gold_and_is_idempotent(spark, landing, scratc
     contract = _gold_values(spark, root, "gold_churn_by_contract")
     assert contract == sorted(tuple(r) for r in catalog.q_churn_by_contract(spark, SF001).collect())
     # V11 on the written JSON report
-    assert verify.report_regression(f"{reports}/q.json", "bronze.customer_churn", 25) == []
+    assert verify.report_regression(spark, f"{reports}/q.json", "bronze.customer_churn", 25) == []
     assert "| customer_id_unique | uniqueness | critical | PASS | 0 |" in open(f"{reports}/q.md").read()
-    # V10 markers
+    # Complete by commit marker, both ways
     paths = LayerPaths(root)
-    rel = {name: os.path.relpath(loc, root) for name, _, loc in paths.registry()}
-    assert all(ok for _, ok in verify.output_completeness(root, rel))
     expected_tables = [n for n, _, _ in paths.registry()]
-    assert all(ok for _, ok in verify.layer_completeness(spark, root, expected_tables))
+    assert verify.layer_completeness(spark, root, expected_tables) == [(n, "complete") for n in sorted(expected_tables)]
+    states = dict(verify.layer_completeness(spark, root, [*expected_tables[1:], "gold_other"]))
+    assert states["bronze_customer_churn"] == "unexpected" and states["gold_other"] == "missing"
     # L3: a second run gives the same tables; the check table keeps one set of 19 rows per run
     before = {t: _gold_values(spark, root, t) for t in GOLD_TABLES}
     flow.run_layers(spark, f"{landing}/feed", root, checks_table=f"{scratch}/checks")
@@ -76,7 +76,7 @@ def test_gate_writes_reports_then_stops(spark, scratch):
     assert report["failed_critical_count"] == 1
     failed = [c for c in report["checks"] if c["status"] == "FAIL"]
     assert [c["name"] for c in failed] == ["contract_domain_valid"] and failed[0]["observed_value"] == 150
-    assert os.path.exists(LayerPaths(root).bronze)
+    assert not os.path.exists(LayerPaths(root).bronze)
     assert not os.path.exists(LayerPaths(root).silver)
 
 
@@ -95,12 +95,13 @@ def test_admission_and_no_silent_overwrite(spark, landing, scratch):
     assert all(r["status"] == "PASS" for r in rows.values())
     bad = {r["name"]: r for r in publish.admit(spark, f"{landing}/feed", expected_rows=7, id_prefix="SYNTH-").collect()}
     assert bad["expected_row_count"]["status"] == "FAIL" and bad["id_prefix"]["observed_count"] == 1500
-    # header reordered -> header check fails
+    # one of two files has its header reordered
     swapped = catalog.feed(spark, SF001).select("gender", "customerID", *[c for c in read_contract_csv(
         spark, f"{landing}/feed").columns if c not in ("gender", "customerID")])
-    write_contract_csv(swapped.coalesce(1), f"{scratch}/swapped")
-    hdr = {r["name"]: r for r in publish.admit(spark, f"{scratch}/swapped").collect()}["header_matches_contract"]
-    assert hdr["status"] == "FAIL" and "0:gender!=customerID" in hdr["observed_value"]
+    write_contract_csv(swapped.coalesce(1), f"{scratch}/two/part-b")
+    write_contract_csv(catalog.feed(spark, SF001).coalesce(1), f"{scratch}/two/part-a")
+    hdr = {r["name"]: r for r in publish.admit(spark, f"{scratch}/two/part-*").collect()}["header_matches_contract"]
+    assert hdr["status"] == "FAIL" and hdr["observed_count"] == 1
     # promote twice: the second refuses without force
     dest = f"{scratch}/raw/customer_churn"
     assert publish.promote(spark, f"{landing}/feed", dest) == 1500
@@ -109,25 +110,57 @@ def test_admission_and_no_silent_overwrite(spark, landing, scratch):
     assert publish.promote(spark, f"{landing}/feed", dest, force=True) == 1500
 
 
-def test_checksum_is_computed_on_executors(spark, landing):
-    sums = file_checksums(spark, f"{landing}/feed", glob="*.csv").collect()
+def _status(spark, path, checksum):
+    return {r["name"]: r["status"] for r in publish.admit(spark, path, checksum=checksum).collect()}["checksum_matches"]
+
+
+def test_checksums_hash_exactly_the_landing_files(spark, landing, scratch):
     import hashlib
+    import shutil
 
+    sums = file_checksums(spark, f"{landing}/feed").collect()
     for r in sums:
         local = r["path"].replace("file:", "")
         assert hashlib.sha256(open(local, "rb").read()).hexdigest() == r["sha256"]
     pinned = sums[0]["sha256"]
-    rows = {r["name"]: r for r in publish.admit(spark, f"{landing}/feed", checksum=pinned).collect()}
-    assert rows["checksum_matches"]["status"] == "PASS"
+    assert _status(spark, f"{landing}/feed", pinned) == "PASS"
+    # a file of another name is hashed too: no pass without a hash
+    os.makedirs(f"{scratch}/text")
+    shutil.copy(sums[0]["path"].replace("file:", ""), f"{scratch}/text/a.txt")
+    assert _status(spark, f"{scratch}/text/a.txt", "deadbeef") == "FAIL"
+    assert _status(spark, f"{scratch}/text/a.txt", pinned) == "PASS"
+    # a folder of two files needs a manifest; a pin without a file fails
+    shutil.copy(f"{scratch}/text/a.txt", f"{scratch}/text/b.txt")
+    assert _status(spark, f"{scratch}/text", pinned) == "FAIL"
+    assert _status(spark, f"{scratch}/text", {"a.txt": pinned, "b.txt": pinned}) == "PASS"
+    assert _status(spark, f"{scratch}/text", {"a.txt": pinned, "b.txt": "00"}) == "FAIL"
+    assert _status(spark, f"{scratch}/text", {n: pinned for n in ("a.txt", "b.txt", "c.txt")}) == "FAIL"
+    # tables that are folders of part files are listed too
+    spark.range(10).repartition(3).write.parquet(f"{scratch}/tables/t.parquet")
+    assert file_checksums(spark, f"{scratch}/tables", glob="*.parquet").count() == 3
+
+
+def test_install_keeps_the_bytes_and_a_failing_install_keeps_the_old_file(spark, landing, scratch):
+    import hashlib
+
+    def digests(folder):
+        return sorted(hashlib.sha256(open(f"{folder}/{n}", "rb").read()).hexdigest()
+                      for n in os.listdir(folder) if n.endswith(".csv"))
+
+    zone = f"{scratch}/zone/customer_churn"
+    publish.promote(spark, f"{landing}/feed", zone)
+    assert digests(zone) == digests(f"{landing}/feed")
+    with pytest.raises(publish.AdmissionError, match="expected_row_count"):
+        publish.promote(spark, f"{landing}/feed", zone, force=True, expected_rows=7)
+    assert digests(zone) == digests(f"{landing}/feed")
+    assert os.listdir(f"{scratch}/zone") == ["customer_churn"]
 
 
 def test_publish_discover_copy(spark, landing, scratch):
     root = f"{scratch}/data"
     flow.run_layers(spark, f"{landing}/feed", root)
-    found = publish.discover_local_tables(root)
+    found = publish.discover_tables(spark, root)
     assert {n for n, _, _ in found} == {"bronze_customer_churn", "silver_customer_churn", *GOLD_TABLES}
-    listed = publish.discover_tables(spark, root)
-    assert [(n, layer) for n, layer, _ in listed] == [(n, layer) for n, layer, _ in found]
     assert [n for n, _, _ in publish.discover_tables(spark, root, scope="gold")] == sorted(GOLD_TABLES)
     plan = publish.publish(spark, found, "churn_dry", dry_run=True)
     assert [p["table"] for p in plan[1:]] == sorted(GOLD_TABLES)  # gold only by default
@@ -150,14 +183,41 @@ def test_preview_is_a_limit(spark):
     assert len(verify.preview(bronze, n=3).collect()[0]) == 25
 
 
+def test_registering_a_partitioned_layer_finds_its_rows(spark, scratch):
+    table = f"{scratch}/lake/gold/customer_churn/by_contract"
+    catalog.q_churn_by_contract(spark, SF001).write.partitionBy("contract").parquet(table)
+    found = publish.discover_tables(spark, f"{scratch}/lake")
+    assert [(n, layer) for n, layer, _ in found] == [("by_contract", "gold")]
+    publish.publish(spark, found, "churn_parts", dry_run=False)
+    assert spark.table("churn_parts.by_contract").count() == 3
+
+
+def test_unfinished_folders_are_not_complete(spark, scratch):
+    folder = f"{scratch}/lake/silver/customer_churn"
+    spark.range(3).write.parquet(folder)
+    assert verify.layer_completeness(spark, f"{scratch}/lake", ["silver_customer_churn"]) == [
+        ("silver_customer_churn", "complete")]
+    os.remove(f"{folder}/_SUCCESS")
+    assert verify.layer_completeness(spark, f"{scratch}/lake", ["silver_customer_churn"]) == [
+        ("silver_customer_churn", "missing")]
+
+
 def test_kpi_comparison_and_assertion(spark):
-    actual = catalog.q_executive_kpis(spark, SF001)
+    actual = catalog.q_executive_kpis(spark, SF001).select("total_customers", "avg_monthly_charges")
     expected = spark.range(1).select(F.lit(1500).alias("total_customers"), F.lit(68.885).alias("avg_monthly_charges"))
     rows = {r["metric"]: r["passed"] for r in verify.kpi_comparison(actual, expected).collect()}
-    assert rows == {"total_customers": True, "avg_monthly_charges": True}
-    verify.assert_kpis(actual, {"total_customers": 1500, "churned_customers": 493})
-    with pytest.raises(AssertionError):
-        verify.assert_kpis(actual, {"overall_churn_rate_pct": 99.0})
+    assert rows == {"row_count": True, "total_customers": True, "avg_monthly_charges": True}
+    # a metric that one side lacks fails, and so does a second row
+    rows = {r["metric"]: r["passed"] for r in verify.kpi_comparison(actual.drop("avg_monthly_charges"), expected)
+            .collect()}
+    assert rows == {"row_count": True, "total_customers": True, "avg_monthly_charges": False}
+    twice = {r["metric"]: r["passed"] for r in verify.kpi_comparison(actual.unionByName(actual), expected).collect()}
+    assert not twice["row_count"]
+    verify.assert_kpis(catalog.q_executive_kpis(spark, SF001), {"total_customers": 1500, "churned_customers": 493})
+    with pytest.raises(AssertionError, match="overall_churn_rate_pct"):
+        verify.assert_kpis(catalog.q_executive_kpis(spark, SF001), {"overall_churn_rate_pct": 99.0})
+    with pytest.raises(AssertionError, match="no_such_kpi"):
+        verify.assert_kpis(actual, {"total_customers": 1500, "no_such_kpi": 1})
 
 
 def test_profile_report(spark, landing):
@@ -205,16 +265,17 @@ def test_layered_run_job_budget(spark, landing, scratch):
     assert len(jobs) <= 15, len(jobs)
 
 
-def test_staged_run_keeps_previous_bronze_on_failure(spark, landing, scratch):
+def test_failing_run_keeps_the_previous_bronze(spark, landing, scratch):
+    def content(folder):
+        return sorted((n, open(f"{folder}/{n}", "rb").read()) for n in os.listdir(folder) if n.endswith(".parquet"))
+
     root = f"{scratch}/data"
-    flow.run_layers(spark, f"{landing}/feed", root, staged=True)
-    bronze_path = LayerPaths(root).bronze
-    assert spark.read.parquet(bronze_path).count() == 1500
+    flow.run_layers(spark, f"{landing}/feed", root)
+    before = content(LayerPaths(root).bronze)
     bad = catalog.feed(spark, SF001).withColumn("Contract", F.lit("Weekly"))
     with pytest.raises(Q.QualityGateError):
-        flow.run_layers(spark, bad, root, staged=True, source_label="bad")
-    kept = spark.read.parquet(bronze_path)
-    assert kept.count() == 1500 and kept.filter(F.col("contract") == "Weekly").count() == 0
+        flow.run_layers(spark, bad, root, source_label="bad")
+    assert content(LayerPaths(root).bronze) == before
     assert all(not name.startswith("_") for name, _, _ in publish.discover_tables(spark, root))
 
 
@@ -234,16 +295,17 @@ def test_profile_report_layout(spark, landing):
     assert "| Column | Invalid/blank numeric values | Negative values | Min | Max |" in lines
     assert "| --- | ---: | ---: | ---: | ---: |" in lines
     assert sum(1 for line in lines if line.startswith("| C0")) == 5  # five sample rows
-    assert "| tenure | 0 | 0 | 0.0 | 72.0 |" in lines  # numeric checks row
+    assert "| tenure | 0 | 0 | 0 | 72 |" in lines  # numeric checks row
     assert "| tenure | 0 |" in lines  # missing-values row
 
 
 def test_discovery_of_a_delta_shaped_layout(spark, scratch):
     """A Delta table folder holds Parquet data files plus a hidden _delta_log (with checkpoint Parquet files):
-    discovery finds the table by its data files and never treats the log as a table."""
+    discovery finds the table by its log and never looks for tables inside it."""
     root = f"{scratch}/delta_root"
     table = f"{root}/gold/customer_churn/gold_executive_kpis"
     catalog.q_executive_kpis(spark, SF001).write.parquet(table)
+    os.remove(f"{table}/_SUCCESS")
     os.makedirs(f"{table}/_delta_log")
     spark.range(3).write.parquet(f"{table}/_delta_log/00000000000000000010.checkpoint.parquet")
     found = publish.discover_tables(spark, root)
