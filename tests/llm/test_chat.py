@@ -1,0 +1,63 @@
+"""Chat formatting: spans by prefix rendering, escapes, templates that rewrite history, and edge cases."""
+
+import hashlib
+
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from strata.llm import chat
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "a\nb\\n", "<|im_end|>"]),
+                          st.text(alphabet="<|\\im_startend>a\né", max_size=30)), max_size=5))
+def test_any_text_comes_back(turns):
+    text, spans, rewrites = chat.render(turns, chat.marked_turns)
+    assert not rewrites and chat.read_marked(text) == turns
+    assert [chat.unescape(text[s["head"]:s["tail"]]) for s in spans] == [said for _, said in turns]
+    assert [s["start"] for s in spans] == [0, *[s["end"] for s in spans]][:len(spans)]
+    assert text.count(chat.START) == len(turns)
+
+
+def test_templates_that_rewrite_history_are_reported():
+    numbered = lambda turns: f"{len(turns)} turns: " + "".join(t for _, t in turns)
+    last_only = lambda turns: "".join(f"[{r}]" for r, _ in turns[:-1]) + (turns[-1][1] if turns else "")
+    stripped = lambda turns: "".join(f"<{r}>{t.strip()}</>" for r, t in turns)
+    turns = [("user", "hello"), ("assistant", " hi "), ("user", "bye")]
+    assert chat.render(turns, numbered)[2] and chat.render(turns, last_only)[2]
+    text, spans, rewrites = chat.render(turns, stripped)
+    assert not rewrites and text[spans[1]["head"]:spans[1]["tail"]] == "hi"
+    suffix = lambda turns: "".join(f"{r}:{t};" for r, t in turns)  # noqa: E731  # a text may look like the tail
+    _, spans, _ = chat.render([("user", ";;"), ("assistant", ";")], suffix)
+    assert [(s["head"], s["tail"]) for s in spans] == [(5, 7), (18, 19)]
+
+
+def expected(rows):
+    out, convs = [], {}
+    for conv, turn, role, text in rows:
+        convs.setdefault(conv, []).append((turn is not None, turn or 0, role or "", text or ""))
+    for conv, turns in convs.items():
+        said = [(r, t) for _, _, r, t in sorted(turns)]
+        learnt = "".join(t for r, t in said if r == "assistant")
+        out.append((conv, len(said), hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in said).encode()).hexdigest(),
+                    len(learnt), hashlib.sha256(learnt.encode()).hexdigest(), len(chat.marked_turns(said))))
+    return sorted(out, key=str)
+
+
+def test_edge_cases_and_long_conversations(spark):
+    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", None), (1, 1, "assistant", "tie"), (1, 1, "assistant", "tie"),
+            (2, None, "user", "no turn"), (2, -3, None, "negative"), (2, 5, "assistant", "<|im_end|>\\|<\\|"),
+            (None, 1, "assistant", "no conversation"), (None, 0, "user", "x" * 200_000)]
+    rows += [(7, i, ("user", "assistant")[i % 2], f"turn {i}") for i in range(500)]
+    rows += [(8, 3, "assistant", f"same turn {i % 50}") for i in range(300)]
+    turns = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit(1) for c in ("segment", "part", "n_turns")})
+    out = chat.format_chats(turns)
+    assert out.agg(F.max("n_turns")).first()[0] <= chat.SEGMENT_TURNS and out.where("rewrites").count() == 0
+    assert sorted(map(tuple, chat.digests(out).collect()), key=str) == expected(rows)
+    few = turns.where("conv_id <= 2 or conv_id is null")
+    whole = chat.digests(chat.format_chats(few, segment_turns=None))
+    assert sorted(map(tuple, whole.collect()), key=str) == [
+        r for r in expected(rows) if r[0] in (1, 2, None)]
+    assert chat.digests(chat.format_chats(turns.limit(0))).count() == 0
