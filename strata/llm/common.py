@@ -10,6 +10,7 @@ import strata
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from strata.session import scratch_dir
+from strata.sources import fs
 
 WHITESPACE = r"\x20\x09-\x0D"
 WHITESPACE_CHARS = " \t\n\x0b\x0c\r"
@@ -44,7 +45,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read back: computed once, lineage cut, safe to re-read."""
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Remove the files of tables made by :func:`written` that nothing reads any more."""
+    for table in tables:
+        fs.delete(table.sparkSession, table.scratch_path)
 
 
 def text_or_empty(column: str = "text") -> Column:

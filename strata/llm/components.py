@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from strata.llm.common import written
+from strata.llm.common import forget, written
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -33,7 +33,8 @@ def components(edges: DataFrame) -> DataFrame:
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     seen = None
     while True:
-        now = written(_star(_star(now, True), False), "edges")
+        before, now = now, written(_star(_star(now, True), False), "edges")
+        forget(before)
         state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == seen or state[0] == 0:
             break

@@ -7,6 +7,9 @@ run of its own in which the keys that no run held are marked ``fresh``. A key is
 so the keys of all runs are their fresh rows, without a distinct. When a level holds ``fan_out`` runs, they are merged
 into one run of the next level: after n batches, log(n) levels remain to be joined.
 
+What documents lose is a small table beside their texts. It is broadcast if its size, which is counted first, is at most
+``MAX_BROADCAST_ENTRIES``; a larger one meets the texts in a shuffled join.
+
 Defined results: a null or empty text is one empty line; rows with a null doc_id neither count nor lose lines; repeated
 rows count as one document and lose the same lines; an empty table gives no rows; further columns pass through.
 """
@@ -17,11 +20,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strata.llm.common import WHITESPACE_CHARS, ascii_lower, hash128, text_or_empty, written
 from strata.session import scratch_dir
+from strata.sources import fs
 
 MIN_CHARS = 40
 MIN_DOCS = 5
 BATCHES = 4
 FAN_OUT = 2
+#: documents that lose lines plus line positions, 40 bytes each at most, up to which they are broadcast
+MAX_BROADCAST_ENTRIES = 500_000
 KEY = ["h1", "h2"]
 
 
@@ -103,6 +109,11 @@ def drop_shared_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int
               .groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("_drop"))
               .withColumnsRenamed({"doc_id": "_doc", "text_hash": "_hash"}))
     losing = written(losing, "lines-dropped")
+    fs.delete(spark, folder)
+    fs.delete(spark, runs.folder)
+    size = losing.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("_drop")), F.lit(0))).first()
+    if sum(size) <= MAX_BROADCAST_ENTRIES:
+        losing = F.broadcast(losing)  # the texts stay where they are
     whole = docs.select(F.struct("*").alias("row"), text_or_empty().alias("_t"))
     joined = whole.join(losing, (F.col("row.doc_id") == F.col("_doc"))
                         & (F.xxhash64("_t") == F.col("_hash")), "left")

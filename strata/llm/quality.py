@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
-from strata.llm.common import WHITESPACE, text_or_empty, words_of, written
+from strata.llm.common import WHITESPACE, forget, text_or_empty, words_of, written
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -142,13 +142,19 @@ def thresholds(sketch: DataFrame, min_docs: int = MIN_DOCS, fence: int = FENCE)
 
 def judge(docs: DataFrame, keep_row: bool = True, min_docs: int = MIN_DOCS) -> DataFrame:
     """Every row of ``docs`` with its base counts, ``base_failed``, ``kept`` and ``failed_metrics``; ``row`` holds the
-    whole row, or with ``keep_row=False`` its doc_id alone. The counts are written once and read for the sketches and
-    for the verdict: a filter on them would otherwise be pushed below their expressions and evaluate these again."""
-    based = written(with_base(docs, keep_row), "quality-base")
+    whole row, or with ``keep_row=False`` its doc_id alone. The counts are written once for the sketches, and read again
+    for the verdict unless this needs the whole rows: then they are computed anew beside them, which costs less than
+    writing the texts."""
+    based = written(with_base(docs, False), "quality-base")
     limits = written(thresholds(sketches(based), min_docs), "quality-limits")
+    if keep_row:
+        forget(based)
+        based = with_base(docs, True)
     limits = limits.withColumnsRenamed({"lang": "t_lang", "source": "t_source"}).withColumn(
         "t_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = based.withColumn("_salt", F.pmod(F.xxhash64("row.doc_id", "word_chars", "n_words"), F.lit(SALTS)))
+    # a salt from the row number also keeps Spark from pushing a filter on the verdict below the counts, where it would
+    # evaluate their expressions once more for every use
+    salted = based.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
     joined = salted.join(limits, F.col("lang").eqNullSafe(F.col("t_lang"))
                          & F.col("source").eqNullSafe(F.col("t_source"))
                          & (F.col("_salt") == F.col("t_salt")), "left")

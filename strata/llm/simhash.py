@@ -37,7 +37,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from strata.llm.common import ship_code, text_or_empty, written
+from strata.llm.common import forget, ship_code, text_or_empty, written
 from strata.llm.components import components
 
 SHINGLE = 4
@@ -92,7 +92,7 @@ def flips(width: int, radius: int) -> list[int]:
     masks = {0}
     for _ in range(radius):
         masks |= {m ^ (1 << i) for m in masks for i in range(width)}
-    return sorted(masks)
+    return sorted(m - (1 << 64) if m >> 63 else m for m in masks)  # as signed 64-bit integers
 
 
 def radii(segments: int, max_bits: int) -> list[int]:
@@ -178,7 +178,9 @@ def near_groups(fingerprints: DataFrame, max_bits: int = MAX_BITS, segments: int
         F.col("node").alias("root"), F.col("root").alias("top"))
     tops = roots.join(second, "root", "left").select("fp", "doc_id", F.coalesce("top", "root").alias("top"))
     ids = tops.groupBy("top").agg(F.min("doc_id").alias("component_id"))
-    return written(tops.join(ids, "top").select("fp", F.col("top").alias("group"), "component_id"), "groups")
+    groups = written(tops.join(ids, "top").select("fp", F.col("top").alias("group"), "component_id"), "groups")
+    forget(fps, roots)
+    return groups
 
 
 def near_duplicates(docs: DataFrame, keep: Column | None = None, shingle: int = SHINGLE,
@@ -189,6 +191,7 @@ def near_duplicates(docs: DataFrame, keep: Column | None = None, shingle: int =
     marked = written(with_fingerprints(docs, small, shingle), "simhash")
     groups = near_groups(marked.select("row.doc_id", "fp"), max_bits).withColumnRenamed("fp", "_fp")
     if keep is None:  # the texts are hashed again rather than written a second time
+        forget(marked)
         marked = with_fingerprints(docs, F.struct("*"), shingle)
     return marked.join(groups, F.col("fp") == F.col("_fp")).drop("_fp")
 
