@@ -2,8 +2,9 @@
 
 A byte-level BPE tokenizer cuts a text at least before every space that stands between two other characters; one that
 drops white space cuts at every white space. The ids of a text are therefore the ids of its chunks, one after another.
-Chunks repeat, so a worker process remembers the ids of up to ``REMEMBERED`` of them and encodes the new ones of many
-texts together. Texts with any unusual white space are encoded whole by the tokenizer. The ids are those of
+Chunks repeat, so a worker process remembers the ids of up to ``REMEMBERED`` of them. A new chunk of Latin letters and
+signs is cut into words by the tokenizer's pattern, and each new word goes through the tokenizer's BPE model alone;
+other chunks, and texts with any unusual white space, are encoded whole. The ids are those of
 ``Tokenizer.encode(text, add_special_tokens=False)``, with the strings of special tokens taken as ordinary text.
 """
 
@@ -14,15 +15,27 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import regex
 
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 TOGETHER_CHARS = 1 << 19
-TOGETHER_CHUNKS = 512
+#: fixed value: how byte-level pre-tokenization cuts a text
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: below it, letters and numbers are the same in every version of Unicode
+LATIN_END = "\u0250"
 #: ASCII and other white space and separators on which libraries may differ
 _UNUSUAL = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f\u2060\u3000\ufeff]")
 _BESIDE_SPACE = ("  ", " \n", "\n ", " \t", "\t ", " \r", "\r ")
 
 
+def byte_alphabet() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if it is a visible Latin-1 one, else
+    the next one from U+0100 on."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = (b for b in range(256) if b not in visible)
+    return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class Encoder:
     """Encodes texts with one tokenizer; use :func:`encoder` to get the one of this process."""
 
@@ -33,8 +46,14 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.keeps_spaces = (spec.get("pre_tokenizer") or {}).get("type") == "ByteLevel"
+        pre = spec.get("pre_tokenizer") or {}
+        self.keeps_spaces = pre.get("type") == "ByteLevel"
+        pattern = BYTE_LEVEL if self.keeps_spaces else pre["pretokenizers"][0]["pattern"]["Regex"]
+        self.words_of = regex.compile(pattern).findall
+        self.normal = self.tokenizer.normalizer
+        self.alphabet = byte_alphabet()
         self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         """Ids of one text as little-endian unsigned 32-bit integers."""
@@ -50,29 +69,38 @@ class Encoder:
             return None
         return text.split(" ")
 
-    def _learn(self, chunks: list[str]) -> None:
-        for at in range(0, len(chunks), TOGETHER_CHUNKS):
-            some = chunks[at:at + TOGETHER_CHUNKS]
-            lengths = np.fromiter(map(len, some), np.int64, len(some)) + 1
-            starts = np.cumsum(lengths) - lengths
-            found = self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False)
-            ids = np.array(found.ids, "<u4")
-            owner = np.searchsorted(starts, [a for a, _ in found.offsets], side="right") - 1
-            cuts = np.searchsorted(owner, np.arange(len(some) + 1)).tolist()
-            data = ids.tobytes()
-            for chunk, a, b in zip(some, cuts, cuts[1:]):
-                self.known[chunk] = data[4 * a:4 * b]
+    def _word(self, word: str) -> bytes:
+        """Ids of one pre-token."""
+        found = self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(self.alphabet))
+        return np.array([t.id for t in found], "<u4").tobytes()
+
+    def _learn(self, chunks: set[str]) -> None:
+        known, words, lead = self.known, self.words, " " if self.keeps_spaces else ""
+        for chunk in chunks:
+            text = lead + chunk
+            if max(text, default="") >= LATIN_END:
+                known[chunk] = self.whole(text)
+                continue
+            if self.normal is not None:
+                text = self.normal.normalize_str(text)
+            ids = []
+            for word in self.words_of(text):
+                some = words.get(word)
+                if some is None:
+                    some = words[word] = self._word(word)
+                ids.append(some)
+            known[chunk] = ids[0] if len(ids) == 1 else b"".join(ids)
 
     def _some(self, texts: list[str]) -> Iterator[bytes]:
         if len(self.known) > REMEMBERED:
             self.known.clear()
+            self.words.clear()
         split = [self._chunks(t) for t in texts]
         new: set[str] = set()
         for chunks in split:
             if chunks:
                 new.update(chunks[1:] if self.keeps_spaces else chunks)
-        new.difference_update(self.known)
-        self._learn(list(new))
+        self._learn(new.difference(self.known))
         ids_of = self.known.__getitem__
         for text, chunks in zip(texts, split):
             if chunks is None:
