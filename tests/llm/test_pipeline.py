@@ -3,7 +3,7 @@
 import edge
 import pytest
 from test_linededup import slow as slow_lines
-from test_quality import base
+from test_quality_rules import base
 from test_simhash import slow_fingerprint, slow_groups
 
 import corpus_pipeline
