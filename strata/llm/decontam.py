@@ -1,7 +1,8 @@
 """Benchmark decontamination by template windows.
 
-Words become template tokens: numbers, numbers with a unit, units and names (capitalised words within a sentence) turn
-into typed placeholders, other words are stripped of punctuation and lower-cased. Windows of eight template tokens of
+Words become template tokens: numbers, numbers with a unit, units and names (capitalised words) turn into typed
+placeholders, other words are stripped of punctuation and lower-cased. A capitalised word that begins a sentence is read
+both as a name and as a literal, and each window also without placeholders, for exact copies. Windows of eight template tokens of
 the documents are hash-joined with those of the benchmark items. What the placeholders stood for is kept beside each
 window; where document and item lie over one another at a fixed distance, every value of the item must always stand
 for one and the same value of the document. A consistent passage is a leak if it covers half of the item's windows or
@@ -19,7 +20,8 @@ same pairs once; empty tables give no rows; further columns are not read.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -44,11 +46,12 @@ _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _EDGES = re.compile(r"^[^\w%]+|[^\w%]+$")
 _NUMBER = re.compile(r"[+-]?\d+(?:[.,:/]\d+)*")
 _QUANTITY = re.compile(r"[+-]?\d+(?:[.,:/]\d+)*([^\W\d_]+|%)")
-WINDOW_COLUMNS = {"window": "string", "position": "int", "slots": "array<string>"}
+WINDOW_COLUMNS = {"window": "string", "position": "int", "slots": "array<string>", "places": "array<int>",
+                  "few": "boolean"}
 
 
 def token_of(word: str) -> tuple[str, bool, bool]:
-    """Template token of a word, whether it is a name if the word before does not end a sentence, whether it ends one."""
+    """Template token of a word, whether it is a name (if the word before ends a sentence, it may be), whether it ends one."""
     ends = word[-1] in ".!?:" or word[-1] in "\"')" and any(c in word[-3:] for c in ".!?")
     bare = _EDGES.sub("", word)
     low = bare.lower()
@@ -61,6 +64,11 @@ def token_of(word: str) -> tuple[str, bool, bool]:
     return low, len(bare) > 1 and bare[0].isupper() and bare[1:].islower(), ends
 
 
+def literal_of(word: str) -> str:
+    """A word without the signs around it, in lower case."""
+    return _EDGES.sub("", word).lower()
+
+
 class Templates:
     """Template windows of texts; ``known`` are the words that a window may have (None: any)."""
 
@@ -71,16 +79,20 @@ class Templates:
         self.seen: dict[str, int] = {}
 
     def _look(self, word: str) -> int:
-        """Number of the token (-1: not known), with two bits: may be a name, ends a sentence."""
+        """Number of the word as a literal (-1: not known), three bits for its placeholder (0: none; one more than its
+        place in KINDS), and two bits: may be a name, ends a sentence."""
         token, name, ends = token_of(word)
-        number = self.numbers.get(token, -1)
+        kind = KINDS.index(token) + 1 if token in KINDS else 0
+        plain = literal_of(word)
+        number = self.numbers.get(plain, -1)
         if number < 0 and self.known is None:
-            number = self.numbers[token] = len(self.words)
-            self.words.append(token)
-        return number * 4 + 2 * name + ends
+            number = self.numbers[plain] = len(self.words)
+            self.words.append(plain)
+        return number * 32 + kind * 4 + 2 * name + ends
 
-    def tokens(self, text: str) -> tuple[list[str], np.ndarray]:
-        """The words of a text and the numbers of their template tokens."""
+    def tokens(self, text: str) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """The words of a text, the numbers of their literals, the numbers of their placeholders (-1: none), and which
+        of these are only one of two readings: capitalised words that begin a sentence."""
         words = _WORD.findall(text)
         if len(self.seen) > REMEMBERED:
             self.seen.clear()
@@ -93,21 +105,45 @@ class Templates:
         packed = np.fromiter(map(seen.__getitem__, words), np.int64, len(words))
         follows = np.ones(len(words), bool)
         follows[1:] = packed[:-1] & 1
-        return words, np.where((packed & 2 > 0) & ~follows, KINDS.index(NAME), packed >> 2)
-
-    def windows(self, text: str) -> Iterator[tuple[str, int, list[str]]]:
-        """(template, position, values of the placeholders) of the windows with known words, half of them literal."""
-        words, numbers = self.tokens(text)
-        bad = np.concatenate(([0], np.cumsum(numbers < 0)))
-        typed = np.concatenate(([0], np.cumsum((numbers >= 0) & (numbers < len(KINDS)))))
+        name = packed & 2 > 0
+        return words, packed >> 5, np.where(name, KINDS.index(NAME), (packed >> 2 & 7) - 1), name & follows
+
+    def windows(self, text: str) -> Iterator[tuple[str, int, list[str], list[int], bool]]:
+        """(window, position, values of the placeholders, their places in the text, whether it can be a template) of
+        every reading of the windows with known words. A capitalised word that begins a sentence is read as a literal and
+        as a name; a template has no more placeholders than literals. Each window is also read without placeholders; its
+        values are then those that are placeholders in every template."""
+        words, plain, kinds, either = self.tokens(text)
+        total = lambda some: np.concatenate(([0], np.cumsum(some)))
+        fixed = (kinds >= 0) & ~either
+        unknown, bad = total(plain < 0), total((plain < 0) & (kinds < 0))
+        least, sure = total(fixed | either & (plain < 0)), total(fixed)
         for size in self.sizes:
             if len(words) < size:
                 continue
-            inside = (bad[size:] == bad[:-size]) & (2 * (typed[size:] - typed[:-size]) <= size)
-            for at in np.flatnonzero(inside).tolist():
-                some = numbers[at:at + size].tolist()
-                yield (" ".join([self.words[i] for i in some]), at,
-                       [_EDGES.sub("", w).lower() for w, i in zip(words[at:at + size], some) if i < len(KINDS)])
+            over = lambda some: some[size:] - some[:-size]
+            literal, few = over(unknown) == 0, 2 * over(sure) <= size
+            template = (over(bad) == 0) & (2 * over(least) <= size)
+            for at in np.flatnonzero(literal & few | template).tolist():
+                span = range(at, at + size)
+                always = [i for i in span if fixed[i]]
+                if literal[at]:
+                    yield self._window(words, plain, kinds, span, (), always, bool(few[at]))
+                if not template[at]:
+                    continue
+                forced = [i for i in span if either[i] and plain[i] < 0]
+                free = [i for i in span if either[i] and plain[i] >= 0]
+                for n in range(min(len(free), size // 2 - len(always) - len(forced)) + 1):
+                    for some in combinations(free, n):
+                        if typed := sorted([*always, *forced, *some]):
+                            yield self._window(words, plain, kinds, span, typed, typed, True)
+                        elif not literal[at]:
+                            yield self._window(words, plain, kinds, span, (), (), True)
+
+    def _window(self, words: list[str], plain: np.ndarray, kinds: np.ndarray, span: range, typed: Sequence[int],
+                places: Sequence[int], few: bool) -> tuple[str, int, list[str], list[int], bool]:
+        key = " ".join([self.words[kinds[i] if i in typed else plain[i]] for i in span])
+        return key, span[0], [literal_of(words[i]) for i in places], list(places), few
 
 
 def emit(texts: DataFrame, keys: list[str], known: list[str] | None, sizes: list[int]) -> DataFrame:
@@ -130,10 +166,10 @@ def emit(texts: DataFrame, keys: list[str], known: list[str] | None, sizes: list
                 yield made(batch, rows, found)
 
     def made(batch: pa.RecordBatch, rows: list[int], found: list[tuple]) -> pa.RecordBatch:
-        at, (windows, positions, slots) = pa.array(rows), zip(*found)
+        at = pa.array(rows)
+        kinds = pa.string(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.bool_()
         return pa.RecordBatch.from_arrays(
-            [batch.column(k).take(at) for k in keys] + [pa.array(windows, pa.string()), pa.array(positions, pa.int32()),
-                                                        pa.array(slots, pa.list_(pa.string()))],
+            [batch.column(k).take(at) for k in keys] + [pa.array(x, t) for x, t in zip(zip(*found), kinds)],
             keys + list(WINDOW_COLUMNS))
 
     ship_code(texts.sparkSession)
@@ -141,15 +177,15 @@ def emit(texts: DataFrame, keys: list[str], known: list[str] | None, sizes: list
 
 
 def benchmark_words(items: DataFrame, limit: int = MAX_WORDS) -> list[str] | None:
-    """The literal words of all items; None if there are more than ``limit``."""
+    """The words of all items as literals; None if there are more than ``limit``."""
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            words = {token_of(w)[0] for text in batch.column("_t").to_pylist() for w in _WORD.findall(text)}
+            words = {literal_of(w) for text in batch.column("_t").to_pylist() for w in _WORD.findall(text)}
             yield pa.RecordBatch.from_arrays([pa.array(sorted(words), pa.string())], ["word"])
 
     ship_code(items.sparkSession)
     found = items.select("_t").mapInArrow(batches, "word string").distinct().limit(limit + 1).collect()
-    return None if len(found) > limit else [r["word"] for r in found if r["word"] not in KINDS]
+    return None if len(found) > limit else [r["word"] for r in found]
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, max_words: int = MAX_WORDS) -> DataFrame:
@@ -164,10 +200,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, max_words: int = MAX_WORDS) ->
     own = emit(items, item_keys, known, sorted({*short, WINDOW}))
     own = own.where(F.size(F.split("window", " ")) == F.least("words", F.lit(WINDOW)))
     own = written(own.withColumnsRenamed({"position": "item_position", "slots": "item_slots"}), "item-windows")
-    totals = own.groupBy("item_id", "item_hash").agg(F.count(F.lit(1)).alias("n_windows"))
+    totals = own.groupBy("item_id", "item_hash").agg(F.count_distinct("item_position").alias("n_windows"))
     texts = docs.select("doc_id", text_or_empty().alias("_t")).withColumn("text_hash", F.xxhash64("_t"))
-    found = emit(texts, ["doc_id", "text_hash"], known, sorted({*short, WINDOW})).join(own, "window")
-    pairs = F.arrays_zip("item_slots", "slots")
+    theirs = emit(texts, ["doc_id", "text_hash"], known, sorted({*short, WINDOW})).drop("places", "few")
+    found = theirs.join(own, "window")
+    typed = F.col("window").rlike(f"(^| )({'|'.join(KINDS)})( |$)")
+    pairs = F.arrays_zip("item_slots", F.when(typed, F.col("slots")).otherwise(F.col("item_slots")).alias("slots"))
     lain = found.groupBy("doc_id", "text_hash", "item_id", "item_hash",
                          (F.col("position") - F.col("item_position")).alias("distance")).agg(
         F.collect_set("item_position").alias("positions"),

@@ -73,3 +73,21 @@ def test_template_tokens():
         "<number>", "<number>", "<number>", "<quantity>", "<quantity>", "<unit>", "tom", "the", ""]
     assert decontam.token_of("Anna")[1] and not decontam.token_of("USA")[1]
     assert decontam.token_of("end.")[2] and decontam.token_of('end."')[2] and not decontam.token_of("end,")[2]
+
+
+QUESTION = "Tom has 12 apples. Anna buys 5 more apples. Tom eats 3 apples today. Anna sells 4 apples to neighbours."
+
+
+@pytest.mark.parametrize("max_words", [decontam.MAX_WORDS, 0])
+def test_capitalised_words_at_sentence_starts_are_read_both_ways(spark, max_words):
+    heading = "What colour is the old barn door"
+    bench = spark.createDataFrame([(1, QUESTION), (2, heading), (3, "Give the colour of that barn")],
+                                  "item_id long, text string")
+    renamed = QUESTION
+    for old, new in (("Tom", "Jim"), ("Anna", "Mary"), ("12", "45"), ("5", "8"), ("3", "6"), ("4", "9")):
+        renamed = renamed.replace(old, new)
+    texts = [renamed, f"Exercise {renamed}", f"in the heading {heading} and so on", heading.lower(),
+             f"as a title Give The Colour of that barn {edge.sentence(1, 9)}", QUESTION.lower()]
+    got = pairs(spark, documents(spark, texts), bench, max_words=max_words)
+    assert got == {(0, 1): "re-parameterised", (1, 1): "re-parameterised", (2, 2): "copy", (3, 2): "copy", (4, 3): "copy",
+                   (5, 1): "copy"}
