@@ -5,15 +5,16 @@ placeholders, other words are stripped of punctuation and lower-cased. A capital
 both as a name and as a literal, and each window also without placeholders, for exact copies. Windows of eight template tokens of
 the documents are hash-joined with those of the benchmark items. What the placeholders stood for is kept beside each
 window; where document and item lie over one another at a fixed distance, every value of the item must always stand
-for one and the same value of the document. A consistent passage is a leak if it covers half of the item's windows or
-13 words: a copy if all values are equal, else a re-parameterised question.
+for one and the same value of the document. A consistent passage is a leak if it covers half of the item's windows, half
+of those that can be templates or 13 words: a copy if all values are equal, else a re-parameterised question.
 
 The words of the benchmark are few beside the corpus. While they are fewer than ``MAX_WORDS`` they are sent to the
 tasks, and a document only emits windows all of whose words the benchmark has, which are next to none but its leaks.
 With a larger benchmark every window is emitted; the result is the same.
 
 Defined results: null texts have no words; items of fewer than eight words are one window of their length, items of
-fewer than four are never found; rows with a null doc_id or item_id take part with a null id; repeated rows give the
+fewer than four are never found (:func:`unmatched_items` counts them); a window with more placeholders than literals is
+no template and is found by its literal values only; n_windows counts all windows of an item; rows with a null doc_id or item_id take part with a null id; repeated rows give the
 same pairs once; empty tables give no rows; further columns are not read.
 """
 
@@ -27,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from strata.llm.common import ship_code, text_or_empty, written
+from strata.llm.common import ship_code, text_or_empty, words_of, written
 
 WINDOW = 8
 LEAST_WORDS = 4
@@ -124,7 +125,7 @@ class Templates:
             over = lambda some: some[size:] - some[:-size]
             literal, few = over(unknown) == 0, 2 * over(sure) <= size
             template = (over(bad) == 0) & (2 * over(least) <= size)
-            for at in np.flatnonzero(literal & few | template).tolist():
+            for at in np.flatnonzero(literal | template).tolist():
                 span = range(at, at + size)
                 always = [i for i in span if fixed[i]]
                 if literal[at]:
@@ -200,7 +201,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, max_words: int = MAX_WORDS) ->
     own = emit(items, item_keys, known, sorted({*short, WINDOW}))
     own = own.where(F.size(F.split("window", " ")) == F.least("words", F.lit(WINDOW)))
     own = written(own.withColumnsRenamed({"position": "item_position", "slots": "item_slots"}), "item-windows")
-    totals = own.groupBy("item_id", "item_hash").agg(F.count_distinct("item_position").alias("n_windows"))
+    totals = own.groupBy("item_id", "item_hash").agg(
+        F.count_distinct("item_position").alias("n_windows"),
+        F.count_distinct(F.when(F.col("few"), F.col("item_position"))).alias("n_few"))
     texts = docs.select("doc_id", text_or_empty().alias("_t")).withColumn("text_hash", F.xxhash64("_t"))
     theirs = emit(texts, ["doc_id", "text_hash"], known, sorted({*short, WINDOW})).drop("places", "few")
     found = theirs.join(own, "window")
@@ -209,20 +212,28 @@ def leaks(docs: DataFrame, benchmark: DataFrame, max_words: int = MAX_WORDS) ->
     lain = found.groupBy("doc_id", "text_hash", "item_id", "item_hash",
                          (F.col("position") - F.col("item_position")).alias("distance")).agg(
         F.collect_set("item_position").alias("positions"),
+        F.collect_set(F.when(F.col("few"), F.col("item_position"))).alias("few"),
         F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
     one_to_one = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["item_slots"])))
     equal = ~F.exists("pairs", lambda p: p["item_slots"] != p["slots"])
+    different = lambda name: F.size(F.array_distinct(F.flatten(F.collect_set(name))))
     per_item = lain.where(one_to_one).groupBy("doc_id", "text_hash", "item_id", "item_hash").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_set("positions")))).alias("matched"),
-        F.bool_and(equal).alias("copy"))
+        different("positions").alias("matched"), different("few").alias("matched_few"), F.bool_and(equal).alias("copy"))
     totals = totals.withColumnsRenamed({"item_id": "t_item", "item_hash": "t_hash"})
     judged = per_item.join(totals, F.col("item_id").eqNullSafe(F.col("t_item")) & (F.col("item_hash") == F.col("t_hash")))
-    leaked = (2 * F.col("matched") >= F.col("n_windows")) | (F.col("matched") >= PASSAGE_WINDOWS)
+    leaked = ((2 * F.col("matched") >= F.col("n_windows")) | (F.col("matched") >= PASSAGE_WINDOWS)
+              | (F.col("n_few") > 0) & (2 * F.col("matched_few") >= F.col("n_few")))
     return judged.where(leaked).select(
         "doc_id", "text_hash", "item_id", "n_windows", F.col("matched").cast("long").alias("matched"),
         F.when(F.col("copy"), "copy").otherwise("re-parameterised").alias("kind"))
 
 
+def unmatched_items(benchmark: DataFrame) -> int:
+    """How many items of ``benchmark`` have words but too few of them to be looked for."""
+    texts = benchmark.select("item_id", text_or_empty().alias("_t")).distinct()
+    return texts.where(F.size(words_of(F.col("_t"))).between(1, LEAST_WORDS - 1)).count()
+
+
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no leak, with exactly the columns of ``docs``."""
     gone = written(leaks(docs, benchmark).select(

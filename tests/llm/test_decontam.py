@@ -91,3 +91,17 @@ def test_capitalised_words_at_sentence_starts_are_read_both_ways(spark, max_word
     got = pairs(spark, documents(spark, texts), bench, max_words=max_words)
     assert got == {(0, 1): "re-parameterised", (1, 1): "re-parameterised", (2, 2): "copy", (3, 2): "copy", (4, 3): "copy",
                    (5, 1): "copy"}
+
+
+@pytest.mark.parametrize("max_words", [decontam.MAX_WORDS, 0])
+def test_copies_of_items_full_of_numbers_are_found(spark, max_words):
+    full, short = "Compute 12 + 34 - 5 * 6 km in 7 hours 8 days 9 km", "12 km + 3 km"
+    bench = spark.createDataFrame([(1, full), (2, short), (3, "two words"), (4, " "), (5, None), (6, "7 + 8")],
+                                  "item_id long, text string")
+    texts = [f"{edge.sentence(1, 9)} {full} {edge.sentence(2, 9)}", f"{edge.sentence(3, 9)} {short}",
+             f"{edge.sentence(4, 9)} 13 km + 4 km", " ".join(full.split()[4:])]
+    found = decontam.leaks(documents(spark, texts), bench, max_words=max_words).collect()
+    n = len(full.split()) - decontam.WINDOW + 1
+    assert sorted((r["doc_id"], r["item_id"], r["n_windows"], r["matched"], r["kind"]) for r in found) == [
+        (0, 1, n, n, "copy"), (1, 2, 1, 1, "copy"), (3, 1, n, n - 4, "copy")]
+    assert decontam.unmatched_items(bench) == 2
