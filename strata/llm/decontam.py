@@ -4,9 +4,10 @@ Words become template tokens: numbers, numbers with a unit, units and names (cap
 placeholders, other words are stripped of punctuation and lower-cased. A capitalised word that begins a sentence is read
 both as a name and as a literal, and each window also without placeholders, for exact copies. Windows of eight template tokens of
 the documents are hash-joined with those of the benchmark items. What the placeholders stood for is kept beside each
-window; where document and item lie over one another at a fixed distance, every value of the item must always stand
-for one and the same value of the document. A consistent passage is a leak if it covers half of the item's windows, half
-of those that can be templates or 13 words: a copy if all values are equal, else a re-parameterised question.
+window; where document and item lie over one another at a fixed distance, every value of the item must stand for one and the
+same value of the document; windows with a value that stands for something else, or for no one value, do not count
+(:func:`agreeing`). What remains is a leak if it covers half of the item's windows, half of those that can be templates
+or six windows (13 words): a copy if all its values are equal, else a re-parameterised question.
 
 The words of the benchmark are few beside the corpus. While they are fewer than ``MAX_WORDS`` they are sent to the
 tasks, and a document only emits windows all of whose words the benchmark has, which are next to none but its leaks.
@@ -21,6 +22,7 @@ same pairs once; empty tables give no rows; further columns are not read.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from itertools import combinations
 
@@ -48,7 +50,7 @@ _EDGES = re.compile(r"^[^\w%]+|[^\w%]+$")
 _NUMBER = re.compile(r"[+-]?\d+(?:[.,:/]\d+)*")
 _QUANTITY = re.compile(r"[+-]?\d+(?:[.,:/]\d+)*([^\W\d_]+|%)")
 WINDOW_COLUMNS = {"window": "string", "position": "int", "slots": "array<string>", "places": "array<int>",
-                  "few": "boolean"}
+                  "certain": "array<boolean>", "few": "boolean"}
 
 
 def token_of(word: str) -> tuple[str, bool, bool]:
@@ -109,9 +111,9 @@ class Templates:
         name = packed & 2 > 0
         return words, packed >> 5, np.where(name, KINDS.index(NAME), (packed >> 2 & 7) - 1), name & follows
 
-    def windows(self, text: str) -> Iterator[tuple[str, int, list[str], list[int], bool]]:
-        """(window, position, values of the placeholders, their places in the text, whether it can be a template) of
-        every reading of the windows with known words. A capitalised word that begins a sentence is read as a literal and
+    def windows(self, text: str) -> Iterator[tuple[str, int, list[str], list[int], list[bool], bool]]:
+        """(window, position, values of the placeholders, their places in the text, whether they are placeholders in
+        every reading, whether it can be a template) of every reading of the windows with known words. A capitalised word that begins a sentence is read as a literal and
         as a name; a template has no more placeholders than literals. Each window is also read without placeholders; its
         values are then those that are placeholders in every template."""
         words, plain, kinds, either = self.tokens(text)
@@ -129,7 +131,7 @@ class Templates:
                 span = range(at, at + size)
                 always = [i for i in span if fixed[i]]
                 if literal[at]:
-                    yield self._window(words, plain, kinds, span, (), always, bool(few[at]))
+                    yield self._window(words, plain, kinds, either, span, (), always, bool(few[at]))
                 if not template[at]:
                     continue
                 forced = [i for i in span if either[i] and plain[i] < 0]
@@ -137,14 +139,65 @@ class Templates:
                 for n in range(min(len(free), size // 2 - len(always) - len(forced)) + 1):
                     for some in combinations(free, n):
                         if typed := sorted([*always, *forced, *some]):
-                            yield self._window(words, plain, kinds, span, typed, typed, True)
+                            yield self._window(words, plain, kinds, either, span, typed, typed, True)
                         elif not literal[at]:
-                            yield self._window(words, plain, kinds, span, (), (), True)
+                            yield self._window(words, plain, kinds, either, span, (), (), True)
 
-    def _window(self, words: list[str], plain: np.ndarray, kinds: np.ndarray, span: range, typed: Sequence[int],
-                places: Sequence[int], few: bool) -> tuple[str, int, list[str], list[int], bool]:
+    def _window(self, words: list[str], plain: np.ndarray, kinds: np.ndarray, either: np.ndarray, span: range,
+                typed: Sequence[int], places: Sequence[int], few: bool
+                ) -> tuple[str, int, list[str], list[int], list[bool], bool]:
         key = " ".join([self.words[kinds[i] if i in typed else plain[i]] for i in span])
-        return key, span[0], [literal_of(words[i]) for i in places], list(places), few
+        return (key, span[0], [literal_of(words[i]) for i in places], list(places), [not either[i] for i in places],
+                few)
+
+
+def agreeing(windows: list[dict]) -> list[dict]:
+    """Those of the windows of one item over one document, at one distance, whose values go together. A value of the
+    item stands for the value that it has in more than half of its places; where no value has, no window with it is
+    left. Places that need not be names count only if the value has no others, and the most frequent value is then
+    taken: the other windows are just read differently."""
+    places: dict[str, dict[str, dict[int, bool]]] = {}
+    covered = Counter()
+    for w in windows:
+        for place, own, other, certain in w["slots"]:
+            at = places.setdefault(own, {}).setdefault(other, {})
+            at[place] = at.get(place, False) or certain
+            covered[own, other] += 1
+    stands_for = {}
+    for own, others in places.items():
+        sure = {other: sum(at.values()) for other, at in others.items()}
+        best = max(others, key=lambda o: (sure[o], len(others[o]), covered[own, o], o))
+        if not any(sure.values()) or 2 * sure[best] > sum(sure.values()):
+            stands_for[own] = best
+    return [w for w in windows if all(stands_for.get(own) == other for _, own, other, _ in w["slots"])]
+
+
+def settled(lain: DataFrame) -> DataFrame:
+    """``lain`` with the item's positions whose windows agree, those of them that can be templates, and whether all
+    values are equal, in place of ``windows``; rows without any are gone."""
+    keys = [c for c in lain.columns if c != "windows"]
+    extra = {"positions": pa.list_(pa.int32()), "few": pa.list_(pa.int32()), "equal": pa.bool_()}
+
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            rows, out = [], []
+            for row, cell in enumerate(batch.column("windows")):
+                windows = cell.as_py()
+                for w in windows:
+                    w["slots"] = [(s["places"], s["item_slots"], s["slots"], s["certain"]) for s in w["pairs"]]
+                if kept := agreeing(windows):
+                    rows.append(row)
+                    out.append((sorted({w["item_position"] for w in kept}),
+                                sorted({w["item_position"] for w in kept if w["few"]}),
+                                all(own == other for w in kept for _, own, other, _ in w["slots"])))
+            if rows:
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(k).take(pa.array(rows)) for k in keys]
+                    + [pa.array(x, t) for x, t in zip(zip(*out), extra.values())], keys + list(extra))
+
+    schema = lain.select(*keys, F.lit(None).cast("array<int>").alias("positions"),
+                         F.lit(None).cast("array<int>").alias("few"), F.lit(None).cast("boolean").alias("equal")).schema
+    return lain.mapInArrow(batches, schema)
 
 
 def emit(texts: DataFrame, keys: list[str], known: list[str] | None, sizes: list[int]) -> DataFrame:
@@ -168,7 +221,7 @@ def emit(texts: DataFrame, keys: list[str], known: list[str] | None, sizes: list
 
     def made(batch: pa.RecordBatch, rows: list[int], found: list[tuple]) -> pa.RecordBatch:
         at = pa.array(rows)
-        kinds = pa.string(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.bool_()
+        kinds = (pa.string(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.bool_()), pa.bool_())
         return pa.RecordBatch.from_arrays(
             [batch.column(k).take(at) for k in keys] + [pa.array(x, t) for x, t in zip(zip(*found), kinds)],
             keys + list(WINDOW_COLUMNS))
@@ -200,7 +253,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, max_words: int = MAX_WORDS) ->
     item_keys = ["item_id", "item_hash", "words"]
     own = emit(items, item_keys, known, sorted({*short, WINDOW}))
     own = own.where(F.size(F.split("window", " ")) == F.least("words", F.lit(WINDOW)))
-    own = written(own.withColumnsRenamed({"position": "item_position", "slots": "item_slots"}), "item-windows")
+    own = written(own.withColumnsRenamed({"position": "item_position", "slots": "item_slots", "certain": "item_certain"}), "item-windows")
     totals = own.groupBy("item_id", "item_hash").agg(
         F.count_distinct("item_position").alias("n_windows"),
         F.count_distinct(F.when(F.col("few"), F.col("item_position"))).alias("n_few"))
@@ -208,17 +261,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, max_words: int = MAX_WORDS) ->
     theirs = emit(texts, ["doc_id", "text_hash"], known, sorted({*short, WINDOW})).drop("places", "few")
     found = theirs.join(own, "window")
     typed = F.col("window").rlike(f"(^| )({'|'.join(KINDS)})( |$)")
-    pairs = F.arrays_zip("item_slots", F.when(typed, F.col("slots")).otherwise(F.col("item_slots")).alias("slots"))
+    either = lambda theirs, own: F.when(typed, F.col(theirs)).otherwise(F.col(own))
+    certain = F.zip_with(either("certain", "item_certain"), "item_certain", lambda a, b: a & b)
+    pairs = F.arrays_zip("places", "item_slots", either("slots", "item_slots").alias("slots"), certain.alias("certain"))
     lain = found.groupBy("doc_id", "text_hash", "item_id", "item_hash",
                          (F.col("position") - F.col("item_position")).alias("distance")).agg(
-        F.collect_set("item_position").alias("positions"),
-        F.collect_set(F.when(F.col("few"), F.col("item_position"))).alias("few"),
-        F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
-    one_to_one = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["item_slots"])))
-    equal = ~F.exists("pairs", lambda p: p["item_slots"] != p["slots"])
+        F.collect_set(F.struct("item_position", "few", pairs.alias("pairs"))).alias("windows"))
     different = lambda name: F.size(F.array_distinct(F.flatten(F.collect_set(name))))
-    per_item = lain.where(one_to_one).groupBy("doc_id", "text_hash", "item_id", "item_hash").agg(
-        different("positions").alias("matched"), different("few").alias("matched_few"), F.bool_and(equal).alias("copy"))
+    per_item = settled(lain).groupBy("doc_id", "text_hash", "item_id", "item_hash").agg(
+        different("positions").alias("matched"), different("few").alias("matched_few"), F.bool_and("equal").alias("copy"))
     totals = totals.withColumnsRenamed({"item_id": "t_item", "item_hash": "t_hash"})
     judged = per_item.join(totals, F.col("item_id").eqNullSafe(F.col("t_item")) & (F.col("item_hash") == F.col("t_hash")))
     leaked = ((2 * F.col("matched") >= F.col("n_windows")) | (F.col("matched") >= PASSAGE_WINDOWS)

@@ -105,3 +105,23 @@ def test_copies_of_items_full_of_numbers_are_found(spark, max_words):
     assert sorted((r["doc_id"], r["item_id"], r["n_windows"], r["matched"], r["kind"]) for r in found) == [
         (0, 1, n, n, "copy"), (1, 2, 1, 1, "copy"), (3, 1, n, n - 4, "copy")]
     assert decontam.unmatched_items(bench) == 2
+
+
+@pytest.mark.parametrize("max_words", [decontam.MAX_WORDS, 0])
+def test_one_changed_value_does_not_hide_what_stands_around_it(spark, max_words):
+    long = f"{edge.sentence(5, 60)} 2 apples {edge.sentence(6, 60)} 2 days {edge.sentence(7, 60)}"
+    bench = spark.createDataFrame([(1, long), (2, QUESTION)], "item_id long, text string")
+    renamed = QUESTION.replace("Tom", "Jim").replace("Anna", "Mary")
+    texts = [long.replace("2 apples", "5 apples"), renamed.replace("today. Mary", "today. So Mary"),
+             f"{edge.sentence(8, 20)} 2 apples {edge.sentence(9, 20)}"]
+    got = pairs(spark, documents(spark, texts), bench, max_words=max_words)
+    assert got == {(0, 1): "copy", (1, 2): "re-parameterised"}
+
+
+def test_values_that_agree():
+    window = lambda at, *slots: {"item_position": at, "slots": list(slots)}
+    kept = lambda *windows: [w["item_position"] for w in decontam.agreeing(list(windows))]
+    assert kept(window(0, (1, "a", "x", True)), window(9, (10, "a", "y", True)), window(20)) == [20]
+    assert kept(*(window(i, (i, "a", "xxy"[i], True)) for i in range(3))) == [0, 1]
+    assert kept(*(window(i, (i, "a", "xyy"[i], not i)) for i in range(3))) == [0]
+    assert kept(*(window(i, (i, "a", "xyy"[i], False)) for i in range(3))) == [1, 2]
