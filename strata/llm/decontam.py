@@ -56,12 +56,13 @@ WINDOW_COLUMNS = {"window": "string", "position": "int", "slots": "array<string>
 def token_of(word: str) -> tuple[str, bool, bool]:
     """Template token of a word, whether it is a name (if the word before ends a sentence, it may be), whether it ends one."""
     ends = word[-1] in ".!?:" or word[-1] in "\"')" and any(c in word[-3:] for c in ".!?")
-    bare = _EDGES.sub("", word)
+    bare = word if word.isalnum() else _EDGES.sub("", word)
     low = bare.lower()
-    if _NUMBER.fullmatch(bare):
-        return NUMBER, False, ends
-    if (m := _QUANTITY.fullmatch(low)) and m[1] in UNITS:
-        return QUANTITY, False, ends
+    if not bare.isalpha():
+        if _NUMBER.fullmatch(bare):
+            return NUMBER, False, ends
+        if (m := _QUANTITY.fullmatch(low)) and m[1] in UNITS:
+            return QUANTITY, False, ends
     if low in UNITS:
         return UNIT, False, ends
     return low, len(bare) > 1 and bare[0].isupper() and bare[1:].islower(), ends
@@ -84,9 +85,12 @@ class Templates:
     def _look(self, word: str) -> int:
         """Number of the word as a literal (-1: not known), three bits for its placeholder (0: none; one more than its
         place in KINDS), and two bits: may be a name, ends a sentence."""
-        token, name, ends = token_of(word)
-        kind = KINDS.index(token) + 1 if token in KINDS else 0
-        plain = literal_of(word)
+        if word.isalpha() and (plain := word.lower()) not in UNITS:  # most words, without the patterns
+            kind, ends, name = 0, False, word[0] != plain[0] and len(word) > 1 and word[0].isupper() and word[1:].islower()
+        else:
+            token, name, ends = token_of(word)
+            kind = KINDS.index(token) + 1 if token in KINDS else 0
+            plain = literal_of(word) if kind else token
         number = self.numbers.get(plain, -1)
         if number < 0 and self.known is None:
             number = self.numbers[plain] = len(self.words)
@@ -117,6 +121,8 @@ class Templates:
         as a name; a template has no more placeholders than literals. Each window is also read without placeholders; its
         values are then those that are placeholders in every template."""
         words, plain, kinds, either = self.tokens(text)
+        if not words:
+            return
         total = lambda some: np.concatenate(([0], np.cumsum(some)))
         fixed = (kinds >= 0) & ~either
         unknown, bad = total(plain < 0), total((plain < 0) & (kinds < 0))
@@ -127,7 +133,10 @@ class Templates:
             over = lambda some: some[size:] - some[:-size]
             literal, few = over(unknown) == 0, 2 * over(sure) <= size
             template = (over(bad) == 0) & (2 * over(least) <= size)
-            for at in np.flatnonzero(literal | template).tolist():
+            starts = np.flatnonzero(literal | template).tolist()
+            if starts and isinstance(plain, np.ndarray):
+                plain, kinds, either, fixed = plain.tolist(), kinds.tolist(), either.tolist(), fixed.tolist()
+            for at in starts:
                 span = range(at, at + size)
                 always = [i for i in span if fixed[i]]
                 if literal[at]:
@@ -143,12 +152,12 @@ class Templates:
                         elif not literal[at]:
                             yield self._window(words, plain, kinds, either, span, (), (), True)
 
-    def _window(self, words: list[str], plain: np.ndarray, kinds: np.ndarray, either: np.ndarray, span: range,
+    def _window(self, words: list[str], plain: list[int], kinds: list[int], either: list[bool], span: range,
                 typed: Sequence[int], places: Sequence[int], few: bool
                 ) -> tuple[str, int, list[str], list[int], list[bool], bool]:
         key = " ".join([self.words[kinds[i] if i in typed else plain[i]] for i in span])
-        return (key, span[0], [literal_of(words[i]) for i in places], list(places), [not either[i] for i in places],
-                few)
+        values = [self.words[plain[i]] if plain[i] >= 0 else literal_of(words[i]) for i in places]
+        return key, span[0], values, list(places), [not either[i] for i in places], few
 
 
 def agreeing(windows: list[dict]) -> list[dict]:
