@@ -134,8 +134,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = END_ID, capacity: int =
         doc_type = pa.int64()
         for batch in source:
             doc_type = batch.schema.field("doc_id").type
-            texts = batch.column("_t").to_pylist()
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), coder.encode(texts)):
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), coder.encode(batch.column("_t"))):
                 ids += end
                 packer.add((doc, len(ids) // 4), ids)
                 if len(packer.out) >= 2048:

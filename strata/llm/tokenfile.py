@@ -156,7 +156,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
             return pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], ["block"])
 
         for batch in source:
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), coder.encode(batch.column("_t").to_pylist())):
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), coder.encode(batch.column("_t"))):
                 docs.append(doc)
                 sizes.append(len(ids) // 4 + 1)
                 parts += (ids, end)
@@ -183,7 +183,7 @@ def read_token_files(spark: SparkSession, folder: str, with_ids: bool = False) -
         for batch in source:
             for content in batch.column("content"):
                 for block in blocks_of(content.as_buffer()):
-                    ends = block.ends.all()
+                    ends = np.array([block.ends.select(i) for i in range(block.docs)], np.int64)
                     starts = np.concatenate(([0], ends[:-1]))
                     ids = [block.ids_of(a, b) for a, b in zip(starts.tolist(), ends.tolist())]
                     same = lambda x, kind: pa.array(np.full(block.docs, x), kind)

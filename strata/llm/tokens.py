@@ -2,30 +2,38 @@
 
 A byte-level BPE tokenizer cuts a text at least before every space that stands between two other characters; one that
 drops white space cuts at every white space. The ids of a text are therefore the ids of its chunks, one after another.
-Chunks repeat, so a worker process remembers the ids of up to ``REMEMBERED`` of them. A new chunk of Latin letters and
-signs is cut into words by the tokenizer's pattern, and each new word goes through the tokenizer's BPE model alone;
-other chunks, and texts with any unusual white space, are encoded whole. The ids are those of
-``Tokenizer.encode(text, add_special_tokens=False)``, with the strings of special tokens taken as ordinary text.
+Texts are cut by Arrow's string functions, the distinct chunks of a batch are looked up once, and the ids of all texts
+are gathered from one array. A worker process remembers about ``REMEMBERED`` chunks. New chunks of Latin letters and
+signs are cut into words by the tokenizer's pattern, and each new word goes through the tokenizer's BPE model alone;
+other chunks, and texts with unusual white space or the string of an added token, are encoded whole. The ids are those
+of ``Tokenizer.encode(text, add_special_tokens=False)`` of the file as it is: the string of an added token is that
+token, unless ``special_as_text`` is set.
 """
 
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 REMEMBERED = 1_000_000
-TOGETHER_CHARS = 1 << 19
+TOGETHER_CHARS = 1 << 22
 #: fixed value: how byte-level pre-tokenization cuts a text
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: below it, letters and numbers are the same in every version of Unicode
-LATIN_END = "\u0250"
+#: a control character that no chunk holds
+MARK = "\x1e"
 #: ASCII and other white space and separators on which libraries may differ
-_UNUSUAL = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f\u2060\u3000\ufeff]")
-_BESIDE_SPACE = ("  ", " \n", "\n ", " \t", "\t ", " \r", "\r ")
+UNUSUAL = "[" + "".join(map(chr, (
+    0x0b, 0x0c, *range(0x1c, 0x20), 0x85, 0xa0, 0x1680, 0x180e, *range(0x2000, 0x2010), *range(0x2028, 0x2030), 0x205f,
+    0x2060, 0x3000, 0xfeff))) + "]"
+#: white space beside a space: a cut there depends on what follows
+BESIDE_SPACE = " [ \n\t\r]|[\n\t\r] "
+#: above it, letters and numbers may differ between versions of Unicode; white space at an end meets the next chunk
+NOT_SIMPLE = f"[^\x01-{chr(0x24f)}]|^ ?[\n\t\r]|[ \n\t\r]$|^$"
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -36,96 +44,176 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+class Sequences:
+    """Integer sequences one after another in one growing array, by number."""
+
+    def __init__(self):
+        self.flat, self.starts, self.used, self.count = np.zeros(1024, np.uint32), np.zeros(257, np.int64), 0, 0
+
+    def add(self, values: np.ndarray, sizes: np.ndarray) -> None:
+        ends = self.used + np.cumsum(sizes)
+        while self.used + len(values) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while self.count + len(sizes) >= len(self.starts):
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+        self.flat[self.used:self.used + len(values)] = values
+        self.starts[self.count + 1:self.count + 1 + len(sizes)] = ends
+        self.used += len(values)
+        self.count += len(sizes)
+
+    def sizes(self, numbers: np.ndarray) -> np.ndarray:
+        return self.starts[numbers + 1] - self.starts[numbers]
+
+    def gather(self, numbers: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The sequences of the given numbers, joined; ``sizes`` are theirs."""
+        ends = np.cumsum(sizes)
+        shift = self.starts[numbers] - ends + sizes
+        return self.flat[np.repeat(shift, sizes) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+def strings(column: pa.Array) -> list[str]:
+    """The values of a column without nulls; much faster than ``to_pylist``."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+def per_group(sizes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of consecutive groups of ``sizes``; ``counts`` are the sizes of the groups."""
+    total = np.concatenate(([0], np.cumsum(sizes)))
+    ends = np.cumsum(counts)
+    return total[ends] - total[ends - counts]
+
+
 class Encoder:
     """Encodes texts with one tokenizer; use :func:`encoder` to get the one of this process."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         pre = spec.get("pre_tokenizer") or {}
         self.keeps_spaces = pre.get("type") == "ByteLevel"
-        pattern = BYTE_LEVEL if self.keeps_spaces else pre["pretokenizers"][0]["pattern"]["Regex"]
+        if self.keeps_spaces:
+            pattern = MARK + "|" + BYTE_LEVEL.replace(r"[^\s", rf"[^{MARK}\s")
+        else:
+            pattern = " |" + pre["pretokenizers"][0]["pattern"]["Regex"]
+        self.between = MARK if self.keeps_spaces else " "
         self.words_of = regex.compile(pattern).findall
         self.normal = self.tokenizer.normalizer
         self.alphabet = byte_alphabet()
-        self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        added = [] if special_as_text else [regex.escape(t["content"]) for t in spec.get("added_tokens", ())]
+        self.odd = "|".join([UNUSUAL, *[BESIDE_SPACE] * self.keeps_spaces, *added])
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.words: dict[str, int] = {}
+        self.chunk_ids, self.word_ids = Sequences(), Sequences()
 
     def whole(self, text: str) -> bytes:
         """Ids of one text as little-endian unsigned 32-bit integers."""
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _chunks(self, text: str) -> list[str] | None:
-        """The chunks of a text; None if it must be encoded whole."""
-        if _UNUSUAL.search(text):
-            return None
-        if not self.keeps_spaces:
-            return text.split()
-        if text[:1] == " " or text[-1:] == " " or any(x in text for x in _BESIDE_SPACE):
-            return None
-        return text.split(" ")
-
-    def _word(self, word: str) -> bytes:
-        """Ids of one pre-token."""
-        found = self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(self.alphabet))
-        return np.array([t.id for t in found], "<u4").tobytes()
-
-    def _learn(self, chunks: set[str]) -> None:
-        known, words, lead = self.known, self.words, " " if self.keeps_spaces else ""
-        for chunk in chunks:
-            text = lead + chunk
-            if max(text, default="") >= LATIN_END:
-                known[chunk] = self.whole(text)
-                continue
-            if self.normal is not None:
-                text = self.normal.normalize_str(text)
-            ids = []
-            for word in self.words_of(text):
-                some = words.get(word)
-                if some is None:
-                    some = words[word] = self._word(word)
-                ids.append(some)
-            known[chunk] = ids[0] if len(ids) == 1 else b"".join(ids)
-
-    def _some(self, texts: list[str]) -> Iterator[bytes]:
+    def _spell(self, words: list[str]) -> list[str]:
+        """The words in the alphabet of the vocabulary."""
+        text = MARK.join(words).encode().decode("latin-1")
+        for c in set(text) - {MARK}:
+            if (other := self.alphabet[ord(c)]) != c:
+                text = text.replace(c, other)
+        return text.split(MARK)
+
+    def _learn_words(self, words: list[str]) -> None:
+        ids, sizes = [], []
+        for found in map(self.tokenizer.model.tokenize, self._spell(words) if words else ()):
+            sizes.append(len(found))
+            ids += [t.id for t in found]
+        self.words.update(zip(words, range(len(self.words), len(self.words) + len(words))))
+        self.word_ids.add(np.array(ids, np.uint32), np.array(sizes, np.int64))
+
+    def _learn(self, chunks: list[str]) -> None:
+        column = pa.array(chunks, pa.string())
+        hard = pc.match_substring_regex(column, NOT_SIMPLE).to_numpy(zero_copy_only=False)
+        for chunk in column.filter(pa.array(hard)).to_pylist():
+            ids = np.frombuffer(self.whole(chunk), "<u4")
+            self.chunk_ids.add(ids, np.array([len(ids)], np.int64))
+            self.known[chunk] = len(self.known)
+        simple = strings(column.filter(pa.array(~hard)))
+        if not simple:
+            return
+        text = self.between.join(simple)
+        if self.normal is not None:
+            text = self.normal.normalize_str(text)
+        words = self.words_of(text)
+        self._learn_words(list(set(words).difference(self.words, (self.between,))))
+        self.words[self.between] = -1
+        numbers = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        del self.words[self.between]
+        cuts = np.flatnonzero(numbers < 0)
+        if len(cuts) != len(simple) - 1:
+            raise ValueError("the words of a text do not fall into its chunks")
+        counts = np.diff(np.concatenate(([-1], cuts, [len(numbers)]))) - 1
+        numbers = numbers[numbers >= 0]
+        sizes = self.word_ids.sizes(numbers)
+        self.chunk_ids.add(self.word_ids.gather(numbers, sizes), per_group(sizes, counts))
+        first = len(self.known)
+        self.known.update(zip(simple, range(first, first + len(simple))))
+
+    def _chunks(self, texts: pa.Array) -> pa.ListArray:
+        if self.keeps_spaces:
+            return pc.split_pattern(pc.replace_substring(texts, " ", MARK + " "), MARK)
+        return pc.ascii_split_whitespace(texts)
+
+    def numbers(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the chunks of all texts, and how many each text has."""
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-            self.words.clear()
-        split = [self._chunks(t) for t in texts]
-        new: set[str] = set()
-        for chunks in split:
-            if chunks:
-                new.update(chunks[1:] if self.keeps_spaces else chunks)
-        self._learn(new.difference(self.known))
-        ids_of = self.known.__getitem__
-        for text, chunks in zip(texts, split):
-            if chunks is None:
-                yield self.whole(text)
-            elif self.keeps_spaces:
-                yield self.whole(chunks[0]) + b"".join(map(ids_of, chunks[1:]))
+            self._forget()
+        lists = self._chunks(texts)
+        coded = lists.flatten().dictionary_encode()
+        distinct = strings(coded.dictionary)
+        if new := set(distinct).difference(self.known):
+            self._learn(list(new))
+        of_distinct = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+        return of_distinct[coded.indices.to_numpy()], pc.list_value_length(lists).to_numpy().astype(np.int64)
+
+    def _some(self, texts: pa.Array) -> Iterator[bytes]:
+        odd = pc.match_substring_regex(texts, self.odd)
+        numbers, counts = self.numbers(texts.filter(pc.invert(odd)))
+        sizes = self.chunk_ids.sizes(numbers)
+        ids = self.chunk_ids.gather(numbers, sizes).astype("<u4", copy=False)
+        ends = np.cumsum(per_group(sizes, counts)).tolist()
+        at = start = 0
+        for row, is_odd in enumerate(odd.to_pylist()):
+            if is_odd:
+                yield self.whole(texts[row].as_py())
             else:
-                yield b"".join(map(ids_of, chunks))
+                yield ids[start:ends[at]].tobytes()
+                start, at = ends[at], at + 1
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
+    def encode(self, texts: list[str] | pa.Array) -> Iterator[bytes]:
         """Ids of each text, in order; a bounded amount of text is in work at a time."""
-        some, size = [], 0
-        for text in texts:
-            some.append(text)
-            size += len(text)
-            if size >= TOGETHER_CHARS:
-                yield from self._some(some)
-                some, size = [], 0
-        yield from self._some(some)
+        for some in pieces_of(texts):
+            yield from self._some(some)
+
+
+def pieces_of(texts: list[str] | pa.Array, size: int | None = None) -> Iterator[pa.Array]:
+    """Consecutive slices of ``texts`` of about ``size`` bytes, or of one text if it is longer."""
+    column = texts if isinstance(texts, (pa.Array, pa.ChunkedArray)) else pa.array(texts, pa.large_string())
+    column = column.cast(pa.large_string())
+    ends = np.cumsum(pc.binary_length(column).to_numpy().astype(np.int64) + 1)
+    at = 0
+    while at < len(column):
+        before = ends[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, before + (size or TOGETHER_CHARS), "right")))
+        yield column.slice(at, end - at)
+        at = end
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, special_as_text: bool = False) -> Encoder:
+    if (path, special_as_text) not in _ENCODERS:
+        _ENCODERS[path, special_as_text] = Encoder(path, special_as_text)
+    return _ENCODERS[path, special_as_text]

@@ -51,7 +51,6 @@ def test_packer_places_everything_once():
 
 def check(spark, docs):
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     want = sorted(((d, *ids) for d, ids in (
         (r["doc_id"], tokenizer.encode(r["text"] or "", add_special_tokens=False).ids + [0]) for r in docs.collect())),
         key=str)

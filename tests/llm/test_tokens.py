@@ -18,6 +18,26 @@ from strata.session import scratch_dir
 FILES = ["byte_bpe_50k.json", "word_bpe_49k.json"]
 
 
+#: strings of added tokens at every place, alone, doubled, in other case and cut short
+ADDED = [t.replace("X", x) for x in ("<|endoftext|>", "<|startoftext|>") for t in (
+    "X", "XX", "X one two", "one X two", "oneXtwo", "one two X", " X ", "X\n\nX", "one X X two X")]
+ADDED += ["<|EndOfText|> a", "<|endoftext| > a", "<|endof text|>", "< |endoftext|>"]
+
+
+def ids_of(tokenizer, text):
+    return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+@pytest.mark.parametrize("name", FILES)
+@pytest.mark.parametrize("as_text", [False, True])
+def test_strings_of_added_tokens(name, as_text):
+    path = public_tokenizers.path(name)
+    untouched = Tokenizer.from_file(path)
+    if as_text:
+        untouched.encode_special_tokens = True
+    assert list(tokens.Encoder(path, as_text).encode(ADDED)) == [ids_of(untouched, t) for t in ADDED]
+
+
 @pytest.mark.parametrize("name", FILES)
 def test_chunked_encoding_equals_whole_encoding(spark, name):
     coder = tokens.Encoder(public_tokenizers.path(name))
@@ -26,23 +46,24 @@ def test_chunked_encoding_equals_whole_encoding(spark, name):
     some = "ab cA'sS'll\n\t  .,!éßİΣς́ 12½²٣\x1c  漢\U0001f600<|endoftext|>_-\r"
     texts += ["".join(rng.choice(some) for _ in range(rng.randint(0, 40))) for _ in range(5000)]
     texts += ["".join(chr(rng.randint(1, 0x24f)) for _ in range(30)) for _ in range(1000)]
-    whole = [coder.whole(t) for t in texts]
-    assert list(coder.encode(texts)) == whole
+    untouched = Tokenizer.from_file(public_tokenizers.path(name))
+    assert list(coder.encode(texts)) == [ids_of(untouched, t) for t in texts]
 
 
 CODERS = [tokens.Encoder(public_tokenizers.path(name)) for name in FILES]
+PLAIN = [Tokenizer.from_file(public_tokenizers.path(name)) for name in FILES]
 
 
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.text(max_size=60), max_size=4))
 def test_any_text(texts):
-    for coder in CODERS:
-        assert list(coder.encode(texts)) == [coder.whole(t) for t in texts]
+    for coder, plain in zip(CODERS, PLAIN):
+        assert list(coder.encode(texts)) == [ids_of(plain, t) for t in texts]
 
 
 def test_a_full_memory_is_emptied(monkeypatch):
     monkeypatch.setattr(tokens, "REMEMBERED", 10)
-    monkeypatch.setattr(tokens, "TOGETHER_CHARS", 50)
+    monkeypatch.setattr(tokens, "TOGETHER_CHARS", 100)
     coder = tokens.Encoder(public_tokenizers.path(FILES[0]))
     texts = [edge.sentence(i, 9) for i in range(40)]
     assert list(coder.encode(texts)) == [coder.whole(t) for t in texts]
