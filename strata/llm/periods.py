@@ -4,7 +4,8 @@ A run is a maximal stretch of consecutive words in which words one period apart
 periods (its smallest) and ``LEAST`` words. It is found at the dyadic scale B with B/2 < period <= B (the first scale
 takes all periods up to 4): words become numbers, and blocks of B words that start every B/2 words are laid over the
 following window at all distances up to B at once. The sum of squared differences is a convolution; a number theoretic
-transform modulo a prime gives it in exact integers, for all blocks of a batch of texts in one array. A run so long
+transform modulo a prime gives it in exact integers, for all blocks of a batch of texts in one array; blocks with a word
+that does not stand again within B words can have no zero and are left out. A run so long
 holds, at this scale, a whole block together with its copy one period later, and no smaller distance can match there,
 because a block at least as long as the smallest period of its surroundings recurs at multiples of it only. So the
 first distance without a mismatch is the only seed of a block. A zero modulo the prime is compared word by word, and
@@ -27,7 +28,7 @@ import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import count
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -38,95 +39,119 @@ from strata.llm.common import ship_code, text_or_empty
 COPIES = 4
 LEAST = 6
 FIRST_SCALE = 4
-#: a prime of 31 bits whose predecessor 2 to the 27 divides, and a primitive root of it
-PRIME, ROOT = 15 * (1 << 27) + 1, 31
+#: (kind of number, prime, primitive root, longest transform); products of residues are exact in the kind's mantissa
+FIELDS = ((np.float64, 11 * (1 << 21) + 1, 3, 1 << 21), (np.longdouble, 15 * (1 << 27) + 1, 31, 1 << 27))
+#: stages of a transform after which sums are reduced
+LAZY = 3
 #: words of a batch of texts, and numbers in one array of transforms
 TOGETHER_WORDS = 1 << 17
-TOGETHER_NUMBERS = 1 << 18
-_P = np.uint64(PRIME)
-
-
-@lru_cache(maxsize=None)
-def _factors(size: int) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray, np.uint64]:
-    """For transforms of ``size`` numbers: powers of the root for each halving, forth and back; where the frequency -k
-    stands in the order that the transform leaves (bits of the index reversed); and 1 / size."""
-    root = pow(ROOT, (PRIME - 1) // size, PRIME)
-
-    def powers(base: int, n: int) -> np.ndarray:
-        out = np.ones(1, np.uint64)
+TOGETHER_NUMBERS = 1 << 15
+
+
+class Field:
+    """Integers modulo a prime, as whole numbers from -prime/2 to prime/2, and transforms of one size over them."""
+
+    def __init__(self, size: int):
+        self.kind, self.prime, root, _ = next(f for f in FIELDS if size <= f[3])
+        self.size = size
+        self._one_by = 1 / self.kind(self.prime)
+        root = pow(root, (self.prime - 1) // size, self.prime)
+        self.halves = [size >> k for k in range(1, size.bit_length())]
+        self.forth = [self._powers(pow(root, size // (2 * h), self.prime), h) for h in self.halves]
+        self.back = [self._powers(pow(root, size - size // (2 * h), self.prime), h) for h in self.halves]
+        place = np.zeros(1, np.int64)
+        while len(place) < size:
+            place = np.concatenate([2 * place, 2 * place + 1])
+        #: where the frequency -k stands, if k stands here: a transform leaves them with the bits of k reversed
+        self.negative = place[(size - place) % size]
+        self.shrink = self.reduced(np.array([pow(size, self.prime - 2, self.prime)], self.kind))
+
+    def _powers(self, base: int, n: int) -> np.ndarray:
+        out = np.ones(1, self.kind)
         while len(out) < n:  # doubling
-            out = np.concatenate([out, out * np.uint64(pow(base, len(out), PRIME)) % _P])
+            factor = self.reduced(np.array([pow(base, len(out), self.prime)], self.kind))
+            out = np.concatenate([out, self.reduced(out * factor)])
         return out[:n]
 
-    halves = [size >> k for k in range(1, size.bit_length())]
-    forth = [powers(pow(root, size // (2 * h), PRIME), h) for h in halves]
-    back = [powers(pow(root, PRIME - 1 - size // (2 * h), PRIME), h) for h in halves]
-    place = np.zeros(1, np.int64)
-    while len(place) < size:
-        place = np.concatenate([2 * place, 2 * place + 1])
-    order = np.argsort(place, kind="stable")  # order[i]: the frequency at position i is place[i]; this inverts it
-    return forth, back, order[(size - place) % size], np.uint64(pow(size, PRIME - 2, PRIME))
-
-
-def transform(rows: np.ndarray) -> np.ndarray:
-    """Number theoretic transform of every row (numbers below the prime; a power of two of them), in bit-reversed
-    order of frequencies."""
-    n, size = rows.shape
-    for w in _factors(size)[0]:
-        pairs = rows.reshape(n, -1, 2, len(w))
-        a, b = pairs[:, :, 0], pairs[:, :, 1]
-        rows = np.empty_like(pairs)
-        total = np.add(a, b, out=rows[:, :, 0])
-        np.minimum(total, total - _P, out=total)  # below the prime the difference wraps round to a large number
-        rows[:, :, 1] = (a + (_P - b)) * w % _P
-    return rows.reshape(n, size)
-
-
-def inverse(rows: np.ndarray) -> np.ndarray:
-    """The rows whose :func:`transform` is ``rows``."""
-    n, size = rows.shape
-    _, back, _, shrink = _factors(size)
-    for w in reversed(back):
-        pairs = rows.reshape(n, -1, 2, len(w))
-        a, b = pairs[:, :, 0], pairs[:, :, 1] * w % _P
-        rows = np.empty_like(pairs)
-        total = np.add(a, b, out=rows[:, :, 0])
-        np.minimum(total, total - _P, out=total)
-        total = np.add(a, _P - b, out=rows[:, :, 1])
-        np.minimum(total, total - _P, out=total)
-    return rows.reshape(n, size) * shrink % _P
+    def reduced(self, values: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
+        """``values`` modulo the prime; they must be exact."""
+        times = values * self._one_by
+        np.rint(times, out=times)
+        times *= self.prime
+        return np.subtract(values, times, out=times if out is None else out)
+
+    def transform(self, rows: np.ndarray) -> np.ndarray:
+        """Number theoretic transform of every row, in bit-reversed order of frequencies."""
+        n = len(rows)
+        for stage, w in enumerate(self.forth):
+            pairs = rows.reshape(n, -1, 2, len(w))
+            a, b = pairs[:, :, 0], pairs[:, :, 1]
+            rows = np.empty_like(pairs)
+            np.add(a, b, out=rows[:, :, 0])
+            less = a - b
+            less *= w
+            self.reduced(less, rows[:, :, 1])
+            if stage % LAZY == LAZY - 1:
+                self.reduced(rows[:, :, 0], rows[:, :, 0])
+        return self.reduced(rows.reshape(n, self.size))
+
+    def inverse(self, rows: np.ndarray) -> np.ndarray:
+        """The rows whose :meth:`transform` is ``rows``."""
+        n = len(rows)
+        for stage, w in enumerate(reversed(self.back)):
+            pairs = rows.reshape(n, -1, 2, len(w))
+            a, b = pairs[:, :, 0], self.reduced(pairs[:, :, 1] * w)
+            rows = np.empty_like(pairs)
+            np.add(a, b, out=rows[:, :, 0])
+            np.subtract(a, b, out=rows[:, :, 1])
+            if stage % LAZY == LAZY - 1:
+                rows = self.reduced(rows)
+        return self.reduced(self.reduced(rows.reshape(n, self.size)) * self.shrink)
+
+
+@lru_cache(maxsize=None)
+def field(size: int) -> Field:
+    return Field(size)
 
 
 def differences(blocks: np.ndarray, after: np.ndarray) -> np.ndarray:
     """Sums of squared differences, modulo the prime, between every block of B numbers (row of ``blocks``) and the
-    window of 2 B numbers that it begins and that ``after`` ends, at the distances 1..B."""
+    window of 2 B numbers that it begins and ``after`` ends, at the distances 1..B."""
     n, width = blocks.shape
-    size = 2 * width
-    wide = np.zeros((2 * n, size), np.uint64)
-    wide[:n, :width], wide[n:, :width] = blocks, after
-    wide = transform(wide)
-    block, later = wide[:n], wide[n:]
+    f = field(2 * width)
+    wide = np.zeros((2 * n, 2 * width), f.kind)
+    f.reduced(blocks.astype(f.kind), wide[:n, :width])
+    f.reduced(after.astype(f.kind), wide[n:, :width])
+    squares = np.zeros((n, 2 * width + 1), f.kind)
+    squares[:, 1:width + 1], squares[:, width + 1:] = wide[:n, :width], wide[n:, :width]
+    np.cumsum(f.reduced(squares * squares), axis=1, out=squares)
+    wide = f.transform(wide)
+    block, window = wide[:n], wide[n:]
     # ``after`` stands B places later: the even frequencies (first half) keep their sign, the odd ones change it
-    window = np.concatenate([block[:, :width] + later[:, :width], block[:, width:] + (_P - later[:, width:])], axis=1)
-    both = inverse(block[:, _factors(size)[2]] * (window % _P) % _P)[:, 1:width + 1]
-    squares = np.zeros((n, size + 1), np.uint64)
-    np.cumsum(np.concatenate([blocks, after], axis=1) ** 2 % _P, axis=1, out=squares[:, 1:])
+    np.negative(window[:, width:], out=window[:, width:])
+    window += block
+    both = f.inverse(f.reduced(block[:, f.negative] * window))[:, 1:width + 1]
     total = squares[:, width:width + 1] + squares[:, width + 1:] - squares[:, 1:width + 1]
-    return (total + 2 * (_P - both)) % _P
+    return f.reduced(total - 2 * both)
+
+
+def recurrence(words: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """How many words after each word the same one stands again in its text; more than any text is long: nowhere."""
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.argsort(words, kind="stable")
+    out = np.full(len(words), len(words) + 1)
+    again = (words[order[1:]] == words[order[:-1]]) & (text[order[1:]] == text[order[:-1]])
+    out[order[:-1][again]] = (order[1:] - order[:-1])[again]
+    return out
 
 
-def _first_matches(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, scale: int, step: int) -> np.ndarray:
+def _first_matches(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, scale: int) -> np.ndarray:
     """The first distance up to ``scale`` at which the block at each start recurs before the end of its text; 0: none."""
     span = np.arange(scale)
-    at = starts[:, None] + span
-    inside = at < ends[:, None]
-    numbers = np.where(inside, words[np.minimum(at, len(words) - 1)], 0).astype(np.uint64)
-    ahead = scale // step
-    after = np.zeros_like(numbers)
-    same = ends[:-ahead] == ends[ahead:] if len(ends) > ahead else np.zeros(0, bool)
-    after[:len(same)][same] = numbers[ahead:][same]
-    zero = differences(numbers, after) == 0
-    zero &= starts[:, None] + scale + 1 + span <= ends[:, None]
+    at = starts[:, None] + scale + span
+    after = np.where(at < ends[:, None], words[np.minimum(at, len(words) - 1)], 0)
+    zero = differences(words[at - scale], after) == 0
+    zero &= at + 1 <= ends[:, None]
     out = np.zeros(len(starts), np.int64)
     left = np.flatnonzero(zero.any(axis=1))
     while len(left):
@@ -146,8 +171,8 @@ def _extended(words: np.ndarray, lo: np.ndarray, hi: np.ndarray, first: np.ndarr
     grown = []
     for edge, way in ((lo - 1, -1), (hi, 1)):
         more = np.zeros(len(lo), np.int64)
-        for some in range(0, len(lo), max(1, TOGETHER_NUMBERS // step)):
-            part = slice(some, some + max(1, TOGETHER_NUMBERS // step))
+        for some in range(0, len(lo), max(1, (1 << 18) // step)):
+            part = slice(some, some + max(1, (1 << 18) // step))
             at = edge[part, None] + way * np.arange(step)
             p = period[part, None]
             good = (at >= first[part, None]) & (at + p < end[part, None])
@@ -164,21 +189,26 @@ def runs_of(words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     ends = np.cumsum(sizes)
     begins = ends - sizes
     found, scale = [], FIRST_SCALE
+    apart, width = recurrence(words, ends, sizes), 1  # the largest recurrence in the block of ``width`` at each word
     while True:
         step = scale // 2
         smallest = 1 if scale == FIRST_SCALE else step + 1
         texts = np.flatnonzero(sizes >= max(LEAST, COPIES * smallest))
         if not len(texts):
             break
+        while width < scale:
+            apart, width = np.maximum(apart[:-width], apart[width:]), 2 * width
         rows = -(-sizes[texts] // step)
         row_text = np.repeat(texts, rows)
         row_start = begins[row_text] + step * (np.arange(len(row_text)) - np.repeat(np.cumsum(rows) - rows, rows))
-        row_end = ends[row_text]
         period = np.zeros(len(row_text), np.int64)
-        some, ahead = max(8, TOGETHER_NUMBERS // (4 * scale)), scale // step
-        for at in range(0, len(row_text), some):
-            part = slice(at, at + some + ahead)  # a block's window ends with the block two steps later
-            period[at:at + some] = _first_matches(words, row_start[part], row_end[part], scale, step)[:some]
+        # a block recurs within ``scale`` words only if all its words do
+        able = np.flatnonzero(row_start < len(apart))
+        able = able[apart[row_start[able]] <= scale]
+        some = max(4, TOGETHER_NUMBERS // (4 * scale))
+        for at in range(0, len(able), some):
+            part = able[at:at + some]
+            period[part] = _first_matches(words, row_start[part], ends[row_text[part]], scale)
         period[period < smallest] = 0
         seeds = np.flatnonzero(period)
         if len(seeds):
@@ -244,7 +274,7 @@ def find_runs(docs: DataFrame, reshape: Callable[[int | None, list[bytes]], list
     def searched(docs: list, texts: list[list[bytes]], kind: pa.DataType) -> pa.RecordBatch:
         number = defaultdict(count(1).__next__)
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-        words = np.fromiter((number[w] for text in texts for w in text), np.int64, int(sizes.sum()))
+        words = np.fromiter(map(number.__getitem__, chain.from_iterable(texts)), np.int64, int(sizes.sum()))
         runs: dict[int, list[tuple[int, int, int]]] = {}
         for text, *run in runs_of(words, sizes).tolist():
             runs.setdefault(text, []).append((run[0], run[1], run[2]))

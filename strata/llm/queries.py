@@ -6,7 +6,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from strata.llm import chat, decontam, linededup, packing, quality, secret_scan, simhash, tokenfile, urlfilter, warc
+from strata.llm import (
+    chat, decontam, linededup, ngramjoin, packing, periods, quality, secret_scan, simhash, tokenfile, urlfilter, warc)
 from strata.llm.common import table, written
 from strata.llm.oracle import ORACLE_SQL  # noqa: F401
 from strata.session import scratch_dir
@@ -102,6 +103,16 @@ def op10_chat_formatting(spark, sf_dir):
     return chat.digests(written(chat.format_chats(turns.unionByName(extra)), "chats"))
 
 
+def op12_periodic_runs(spark, sf_dir):
+    """Periodic run detection: maximal repetitions of words by block convolution at dyadic scales."""
+    return periods.find_runs(table(spark, sf_dir, "documents", "doc_id", "text"), periods.with_repetition)
+
+
+def op13_ngram_jaccard_join(spark, sf_dir):
+    """N-gram Jaccard join: a blocked sparse product of the document by 4-gram matrix, links at 0.85 or more."""
+    return ngramjoin.similar_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_packing": op2_packing,
@@ -113,4 +124,6 @@ QUERIES = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_token_files": op9_token_files,
     "op10_chat_formatting": op10_chat_formatting,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_ngram_jaccard_join": op13_ngram_jaccard_join,
 }
