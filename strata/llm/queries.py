@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from strata.llm import (
-    chat, decontam, linededup, ngramjoin, packing, periods, quality, secret_scan, simhash, tokenfile, urlfilter, warc)
+    align, chat, decontam, linededup, ngramjoin, packing, periods, quality, secret_scan, simhash, tokenfile, urlfilter, warc)
 from strata.llm.common import table, written
 from strata.llm.oracle import ORACLE_SQL  # noqa: F401
 from strata.session import scratch_dir
@@ -103,6 +103,12 @@ def op10_chat_formatting(spark, sf_dir):
     return chat.digests(written(chat.format_chats(turns.unionByName(extra)), "chats"))
 
 
+def op11_cross_tokenizer_alignment(spark, sf_dir):
+    """Cross-tokenizer alignment: groups and links of the tokens of two tokenizers by pointer jumping."""
+    return align.align(table(spark, sf_dir, "documents", "doc_id", "text"),
+                       public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op12_periodic_runs(spark, sf_dir):
     """Periodic run detection: maximal repetitions of words by block convolution at dyadic scales."""
     return periods.find_runs(table(spark, sf_dir, "documents", "doc_id", "text"), periods.with_repetition)
@@ -124,6 +130,7 @@ QUERIES = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_token_files": op9_token_files,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_ngram_jaccard_join": op13_ngram_jaccard_join,
 }

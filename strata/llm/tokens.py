@@ -132,16 +132,18 @@ class Encoder:
         self.words.update(zip(words, range(len(self.words), len(self.words) + len(words))))
         self.word_ids.add(np.array(ids, np.uint32), np.array(sizes, np.int64))
 
-    def _learn(self, chunks: list[str]) -> None:
+    def _learn(self, chunks: list[str]) -> list[str]:
+        """Learn new chunks; returns them in the order of their numbers."""
         column = pa.array(chunks, pa.string())
         hard = pc.match_substring_regex(column, NOT_SIMPLE).to_numpy(zero_copy_only=False)
-        for chunk in column.filter(pa.array(hard)).to_pylist():
+        whole = strings(column.filter(pa.array(hard)))
+        for chunk in whole:
             ids = np.frombuffer(self.whole(chunk), "<u4")
+            self.known[chunk] = self.chunk_ids.count
             self.chunk_ids.add(ids, np.array([len(ids)], np.int64))
-            self.known[chunk] = len(self.known)
         simple = strings(column.filter(pa.array(~hard)))
         if not simple:
-            return
+            return whole
         text = self.between.join(simple)
         if self.normal is not None:
             text = self.normal.normalize_str(text)
@@ -156,9 +158,10 @@ class Encoder:
         counts = np.diff(np.concatenate(([-1], cuts, [len(numbers)]))) - 1
         numbers = numbers[numbers >= 0]
         sizes = self.word_ids.sizes(numbers)
+        first = self.chunk_ids.count
         self.chunk_ids.add(self.word_ids.gather(numbers, sizes), per_group(sizes, counts))
-        first = len(self.known)
         self.known.update(zip(simple, range(first, first + len(simple))))
+        return whole + simple
 
     def _chunks(self, texts: pa.Array) -> pa.ListArray:
         if self.keeps_spaces:
@@ -167,7 +170,7 @@ class Encoder:
 
     def numbers(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of the chunks of all texts, and how many each text has."""
-        if len(self.known) > REMEMBERED:
+        if self.chunk_ids.count > REMEMBERED or self.chunk_ids.used > 8 * REMEMBERED:
             self._forget()
         lists = self._chunks(texts)
         coded = lists.flatten().dictionary_encode()
