@@ -69,8 +69,12 @@ def test_edge_cases(spark):
 
 def test_template_tokens():
     token = lambda w: decontam.token_of(w)[0]
-    assert [token(w) for w in ("12", "3,000.5", "(7)", "5kg", "40%", "miles", "Tom,", "\"the\"", "...")] == [
-        "<number>", "<number>", "<number>", "<quantity>", "<quantity>", "<unit>", "tom", "the", ""]
+    assert [token(w) for w in ("12", "3,000.5", "(7)", "5kg", "40%", "miles", "Tom,", "\"the\"", "...", "twelve", "Twenty-five,", "one-way")] == [
+        "<number>", "<number>", "<number>", "<quantity>", "<quantity>", "<unit>", "tom", "the", "", "<number>", "<number>",
+        "one-way"]
+    names = ("Tom", "McDonald", "O'Neil", "Jean-Luc", "DeMarco", "Ann's")
+    assert all(decontam.token_of(w)[1] for w in names) and not any(
+        decontam.token_of(w)[1] for w in ("tom", "iPhone", "NASA", "A", "B2B", "Twelve"))
     assert decontam.token_of("Anna")[1] and not decontam.token_of("USA")[1]
     assert decontam.token_of("end.")[2] and decontam.token_of('end."')[2] and not decontam.token_of("end,")[2]
 
@@ -125,3 +129,39 @@ def test_values_that_agree():
     assert kept(*(window(i, (i, "a", "xxy"[i], True)) for i in range(3))) == [0, 1]
     assert kept(*(window(i, (i, "a", "xyy"[i], not i)) for i in range(3))) == [0]
     assert kept(*(window(i, (i, "a", "xyy"[i], False)) for i in range(3))) == [1, 2]
+
+
+@pytest.mark.parametrize("max_words", [decontam.MAX_WORDS, 0])
+def test_number_words_names_and_units_are_slots(spark, max_words):
+    item = ("McDonald and O'Neil share twelve cakes with Jean-Luc, then O'Neil walks 5 miles and eats 3 cakes in 2 hours "
+            "while Jean-Luc waits for McDonald")
+    renamed = item
+    for old, new in (("McDonald", "DeMarco"), ("O'Neil", "Van-Dyke"), ("Jean-Luc", "Bob"), ("twelve", "forty-two"),
+                     ("5", "seven"), ("3", "1,5"), ("2 hours", "2 days")):
+        renamed = renamed.replace(old, new)
+    bench = spark.createDataFrame([(1, item), (2, "wait in the second hour or in the last minute before they leave")],
+                                  "item_id long, text string")
+    texts = [renamed, "Wait in the second hour or in the last minute before they leave.",
+             "wait in the second week or in the last month before they leave", f"{edge.sentence(1, 30)}"]
+    got = pairs(spark, documents(spark, texts), bench, max_words=max_words)
+    assert got == {(0, 1): "re-parameterised", (1, 2): "copy"}
+
+
+def test_items_without_spaces(spark):
+    item = "\u4e00\u4e2a\u519c\u592b\u6709\u5341\u4e8c\u4e2a\u82f9\u679c\u4ed6\u7ed9\u4e86\u5b89\u5a1c\u4e94\u4e2a\u8fd8\u5269\u591a\u5c11"
+    bench = spark.createDataFrame([(1, item), (1, item), (2, "\u82f9\u679c"), (None, "Antidisestablishmentarianism  today"), (4, None)],
+                                  "item_id long, text string")
+    texts = ["\u524d" * 30 + item + "\u540e" * 30, item[:-1], "so antidisestablishmentarianism\ntoday", "\u82f9\u679c", None]
+    assert pairs(spark, documents(spark, texts), bench) == {(0, 1): "copy", (2, None): "copy"}
+    assert decontam.unmatched_items(bench) == 1
+    parts = decontam.short_leaks(documents(spark, texts), bench.withColumnRenamed("text", "_t").na.drop(subset=["_t"]), chars=10)
+    assert sorted((r["doc_id"], r["item_id"]) for r in parts.collect() if r["item_id"]) == [(0, 1)]
+
+
+def test_batches_find_the_texts_that_single_texts_do(spark):
+    known = sorted({decontam.literal_of(w) for w in (ITEM + " " + OTHER).split()})
+    templates = decontam.Templates(known, [5, 8])
+    texts = [" " + ITEM, "", "one", ITEM.replace("Tom", "Jim") + "\n", edge.sentence(1, 40), OTHER[:30], OTHER[30:], "\t\v " + OTHER]
+    import pyarrow as pa
+
+    assert templates.rows_with_windows(pa.array(texts)) == [i for i, t in enumerate(texts) if any(templates.windows(t))]
