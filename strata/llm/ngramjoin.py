@@ -8,12 +8,13 @@ the matrix with its transpose. Only entries that can reach the bounds are comput
    rare ones first, then by hash. Two sets within the threshold must share one of the first n - ceil(t n) + 1 columns
    of each; only this part of the matrix is multiplied. A passage that a third of all documents share stands at the end
    of their order.
-3. Within each column every row is first compared with two leaders, the least and the greatest row of the column, and
-   the links found are contracted: dense groups of near copies become one component without listing their pairs.
+3. The least and the greatest row of a column are its leaders. Each row is compared with the two leaders that it meets
+   most often, and the links found are contracted: dense groups of near copies become one component without listing
+   their pairs.
 4. The product proper is then taken block by block, a block being a column and a class of set sizes: rows of different
-   components only, the most frequent component of a column against the others only. Overlap counts of a pair are
-   accumulated over its columns; pairs whose sizes, whose place in the order, or whose accumulated count cannot lead to
-   enough overlap are discarded.
+   components only, the most frequent component of a column against the others only, and of the smaller set of a pair
+   only the columns that can be the first one shared. Overlap counts of a pair are accumulated over its columns; pairs
+   whose sizes, whose place in the order, or whose accumulated count cannot lead to enough overlap are discarded.
 5. What remains is decided by the whole sets.
 
 Nothing is capped: step 3 only saves work, pairs within one component cannot change the result, and every pair of
@@ -44,7 +45,7 @@ NGRAM = 4
 #: two sets are linked if 100 * intersection >= PERCENT * union
 PERCENT = 85
 #: cells of the column sketch; a power of two
-CELLS = 1 << 18
+CELLS = 1 << 21
 #: bits of the filter that keeps only the sets that some pair needs; a power of two
 FILTER_BITS = 1 << 26
 TOGETHER_WORDS = 1 << 19
@@ -101,7 +102,15 @@ def _signatures(sets: list[np.ndarray]) -> tuple[pa.Array, pa.Array]:
 
 def _texts(docs: DataFrame, *keep: str) -> DataFrame:
     ship_code(docs.sparkSession)
-    return docs.select(*keep, text_or_empty().cast("binary").alias("_t"))
+    return docs.select(*keep, F.xxhash64(text_or_empty()).alias("text"), text_or_empty().cast("binary").alias("_t"))
+
+
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written and read back. The shuffles behind it are needed no more; the driver's garbage collection is what
+    lets Spark remove their files."""
+    out = written(df, name)
+    df.sparkSession._jvm.System.gc()
+    return out
 
 
 def sizes_and_sketch(docs: DataFrame, ngram: int = NGRAM) -> DataFrame:
@@ -132,10 +141,10 @@ def sizes_and_sketch(docs: DataFrame, ngram: int = NGRAM) -> DataFrame:
 
 def column_classes(marked: DataFrame) -> np.ndarray:
     """How often the columns of each cell are shared, as a number of binary digits: ``CELLS`` small numbers."""
-    rows = marked.where("cell is not null").groupBy("cell").agg(F.sum("times").alias("times")).collect()
+    digits = F.length(F.bin(F.sum("times"))).cast("byte")
+    rows = marked.where("cell is not null").groupBy("cell").agg(digits.alias("digits")).toPandas()
     out = np.zeros(CELLS, np.uint8)
-    for r in rows:
-        out[r["cell"]] = r["times"].bit_length()
+    out[rows["cell"].to_numpy(np.int64)] = rows["digits"].to_numpy(np.uint8)
     return out
 
 
@@ -144,7 +153,8 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
 
 
 def prefixes(docs: DataFrame, classes: np.ndarray, ngram: int = NGRAM, percent: int = PERCENT) -> DataFrame:
-    """(s1, s2, n, prefix): the first columns of the set of every text in the common order."""
+    """(s1, s2, text, n, prefix): the first columns of the set of every text in the common order, and a hash of the
+    text."""
     shared = docs.sparkSession.sparkContext.broadcast(classes)
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,20 +164,20 @@ def prefixes(docs: DataFrame, classes: np.ndarray, ngram: int = NGRAM, percent:
                 order = np.lexsort((s, shared.value[(s & np.uint64(CELLS - 1)).astype(np.int64)]))
                 firsts.append(s[order[:prefix_length(len(s), percent)]])
             yield pa.RecordBatch.from_arrays(
-                [*_signatures(sets), pa.array([len(s) for s in sets], pa.int64()), _lists(firsts)],
-                ["s1", "s2", "n", "prefix"])
+                [*_signatures(sets), batch.column("text"), pa.array([len(s) for s in sets], pa.int64()), _lists(firsts)],
+                ["s1", "s2", "text", "n", "prefix"])
 
-    return _texts(docs).mapInArrow(batches, "s1 long, s2 long, n long, prefix array<long>").where("n > 0")
+    return _texts(docs).mapInArrow(batches, "s1 long, s2 long, text long, n long, prefix array<long>").where("n > 0")
 
 
 def whole_sets(docs: DataFrame, needed: DataFrame, ngram: int = NGRAM) -> DataFrame:
-    """(sid, n, grams) of the sets of ``needed`` (sid, s1, s2). The texts are cut again rather than written; a bit
-    array of fixed size leaves out most sets that nobody needs before the join."""
+    """(sid, n, grams) of the sets of ``needed`` (sid, s1, s2, text). The texts are cut again rather than written: a bit
+    array of fixed size, by the hash of the text, leaves out most texts that no pair needs."""
     spark = docs.sparkSession
     bits = np.zeros(FILTER_BITS // 8, np.uint8)
-    word = F.col("s1").bitwiseAND(F.lit(FILTER_BITS - 1))
-    rows = needed.groupBy(F.shiftright(word, 10).alias("part")).agg(F.collect_set(
-        word.bitwiseAND(F.lit(1023)).cast("int")).alias("bits"))
+    place = F.col("text").bitwiseAND(F.lit(FILTER_BITS - 1))
+    rows = needed.groupBy(F.shiftright(place, 10).alias("part")).agg(F.collect_set(
+        place.bitwiseAND(F.lit(1023)).cast("int")).alias("bits"))
     for r in rows.toLocalIterator():  # at most FILTER_BITS bits, in parts of 1024
         at = r["part"] * 1024 + np.array(r["bits"], np.int64)
         np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
@@ -175,16 +185,14 @@ def whole_sets(docs: DataFrame, needed: DataFrame, ngram: int = NGRAM) -> DataFr
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            sets = list(gram_sets(batch.column("_t").to_pylist(), ngram))
-            s1, s2 = _signatures(sets)
-            at = s1.to_numpy() & np.int64(FILTER_BITS - 1)
+            text = batch.column("text").to_numpy()
+            at = text & np.int64(FILTER_BITS - 1)
             wanted = shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1 > 0
-            _, first = np.unique(s1.to_numpy(), return_index=True)  # copies within a batch once (s2 decides later)
-            same = np.zeros(len(sets), bool)
-            same[first] = True
-            chosen = pa.array(np.flatnonzero(wanted & same))
-            yield pa.RecordBatch.from_arrays([s1.take(chosen), s2.take(chosen),
-                                              _lists([sets[i] for i in chosen.to_pylist()])], ["s1", "s2", "grams"])
+            once = np.zeros(len(text), bool)
+            once[np.unique(text, return_index=True)[1]] = True  # copies within a batch
+            chosen = batch.column("_t").filter(pa.array(wanted & once))
+            sets = list(gram_sets(chosen.to_pylist(), ngram))
+            yield pa.RecordBatch.from_arrays([*_signatures(sets), _lists(sets)], ["s1", "s2", "grams"])
 
     found = _texts(docs).mapInArrow(batches, "s1 long, s2 long, grams array<long>")
     found = found.join(needed, ["s1", "s2"]).select("sid", "grams")
@@ -203,14 +211,14 @@ def enough(overlap: Column, n_a: str, n_b: str, percent: int) -> Column:
 
 def confirmed(docs: DataFrame, sets: DataFrame, pairs: DataFrame, ngram: int, percent: int) -> DataFrame:
     """Those of ``pairs`` (a, b) whose whole sets reach the threshold."""
-    pairs = written(pairs, "pairs")
+    pairs = _kept(pairs, "pairs")
     needed = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
-    needed = written(sets.select("sid", "s1", "s2").join(needed, "sid"), "needed")
-    vectors = written(whole_sets(docs, needed, ngram), "vectors")
+    needed = written(sets.select("sid", "s1", "s2", "text").join(needed, "sid"), "needed")
+    vectors = _kept(whole_sets(docs, needed, ngram), "vectors")
     side = lambda x: vectors.select(F.col("sid").alias(x), F.col("n").alias(f"n_{x}"), F.col("grams").alias(f"g_{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     overlap = F.size(F.array_intersect("g_a", "g_b")).cast("long")
-    links = written(both.where(sizes_fit("n_a", "n_b", percent) & enough(overlap, "n_a", "n_b", percent))
+    links = _kept(both.where(sizes_fit("n_a", "n_b", percent) & enough(overlap, "n_a", "n_b", percent))
                     .select("a", "b"), "links")
     forget(pairs, needed, vectors)
     return links
@@ -228,39 +236,45 @@ def block_pairs(entries: DataFrame, percent: int) -> DataFrame:
               .groupBy("gram").agg(F.max_by("root", F.struct("rows", "root")).alias("common"), F.count(F.lit(1)).alias("roots"))
               .where("roots > 1").drop("roots"))
     entries = entries.join(common, "gram").withColumn("class", size_class(F.col("n"), percent))
-    probing = entries.where("root != common").select(
-        "gram", F.explode(F.array(*[F.col("class") + k for k in (-1, 0, 1)])).alias("class"), F.col("sid").alias("a"),
-        F.col("n").alias("n_a"), F.col("place").alias("place_a"), F.col("root").alias("root_a"))
-    fetched = entries.select("gram", "class", F.col("sid").alias("b"), F.col("n").alias("n_b"),
-                             F.col("place").alias("place_b"), F.col("root").alias("root_b"),
-                             (F.col("root") == F.col("common")).alias("b_common"))
-    met = probing.join(fetched, ["gram", "class"]).where(
-        (F.col("root_a") != F.col("root_b")) & (F.col("b_common") | (F.col("a") < F.col("b")))
-        & sizes_fit("n_a", "n_b", percent))
-    # the first column that both share bounds the overlap by what follows it in each
+    foreign = F.col("root") != F.col("common")
+    # the first column that both share stands here in the smaller set, as no other set is smaller than itself
+    small = entries.where(enough(F.col("n") - F.col("place"), "n", "n", percent)).select(
+        "gram", F.explode(F.array("class", F.col("class") + 1)).alias("class"), F.col("sid").alias("a"),
+        F.col("n").alias("n_a"), F.col("place").alias("place_a"), F.col("root").alias("root_a"), foreign.alias("f_a"))
+    large = entries.select("gram", "class", F.col("sid").alias("b"), F.col("n").alias("n_b"),
+                           F.col("place").alias("place_b"), F.col("root").alias("root_b"), foreign.alias("f_b"))
+    fits = ((F.col("n_a") < F.col("n_b")) | (F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b"))) & (
+        100 * F.col("n_a") >= percent * F.col("n_b")) & (F.col("root_a") != F.col("root_b"))
+    keys = ["gram", "class"]
+    met = small.where("f_a").join(large, keys).where(fits).unionByName(
+        small.where("not f_a").join(large.where("f_b"), keys).where(fits))
+    # the first shared column bounds the overlap by what follows it in each
     first = enough(F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")), "n_a", "n_b", percent)
-    counted = met.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(
-        F.count(F.lit(1)).alias("overlap"), F.max(first).alias("first"), F.max(F.greatest("n_a", "n_b")).alias("n_a"),
-        F.max(F.least("n_a", "n_b")).alias("n_b"))
-    # beyond the prefixes at most the rest of the larger set is shared
-    rest = F.ceil(F.lit(percent) * F.col("n_a") / 100) - 1
+    counted = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("overlap"), F.max(first).alias("first"),
+                                        F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b"))
+    # all that is shared before the end of either prefix has been counted, beyond it at most the rest is shared
+    rest = F.greatest(F.ceil(F.lit(2 * percent) * F.col("n_a") / (100 + percent)),
+                      F.ceil(F.lit(percent) * F.col("n_b") / 100)) - 1
     return counted.where("first").where(enough(F.col("overlap") + rest, "n_a", "n_b", percent)).select("a", "b")
 
 
 def similar_sets(docs: DataFrame, marked: DataFrame, ngram: int = NGRAM, percent: int = PERCENT) -> DataFrame:
     """(s1, s2, sid, root) of every distinct non-empty set: its number and the number that stands for its component."""
     found = prefixes(docs, column_classes(marked), ngram, percent)
-    sets = found.groupBy("s1", "s2").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    sets = written(sets.select(F.monotonically_increasing_id().alias("sid"), "*"), "sets")
+    sets = found.groupBy("s1", "s2").agg(
+        F.min("text").alias("text"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    sets = _kept(sets.select(F.monotonically_increasing_id().alias("sid"), "*"), "sets")
     entries = sets.select("sid", "n", F.posexplode("prefix").alias("place", "gram"))
     heads = entries.groupBy("gram").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).where("low < high")
-    shared = written(entries.join(heads, "gram"), "columns")
-    small = sets.select(F.col("sid").alias("b"), F.col("n").alias("n_b"))
-    led = (shared.select(F.col("sid").alias("a"), F.col("n").alias("n_a"), F.explode(F.array("low", "high")).alias("b"))
-           .where("a != b").distinct().join(small, "b").where(sizes_fit("n_a", "n_b", percent)).select("a", "b"))
+    shared = _kept(entries.join(heads, "gram"), "columns")
+    often = lambda head: F.mode(F.when(F.col(head) != F.col("sid"), F.col(head)), True)
+    led = shared.groupBy(F.col("sid").alias("a")).agg(F.array_distinct(F.array(often("low"), often("high"))).alias("heads"))
+    size = lambda x: sets.select(F.col("sid").alias(x), F.col("n").alias(f"n_{x}"))
+    led = (led.select("a", F.explode("heads").alias("b")).where("b is not null").join(size("a"), "a").join(size("b"), "b")
+           .where(sizes_fit("n_a", "n_b", percent)).select("a", "b"))
     links = confirmed(docs, sets, led, ngram, percent)
     first = written(components(links).select(F.col("node").alias("sid"), "root"), "first")
-    labelled = written(shared.drop("low", "high").join(first, "sid", "left")
+    labelled = _kept(shared.drop("low", "high").join(first, "sid", "left")
                        .withColumn("root", F.coalesce("root", "sid")), "labelled")
     forget(shared)
     more = confirmed(docs, sets, block_pairs(labelled, percent), ngram, percent)
