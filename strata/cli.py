@@ -28,6 +28,7 @@ from strata.operators import quality, rulesets, verify
 from strata.operators.bronze import run_timestamp, to_bronze
 from strata.operators.silver import to_silver
 from strata.plans import flow, publish
+from strata.plans.lake import Lake
 from strata.plans.layers import LayerPaths, copy_layers, write_layer, write_observed
 from strata.plans.reports import build_profile_report, write_quality_reports
 from strata.session import get_session
@@ -87,7 +88,7 @@ def _verify(spark, a):
 
 
 def _copy(spark, a):
-    for entry in copy_layers(spark, LayerPaths(a.src_root), LayerPaths(a.dst_root), a.src_format, a.dst_format):
+    for entry in copy_layers(spark, Lake(spark, a.src_root).paths(), LayerPaths(a.dst_root), a.src_format, a.dst_format):
         print(f"{a.dst_format} {entry['layer']} {entry['table']}: wrote {entry['rows']} rows to {entry['location']}")
 
 
@@ -132,7 +133,7 @@ def _run(spark, a):
         risk_order=a.risk_order,
     )
     print(json.dumps({"bronze_rows": summary.bronze_rows, "silver_rows": summary.silver_rows,
-                      "gold_rows": summary.gold_rows,
+                      "gold_rows": summary.gold_rows, "commit": summary.commit,
                       "failed_critical": summary.quality.failed_critical_count}))
 
 
@@ -195,7 +196,7 @@ def build_parser() -> argparse.ArgumentParser:
     c.add_argument("--register", action="store_true")
     c = cmd("run", _run, "the whole layered run: ingest -> gate -> silver -> gold")
     c.add_argument("--input", required=True, help="landing CSV file or folder (contract header, 21 columns)")
-    c.add_argument("--root", required=True, help="lake root; layers go to <root>/<layer>/customer_churn")
+    c.add_argument("--root", required=True, help="lake root; layers go to <root>/<layer>/customer_churn, a version folder a run")
     c.add_argument("--reports", help="folder for the JSON and Markdown quality reports")
     c.add_argument("--blank-mode", default="default", choices=["default", "strict"])
     c.add_argument("--risk-order", default="global", choices=list(flow.RISK_ORDERS))

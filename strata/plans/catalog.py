@@ -18,10 +18,12 @@ from strata.operators import gold, profile, quality, rulesets, verify
 from strata.operators.bronze import to_bronze
 from strata.operators.silver import to_silver
 from strata.plans import flow, publish
-from strata.plans.layers import LayerPaths, copy_layers
+from strata.plans.lake import Lake
+from strata.plans.layers import LayerPaths, copy_layers, fingerprint
 from strata.session import scratch_dir
+from strata.sources import blocks, fs
 from strata.sources.feed import OPTION_MULTIPLIERS, dirty_feed, feed_columns, subscriber_feed
-from strata.sources.files import write_contract_csv
+from strata.sources.files import file_checksums, write_contract_csv
 from strata.spec import GOLD_TABLES, PROFILE_CATEGORICAL, RAW_COLUMNS
 
 FEED_SOURCE = "derived:orders"
@@ -281,11 +283,22 @@ OPTIONS = tuple(name for name, _ in OPTION_MULTIPLIERS)
 # --- verification, round trip, admission, publication, checksums ------------------------------------------------
 
 
-def written_layers(spark, sf_dir, name: str) -> str:
-    """L1 on the derived feed: root of a complete layered run under the shared scratch folder."""
-    root = f"{scratch_dir(spark, name)}/layers"
-    flow.run_layers(spark, feed(spark, sf_dir), root, run_ts=FIXED_RUN_TS, source_label=FEED_SOURCE)
-    return root
+_LAYERS: dict[tuple[str, str], str] = {}
+
+
+def run_feed(spark, source, root: str, **options) -> flow.RunSummary:
+    return flow.run_layers(spark, source, root, run_ts=FIXED_RUN_TS, source_label=FEED_SOURCE, **options)
+
+
+def written_layers(spark, sf_dir) -> str:
+    """L1 on the derived feed: root of a complete layered run under the shared scratch folder, made once for a session
+    and a table folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LAYERS:
+        root = f"{scratch_dir(spark, 'layers')}/lake"
+        run_feed(spark, feed(spark, sf_dir), root)
+        _LAYERS[key] = root
+    return _LAYERS[key]
 
 
 def run_text(column: str):
@@ -295,8 +308,8 @@ def run_text(column: str):
 
 def q_layer_summary(spark, sf_dir):
     """V6-V8: rows, columns and tracked counts of every table of a layered run, read back."""
-    root = written_layers(spark, sf_dir, "summary")
-    paths = LayerPaths(root)
+    root = written_layers(spark, sf_dir)
+    paths = Lake(spark, root).paths()
     tables = {name: flow.read_gold(spark, root, name) for name in GOLD_TABLES}
     return (
         verify.bronze_summary(spark.read.parquet(paths.bronze))
@@ -307,7 +320,7 @@ def q_layer_summary(spark, sf_dir):
 
 def q_written_segments(spark, sf_dir):
     """K2, A1a-c, P18: the three segment tables of a layered run, read back with their run timestamp."""
-    root = written_layers(spark, sf_dir, "segments")
+    root = written_layers(spark, sf_dir)
     parts = [flow.read_gold(spark, root, name).withColumnRenamed(by, "segment_value").withColumn("segment", F.lit(by))
              for name, by in gold.SEGMENT_TABLES.items()]
     out = parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -316,15 +329,16 @@ def q_written_segments(spark, sf_dir):
 
 def q_written_risk(spark, sf_dir):
     """The customer-risk table of a layered run, read back."""
-    risk = flow.read_gold(spark, written_layers(spark, sf_dir, "risk"), "gold_customer_risk_summary")
+    risk = flow.read_gold(spark, written_layers(spark, sf_dir), "gold_customer_risk_summary")
     return risk.withColumn("gold_created_at_utc", run_text("gold_created_at_utc"))
 
 
 def q_copied_silver(spark, sf_dir):
     """Silver of a layered run, copied with every other layer to a second root and read back there."""
-    root = written_layers(spark, sf_dir, "copy")
-    copy_layers(spark, LayerPaths(root), LayerPaths(f"{root}-copied"))
-    copied = spark.read.parquet(LayerPaths(f"{root}-copied").silver)
+    root = written_layers(spark, sf_dir)
+    target = LayerPaths(scratch_dir(spark, "copied"))
+    copy_layers(spark, Lake(spark, root).paths(), target)
+    copied = spark.read.parquet(target.silver)
     return copied.withColumns({c: run_text(c) for c in ("ingested_at_utc", "silver_transformed_at_utc")})
 
 
@@ -378,11 +392,10 @@ def q_layers_roundtrip(spark, sf_dir):
 def q_published_kpis(spark, sf_dir):
     """The gold tables of a layered run are discovered, registered in a catalog schema of their own, and the
     KPI table is read through the catalog. The schema is dropped again; its tables are external, so the data stays."""
-    found = publish.discover_tables(spark, written_layers(spark, sf_dir, "publish"), scope="gold")
+    found = publish.discover_tables(spark, written_layers(spark, sf_dir), scope="gold")
     schema = f"strata_{uuid.uuid4().hex[:12]}"
     publish.publish(spark, found, schema, dry_run=False)
     kpis = spark.table(f"{schema}.gold_executive_kpis").drop("gold_created_at_utc")
-    kpis = spark.createDataFrame(kpis.collect(), kpis.schema)  # one row
     spark.sql(f"DROP SCHEMA {schema} CASCADE")
     return kpis
 
@@ -403,8 +416,117 @@ def q_admission(spark, sf_dir):
     return checks.withColumn("observed_count", shown).withColumn("observed_value", shown.cast("string"))
 
 
+def q_lake_versions(spark, sf_dir):
+    """K1, K2, L1: a run commits its layers; a second one, on the fault-injected feed, is stopped by the gate, and
+    readers still find the layers of the first through the commit."""
+    root = scratch_dir(spark, "versions")
+    run_feed(spark, feed(spark, sf_dir), root)
+    try:
+        run_feed(spark, feed(spark, sf_dir, dirty=True), root)
+    except (quality.QualityGateError, flow.LayerValidationError) as stopped:
+        outcome = type(stopped).__name__
+    lake = Lake(spark, root)
+    runs = [n for n in fs.folders(spark, LayerPaths(root).bronze) if n.startswith("v-")]
+    kpis = flow.read_gold(spark, root, "gold_executive_kpis").select("total_customers", "churned_customers")
+    bronze_rows = spark.read.parquet(lake.paths().bronze).agg(F.count(F.lit(1)).alias("bronze_rows"))
+    return kpis.crossJoin(bronze_rows).select(
+        F.lit(lake.current().number).cast("bigint").alias("commit_number"),
+        F.lit(len(runs)).cast("bigint").alias("runs"), F.lit(outcome).alias("second_run"), "*")
+
+
+def q_layer_fingerprints(spark, sf_dir):
+    """L3, K4: a second run of the same feed and a copy of all seven tables have the fingerprints of the first run,
+    observed by the writes; both are compared with those of the tables read back."""
+    root = written_layers(spark, sf_dir)
+    first = Lake(spark, root).current()
+    again = run_feed(spark, feed(spark, sf_dir), scratch_dir(spark, "again"))
+    copies = copy_layers(spark, Lake(spark, root).paths(), LayerPaths(scratch_dir(spark, "copies")))
+    out = None
+    for entry in copies:
+        name, seen = entry["table"], first.fingerprints[entry["table"]]
+        read = spark.read.parquet(entry["location"])
+        row = read.agg(*[v.alias(k) for k, v in fingerprint(read.columns).items()]).select(
+            F.lit(name).alias("table_name"), F.lit(entry["layer"]).alias("layer"), "rows",
+            F.lit(again.fingerprints[name] == seen).alias("same_again"),
+            (F.lit(entry["fingerprint"] == seen) & (F.col("first") == seen["first"])
+             & (F.col("second") == seen["second"])).alias("same_copy"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def q_layer_checks(spark, sf_dir):
+    """V4, V10, V11, each failing: the gate of a fault-injected feed, its written report, and the completeness of a lake
+    that lacks one expected table and has one that nobody expects."""
+    root, base = written_layers(spark, sf_dir), scratch_dir(spark, "checks")
+    report = f"{base}/quality.json"
+    try:
+        run_feed(spark, feed(spark, sf_dir, dirty=True), f"{base}/lake", json_report=report)
+        gate = "passed"
+    except (quality.QualityGateError, flow.LayerValidationError) as stopped:
+        gate = type(stopped).__name__
+    wanted = [n for n, _, _ in LayerPaths(root).registry()]
+    states = verify.layer_completeness(spark, root, [*wanted[1:], "gold_churn_by_region"])
+    rows = [("V4", "gate", gate)] + [("V10", name, state) for name, state in states]
+    rows += [("V11", "report", p) for p in verify.report_regression(spark, report, "bronze.customer_churn", 25)]
+    return spark.createDataFrame(rows, "check string, subject string, outcome string")
+
+
+FILE_DOCS = 100
+
+
+def document_files(spark, sf_dir, name: str) -> str:
+    """The texts of ``documents`` as plain files of ``FILE_DOCS`` consecutive doc_ids each, one text after another."""
+    folder = scratch_dir(spark, name)
+    docs = table(spark, sf_dir, "documents").select(
+        F.expr(f"doc_id div {FILE_DOCS}").alias("part"), "doc_id", F.coalesce("text", F.lit("")).alias("value"))
+    docs.repartition("part").sortWithinPartitions("part", "doc_id").select("part", "value").write.partitionBy(
+        "part").text(folder)
+    return folder
+
+
+def text_pins(spark, sf_dir) -> DataFrame:
+    """(part, pin): the SHA-256 that each file of :func:`document_files` must have, from the texts themselves; that of
+    part 1 is wrong."""
+    docs = table(spark, sf_dir, "documents").groupBy(F.expr(f"doc_id div {FILE_DOCS}").alias("part")).agg(
+        F.sort_array(F.collect_list(F.struct("doc_id", F.coalesce("text", F.lit("")).alias("text")))).alias("docs"))
+    whole = F.concat(F.array_join(F.transform("docs", lambda d: d["text"]), "\n"), F.lit("\n"))
+    return docs.select("part", F.when(F.col("part") == 1, F.lit("0" * 64)).otherwise(F.sha2(whole, 256)).alias("pin"))
+
+
+def part_of(path: str):
+    """The part folder in the path of a document file."""
+    return F.regexp_extract(path, "part=([0-9]+)", 1).cast("bigint").alias("part")
+
+
+def q_file_checksums(spark, sf_dir):
+    """Files written from ``documents``, streamed and hashed by tasks, against one pin for each; the pin of one
+    part is wrong. ``n_blocks``: digests of 64 KB parts."""
+    folder = document_files(spark, sf_dir, "files")
+    sums = file_checksums(spark, folder, block_bytes=1 << 16)
+    rows = sums.select(part_of("path"), "length", "sha256", F.size("blocks").cast("bigint").alias("n_blocks"))
+    return rows.join(text_pins(spark, sf_dir), "part", "full").select(
+        "part", "length", "sha256", "n_blocks",
+        F.when(F.col("sha256").eqNullSafe(F.col("pin")), "PASS").otherwise("FAIL").alias("status"))
+
+
+def q_installed_files(spark, sf_dir):
+    """The same files installed by tasks: bytes written, and the digests of the copies read back."""
+    folder = document_files(spark, sf_dir, "landing")
+    flat = f"{scratch_dir(spark, 'flat')}/files"
+    names = blocks.listed(spark, folder).withColumn("target", F.concat(F.lit(f"{flat}/"), part_of("path"), F.lit(".txt")))
+    written = blocks.copied(names).agg(F.sum("written").alias("staged_bytes"))
+    staged = written.first()["staged_bytes"]  # one number; the copy has run
+    zone = f"{scratch_dir(spark, 'zone')}/documents"
+    copies = publish.install(spark, flat, zone)
+    back = file_checksums(spark, zone).select(
+        F.element_at(F.split("path", "/"), -1).alias("file"), F.col("sha256").alias("read_back"))
+    return copies.join(back, "file").select(
+        F.regexp_extract("file", "[0-9]+", 0).cast("bigint").alias("part"), "length", "written", "sha256",
+        (F.col("read_back") == F.col("sha256")).alias("same"), F.lit(staged).cast("bigint").alias("staged_bytes"))
+
+
 def q_text_checksums(spark, sf_dir):
-    """SHA-256 of every whole document text."""
+    """SHA-256 of every whole document text (digests of files: q_file_checksums)."""
     return table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("sha256"))
 
 
@@ -485,6 +607,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_admission": q_admission,
     "q_published_kpis": q_published_kpis,
     "q_text_checksums": q_text_checksums,
+    "q_file_checksums": q_file_checksums,
+    "q_installed_files": q_installed_files,
+    "q_lake_versions": q_lake_versions,
+    "q_layer_fingerprints": q_layer_fingerprints,
+    "q_layer_checks": q_layer_checks,
     "q_written_segments": q_written_segments,
     "q_written_risk": q_written_risk,
     "q_copied_silver": q_copied_silver,

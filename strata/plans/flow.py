@@ -17,11 +17,13 @@ Spark actions per run (versus ~50 single-purpose actions in a job-per-check desi
    shared checkpoint folder (a few rows) and split into four tables: one job, one tiny count, four tiny writes;
 6. customer risk table: one sampled range-partitioned sort and write.
 
-Validating the CSV source before writing would parse it twice. Here bronze is written to a staging folder, validated
-there, and renamed into its place: no reader ever sees a bronze that has not passed, and the last good one survives a
-failing run.
+Validating the CSV source before writing would parse it twice. Here every run writes to version folders of its own, the
+gate reads the bronze of the run, and one small commit file at the end makes all layers of the run the current ones
+(``strata.plans.lake``): no reader ever sees a bronze that has not passed or layers of different runs, and the last good
+layers survive a run that fails or is killed at any step.
 
-A rerun overwrites every layer (idempotent, L3).
+A rerun commits the same tables again (idempotent, L3): the commit holds fingerprints of their rows, observed by the
+writes, and equal runs have equal ones.
 """
 
 from __future__ import annotations
@@ -37,7 +39,8 @@ from pyspark.sql import functions as F
 from strata.operators import gold, quality, rulesets
 from strata.operators.bronze import run_timestamp, to_bronze
 from strata.operators.silver import to_silver
-from strata.plans.layers import LayerPaths, write_layer, write_observed
+from strata.plans.lake import Lake
+from strata.plans.layers import LayerPaths, fingerprint, plain_fingerprint, write_layer, write_observed
 from strata.sources import fs
 from strata.plans.reports import write_quality_reports
 from strata.session import checkpoint_root
@@ -51,6 +54,8 @@ class RunSummary:
     bronze_rows: int | None = None
     silver_rows: int | None = None
     gold_rows: dict = field(default_factory=dict)
+    fingerprints: dict = field(default_factory=dict)
+    commit: int | None = None
     quality: quality.QualityResult | None = None
 
 
@@ -60,14 +65,19 @@ class LayerValidationError(ValueError):
 
 def ingest_bronze(spark: SparkSession, source: str | DataFrame, paths: LayerPaths, fmt: str = "parquet",
                   run_ts=None, blank_mode: str = "default", spec: SubscriberSpec = SUBSCRIBER,
-                  source_label: str | None = None) -> tuple[int, dict]:
+                  source_label: str | None = None, fingerprints: dict | None = None) -> tuple[int, dict]:
     """Parse the source once and write bronze (K1). The row-level gate rules are observed by the same write, so
     the gate afterwards only shuffles the key. Returns (rows written, observed rule metrics)."""
     raw = read_contract_csv(spark, source) if isinstance(source, str) else source
     label = source_label or (source if isinstance(source, str) else "dataframe")
     bronze = to_bronze(raw, label, run_ts=run_ts, spec=spec, blank_mode=blank_mode)
-    metrics = write_observed(bronze, paths.bronze, quality.row_rule_metrics(rulesets.bronze_checks(spec),
-                                                                            bronze.columns), fmt)
+    wanted = quality.row_rule_metrics(rulesets.bronze_checks(spec), bronze.columns)
+    if fingerprints is not None:
+        wanted |= {f"_print_{k}": v for k, v in fingerprint(bronze.columns).items()}
+    metrics = write_observed(bronze, paths.bronze, wanted, fmt)
+    if fingerprints is not None:
+        seen = {k: metrics.pop(f"_print_{k}") for k in fingerprint([])}
+        fingerprints[f"bronze_{paths.entity}"] = plain_fingerprint(seen)
     return int(metrics["_rows"]), metrics
 
 
@@ -98,7 +108,8 @@ def quality_gate(spark: SparkSession, paths: LayerPaths, fmt: str = "parquet", j
 
 
 def build_silver(spark: SparkSession, paths: LayerPaths, fmt: str = "parquet", run_ts=None,
-                 spec: SubscriberSpec = SUBSCRIBER, keys_verified: bool = False) -> int:
+                 spec: SubscriberSpec = SUBSCRIBER, keys_verified: bool = False,
+                 fingerprints: dict | None = None) -> int:
     """V2 on the planned silver, then the write. Silver is a row-wise projection of bronze with the key
     unchanged, so when the bronze gate of this run already proved the key unique (``keys_verified``) the
     uniqueness rule is not re-run: V2 is then one scan of a few pruned columns instead of a full key shuffle."""
@@ -107,20 +118,21 @@ def build_silver(spark: SparkSession, paths: LayerPaths, fmt: str = "parquet", r
     if keys_verified:
         checks = [c for c in checks if c.kind != "duplicates"]
     quality.enforce(silver, checks, "silver")
-    return write_layer(silver, paths.silver, fmt)
+    return write_layer(silver, paths.silver, fmt, "overwrite", fingerprints, f"silver_{paths.entity}")
 
 
 RISK_ORDERS = ("global", "partition")
 
 
 def build_gold(spark: SparkSession, paths: LayerPaths, fmt: str = "parquet", run_ts=None,
-               risk_order: str = "global") -> dict[str, int]:
+               risk_order: str = "global", fingerprints: dict | None = None) -> dict[str, int]:
     """The five gold tables of ``paths`` from its written silver (see :func:`write_gold_tables`)."""
-    return write_gold_tables(spark, read_layer(spark, paths.silver, fmt), paths.gold, fmt, run_ts, risk_order)
+    return write_gold_tables(spark, read_layer(spark, paths.silver, fmt), paths.gold, fmt, run_ts, risk_order,
+                             fingerprints)
 
 
 def write_gold_tables(spark: SparkSession, silver: DataFrame, path_of, fmt: str = "parquet", run_ts=None,
-                      risk_order: str = "global") -> dict[str, int]:
+                      risk_order: str = "global", fingerprints: dict | None = None) -> dict[str, int]:
     """Write the five gold tables to ``path_of(table name)``; returns the row count of each.
 
     The four aggregate tables come from one grouping-sets aggregate checkpointed to the shared checkpoint folder.
@@ -159,9 +171,10 @@ def write_gold_tables(spark: SparkSession, silver: DataFrame, path_of, fmt: str
     # threads inherit the caller's Spark local properties (job group, description, scheduler pool)
     write = inheritable_thread_target(spark)(write_layer)
     with ThreadPoolExecutor(max_workers=len(GOLD_TABLES)) as pool:
-        small = {name: pool.submit(write, table, path_of(name), fmt, "overwrite", False)
+        small = {name: pool.submit(write, table, path_of(name), fmt, "overwrite", fingerprints, name)
                  for name, table in plans.items()}
-        risk_future = pool.submit(write, risk, path_of("gold_customer_risk_summary"), fmt)
+        risk_future = pool.submit(write, risk, path_of("gold_customer_risk_summary"), fmt, "overwrite", fingerprints,
+                                  "gold_customer_risk_summary")
         for future in small.values():
             future.result()
         risk_rows = risk_future.result()
@@ -186,27 +199,34 @@ def run_layers(
     checks_table: str | None = None,
     risk_order: str = "global",
 ) -> RunSummary:
-    """Ingest -> gate -> silver -> gold; a failing stage raises and the later stages do not run.
+    """Ingest -> gate -> silver -> gold -> commit; a failing stage raises and the later stages do not run.
 
     ``checks_table``: a folder where every run appends its bronze check rows (an audit table of the gate).
-    Bronze is written to ``<root>/_staging/<run id>``, gated there, and renamed into its place when the gate passes:
-    a failing run leaves the previous bronze as it was, and the data is written once. The staging folder of a failed
-    run stays for inspection, hidden from table discovery."""
+    All layers are written to version folders of the run; the commit at the end makes them the current ones together
+    (see :mod:`strata.plans.lake`). With ``fmt="delta"`` the layers have plain paths and Delta's own commits; bronze
+    is gated as Parquet in a staging folder first."""
     run_ts = run_ts or run_timestamp()
-    paths = LayerPaths(root, spec.entity)
-    summary = RunSummary(paths)
-    staging = f"{root.rstrip('/')}/_staging/{uuid.uuid4().hex[:12]}"
-    landing = LayerPaths(staging, spec.entity)
-    summary.bronze_rows, metrics = ingest_bronze(spark, source, landing, fmt, run_ts, blank_mode, spec,
-                                                 source_label)
-    summary.quality = quality_gate(spark, landing, fmt, json_report, markdown_report, spec, checks_table, metrics)
-    fs.replace(spark, landing.bronze, paths.bronze)
-    fs.delete(spark, staging)
-    summary.silver_rows = build_silver(spark, paths, fmt, run_ts, spec, keys_verified=True)
-    summary.gold_rows = build_gold(spark, paths, fmt, run_ts, risk_order)
+    lake = Lake(spark, root, spec.entity)
+    delta = fmt == "delta"
+    paths = LayerPaths(root, spec.entity) if delta else lake.begin()
+    summary, seen = RunSummary(paths), {}
+    first = LayerPaths(f"{root.rstrip('/')}/_staging/{uuid.uuid4().hex[:12]}", spec.entity) if delta else paths
+    summary.bronze_rows, metrics = ingest_bronze(spark, source, first, "parquet" if delta else fmt, run_ts, blank_mode,
+                                                 spec, source_label, seen)
+    summary.quality = quality_gate(spark, first, "parquet" if delta else fmt, json_report, markdown_report, spec,
+                                   checks_table, metrics)
+    if delta:
+        write_layer(read_layer(spark, first.bronze), paths.bronze, fmt)
+        fs.delete(spark, first.root)
+    summary.silver_rows = build_silver(spark, paths, fmt, run_ts, spec, keys_verified=True, fingerprints=seen)
+    summary.gold_rows = build_gold(spark, paths, fmt, run_ts, risk_order, seen)
+    summary.fingerprints = seen
+    if not delta:
+        summary.commit = lake.commit(paths, seen).number
     return summary
 
 
 def read_gold(spark: SparkSession, root: str, table: str, fmt: str = "parquet",
               spec: SubscriberSpec = SUBSCRIBER) -> DataFrame:
-    return read_layer(spark, LayerPaths(root, spec.entity).gold(table), fmt)
+    """A gold table of the last commit (of the plain folder where nothing has been committed)."""
+    return read_layer(spark, Lake(spark, root, spec.entity).location(table), fmt)

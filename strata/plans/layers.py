@@ -43,6 +43,28 @@ class LayerPaths:
         return entries
 
 
+#: columns that hold when a run took place, not what it found
+RUN_COLUMNS = ("ingested_at_utc", "silver_transformed_at_utc", "gold_created_at_utc")
+
+
+def fingerprint(columns: list[str], without=RUN_COLUMNS) -> dict:
+    """L3, K4: aggregates that two tables with the same rows share, in any order and any number of files: the rows
+    counted, and two sums of 64-bit hashes of them, exact, so that repeated rows count too. They add up over tasks,
+    so a write can observe them. Runs at different times differ in the ``without`` columns only."""
+    row = F.xxhash64(*[F.col(c) for c in columns if c not in without])
+    total = lambda value: F.sum(value.cast("decimal(38,0)")).cast("string")
+    return {"rows": F.count(F.lit(1)), "first": total(row), "second": total(F.xxhash64(F.lit("second"), row))}
+
+
+def fingerprint_of(df: DataFrame) -> dict:
+    """:func:`fingerprint` of a table that is read, as plain values."""
+    return plain_fingerprint(df.agg(*[v.alias(k) for k, v in fingerprint(df.columns).items()]).first().asDict())
+
+
+def plain_fingerprint(metrics: dict) -> dict:
+    return {"rows": int(metrics["rows"]), "first": metrics["first"] or "0", "second": metrics["second"] or "0"}
+
+
 def write_observed(df: DataFrame, path: str, metrics: dict, fmt: str = "parquet",
                    mode: str = "overwrite") -> dict:
     """Write ``df`` and collect named aggregate ``metrics`` in the same pass (``DataFrame.observe``).
@@ -60,23 +82,23 @@ def write_observed(df: DataFrame, path: str, metrics: dict, fmt: str = "parquet"
 
 
 def write_layer(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                count_rows: bool = True) -> int | None:
-    """Full overwrite of a layer (idempotent); returns the written row count when ``count_rows``."""
-    if count_rows:
-        return int(write_observed(df, path, {"rows": F.count(F.lit(1))}, fmt, mode)["rows"])
-    writer = df.write.format(fmt).mode(mode)
-    if fmt == "delta":
-        writer = writer.option("overwriteSchema", "true")
-    writer.save(path)
-    return None
+                fingerprints: dict | None = None, table: str = "") -> int:
+    """Full overwrite of a layer (idempotent); returns the written row count. With ``fingerprints`` the write also
+    observes that of the table and notes it under ``table``."""
+    metrics = fingerprint(df.columns) if fingerprints is not None else {"rows": F.count(F.lit(1))}
+    seen = write_observed(df, path, metrics, fmt, mode)
+    if fingerprints is not None:
+        fingerprints[table] = plain_fingerprint(seen)
+    return int(seen["rows"])
 
 
 def copy_layers(spark: SparkSession, src: LayerPaths, dst: LayerPaths, src_fmt: str = "parquet",
                 dst_fmt: str = "parquet", gold_tables=GOLD_TABLES) -> list[dict]:
-    """K4: copy bronze, silver and every gold table to another root / format; one read and one write each."""
-    out = []
+    """K4: copy bronze, silver and every gold table to another root / format; one read and one write each. Each entry
+    has the fingerprint of the rows that were written."""
+    out, seen = [], {}
     src_entries = {name: loc for name, _, loc in src.registry(gold_tables)}
     for name, layer, location in dst.registry(gold_tables):
-        rows = write_layer(read_layer(spark, src_entries[name], src_fmt), location, dst_fmt)
-        out.append({"table": name, "layer": layer, "location": location, "rows": rows})
+        rows = write_layer(read_layer(spark, src_entries[name], src_fmt), location, dst_fmt, "overwrite", seen, name)
+        out.append({"table": name, "layer": layer, "location": location, "rows": rows, "fingerprint": seen[name]})
     return out

@@ -734,3 +734,35 @@ ORACLE_SQL["q_quality_missing_column"] = f"""
 SELECT check_order, name, dimension, severity, CASE WHEN check_order = 1 THEN 'FAIL' ELSE status END AS status,
   CASE WHEN check_order = 1 THEN 'contract' ELSE observed_value END AS observed_value, observed_count, rule
 FROM ({ORACLE_SQL['q_quality_bronze']}) WHERE check_order <= 2"""
+
+_FILES = """files AS (
+  SELECT doc_id // 100 AS part, string_agg(coalesce(text, ''), chr(10) ORDER BY doc_id) || chr(10) AS body
+  FROM documents GROUP BY 1)"""
+ORACLE_SQL["q_file_checksums"] = f"""WITH {_FILES}
+SELECT CAST(part AS BIGINT) AS part, CAST(strlen(body) AS BIGINT) AS length, sha256(body) AS sha256,
+  CAST(ceil(strlen(body) / 65536.0) AS BIGINT) AS n_blocks, CASE WHEN part = 1 THEN 'FAIL' ELSE 'PASS' END AS status
+FROM files"""
+ORACLE_SQL["q_installed_files"] = f"""WITH {_FILES}
+SELECT CAST(part AS BIGINT) AS part, CAST(strlen(body) AS BIGINT) AS length, CAST(strlen(body) AS BIGINT) AS written,
+  sha256(body) AS sha256, true AS same, CAST(sum(strlen(body)) OVER () AS BIGINT) AS staged_bytes
+FROM files"""
+ORACLE_SQL["q_lake_versions"] = f"""
+SELECT CAST(1 AS BIGINT) AS commit_number, CAST(2 AS BIGINT) AS runs, 'LayerValidationError' AS second_run,
+  total_customers, churned_customers, total_customers AS bronze_rows
+FROM ({ORACLE_SQL['q_executive_kpis']})"""
+_TABLES = (("bronze", "bronze_customer_churn", "bronze"), ("silver", "silver_customer_churn", "silver"),
+           ("gold", "gold_churn_by_contract", _SEG_COUNT.format(by="contract")),
+           ("gold", "gold_churn_by_tenure_band", _SEG_COUNT.format(by="tenure_band")),
+           ("gold", "gold_churn_by_payment_method", _SEG_COUNT.format(by="payment_method_group")),
+           ("gold", "gold_customer_risk_summary", "silver"), ("gold", "gold_executive_kpis", "(SELECT 1)"))
+ORACLE_SQL["q_layer_fingerprints"] = with_layers(BRONZE, SILVER) + "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS table_name, '{layer}' AS layer, count(*) AS rows, true AS same_again, true AS same_copy "
+    f"FROM {source}" for layer, name, source in _TABLES)
+ORACLE_SQL["q_layer_checks"] = f"""
+SELECT 'V4' AS "check", 'gate' AS subject, 'LayerValidationError' AS outcome
+WHERE EXISTS (SELECT 1 FROM ({ORACLE_SQL['q_quality_dirty']}) WHERE name = 'customer_id_unique' AND status = 'FAIL')
+UNION ALL SELECT 'V10', 'gold_churn_by_region', 'missing'
+UNION ALL SELECT 'V10', name, CASE WHEN name = 'bronze_customer_churn' THEN 'unexpected' ELSE 'complete' END
+FROM (VALUES {', '.join(f"('{name}')" for _, name, _ in _TABLES)}) AS t(name)
+UNION ALL SELECT 'V11', 'report', p FROM (VALUES ('critical checks failed'), ('a critical check is not PASS')) AS t(p)
+WHERE EXISTS (SELECT 1 FROM ({ORACLE_SQL['q_quality_dirty']}) WHERE severity = 'critical' AND status = 'FAIL')"""

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import quality as Q
-from strata.sources import fs
+from strata.plans.lake import Lake, entities
+from strata.sources import blocks, fs
 from strata.sources.files import CORRUPT_COLUMN, file_checksums, first_lines, read_contract_csv
 from strata.spec import RAW_COLUMNS
 
@@ -33,13 +34,18 @@ def table_name_for(layer: str, folder: str) -> str:
 
 
 def discover_tables(spark: SparkSession, root: str, scope: str = "all") -> list[tuple[str, str, str]]:
-    """K8 on any file system: the committed tables ``<root>/<layer>/<entity>[/<table>]``, as sorted (name, layer,
-    location). A table is a folder with a commit marker (``_SUCCESS`` or ``_delta_log``); its data files and
+    """K8 on any file system: the committed tables, as sorted (name, layer, location). Entities with commits
+    (:mod:`strata.plans.lake`) have the tables of their last one. Others are found at
+    ``<root>/<layer>/<entity>[/<table>]``: a table is a folder with a commit marker (``_SUCCESS`` or ``_delta_log``); its data files and
     partition folders are never listed, so the work follows the number of tables, not of files. Folders without a
     marker (unfinished writes) and hidden folders (staging) are no tables."""
     if scope not in SCOPES:
         raise ValueError(f"scope must be one of {SCOPES}")
     base, found = root.rstrip("/"), []
+    versioned = entities(spark, base)
+    for entity in versioned:
+        if commit := Lake(spark, base, entity).current():
+            found += commit.registry(scope)
 
     def look(layer: str, location: str, depth: int) -> None:
         if any(fs.exists(spark, f"{location}/{m}") for m in COMMIT_MARKERS):
@@ -50,7 +56,7 @@ def discover_tables(spark: SparkSession, root: str, scope: str = "all") -> list[
                     look(layer, f"{location}/{name}", depth - 1)
 
     for layer in SCOPES[1:] if scope == "all" else (scope,):
-        for name in fs.folders(spark, f"{base}/{layer}"):
+        for name in set(fs.folders(spark, f"{base}/{layer}")).difference(versioned):
             look(layer, f"{base}/{layer}/{name}", 2)
     return sorted(found)
 
@@ -87,12 +93,22 @@ def publish(
         for step in plan:
             spark.sql(step["statement"])
             if step["table"] and fmt != "delta":
-                recover_partitions(spark, f"{namespace}.{quote_identifier(step['table'])}")
+                table = f"{namespace}.{quote_identifier(step['table'])}"
+                point_at(spark, table, step["location"])
+                recover_partitions(spark, table)
     for step in plan:
         step["action"] = ("would_" if dry_run else "") + step["action"]
     return plan
 
 
+def point_at(spark: SparkSession, table: str, location: str) -> None:
+    """Let a registered table read another version of its layer; one that already does is left alone."""
+    rows = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    if rows["Location"].rstrip("/").removeprefix("file:") != location.rstrip("/").removeprefix("file:"):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{location.replace(chr(39), chr(92) + chr(39))}'")
+        spark.sql(f"REFRESH TABLE {table}")
+
+
 def recover_partitions(spark: SparkSession, table: str) -> None:
     """Register the ``key=value`` folders of a partitioned layer; a table without any needs none."""
     columns = [r[0] for r in spark.sql(f"DESCRIBE TABLE {table}").collect()]
@@ -126,28 +142,52 @@ def _check(order: int, name: str, dimension: str, count, rule: str) -> list:
 
 
 def header_violations(spark: SparkSession, path: str, contract=RAW_COLUMNS) -> DataFrame:
-    """One row (n): files of ``path`` whose first line is not the contract header, empty files included."""
-    files = len(spark.read.text(path).inputFiles())
+    """One row (n): files of ``path`` whose first line is not the contract header, empty files included (Q20)."""
+    files = len(spark.read.text(path).inputFiles())  # of Spark's own index, which has the empty ones too
     matching = F.count_if(F.regexp_replace("line", '^\ufeff|"', "") == F.lit(",".join(contract)))
     return first_lines(spark, path).agg((F.lit(files) - matching).alias("n"))
 
 
-def checksum_violations(spark: SparkSession, path: str, pins: str | dict[str, str]) -> DataFrame:
-    """One row (n): files whose SHA-256 is not the pinned one, files without a pin, and pins without a file. ``pins``
-    is the digest of a single file, or a manifest (file name -> digest). Exactly the files that are read are hashed."""
-    sums = file_checksums(spark, path, recursive=False).select(
-        F.element_at(F.split("path", "/"), -1).alias("file"), "sha256")
+Pins = str | dict[str, str] | DataFrame
+
+
+def checksum_rows(spark: SparkSession, path: str, pins: DataFrame, recursive: bool = False) -> DataFrame:
+    """Q24: (file, length, sha256, pin, status) of every file under ``path`` and of every pin (file, pin): FAIL for a
+    digest other than the pinned one, a file without a pin, and a pin without a file."""
+    sums = file_checksums(spark, path, recursive=recursive).withColumn("file", F.element_at(F.split("path", "/"), -1))
+    both = sums.select("file", "length", "sha256").join(pins.select("file", "pin"), "file", "full")
+    return both.withColumn("status", F.when(F.col("sha256") == F.col("pin"), "PASS").otherwise("FAIL"))
+
+
+def checksum_violations(spark: SparkSession, path: str, pins: Pins) -> DataFrame:
+    """One row (n): the rows of :func:`checksum_rows` that fail. ``pins`` is the digest of a single file, a manifest
+    (file name -> digest), or a table (file, pin). Exactly the files that are read are hashed."""
     if isinstance(pins, str):
         # one pin is one file: none or several files are violations too
-        return sums.agg((F.count_if(F.col("sha256") != pins) + F.abs(F.count(F.lit(1)) - 1)).alias("n"))
-    manifest = spark.createDataFrame(sorted(pins.items()), "pinned_file string, pin string")
-    both = sums.join(manifest, F.col("file") == F.col("pinned_file"), "full")
-    return both.agg((F.count_if(~F.col("sha256").eqNullSafe(F.col("pin")))
-                     + F.when(F.count("file") == 0, 1).otherwise(0)).alias("n"))
+        return file_checksums(spark, path, recursive=False).agg(
+            (F.count_if(F.col("sha256") != pins) + F.abs(F.count(F.lit(1)) - 1)).alias("n"))
+    if isinstance(pins, dict):
+        pins = spark.createDataFrame(sorted(pins.items()), "file string, pin string")
+    rows = checksum_rows(spark, path, pins)
+    return rows.agg((F.count_if(F.col("status") == "FAIL") + F.when(F.count("length") == 0, 1).otherwise(0)).alias("n"))
+
+
+def install(spark: SparkSession, path: str, destination: str, block_bytes: int = blocks.BLOCK_BYTES) -> DataFrame:
+    """Copy the files of ``path`` (a file or a folder) byte for byte below ``destination`` by tasks, and return what
+    was written: (file, length, written, sha256, blocks). A lost task writes its files again; nothing passes through the
+    driver but their names."""
+    files = blocks.listed(spark, path, recursive=False)
+    single = fs.is_file(spark, path)
+    target = F.lit(destination) if single else F.concat(F.lit(f"{destination.rstrip('/')}/"), F.col("file"))
+    files = files.withColumn("file", F.element_at(F.split("path", "/"), -1)).withColumn("target", target)
+    done = blocks.copied(files, block_bytes).drop("path", "target")
+    manifest = f"{destination.rstrip('/').rpartition('/')[0]}/_manifest"
+    done.write.mode("overwrite").parquet(manifest)  # the copy runs once
+    return spark.read.schema(done.schema).parquet(manifest)
 
 
 def admit(spark: SparkSession, path: str, expected_rows: int | None = None, id_column: str = "customerID",
-          id_prefix: str | None = None, checksum: str | dict[str, str] | None = None,
+          id_prefix: str | None = None, checksum: Pins | None = None,
           contract=RAW_COLUMNS) -> DataFrame:
     """Admission checks (Q20-Q24) of a landing CSV, a file or a folder of files, as a check DataFrame.
 
@@ -187,15 +227,18 @@ class AdmissionError(RuntimeError):
 
 
 def promote(spark: SparkSession, path: str, destination: str, force: bool = False, **admit_kwargs) -> int:
-    """Install the landing files byte for byte. They are copied to a staging name beside ``destination``, the
-    checks run on that copy, and a rename puts it in place; refuses to overwrite unless ``force``, and even then what
-    was there stays until the rename. Returns the number of rows installed."""
+    """Install the landing files byte for byte. Tasks copy them to a staging name beside ``destination``, the checks
+    run on that copy, and a rename puts it in place; refuses to overwrite unless ``force``, and even then what was there
+    stays until the rename. Returns the number of rows installed."""
     if not force and fs.exists(spark, destination):
         raise FileExistsError(f"Refusing to overwrite {destination}; pass force=True to replace it.")
     parent, _, name = destination.rstrip("/").rpartition("/")
     staged = f"{parent}/_installing-{uuid.uuid4().hex[:12]}/{name}"
-    fs.copy(spark, path, staged)
     try:
+        copies = install(spark, path, staged)
+        short = copies.where("written != length").count()
+        if short:
+            raise AdmissionError(f"{short} files changed while they were copied")
         # rows of the copy: the name of a hidden folder does not matter to a path given in full
         rows = admit(spark, staged, **admit_kwargs).collect()
         failed = [r for r in rows if r["status"] == "FAIL"]

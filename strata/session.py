@@ -9,9 +9,11 @@
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -102,3 +104,23 @@ def scratch_dir(spark: SparkSession, name: str = "run") -> str:
     """A fresh, unique folder under the shared checkpoint root for intermediate written tables."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/strata-{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the Python workers of the session once, as ``--py-files`` would."""
+    if spark.sparkContext.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="strata-code-")  # of the driver alone; Spark serves the archive to the executors
+    archive = os.path.join(folder, "strata.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.join(os.path.basename(root), os.path.relpath(path, root)))
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(spark.sparkContext.applicationId)

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from strata.sources import blocks
 from strata.spec import RAW_SCHEMA
 
 CORRUPT_COLUMN = "_corrupt_record"
@@ -64,24 +64,14 @@ def read_layer(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path)
 
 
-def file_checksums(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True) -> DataFrame:
-    """SHA-256 of every file that Spark lists under ``path``, computed on the executors: (path, length, sha256).
-
-    Each file is one row of ``binaryFile``, so a single file must fit a task (2 GB row limit); many files are
-    hashed in parallel.
-    """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.load(path).select(
-        F.col("path"), F.col("length"), F.sha2(F.col("content"), 256).alias("sha256")
-    )
+def file_checksums(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True,
+                   block_bytes: int = blocks.BLOCK_BYTES) -> DataFrame:
+    """(path, length, sha256, blocks) of every file that Spark lists under ``path``. Tasks stream the files, so a
+    file may have any size; ``blocks`` holds the SHA-256 of every ``block_bytes`` of it, so that a damaged part can be
+    found (:func:`strata.sources.blocks.damaged_blocks`)."""
+    return blocks.file_digests(blocks.listed(spark, path, glob, recursive), block_bytes)
 
 
 def first_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line): the first line of every file. Only the first split of a file can hold it, and rows of a split
-    keep their order, so the least row number among those is the first line."""
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value",
-        F.monotonically_increasing_id().alias("row"))
-    return lines.where("at = 0").groupBy("file").agg(F.min_by("value", "row").alias("line"))
+    """(path, length, line): the first line of every file with any bytes. Tasks read the beginning of each file only."""
+    return blocks.first_lines(blocks.listed(spark, path, recursive=False))

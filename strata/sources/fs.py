@@ -42,7 +42,13 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 
 
 def read_text(spark: SparkSession, path: str) -> str:
-    return spark.read.text(path, wholetext=True).first()[0]
+    """A small text file, without a Spark job."""
+    fs, handle = _open(spark, path)
+    source = fs.open(handle)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
 
 
 def delete(spark: SparkSession, path: str) -> None:
@@ -50,12 +56,33 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(handle, True)
 
 
-def copy(spark: SparkSession, source: str, destination: str) -> None:
-    """Copy a file or folder byte by byte."""
-    (fs, handle), (to_fs, to_handle) = _open(spark, source), _open(spark, destination)
-    to_fs.mkdirs(to_handle.getParent())
-    spark._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, handle, to_fs, to_handle, False,
-                                                  spark._jsc.hadoopConfiguration())
+def is_file(spark: SparkSession, path: str) -> bool:
+    fs, handle = _open(spark, path)
+    return fs.exists(handle) and fs.getFileStatus(handle).isFile()
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly under ``path``, sorted."""
+    fs, handle = _open(spark, path)
+    if not fs.exists(handle):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(handle) if s.isFile())
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """A small text file under a name that must be free; False if it is taken."""
+    fs, handle = _open(spark, path)
+    try:
+        out = fs.create(handle, False)
+    except Exception as exc:
+        if fs.exists(handle):
+            return False
+        raise exc
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+    return True
 
 
 def replace(spark: SparkSession, staged: str, path: str) -> None:

@@ -114,13 +114,14 @@ def test_n21_source_file_literal_or_physical(spark, scratch):
 
 def test_n24_one_run_timestamp_for_every_layer(spark, scratch):
     from strata.plans import flow
+    from strata.plans.lake import Lake
 
     raw = catalog.feed(spark, "/root/testdata/sf0.001")
     flow.run_layers(spark, raw, f"{scratch}/lake", run_ts="2030-05-06 07:08:09", source_label="t")
     stamps = set()
-    for layer, column in (("bronze", "ingested_at_utc"), ("silver", "silver_transformed_at_utc")):
-        stamps |= {r[0] for r in spark.read.parquet(f"{scratch}/lake/{layer}/customer_churn")
-                   .select(column).distinct().collect()}
+    paths = Lake(spark, f"{scratch}/lake").paths()
+    for folder, column in ((paths.bronze, "ingested_at_utc"), (paths.silver, "silver_transformed_at_utc")):
+        stamps |= {r[0] for r in spark.read.parquet(folder).select(column).distinct().collect()}
     stamps |= {r[0] for r in flow.read_gold(spark, f"{scratch}/lake", "gold_executive_kpis")
                .select("gold_created_at_utc").collect()}
     assert len(stamps) == 1 and str(next(iter(stamps))) == "2030-05-06 07:08:09"

@@ -11,6 +11,7 @@ from conftest import SF001
 from strata.operators import quality as Q
 from strata.operators import verify
 from strata.plans import catalog, flow, publish
+from strata.plans.lake import Lake
 from strata.plans.layers import LayerPaths, copy_layers
 from strata.sources.files import file_checksums, read_contract_csv, write_contract_csv
 from strata.spec import BRONZE_COLUMNS, GOLD_TABLES
@@ -50,7 +51,7 @@ def test_run_layers_matches_direct_gold_and_is_idempotent(spark, landing, scratc
     assert verify.report_regression(spark, f"{reports}/q.json", "bronze.customer_churn", 25) == []
     assert "| customer_id_unique | uniqueness | critical | PASS | 0 |" in open(f"{reports}/q.md").read()
     # Complete by commit marker, both ways
-    paths = LayerPaths(root)
+    paths = Lake(spark, root).paths()
     expected_tables = [n for n, _, _ in paths.registry()]
     assert verify.layer_completeness(spark, root, expected_tables) == [(n, "complete") for n in sorted(expected_tables)]
     states = dict(verify.layer_completeness(spark, root, [*expected_tables[1:], "gold_other"]))
@@ -61,6 +62,8 @@ def test_run_layers_matches_direct_gold_and_is_idempotent(spark, landing, scratc
     checks = spark.read.parquet(f"{scratch}/checks")
     assert checks.count() == 38 and checks.select("run_id").distinct().count() == 2
     assert {t: _gold_values(spark, root, t) for t in GOLD_TABLES} == before
+    commits = Lake(spark, root).commits()
+    assert [c.number for c in commits] == [1, 2] and commits[0].fingerprints == commits[1].fingerprints
     assert spark.read.parquet(paths.bronze).columns == list(BRONZE_COLUMNS)
     assert len(spark.read.parquet(paths.silver).columns) == 38
 
@@ -76,8 +79,7 @@ def test_gate_writes_reports_then_stops(spark, scratch):
     assert report["failed_critical_count"] == 1
     failed = [c for c in report["checks"] if c["status"] == "FAIL"]
     assert [c["name"] for c in failed] == ["contract_domain_valid"] and failed[0]["observed_value"] == 150
-    assert not os.path.exists(LayerPaths(root).bronze)
-    assert not os.path.exists(LayerPaths(root).silver)
+    assert Lake(spark, root).current() is None and not os.path.exists(LayerPaths(root).silver)
 
 
 def test_bronze_validator_stops_before_silver(spark, scratch):
@@ -172,7 +174,7 @@ def test_publish_discover_copy(spark, landing, scratch):
     views = publish.register_temp_views(spark, found, scope="silver")
     assert views == ["silver_customer_churn"]
     assert spark.sql("SELECT count(*) FROM silver_customer_churn").collect()[0][0] == 1500
-    copied = copy_layers(spark, LayerPaths(root), LayerPaths(f"{scratch}/copy"))
+    copied = copy_layers(spark, Lake(spark, root).paths(), LayerPaths(f"{scratch}/copy"))
     assert {c["table"]: c["rows"] for c in copied}["silver_customer_churn"] == 1500
 
 
@@ -246,7 +248,7 @@ def test_partition_ordered_risk_table(spark, landing, scratch):
     expected = sorted(tuple(r) for r in catalog.q_customer_risk(spark, SF001).collect())
     assert sorted(tuple(r) for r in risk.drop("gold_created_at_utc").collect()) == expected
     with pytest.raises(ValueError):
-        flow.build_gold(spark, LayerPaths(root), risk_order="random")
+        flow.build_gold(spark, Lake(spark, root).paths(), risk_order="random")
 
 
 def test_layered_run_job_budget(spark, landing, scratch):
@@ -271,11 +273,11 @@ def test_failing_run_keeps_the_previous_bronze(spark, landing, scratch):
 
     root = f"{scratch}/data"
     flow.run_layers(spark, f"{landing}/feed", root)
-    before = content(LayerPaths(root).bronze)
+    before = content(Lake(spark, root).paths().bronze)
     bad = catalog.feed(spark, SF001).withColumn("Contract", F.lit("Weekly"))
     with pytest.raises(Q.QualityGateError):
         flow.run_layers(spark, bad, root, source_label="bad")
-    assert content(LayerPaths(root).bronze) == before
+    assert content(Lake(spark, root).paths().bronze) == before
     assert all(not name.startswith("_") for name, _, _ in publish.discover_tables(spark, root))
 
 
