@@ -32,7 +32,10 @@ from pyspark.sql import DataFrame, functions as F
 from strata.llm.common import ship_code, text_or_empty, written
 from strata.llm.tokens import Encoder, Sequences, per_group, pieces_of
 
-PARCEL_BYTES = 1 << 23
+PARCEL_BYTES = 1 << 21
+#: chunks that a process aligns at a time, and those that it remembers
+ALIGNED_TOGETHER = 1 << 15
+REMEMBERED = 250_000
 SPACE_MARK = chr(0x2581)
 
 
@@ -92,6 +95,7 @@ class Aligner(Encoder):
         self.b_pieces = [bytes([int(name[3:5], 16)]) if self.pieces.is_byte(i) else name.replace(SPACE_MARK, " ").encode()
                          for i, name in enumerate(names)]
         self.a_bytes, self.b_bytes = (np.array(list(map(len, x)), np.int64) for x in (self.a_pieces, self.b_pieces))
+        self.remembered = REMEMBERED
         self.odd += "| $"  # a space at the end is a piece of its own
 
     def _forget(self) -> None:
@@ -101,9 +105,11 @@ class Aligner(Encoder):
     def _learn(self, chunks: list[str]) -> list[str]:
         first = self.chunk_ids.count
         chunks = super()._learn(chunks)
-        numbers = np.arange(first, first + len(chunks))
-        sizes = self.chunk_ids.sizes(numbers)
-        self.add(chunks, self.chunk_ids.gather(numbers, sizes), sizes)
+        for at in range(0, len(chunks), ALIGNED_TOGETHER):
+            some = chunks[at:at + ALIGNED_TOGETHER]
+            numbers = np.arange(first + at, first + at + len(some))
+            sizes = self.chunk_ids.sizes(numbers)
+            self.add(some, self.chunk_ids.gather(numbers, sizes), sizes)
         return chunks
 
     def add(self, chunks: list[str], a_ids: np.ndarray, a_sizes: np.ndarray) -> None:
@@ -111,13 +117,11 @@ class Aligner(Encoder):
         ``counts`` its numbers of tokens of A, of B and of groups, ``groups`` its groups as text (None: the bytes of a
         side differ)."""
         found = self.pieces.encode([c[1:] for c in chunks], num_threads=1) if chunks else []
-        ends = np.cumsum(a_sizes).tolist()
-        ids, start, good = a_ids.tolist(), 0, np.zeros(len(chunks), bool)
-        for i, (chunk, end) in enumerate(zip(chunks, ends)):
-            data = chunk.encode()
-            good[i] = (b"".join([self.b_pieces[x] for x in found[i]]) == data
-                       and b"".join([self.a_pieces[x] for x in ids[start:end]]) == data)
-            start = end
+        data = [c.encode() for c in chunks]
+        pieces = self.b_pieces
+        good = np.fromiter((b"".join([pieces[x] for x in ids]) == d for ids, d in zip(found, data)), bool, len(chunks))
+        # byte-level tokens are made of the bytes themselves, so their number tells whether all are there
+        good &= per_group(self.a_bytes[a_ids], a_sizes) == np.fromiter(map(len, data), np.int64, len(chunks))
         b_sizes = np.array([len(x) if g else 0 for x, g in zip(found, good)], np.int64)
         b_ids = np.array([y for x, g in zip(found, good) if g for y in x], np.int64)
         a_ids, a_sizes = a_ids[np.repeat(good, a_sizes)].astype(np.int64), np.where(good, a_sizes, 0)

@@ -104,6 +104,7 @@ class Encoder:
         self.normal = self.tokenizer.normalizer
         self.alphabet = byte_alphabet()
         added = [] if special_as_text else [regex.escape(t["content"]) for t in spec.get("added_tokens", ())]
+        self.remembered = REMEMBERED
         self.odd = "|".join([UNUSUAL, *[BESIDE_SPACE] * self.keeps_spaces, *added])
         self._forget()
 
@@ -170,7 +171,7 @@ class Encoder:
 
     def numbers(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of the chunks of all texts, and how many each text has."""
-        if self.chunk_ids.count > REMEMBERED or self.chunk_ids.used > 8 * REMEMBERED:
+        if self.chunk_ids.count > self.remembered or self.chunk_ids.used > 8 * self.remembered:
             self._forget()
         lists = self._chunks(texts)
         coded = lists.flatten().dictionary_encode()
