@@ -106,6 +106,7 @@ def _profile(spark, a):
     text = build_profile_report(
         raw, a.input, S.RAW_COLUMNS, "customerID",
         list(S.PROFILE_CATEGORICAL), list(S.PROFILE_NUMERIC), list(S.PROFILE_SAMPLE),
+        categories_path=f"{a.output}.categories",
     )
     fs.write_text(spark, a.output, text)
     print(f"report written to: {a.output}\n\n{text.partition('## Category')[0]}")

@@ -144,21 +144,48 @@ def is_negative(c: str | Column) -> Column:
     return col_of(c) < F.lit(0)
 
 
+#: how a decimal number is written; exponents of up to 18 digits
+DECIMAL_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?0*[0-9]{1,18})?$"
+_PARTS = r"^[+-]?([0-9]*)\.?([0-9]*)(?:[eE]([+-]?[0-9]+))?$"
+_PAST = 5 * 10**18
+
+
+def decimal_key(text: Column) -> Column:
+    """A string that sorts as the decimal number written in ``text`` does, exactly and for any number of digits;
+    NULL where it is none. Equal numbers have equal keys however they are written.
+
+    Zero is ``1``. A positive number is ``2``, then where its first digit stands (a fixed number of digits), then its
+    digits; a negative one is ``0`` and the same with every digit taken from nine, and an end that sorts after digits.
+    """
+    t = F.trim(text)
+    part = lambda n: F.regexp_extract(t, _PARTS, n)
+    digits = F.concat(part(1), part(2))
+    cut = F.regexp_replace(digits, "^0+", "")
+    first = (F.length(part(1)) - F.length(digits) + F.length(cut)
+             + F.coalesce(part(3).try_cast("bigint"), F.lit(0)) + F.lit(_PAST))
+    size = F.concat(F.lpad(first.cast("string"), 19, "0"), F.regexp_replace(cut, "0+$", ""))
+    key = (F.when(cut == "", F.lit("1")).when(t.startswith("-"), F.concat(F.lit("0"), F.translate(
+        size, "0123456789", "9876543210"), F.lit("~"))).otherwise(F.concat(F.lit("2"), size)))
+    return F.when(t.rlike(DECIMAL_TEXT), key)
+
+
 EXACT = "decimal(28,10)"
 
 
 def sum_parts(c: str | Column) -> dict[str, Column]:
     """Partial aggregates from which the sum and the average of a column follow, in one or in several levels:
-    ``exact`` (decimal sum), ``approx`` (double sum), ``odd`` (values that the decimal cannot hold), ``n`` (values)."""
+    ``exact`` (decimal sum of the values that fit), ``approx`` (double sum of the others), ``odd`` (how many others),
+    ``n`` (values)."""
     value = col_of(c)
     exact = value.try_cast(EXACT)
-    return {"exact": F.sum(exact), "approx": F.sum(value.cast("double")),
-            "odd": F.count_if(value.isNotNull() & exact.isNull()), "n": F.count(value)}
+    odd = value.isNotNull() & exact.isNull()
+    return {"exact": F.sum(exact), "approx": F.sum(F.when(odd, value.cast("double"))), "odd": F.count_if(odd),
+            "n": F.count(value)}
 
 
 def total_of(exact: Column, approx: Column, odd: Column) -> Column:
-    """The exact sum; the double sum where a value does not fit the decimal (never a sum that leaves it out)."""
-    return F.when(odd == 0, exact.cast("double")).otherwise(approx)
+    """The exact sum, plus the values that do not fit the decimal (never a sum that leaves them out)."""
+    return F.when(odd == 0, exact.cast("double")).otherwise(F.coalesce(exact.cast("double"), F.lit(0.0)) + approx)
 
 
 def exact_sum(c: str | Column) -> Column:

@@ -7,7 +7,7 @@ memory:
 * ``category_counts``: unpivot -> ``groupBy(column, value).count()``; the unpivot sits in the same stage as the
   partial aggregation, so one scan and one small shuffle serve every column;
 * ``numeric_profile``: ONE aggregate of invalid / negative counts and min / max per column; numeric columns are taken
-  as they are, text is parsed as a double (blank, unparsable or not finite -> invalid);
+  as they are, text is compared as decimals of any size, exactly (blank or no finite number -> invalid);
 * ``duplicate_keys``: ``groupBy(keys).count()`` with partial aggregation (hot keys collapse per task);
 * ``profile_summary``: row count, schema diff and non-blank duplicate ids from ONE grouped pass over the key.
 """
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType, StringType
 
 from strata.functions import is_blank, is_missing, strip_whitespace
+from strata.functions.expr import decimal_key
 
 MISSING_LABEL = "<missing>"
 
@@ -56,28 +57,29 @@ def ordered_categories(counts: DataFrame) -> DataFrame:
 
 
 def parse_number(df: DataFrame, c: str) -> Column:
-    """A numeric column itself; text as a double, NULL when blank, unparsable or not finite."""
-    if isinstance(df.schema[c].dataType, NumericType):
-        value = F.col(c)
-        fractional = isinstance(df.schema[c].dataType, (DoubleType, FloatType))
-    else:
-        value, fractional = F.trim(F.col(c).cast("string")).try_cast("double"), True
-    if not fractional:
-        return value
-    return F.when(~F.isnan(value) & (F.abs(value) != F.lit(float("inf"))), value)
+    """A numeric column itself, NULL where it is not finite; text as a sortable key of the decimal number that it
+    holds, NULL when it holds none."""
+    if not isinstance(df.schema[c].dataType, NumericType):
+        return decimal_key(F.col(c).cast("string"))
+    if isinstance(df.schema[c].dataType, (DoubleType, FloatType)):
+        return F.when(~F.isnan(c) & (F.abs(c) != F.lit(float("inf"))), F.col(c))
+    return F.col(c)
 
 
 def numeric_profile(df: DataFrame, columns) -> DataFrame:
-    """(column_name, invalid_or_blank, negative, min_value, max_value) in one aggregate."""
+    """(column_name, invalid_or_blank, negative, min_value, max_value, min_text, max_text) in one aggregate. The texts
+    are the numbers as they are written (the first of several ways to write one), the values those as doubles."""
     columns = list(columns)
     aggs = []
     for i, c in enumerate(columns):
         v = parse_number(df, c)
+        number = isinstance(df.schema[c].dataType, NumericType)
+        both = F.when(v.isNotNull(), F.struct(v.alias("v"), F.trim(F.col(c).cast("string")).alias("text")))
         aggs += [
             F.count_if(v.isNull()).alias(f"_i{i}"),
-            F.count_if(v < 0).alias(f"_n{i}"),
-            F.min(v).alias(f"_lo{i}"),
-            F.max(v).alias(f"_hi{i}"),
+            F.count_if(v < (0 if number else "1")).alias(f"_n{i}"),  # keys of negative numbers are before that of zero
+            (F.min(v).cast("string") if number else F.min(both)["text"]).alias(f"_lo{i}"),
+            (F.max(v).cast("string") if number else F.max(both)["text"]).alias(f"_hi{i}"),
         ]
     agg = df.agg(*aggs)
     rows = F.array(
@@ -88,6 +90,8 @@ def numeric_profile(df: DataFrame, columns) -> DataFrame:
                 F.col(f"_n{i}").alias("negative"),
                 F.col(f"_lo{i}").cast("double").alias("min_value"),
                 F.col(f"_hi{i}").cast("double").alias("max_value"),
+                F.col(f"_lo{i}").alias("min_text"),
+                F.col(f"_hi{i}").alias("max_text"),
             )
             for i, c in enumerate(columns)
         ]

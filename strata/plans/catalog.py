@@ -189,7 +189,21 @@ def q_profile_numeric(spark, sf_dir):
     """Invalid, negative, min and max of numeric text and numeric columns."""
     raw = profile.numeric_profile(feed(spark, sf_dir), ["tenure", "MonthlyCharges", "TotalCharges"])
     li = profile.numeric_profile(table(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"])
-    return raw.withColumn("table_name", F.lit("feed")).unionByName(li.withColumn("table_name", F.lit("lineitem")))
+    both = raw.withColumn("table_name", F.lit("feed")).unionByName(li.withColumn("table_name", F.lit("lineitem")))
+    return both.drop("min_text", "max_text")
+
+
+def q_profile_decimals(spark, sf_dir):
+    """Exact extremes of numbers as text: 17 digits before the point, and exponents beyond any numeric type;
+    every fiftieth value is no number."""
+    key, text = F.col("o_orderkey"), lambda c: F.lpad(c.cast("string"), 16, "0")
+    long = F.concat(F.when(key % 3 == 0, "-").otherwise(""), F.lit("1"), text(key), F.lit("."),
+                    F.lpad((key % 100).cast("string"), 2, "0"))
+    written = table(spark, sf_dir, "orders").select(
+        F.when(key % 50 == 0, F.lit("12,5")).otherwise(long).alias("long"),
+        F.concat((key % 7).cast("string"), F.lit("e"), (key % 500).cast("string")).alias("exponent"))
+    found = profile.numeric_profile(written, ["long", "exponent"])
+    return found.select("column_name", "invalid_or_blank", "negative", "min_text", "max_text")
 
 
 def q_profile_summary(spark, sf_dir):
@@ -593,6 +607,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_profile_missing": q_profile_missing,
     "q_profile_categories": q_profile_categories,
     "q_profile_numeric": q_profile_numeric,
+    "q_profile_decimals": q_profile_decimals,
     "q_profile_feed_duplicates": q_profile_feed_duplicates,
     "q_profile_summary": q_profile_summary,
     "q_rate_by_priority": q_rate_by_priority,

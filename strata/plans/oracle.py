@@ -766,3 +766,15 @@ UNION ALL SELECT 'V10', name, CASE WHEN name = 'bronze_customer_churn' THEN 'une
 FROM (VALUES {', '.join(f"('{name}')" for _, name, _ in _TABLES)}) AS t(name)
 UNION ALL SELECT 'V11', 'report', p FROM (VALUES ('critical checks failed'), ('a critical check is not PASS')) AS t(p)
 WHERE EXISTS (SELECT 1 FROM ({ORACLE_SQL['q_quality_dirty']}) WHERE severity = 'critical' AND status = 'FAIL')"""
+ORACLE_SQL["q_profile_decimals"] = """
+WITH w AS (
+  SELECT o_orderkey AS k, CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE
+    CASE WHEN o_orderkey % 3 = 0 THEN '-' ELSE '' END || '1' || lpad(CAST(o_orderkey AS VARCHAR), 16, '0') || '.'
+    || lpad(CAST(o_orderkey % 100 AS VARCHAR), 2, '0') END AS long,
+    CAST(o_orderkey % 7 AS VARCHAR) || 'e' || CAST(o_orderkey % 500 AS VARCHAR) AS exponent
+  FROM orders)
+SELECT 'long' AS column_name, CAST(count_if(long IS NULL) AS BIGINT) AS invalid_or_blank, CAST(count_if(long LIKE '-%') AS BIGINT) AS negative,
+  CAST(min(CAST(long AS DECIMAL(38, 2))) AS VARCHAR) AS min_text, CAST(max(CAST(long AS DECIMAL(38, 2))) AS VARCHAR) AS max_text
+FROM w
+UNION ALL
+SELECT 'exponent', 0, 0, min(exponent) FILTER (k % 7 = 0), arg_max(exponent, k % 500 * 10 + k % 7) FILTER (k % 7 > 0) FROM w"""

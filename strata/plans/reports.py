@@ -36,8 +36,9 @@ CATEGORIES_HEADING = "Category Distributions"
 CATEGORY_COLUMNS = (("Value", "---"), ("Rows", "---:"))
 SAMPLE_HEADING = "Sample Rows"
 
-#: categories of one column that a report lists; the profile itself has them all
+#: categories of one column that the page itself lists; the table beside it has them all
 LISTED_CATEGORIES = 1000
+ALL_CATEGORIES = "All values of every column, most frequent first: `{}`"
 
 
 def _row(cells) -> str:
@@ -58,13 +59,6 @@ def _document(*blocks: str) -> str:
     return "\n\n".join(blocks) + "\n"
 
 
-def _number(value) -> str | None:
-    """A number as people write it: whole ones without a fraction."""
-    if value is None:
-        return None
-    return str(int(value)) if float(value).is_integer() and abs(value) < 1e15 else str(value)
-
-
 def quality_json(result: QualityResult) -> str:
     return json.dumps(result.as_dict(), indent=2)
 
@@ -105,9 +99,12 @@ def checks_json(checks_df: DataFrame, dataset: str, column_count: int, checked_a
 
 
 def build_profile_report(df: DataFrame, input_path: str, expected_columns, key: str, categorical, numeric,
-                         sample_columns, title: str = PROFILE_TITLE, key_label: str = "Customer IDs") -> str:
+                         sample_columns, title: str = PROFILE_TITLE, key_label: str = "Customer IDs",
+                         categories_path: str | None = None) -> str:
     """V12 + K7: profile ``df`` on Spark and render the Markdown report. Only aggregated rows reach the driver: one
-    per column, the most frequent categories of each categorical column, five sample rows."""
+    per column, the most frequent categories of each categorical column, five sample rows. All categories, however
+    many, are written by Spark as CSV to ``categories_path`` (column_name, category_value, row_count), in the order of
+    the report, and the report is made from that table."""
     from strata.operators import profile as P
 
     prof = P.profile(df, expected_columns, key, categorical, numeric, sample_columns)
@@ -126,12 +123,18 @@ def build_profile_report(df: DataFrame, input_path: str, expected_columns, key:
         _facts([(DUPLICATES_FACT.format(key), head["duplicate_key_values"])]),
         f"## {NUMERIC_HEADING}",
         _table(NUMERIC_COLUMNS, (
-            [c, r["invalid_or_blank"], r["negative"], _number(r["min_value"]), _number(r["max_value"])]
+            [c, r["invalid_or_blank"], r["negative"], r["min_text"], r["max_text"]]
             for c, r in ((c, numbers[c]) for c in numeric if c in numbers))),
         f"## {CATEGORIES_HEADING}",
     ]
+    categories = prof["categories"]
+    if categories_path:
+        P.ordered_categories(categories).write.mode("overwrite").option("header", True).option(
+            "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(categories_path)
+        categories = df.sparkSession.read.schema(categories.schema).option("header", True).csv(categories_path)
+        blocks.append(ALL_CATEGORIES.format(categories_path))
     for column in categorical:
-        ranked = prof["categories"].where(F.col("column_name") == column).orderBy(
+        ranked = categories.where(F.col("column_name") == column).orderBy(
             F.desc("row_count"), "category_value").limit(LISTED_CATEGORIES + 1).collect()
         rows = [[r["category_value"], r["row_count"]] for r in ranked]
         if len(rows) > LISTED_CATEGORIES:

@@ -2,6 +2,8 @@
 
 import math
 
+from pyspark.sql import functions as F
+
 
 from strata.functions import (
     band,
@@ -134,3 +136,31 @@ def test_round_half_up_n19(spark):
     assert got[:3] == [1.01, 2.68, -1.01]
     assert got[3] is None and got[4] is None
     assert not any(isinstance(g, float) and math.isnan(g) for g in got)
+
+
+def test_decimal_keys_sort_as_decimals_do(spark):
+    from decimal import Decimal
+
+    from strata.functions.expr import decimal_key
+
+    texts = ["0", "-0.0", "0e9", "1", "1.0", "+1", "01.00", "1e0", "10e-1", "1.5", "-1.5", "-1.2", "-1.23", "-1.229", "12", "-12",
+             "1e400", "-1e400", "1e-400", "-1e-400", "12345678901234567.91", "12345678901234567.90", "99999999999999999999999",
+             ".5", "5.", " 7 ", "-.5", "1E+3", "1e17", "1e18", "123e999999999999999", "-123e-999999999999999"]
+    bad = ["", " ", "abc", "1,5", "NaN", "Infinity", "-", ".", "1e", "e5", "1d", "0x10", "1 2", "--1", "1e1234567890123456789", None]
+    rows = spark.createDataFrame([(t,) for t in texts + bad], "t string").select("t", decimal_key(F.col("t")).alias("k")).collect()
+    keys = {r["t"]: r["k"] for r in rows}
+    assert all(keys[t] is None for t in bad)
+    for a in texts:
+        for b in texts:
+            x, y = Decimal(a.strip()), Decimal(b.strip())
+            assert (keys[a] < keys[b], keys[a] == keys[b]) == (x < y, x == y), (a, b)
+
+
+def test_a_value_beyond_the_decimal_is_added_to_the_exact_sum(spark):
+    from strata.functions import exact_avg, exact_sum
+
+    df = spark.createDataFrame([(0.1,), (0.2,), (1e30,), (None,)], "v double")
+    row = df.agg(exact_sum("v").alias("s"), exact_avg("v").alias("a")).first()
+    assert row["s"] == 1e30 and row["a"] == 1e30 / 3
+    small = df.where("v < 1").agg(exact_sum("v").alias("s")).first()
+    assert small["s"] == 0.3

@@ -313,3 +313,18 @@ def test_discovery_of_a_delta_shaped_layout(spark, scratch):
     found = publish.discover_tables(spark, root)
     assert [(name, layer) for name, layer, _ in found] == [("gold_executive_kpis", "gold")]
     assert found[0][2].rstrip("/").endswith("gold/customer_churn/gold_executive_kpis")
+
+
+def test_profile_report_with_more_categories_than_a_page_lists(spark, scratch, monkeypatch):
+    from strata.plans import reports
+
+    monkeypatch.setattr(reports, "LISTED_CATEGORIES", 3)
+    rows = [(f"c{i:03d}", "12345678901234567.91" if i else "-1e400") for i in range(40)] + [("c007", " 5")]
+    raw = spark.createDataFrame(rows, "Contract string, TotalCharges string")
+    folder = f"{scratch}/report.md.categories"
+    text = reports.build_profile_report(raw, "x", ["Contract", "TotalCharges"], "Contract", ["Contract"], ["TotalCharges"],
+                                        ["Contract"], categories_path=folder)
+    assert "| TotalCharges | 0 | 1 | -1e400 | 12345678901234567.91 |" in text
+    assert "| c007 | 2 |\n| c000 | 1 |\n| c001 | 1 |\n| (more values) |" in text and folder in text
+    listed = spark.read.option("header", True).csv(folder)
+    assert listed.count() == 40 and listed.agg(F.sum("row_count")).first()[0] == 41
