@@ -141,10 +141,17 @@ def sizes_and_sketch(docs: DataFrame, ngram: int = NGRAM) -> DataFrame:
 
 def column_classes(marked: DataFrame) -> np.ndarray:
     """How often the columns of each cell are shared, as a number of binary digits: ``CELLS`` small numbers."""
-    digits = F.length(F.bin(F.sum("times"))).cast("byte")
-    rows = marked.where("cell is not null").groupBy("cell").agg(digits.alias("digits")).toPandas()
+    def packed(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            cells, digits = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("cell", "digits"))
+            yield pa.RecordBatch.from_arrays([pa.array([cells.astype("<i4").tobytes()], pa.binary()),
+                                              pa.array([digits.astype("u1").tobytes()], pa.binary())], ["cells", "digits"])
+
+    digits = F.length(F.bin(F.sum("times"))).alias("digits")
+    counted = marked.where("cell is not null").groupBy("cell").agg(digits)
     out = np.zeros(CELLS, np.uint8)
-    out[rows["cell"].to_numpy(np.int64)] = rows["digits"].to_numpy(np.uint8)
+    for r in counted.mapInArrow(packed, "cells binary, digits binary").toLocalIterator():
+        out[np.frombuffer(r["cells"], "<i4")] = np.frombuffer(r["digits"], "u1")
     return out
 
 
