@@ -8,15 +8,19 @@ the same prefix twice more, with an empty text and with one marker character as
 the front is the head of the turn, what the empty one has after it is the tail.
 
 Conversations are rendered in segments of ``segment_turns`` turns (by turn number), so that neither the prefixes nor a
-conversation that holds a third of all turns gather in one task; with a template whose output for a turn does not
-depend on the turns before it, the segments of a conversation concatenate to its whole rendering. A template that looks
-further back is run with ``segment_turns=None``.
+conversation that holds a third of all turns gather in one task. That is right for a template whose output for a turn
+does not depend on the turns before it, and every conversation of several segments is made to prove it at each cut
+(:func:`looks_back`): the last turn before and the first after it, rendered together, must be the two rendered alone, and
+a conversation without turns must give nothing. A conversation that fails is rendered whole, by one task. Segments are
+cut by turn number, so turns with far apart numbers are cut too, and proven in the same way. What this cannot see is a
+template that looks back by more than one turn, but never to the last one; ``segment_turns=None`` renders all whole.
 
 :func:`marked_turns` is the template of the query. It marks turns with control strings and escapes control strings
 inside roles and texts reversibly: a backslash is put between ``<`` and ``|``, after any backslashes that stand there.
 
 Defined results: null roles and texts are empty; turns are taken by (turn, role, text), null turns first, so ties and
-repeated rows have a fixed order and each row is a turn; rows with a null conv_id form one conversation; an empty table
+repeated rows have a fixed order and each row is a turn; very long texts are rendered whole; ``rewrites`` is that of a
+row, a conversation rewrites if any of its rows does; rows with a null conv_id form one conversation; an empty table
 gives no rows; further columns are not read.
 """
 
@@ -29,7 +33,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from strata.llm.common import ship_code
+from strata.llm.common import ship_code, written
 
 START, END = "<|im_start|>", "<|im_end|>"
 SEGMENT_TURNS = 64
@@ -101,10 +105,63 @@ def render(turns: list[tuple[str, str]], template: Template, learn: tuple[str, .
     return before, spans, False
 
 
+def looks_back(turns: DataFrame, template: Template, segment_turns: int) -> DataFrame:
+    """(conv_id) of the conversations of ``turns`` (conv_id, segment, turn, role, text) with several segments, or parts of
+    one, that cannot be rendered apart. Only the turns beside cuts are looked at."""
+    keys = lambda a, b: F.col(f"{a}.conv_id").eqNullSafe(F.col(f"{b}.conv_id"))
+    per = written(turns.groupBy("conv_id", "segment").agg(F.count(F.lit(1)).alias("n")), "segments")
+    long = per.groupBy("conv_id").agg(F.count(F.lit(1)).alias("segments"), F.max("n").alias("n")).where(
+        (F.col("segments") > 1) | (F.col("n") > segment_turns))
+    full = (F.col("t.segment") == F.col("p.segment")) & keys("t", "p")
+    some = turns.alias("t").join(per.alias("p"), full).join(long.alias("l"), keys("t", "l"), "left_semi").select("t.*", "p.n")
+    turn = F.struct("turn", "role", "text")
+    ends = some.where(F.col("n") <= segment_turns).groupBy("conv_id", "segment").agg(
+        F.min(turn).alias("first"), F.max(turn).alias("last"), F.max("n").alias("n"))
+    ends = ends.select("conv_id", "segment", F.inline(F.when(F.col("n") > 1, F.array("first", "last")).otherwise(
+        F.array("first"))))
+    beside = ends.unionByName(some.where(F.col("n") > segment_turns).drop("n"))
+
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        header, found = template([]) != "", set()
+        last, conv, segment, at = None, None, None, 0
+        for batch in source:
+            columns = (batch.column(n).to_pylist() for n in ("conv_id", "segment", "role", "text"))
+            for key, part, role, text in zip(*columns):
+                now = (role, text)
+                if last is None or key != conv:
+                    conv, at = key, 0
+                elif part != segment or at % segment_turns == 0:
+                    at = 0
+                    if key not in found and (header or template([last, now]) != template([last]) + template([now])):
+                        found.add(key)
+                        yield pa.RecordBatch.from_arrays([pa.array([key], batch.schema.field("conv_id").type)], ["conv_id"])
+                last, segment, at = now, part, at + 1
+
+    kind = turns.schema["conv_id"].dataType.simpleString()
+    placed = beside.repartition("conv_id").sortWithinPartitions("conv_id", "segment", "turn", "role", "text")
+    return placed.mapInArrow(batches, f"conv_id {kind}")
+
+
 def format_chats(turns: DataFrame, template: Template = marked_turns, learn: tuple[str, ...] = ("assistant",),
                  segment_turns: int | None = SEGMENT_TURNS) -> DataFrame:
     """One row per conversation and segment: the rendered text, and for each turn its span, the span of its text, and
     whether it counts for the loss (code points from the start of the segment's text)."""
+    ship_code(turns.sparkSession)
+    segment = F.lit(0) if segment_turns is None else F.coalesce(F.floor(F.col("turn") / segment_turns), F.lit(-(1 << 62)))
+    chosen = turns.select(
+        "conv_id", segment.cast("long").alias("segment"), "turn", F.coalesce("role", F.lit("")).alias("role"),
+        F.coalesce("text", F.lit("")).alias("text"))
+    if segment_turns is None:
+        return _rendered(chosen, template, learn, None)
+    back = written(looks_back(chosen, template, segment_turns), "looks-back")
+    same = F.col("t.conv_id").eqNullSafe(F.col("b.conv_id"))
+    apart = chosen.alias("t").join(back.alias("b"), same, "left_anti")
+    whole = chosen.alias("t").join(back.alias("b"), same, "left_semi").withColumn("segment", F.lit(0).cast("long"))
+    return _rendered(apart, template, learn, segment_turns).unionByName(_rendered(whole, template, learn, None))
+
+
+def _rendered(turns: DataFrame, template: Template, learn: tuple[str, ...], segment_turns: int | None) -> DataFrame:
+    """The rows of :func:`format_chats` for ``turns`` (conv_id, segment, turn, role, text)."""
     kind = turns.schema["conv_id"].dataType.simpleString()
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,12 +190,7 @@ def format_chats(turns: DataFrame, template: Template = marked_turns, learn: tup
         if waiting:
             yield rendered()
 
-    ship_code(turns.sparkSession)
-    segment = F.lit(0) if segment_turns is None else F.coalesce(F.floor(F.col("turn") / segment_turns), F.lit(-(1 << 62)))
-    chosen = turns.select(
-        "conv_id", segment.cast("long").alias("segment"), "turn", F.coalesce("role", F.lit("")).alias("role"),
-        F.coalesce("text", F.lit("")).alias("text"))
-    placed = chosen.repartition("conv_id", "segment").sortWithinPartitions("conv_id", "segment", "turn", "role", "text")
+    placed = turns.repartition("conv_id", "segment").sortWithinPartitions("conv_id", "segment", "turn", "role", "text")
     return placed.drop("turn").mapInArrow(batches, OUT.format(kind=kind))
 
 

@@ -61,3 +61,26 @@ def test_edge_cases_and_long_conversations(spark):
     assert sorted(map(tuple, whole.collect()), key=str) == [
         r for r in expected(rows) if r[0] in (1, 2, None)]
     assert chat.digests(chat.format_chats(turns.limit(0))).count() == 0
+
+
+def test_templates_are_found_out_at_every_cut(spark):
+    """Conversations with dense, sparse, cut and repeated turn numbers: the output is that of the whole conversation."""
+    numbered = lambda turns: f"{len(turns)} turns: " + "".join(t for _, t in turns)
+    last_only = lambda turns: "".join(f"[{r}]" for r, _ in turns[:-1]) + (turns[-1][1] if turns else "")
+    with_header = lambda turns: "HEADER\n" + "".join(f"{r}: {t}\n" for r, t in turns)
+    with_first = lambda turns: "".join(("<s>" if not i else "") + f"{r}: {t}\n" for i, (r, t) in enumerate(turns))
+    places = {1: [0, 1, 2], 2: [0, 100, 200], 3: [63, 64], 4: list(range(130)), 5: [7] * 70, 6: [-5, None, 9000], 7: [5]}
+    rows = [(conv, turn, ("user", "assistant")[i % 2], f"text {i:03d}") for conv, some in places.items()
+            for i, turn in enumerate(some)]
+    turns = spark.createDataFrame(rows, SCHEMA)
+    order = lambda r: (r[1] is not None, r[1] or 0, r[2], r[3])
+    said = {c: [r[2:] for r in sorted((r for r in rows if r[0] == c), key=order)] for c in places}
+    for template in (numbered, last_only, with_header, with_first, chat.marked_turns):
+        out = chat.format_chats(turns, template).orderBy("conv_id", "segment", "part").collect()
+        for conv, mine in said.items():
+            got = [r for r in out if r["conv_id"] == conv]
+            text, spans, rewrites = chat.render(mine, template)
+            assert "".join(r["text"] for r in got) == text, (template, conv)
+            assert any(r["rewrites"] for r in got) == rewrites, (template, conv)
+            assert sum(r["n_turns"] for r in got) == len(mine)
+        assert (len(out) > len(places)) == (template is chat.marked_turns)  # only it can be cut
