@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions import band, exact_avg, exact_sum, round_half_up, threshold_band
-from strata.operators import gold, profile, quality, rulesets, verify
+from strata.operators import gold, profile, quality, rulesets, unique, verify
 from strata.operators.bronze import to_bronze
 from strata.operators.silver import to_silver
 from strata.plans import flow, publish
@@ -141,6 +141,16 @@ def q_dup_keys_conversations(spark, sf_dir):
     return profile.duplicate_keys(table(spark, sf_dir, "conversations"), ["conv_id", "turn"])
 
 
+def q_unique_orders(spark, sf_dir):
+    """A4, Q4: the key of ``orders`` proven unique by sorted runs of hashes; only keys that may repeat are shuffled."""
+    return unique.repeated_keys(table(spark, sf_dir, "orders"), "o_orderkey")
+
+
+def q_unique_lineitem(spark, sf_dir):
+    """A4, Q4: repeated (order, line) keys of ``lineitem``, counted in the same way."""
+    return unique.repeated_keys(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
 def q_negative_balance(spark, sf_dir):
     """Negative balances of customers and suppliers."""
     parts = []
@@ -603,6 +613,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_quality_events": q_quality_events,
     "q_dup_keys_lineitem": q_dup_keys_lineitem,
     "q_dup_keys_conversations": q_dup_keys_conversations,
+    "q_unique_orders": q_unique_orders,
+    "q_unique_lineitem": q_unique_lineitem,
     "q_negative_balance": q_negative_balance,
     "q_profile_missing": q_profile_missing,
     "q_profile_categories": q_profile_categories,

@@ -778,3 +778,8 @@ SELECT 'long' AS column_name, CAST(count_if(long IS NULL) AS BIGINT) AS invalid_
 FROM w
 UNION ALL
 SELECT 'exponent', 0, 0, min(exponent) FILTER (k % 7 = 0), arg_max(exponent, k % 500 * 10 + k % 7) FILTER (k % 7 > 0) FROM w"""
+ORACLE_SQL["q_unique_lineitem"] = ORACLE_SQL["q_dup_keys_lineitem"]
+ORACLE_SQL["q_unique_orders"] = """
+SELECT CAST(count_if(n > 1) AS BIGINT) AS duplicate_keys, CAST(coalesce(sum(n) FILTER (n > 1), 0) AS BIGINT) AS duplicated_rows,
+  count(*) AS distinct_keys
+FROM (SELECT o_orderkey, count(*) AS n FROM orders GROUP BY 1)"""
