@@ -113,8 +113,9 @@ def _profile(spark, a):
 
 
 def _admit(spark, a):
+    pins = json.loads(fs.read_text(spark, a.manifest)) if a.manifest else a.sha256
     rows = publish.promote(spark, a.source, a.destination, force=a.force, expected_rows=a.expected_rows,
-                           id_prefix=a.id_prefix, checksum=a.sha256)
+                           id_prefix=a.id_prefix, checksum=pins)
     print(f"installed {rows} rows at {a.destination}")
 
 
@@ -188,7 +189,8 @@ def build_parser() -> argparse.ArgumentParser:
     c.add_argument("--force", action="store_true")
     c.add_argument("--expected-rows", type=int)
     c.add_argument("--id-prefix")
-    c.add_argument("--sha256")
+    c.add_argument("--sha256", help="digest of a landing of one file")
+    c.add_argument("--manifest", help="JSON file: file name -> SHA-256 of every file of the landing")
     c = cmd("publish", _publish, "register layer tables in the catalog (dry run unless --register)")
     c.add_argument("--root", required=True)
     c.add_argument("--schema", required=True)

@@ -123,8 +123,11 @@ def is_blank(c: str | Column, strip_all_whitespace: bool = False) -> Column:
     """Blank after trimming. ``trim`` strips only spaces; with ``strip_all_whitespace`` every Unicode
     whitespace at either end is stripped (the profiler's notion of blank)."""
     s = col_of(c).cast("string")
-    stripped = strip_whitespace(s) if strip_all_whitespace else F.trim(s)
-    return stripped == F.lit("")
+    if not strip_all_whitespace:
+        return F.trim(s) == F.lit("")
+    # a text whose first character is no whitespace is not blank: most texts are settled without a copy of them
+    first = strip_whitespace(F.substring(s, 1, 1))
+    return F.when(first != F.lit(""), F.lit(False)).otherwise(strip_whitespace(s) == F.lit(""))
 
 
 def is_missing(c: str | Column, trim: bool = True, strip_all_whitespace: bool = False) -> Column:

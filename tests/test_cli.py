@@ -1,5 +1,6 @@
 """The command line runs every stage on explicit paths, like one job per stage."""
 
+import hashlib
 import json
 import os
 
@@ -50,6 +51,12 @@ def test_run_admit_and_failures(spark, scratch):
     assert main(["run", "--input", f"{scratch}/zone", "--root", f"{scratch}/lake", "--reports",
                  f"{scratch}/reports"], spark) == 0
     assert os.path.exists(f"{scratch}/reports/customer_churn_bronze_quality.md")
+    pins = {n: hashlib.sha256(open(f"{raw}/{n}", "rb").read()).hexdigest() for n in os.listdir(raw) if n.endswith(".csv")}
+    json.dump(pins, open(f"{scratch}/pins.json", "w"))
+    admit = ["admit", "--source", raw, "--destination", f"{scratch}/pinned", "--force", "--manifest", f"{scratch}/pins.json"]
+    assert main(admit, spark) == 0
+    json.dump(dict.fromkeys(pins, "0" * 64), open(f"{scratch}/pins.json", "w"))
+    assert main(admit, spark) == 1
     bad = catalog.feed(spark, SF001).withColumn("gender", F.lit("X"))
     write_contract_csv(bad.coalesce(1), f"{scratch}/bad")
     assert main(["run", "--input", f"{scratch}/bad", "--root", f"{scratch}/lake2"], spark) == 1
