@@ -2,14 +2,9 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
-
-import strata
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from strata.session import scratch_dir
+from strata.session import scratch_dir, ship_code  # noqa: F401
 from strata.sources import fs
 
 WHITESPACE = r"\x20\x09-\x0D"
@@ -17,25 +12,6 @@ WHITESPACE_CHARS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-_SHIPPED: set[str] = set()
-
-
-def ship_code(spark: SparkSession) -> None:
-    """Send this package to the Python workers of the session once, as ``--py-files`` would."""
-    if spark.sparkContext.applicationId in _SHIPPED:
-        return
-    root = os.path.dirname(os.path.abspath(strata.__file__))
-    archive = os.path.join(tempfile.mkdtemp(prefix="strata-code-"), "strata.zip")
-    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
-        for folder, _, names in os.walk(root):
-            for name in sorted(names):
-                if name.endswith(".py"):
-                    path = os.path.join(folder, name)
-                    out.write(path, os.path.join("strata", os.path.relpath(path, root)))
-    spark.sparkContext.addPyFile(archive)
-    _SHIPPED.add(spark.sparkContext.applicationId)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """The whole table, only the named columns."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
@@ -72,11 +48,3 @@ def ascii_lower(text: Column) -> Column:
 def hash128(value: Column) -> list[Column]:
     """Two independent 64-bit hashes of a string, as columns ``h1`` and ``h2``."""
     return [F.xxhash64(value).alias("h1"), F.xxhash64(F.lit("second"), value).alias("h2")]
-
-
-def bounded_by(df: DataFrame, rows: int, what: str) -> list:
-    """The rows of a table whose size the method bounds; raises when the bound does not hold."""
-    found = df.limit(rows + 1).collect()
-    if len(found) > rows:
-        raise ValueError(f"{what} has more than {rows} rows")
-    return found

@@ -11,7 +11,8 @@ What documents lose is a small table beside their texts. It is broadcast if its
 ``MAX_BROADCAST_ENTRIES``; a larger one meets the texts in a shuffled join.
 
 Defined results: a null or empty text is one empty line; rows with a null doc_id neither count nor lose lines; repeated
-rows count as one document and lose the same lines; an empty table gives no rows; further columns pass through.
+rows count as one document and lose the same lines; very long texts and lines are split and hashed whole; there are no
+ties, as the largest doc_id that holds a line keeps it; an empty table gives no rows; further columns pass through.
 """
 
 from __future__ import annotations

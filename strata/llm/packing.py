@@ -8,7 +8,8 @@ bitset and one shift per copy class, finds the multiset that fills the window cl
 each length are read back from the bitsets, and the pattern found is used as often as its lengths are there. Where no
 multiset fills the window, one more piece is cut to fill it. A task therefore pads one sequence at most, its last.
 
-Defined results: a null or empty text is one end id; repeated rows are packed each; rows with a null doc_id are packed
+Defined results: a null or empty text is one end id; a very long text is cut into whole sequences and a rest; of pieces of
+equal length the one that came last is placed first; repeated rows are packed each; rows with a null doc_id are packed
 like any other; an empty table gives no rows; further columns are not read.
 """
 

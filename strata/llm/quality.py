@@ -12,6 +12,7 @@ further into the sketch of a language and of the corpus, which serve the groups
 Integer buckets make the result independent of the order in which sketches meet.
 
 Defined results: null text has no words and fails the base rules; null languages and sources form their own groups;
+a value at a fence is within it; very long texts are counted whole, within the row that holds them;
 repeated rows are judged alike, each by itself; an empty table gives no rows; a table of the operator may carry any
 further columns, they pass through untouched inside ``row``.
 """

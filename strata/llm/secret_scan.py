@@ -13,7 +13,8 @@ One scan of the texts finds matches and the lengths of the gaps between them; po
 matches of a document. The procedure needs only counts of p-values on a logarithmic grid, so a band that holds a third
 of all candidates reaches the shuffle as some hundred counts.
 
-Defined results: a null text is empty; rows with a null doc_id are scanned like any other; repeated rows get the same
+Defined results: a null text is empty; very long texts are scanned whole; spans that begin together stand in the order of
+their kinds; p-values on one step of the grid are rejected together; rows with a null doc_id are scanned like any other; repeated rows get the same
 result each; an empty table gives no rows; further columns are not read.
 """
 

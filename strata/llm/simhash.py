@@ -21,7 +21,8 @@ Groups of copies are contracted before the search, so that it never lists the pa
 Step 3 is exact for any outcome of step 2, which only saves work: every pair of different components within reach is
 compared, and pairs within one component cannot change the result.
 
-Defined results: a null or empty text has fingerprint zero and links like any other; fewer words than a shingle count
+Defined results: a bit set in exactly half of the hashes is zero; very long texts are hashed whole, in blocks; a null or
+empty text has fingerprint zero and links like any other; fewer words than a shingle count
 as one shingle; rows with a null doc_id take part and get the component of their fingerprint (null if no linked row has
 a doc_id); repeated rows get the same result each; an empty table gives no rows; further columns pass through ``row``.
 """

@@ -14,7 +14,7 @@ n * (2 + log2(u / n)) bits: the low bits packed, the high bits in unary, and the
 ``select``, which finds the offset of any document without decoding the others.
 
 Defined results: a null or empty text is one end id; rows with a null doc_id come first; repeated doc_ids follow each
-other in the order of a hash of their texts; an empty table gives an empty file; further columns are not read.
+other in the order of a hash of their texts; a very long text is a block of its own; an empty table gives an empty file; further columns are not read.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ each key of the level. A level beyond ``max_level_bits`` (4 MB) is not gathered;
 by an equi-join on the word, with the same result.
 
 Defined results: a null url, or one without ``://``, has an empty host and path and fits no rule; its key is the empty
-string, which is a member like any other if it is listed; repeated rows are judged alike; empty tables give no rows, an
+string, which is a member like any other if it is listed; of two fitting rules of one length the one listed first
+wins; very long urls are hashed whole; repeated rows are judged alike; empty tables give no rows, an
 empty list allows everything; further columns pass through.
 """
 

@@ -15,7 +15,8 @@ is cut into several ranges too. The result is globally ordered: by partition, an
 
 Defined results: a null html is an empty payload; a null url has no target and an empty URL key; rows with a null
 page_id are revisits of an equal payload with a page_id, else responses; fully repeated rows are the same capture
-twice and get the same type; an empty table gives no rows; further columns are not read.
+twice and get the same type; of captures of one URL and time the smaller page_id is first; very long payloads are one
+record; an empty table gives no rows; further columns are not read.
 """
 
 from __future__ import annotations
