@@ -9,7 +9,9 @@ from strata.plans import catalog
 # these build their result by running the layered run or an admission (they write data); their parts are planned
 # by the other queries
 EFFECTFUL = {"q_layers_roundtrip", "q_admission", "q_published_kpis", "q_layer_summary", "q_written_segments",
-             "q_written_risk", "q_copied_silver"}
+             "q_written_risk", "q_copied_silver", "q_lake_versions", "q_layer_fingerprints", "q_layer_checks",
+             # files are read by tasks, and keys pass a filter there
+             "q_file_checksums", "q_installed_files", "q_unique_orders", "q_unique_lineitem"}
 FORBIDDEN = ("BroadcastExchange", "BroadcastHashJoin", "BroadcastNestedLoopJoin", "CartesianProduct",
              "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
 
