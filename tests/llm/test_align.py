@@ -142,3 +142,14 @@ def test_pointer_jumping_on_chains():
     assert set(a_group) == set(b_group) == {0} and len(of_a) == 101
     a_group, b_group, _, _ = align.aligned(np.zeros(4), np.array([1, 2, 3, 1]), np.zeros(3), np.array([3, 2, 2]))
     assert a_group.tolist() == [0, 0, 1, 1] and b_group.tolist() == [0, 1, 1]
+
+
+def test_a_long_text_is_one_parcel():
+    """A text longer than a parcel, with parts that must be encoded whole."""
+    rng = random.Random(2)
+    text = " ".join("".join(rng.choice("abcdeéß.,\n") for _ in range(rng.randint(1, 9))) for _ in range(450_000))
+    assert len(text.encode()) > align.PARCEL_BYTES
+    same([text[:60_000], text[:30_000].replace("a", "  ")])
+    n_a, n_b, n_groups, digest, links = of_aligner([text])[0]
+    assert digest and n_groups < min(n_a, n_b) and links.total() >= max(n_a, n_b)
+    assert n_a == len(A.encode(" " + text, add_special_tokens=False).ids) and n_b == len(B.encode(text))

@@ -126,3 +126,12 @@ def test_gram_sets():
     assert sizes == [len(shingles(t.decode())) for t in texts] == [0, 1, 1, 1, 2, 2]
     a, b = ngramjoin.gram_sets([b"a b c d", b"a b C d q"])
     assert len(np.intersect1d(a, b)) == 1
+
+
+def test_very_long_texts_are_taken_whole(spark):
+    """Two texts of a million words that differ at their ends only, and one that is not near."""
+    words = [f"w{i}" for i in range(1_000_000)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:900_000])), (3, " ".join(words[:800_000])), (4, " ".join(words[::-1]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, ngramjoin.similar_documents(docs).collect()))
+    assert got == [(1, 999_997, 1), (2, 899_997, 1), (3, 799_997, 1), (4, 999_997, 4)]
