@@ -12,10 +12,11 @@ the matrix with its transpose. Only entries that can reach the bounds are comput
    most often, and the links found are contracted: dense groups of near copies become one component without listing
    their pairs.
 4. The product proper is then taken block by block, a block being a column and a class of set sizes: rows of different
-   components only, the most frequent component of a column against the others only, and of the smaller set of a pair
-   only the columns that can be the first one shared. Overlap counts of a pair are accumulated over its columns; pairs
-   whose sizes, whose place in the order, or whose accumulated count cannot lead to enough overlap are discarded.
-5. What remains is decided by the whole sets.
+   components only, the most frequent component of a column against the others only. A pair comes out of a block if its
+   sizes are within the threshold and as much stands behind the column in both sets as the overlap needs: that holds
+   at the first column that a linked pair shares.
+5. The overlap count of a pair is accumulated over the prefixes, and the pair discarded if the count and the rest of the
+   larger set cannot make up the overlap that the sizes demand; what remains is decided by the whole sets.
 
 Nothing is capped: step 3 only saves work, pairs within one component cannot change the result, and every pair of
 different components within the threshold passes all bounds of step 4.
@@ -216,9 +217,18 @@ def enough(overlap: Column, n_a: str, n_b: str, percent: int) -> Column:
     return (100 + percent) * overlap >= percent * (F.col(n_a) + F.col(n_b))
 
 
+def possible(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs`` (a, b) that the overlap of their prefixes and the rest of the larger set leave."""
+    side = lambda x: sets.select(F.col("sid").alias(x), F.col("n").alias(f"n_{x}"), F.col("prefix").alias(f"p_{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    overlap = F.size(F.array_intersect("p_a", "p_b"))
+    rest = F.ceil(F.lit(percent) * F.greatest("n_a", "n_b") / 100) - 1
+    return both.where(sizes_fit("n_a", "n_b", percent) & enough(overlap + rest, "n_a", "n_b", percent)).select("a", "b")
+
+
 def confirmed(docs: DataFrame, sets: DataFrame, pairs: DataFrame, ngram: int, percent: int) -> DataFrame:
     """Those of ``pairs`` (a, b) whose whole sets reach the threshold."""
-    pairs = _kept(pairs, "pairs")
+    pairs = _kept(possible(sets, pairs, percent), "pairs")
     needed = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
     needed = written(sets.select("sid", "s1", "s2", "text").join(needed, "sid"), "needed")
     vectors = _kept(whole_sets(docs, needed, ngram), "vectors")
@@ -251,18 +261,12 @@ def block_pairs(entries: DataFrame, percent: int) -> DataFrame:
     large = entries.select("gram", "class", F.col("sid").alias("b"), F.col("n").alias("n_b"),
                            F.col("place").alias("place_b"), F.col("root").alias("root_b"), foreign.alias("f_b"))
     fits = ((F.col("n_a") < F.col("n_b")) | (F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b"))) & (
-        100 * F.col("n_a") >= percent * F.col("n_b")) & (F.col("root_a") != F.col("root_b"))
+        100 * F.col("n_a") >= percent * F.col("n_b")) & (F.col("root_a") != F.col("root_b")) & enough(
+        F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")), "n_a", "n_b", percent)
     keys = ["gram", "class"]
     met = small.where("f_a").join(large, keys).where(fits).unionByName(
         small.where("not f_a").join(large.where("f_b"), keys).where(fits))
-    # the first shared column bounds the overlap by what follows it in each
-    first = enough(F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")), "n_a", "n_b", percent)
-    counted = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("overlap"), F.max(first).alias("first"),
-                                        F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b"))
-    # all that is shared before the end of either prefix has been counted, beyond it at most the rest is shared
-    rest = F.greatest(F.ceil(F.lit(2 * percent) * F.col("n_a") / (100 + percent)),
-                      F.ceil(F.lit(percent) * F.col("n_b") / 100)) - 1
-    return counted.where("first").where(enough(F.col("overlap") + rest, "n_a", "n_b", percent)).select("a", "b")
+    return met.select("a", "b").distinct()
 
 
 def similar_sets(docs: DataFrame, marked: DataFrame, ngram: int = NGRAM, percent: int = PERCENT) -> DataFrame:
@@ -276,9 +280,7 @@ def similar_sets(docs: DataFrame, marked: DataFrame, ngram: int = NGRAM, percent
     shared = _kept(entries.join(heads, "gram"), "columns")
     often = lambda head: F.mode(F.when(F.col(head) != F.col("sid"), F.col(head)), True)
     led = shared.groupBy(F.col("sid").alias("a")).agg(F.array_distinct(F.array(often("low"), often("high"))).alias("heads"))
-    size = lambda x: sets.select(F.col("sid").alias(x), F.col("n").alias(f"n_{x}"))
-    led = (led.select("a", F.explode("heads").alias("b")).where("b is not null").join(size("a"), "a").join(size("b"), "b")
-           .where(sizes_fit("n_a", "n_b", percent)).select("a", "b"))
+    led = led.select("a", F.explode("heads").alias("b")).where("b is not null")
     links = confirmed(docs, sets, led, ngram, percent)
     first = written(components(links).select(F.col("node").alias("sid"), "root"), "first")
     labelled = _kept(shared.drop("low", "high").join(first, "sid", "left")
