@@ -354,6 +354,7 @@ def emit(texts: DataFrame, keys: list[str], known: list[str] | None, sizes: list
                 first += len(texts)
             if rows:
                 yield made(batch, rows, found)
+            pa.default_memory_pool().release_unused()  # an idle worker process stays beside its executor
 
     def made(batch: pa.RecordBatch, rows: list[int], found: list[tuple]) -> pa.RecordBatch:
         at = pa.array(rows)

@@ -28,6 +28,8 @@ from strata.llm.tokens import encoder
 CAPACITY = 1024
 END_ID = 0
 POOL = 4096
+#: chunks that the encoder of a task remembers; with the pieces in work about 400 MB
+REMEMBERED = 500_000
 OUT = "doc_id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
@@ -119,6 +121,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = END_ID, capacity: int =
     ``tokenizer`` is the path of a tokenizers file on every node."""
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, packer = encoder(tokenizer), Packer(capacity, pool)
+        coder.remembered = REMEMBERED
         first_sequence = TaskContext.get().partitionId() << 33
         end = np.array([end_id], "<u4").tobytes()
 
@@ -140,6 +143,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = END_ID, capacity: int =
                 packer.add((doc, len(ids) // 4), ids)
                 if len(packer.out) >= 2048:
                     yield rows()
+            pa.default_memory_pool().release_unused()
+        coder.rest()
         packer.fill(0)
         if packer.out:
             yield rows()

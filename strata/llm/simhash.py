@@ -76,6 +76,8 @@ def with_fingerprints(docs: DataFrame, keep: Column, shingle: int = SHINGLE) ->
         for batch in source:
             out = np.array([fingerprint(t, shingle) for t in batch.column("_t").to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out.view(np.int64))], ["row", "fp"])
+            del batch
+            pa.default_memory_pool().release_unused()  # an idle worker process stays beside its executor
 
     ship_code(docs.sparkSession)
     chosen = docs.select(keep.alias("row"), text_or_empty().cast("binary").alias("_t"))

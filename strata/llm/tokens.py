@@ -108,6 +108,12 @@ class Encoder:
         self.odd = "|".join([UNUSUAL, *[BESIDE_SPACE] * self.keeps_spaces, *added])
         self._forget()
 
+    def rest(self) -> None:
+        """Forget all chunks at the end of a task and return the memory: an idle worker process stays beside its executor
+        for a minute, through stages that need the memory."""
+        self._forget()
+        pa.default_memory_pool().release_unused()
+
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
         self.words: dict[str, int] = {}

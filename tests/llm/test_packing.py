@@ -85,3 +85,21 @@ def test_ids_are_those_of_the_tokenizer(spark):
 def test_edge_cases(spark):
     check(spark, edge.documents(spark))
     assert packing.pack(edge.none(spark), PATH).count() == 0
+
+
+def test_workers_forget_chunks_after_a_task(spark):
+    """Idle Python workers stay beside an executor while other stages need its memory."""
+    docs = table(spark, SF001, "documents", "doc_id", "text").repartition(16)
+    assert packing.pack(docs, PATH).count() > 0
+
+    def held(source):
+        import pyarrow as pa
+
+        from strata.llm import tokens
+
+        for batch in source:
+            known = [len(e.known) + len(e.words) for (path, _), e in tokens._ENCODERS.items() if path == PATH]
+            yield pa.RecordBatch.from_arrays([pa.array(known, pa.int64())], ["known"])
+
+    seen = [r["known"] for r in spark.range(64).repartition(16).mapInArrow(held, "known long").collect()]
+    assert seen and not any(seen)
