@@ -8,9 +8,10 @@ the matrix with its transpose. Only entries that can reach the bounds are comput
    rare ones first, then by hash. Two sets within the threshold must share one of the first n - ceil(t n) + 1 columns
    of each; only this part of the matrix is multiplied. A passage that a third of all documents share stands at the end
    of their order.
-3. The least and the greatest row of a column are its leaders. Each row is compared with the two leaders that it meets
-   most often, and the links found are contracted: dense groups of near copies become one component without listing
-   their pairs.
+3. The least and the greatest row of a column and the one that shares most of its columns with others are its leaders.
+   Among copies with edits the last is the least edited one, which most of them are near. Each row is compared with the
+   three leaders that it meets most often, and the links found are contracted: dense groups of near copies become one
+   component without listing their pairs.
 4. The product proper is then taken block by block, a block being a column and a class of set sizes: rows of different
    components only, the most frequent component of a column against the others only. A pair comes out of a block if its
    sizes are within the threshold and as much stands behind the column in both sets as the overlap needs: that holds
@@ -269,6 +270,17 @@ def block_pairs(entries: DataFrame, percent: int) -> DataFrame:
     return met.select("a", "b").distinct()
 
 
+def leaders(shared: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each row of ``shared`` (gram, sid, n, low, high) and the leaders that it meets most often."""
+    common = shared.groupBy("sid").agg((F.count(F.lit(1)) / F.first("n")).alias("share"))
+    middle = shared.select("gram", "sid").join(common, "sid").groupBy("gram").agg(
+        F.max_by("sid", F.struct("share", "sid")).alias("middle"))
+    often = lambda head: F.mode(F.when(F.col(head) != F.col("sid"), F.col(head)), True)
+    led = shared.join(middle, "gram").groupBy(F.col("sid").alias("a")).agg(
+        F.array_distinct(F.array(often("middle"), often("low"), often("high"))).alias("heads"))
+    return led.select("a", F.explode("heads").alias("b")).where("b is not null")
+
+
 def similar_sets(docs: DataFrame, marked: DataFrame, ngram: int = NGRAM, percent: int = PERCENT) -> DataFrame:
     """(s1, s2, sid, root) of every distinct non-empty set: its number and the number that stands for its component."""
     found = prefixes(docs, column_classes(marked), ngram, percent)
@@ -278,10 +290,7 @@ def similar_sets(docs: DataFrame, marked: DataFrame, ngram: int = NGRAM, percent
     entries = sets.select("sid", "n", F.posexplode("prefix").alias("place", "gram"))
     heads = entries.groupBy("gram").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).where("low < high")
     shared = _kept(entries.join(heads, "gram"), "columns")
-    often = lambda head: F.mode(F.when(F.col(head) != F.col("sid"), F.col(head)), True)
-    led = shared.groupBy(F.col("sid").alias("a")).agg(F.array_distinct(F.array(often("low"), often("high"))).alias("heads"))
-    led = led.select("a", F.explode("heads").alias("b")).where("b is not null")
-    links = confirmed(docs, sets, led, ngram, percent)
+    links = confirmed(docs, sets, leaders(shared), ngram, percent)
     first = written(components(links).select(F.col("node").alias("sid"), "root"), "first")
     labelled = _kept(shared.drop("low", "high").join(first, "sid", "left")
                        .withColumn("root", F.coalesce("root", "sid")), "labelled")

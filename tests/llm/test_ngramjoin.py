@@ -103,6 +103,37 @@ def test_block_pairs_find_all_without_leaders(spark, monkeypatch):
     check(spark, rows)
 
 
+def test_a_dense_group_is_contracted_around_its_middle(spark, monkeypatch):
+    """Copies with a few to many edits: most are near the least edited one, the rows with extreme numbers need not be."""
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(120):
+        words = list(base)
+        for at in rng.sample(range(150), rng.randint(0, 5)):
+            words[at] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    left, real = [], ngramjoin.block_pairs
+
+    def counted(*args):
+        left.append(real(*args).count())
+        return real(*args)
+
+    monkeypatch.setattr(ngramjoin, "block_pairs", counted)
+    check(spark, rows)
+    assert left[0] < 400
+
+
+def test_leaders_are_the_rows_that_share_most(spark):
+    """Row 5 shares all of its columns; the least and the greatest row of every column share few of theirs."""
+    rows = [(g, 5, 10) for g in range(8)] + [(g, 3, 10) for g in range(4)] + [(g, 4, 10) for g in range(4, 8)]
+    rows += [(0, 1, 10), (4, 1, 10), (1, 9, 10), (5, 9, 10)]
+    shared = spark.createDataFrame(rows, "gram long, sid long, n long").selectExpr(
+        "*", "min(sid) over (partition by gram) low", "max(sid) over (partition by gram) high")
+    got = {tuple(r) for r in ngramjoin.leaders(shared).collect()}
+    assert {(a, 5) for a in (1, 3, 4, 9)} <= got and all(a != b for a, b in got)
+
+
 def test_edge_cases(spark):
     docs = edge.documents(spark)
     got = sorted(map(tuple, ngramjoin.similar_documents(docs).collect()), key=str)
